@@ -67,7 +67,8 @@ def build_lookback(star: Star) -> DataFrame:
     The newest three partition dates are fetched to the driver (at most three
     scalars) so they become literal filters that prune partitions.
     """
-    dates = [r[0] for r in latest_dates(star.fact, LOOKBACK_DAYS + 1, star.partition_col).collect()]
+    source = star.fact if star.dates is None else star.dates.withColumnRenamed("zip_date", star.partition_col)
+    dates = [r[0] for r in latest_dates(source, LOOKBACK_DAYS + 1, star.partition_col).collect()]
     if not dates:
         spark = star.fact.sparkSession
         empty = star.fact.limit(0).select(*[F.col(c) for c in schemas.FACT_COLUMNS])

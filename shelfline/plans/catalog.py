@@ -399,3 +399,7 @@ FROM rf_fact f JOIN rf_dim_product dp ON f.product_key = dp.product_key
 ORDER BY dp.product_name ASC NULLS LAST, f.retail_price ASC NULLS LAST LIMIT 20"""))
 def _fpj(spark, sf):
     return q.fact_product_join(fixture_star(spark, sf), 20)
+
+
+# Ingest-side queries register themselves into the same tables.
+from shelfline.plans import catalog_ingest  # noqa: E402,F401

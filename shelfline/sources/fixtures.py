@@ -156,3 +156,114 @@ def fixture_star(spark: SparkSession, sf_dir: str) -> Star:
     }
     return Star(dims=dims, fact=fact(spark, sf_dir, part_keys.for_join()),
                 partition_col="date_key")
+
+
+# ---------------------------------------------------------------------------
+# Raw records: what the daily archives would contain, derived from lineitem
+# ---------------------------------------------------------------------------
+
+# Fixed values of the raw-record mapping.
+RAW_COMPANIES = 5            # file (company) of a row = supplier key mod 5
+RAW_NO_UIC_COMPANY = 4       # this company's file name has no "_<uic>" part
+RAW_SEMICOLON_COMPANIES = (1, 3)
+RAW_SHORT_LINE = 7           # line number 7 rows carry only six fields
+RAW_RAION_SUFFIX = "-04"
+
+
+def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archive-style rows (see ``sources.archives.RECORD_SCHEMA``) plus ``pos``.
+
+    One archive per ship month, one member file per company; the seven raw
+    fields carry the variants the cleaner must handle: short, over-padded,
+    district and non-numeric settlement codes; quoted and padded store names;
+    decimal commas, quoted, blank and ``n/a`` prices; rows with six fields.
+    Member and archive rows are included so company/file dimensions and the
+    quality report see every file.
+    """
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+        "l_extendedprice", "l_discount", "l_shipdate")
+    sup = SizedFrame(table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey"))
+    prt = SizedFrame(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand"))
+    j = (li.join(sup.for_join(), li.l_suppkey == F.col("s_suppkey"))
+           .join(prt.for_join(), li.l_partkey == F.col("p_partkey")))
+    c = F.col("l_suppkey") % RAW_COMPANIES
+    m = F.col("l_linenumber") % 4
+    n = F.col("s_nationkey").cast("string")
+    n5 = F.lpad(n, 5, "0")
+    price = F.col("l_extendedprice").cast("decimal(12,2)")
+    disc = F.col("l_discount").cast("decimal(4,2)")
+    ptxt = price.cast("string")
+    promo_txt = (price * (F.lit(1) - disc)).cast("decimal(12,2)").cast("string")
+    zip_date = F.concat(F.date_format("l_shipdate", "yyyy-MM"), F.lit("-01"))
+    pos = F.struct(zip_date.alias("zip_date"), c.alias("file_seq"), F.col("l_orderkey"),
+                   F.col("l_linenumber").cast("bigint").alias("l_linenumber"), F.col("l_partkey"),
+                   F.col("l_suppkey"), F.col("l_quantity"), F.col("l_extendedprice"), F.col("l_discount"))
+    records = j.select(
+        F.lit("record").alias("kind"),
+        zip_date.alias("zip_date"),
+        c.alias("file_seq"),
+        F.when(c == RAW_NO_UIC_COMPANY, F.concat(F.lit("Chain"), c.cast("string"), F.lit(".csv")))
+         .otherwise(F.concat(F.lit("Chain"), c.cast("string"), F.lit("_"),
+                             (c + UIC_OFFSET).cast("string"), F.lit(".csv"))).alias("file_name"),
+        F.when(c.isin(*RAW_SEMICOLON_COMPANIES), F.lit(";")).otherwise(F.lit(",")).alias("delimiter"),
+        F.lit("ok").alias("status"),
+        F.col("l_orderkey").alias("row_seq"),
+        F.when(F.col("l_linenumber") == RAW_SHORT_LINE, F.lit(6)).otherwise(F.lit(7)).alias("n_fields"),
+        F.when(m == 0, n).when(m == 1, F.concat(F.lit("0"), n5))
+         .when(m == 2, F.concat(n5, F.lit(RAW_RAION_SUFFIX)))
+         .otherwise(F.concat(F.lit("X"), n)).alias("settlement_code"),
+        F.when(F.col("l_linenumber") % 3 == 0, F.concat(F.lit(' "'), F.col("s_name"), F.lit('" ')))
+         .otherwise(F.col("s_name")).alias("store_name"),
+        F.col("p_name").alias("product_name"),
+        F.col("p_partkey").cast("string").alias("product_code"),
+        brand_number().cast("string").alias("category_code"),
+        F.when(m == 0, ptxt).when(m == 1, F.regexp_replace(ptxt, r"\.", ","))
+         .when(m == 2, F.concat(F.lit('"'), ptxt, F.lit('"')))
+         .when(F.col("l_quantity") % 2 == 0, F.lit("")).otherwise(F.lit("n/a")).alias("retail_price"),
+        F.when(disc == 0, F.lit(""))
+         .when(m % 2 == 1, F.regexp_replace(promo_txt, r"\.", ","))
+         .otherwise(promo_txt).alias("promo_price"),
+        pos.alias("pos"),
+    )
+    members = (records.select("zip_date", "file_seq", "file_name", "delimiter").distinct()
+               .select(F.lit("member").alias("kind"), "zip_date", "file_seq", "file_name",
+                       "delimiter", F.lit("ok").alias("status")))
+    archives = (records.select("zip_date").distinct()
+                .select(F.lit("archive").alias("kind"), "zip_date"))
+    cols = records.columns
+
+    def like_records(df):
+        out = df
+        for f in records.schema.fields:
+            if f.name not in df.columns:
+                if f.name == "pos":
+                    p = F.struct(
+                        F.col("zip_date").alias("zip_date"),
+                        (F.col("file_seq") if "file_seq" in df.columns else F.lit(-1).cast("bigint")).alias("file_seq"),
+                        *[F.lit(-1).cast(t.dataType).alias(t.name) for t in f.dataType.fields[2:]])
+                    out = out.withColumn("pos", p)
+                else:
+                    out = out.withColumn(f.name, F.lit(None).cast(f.dataType))
+        return out.select(*cols)
+
+    return records.unionByName(like_records(members)).unionByName(like_records(archives))
+
+
+def settlement_nomenclature(spark: SparkSession, sf_dir: str) -> SizedFrame:
+    """Settlement names keyed by 5-digit code, plus district codes of even nations."""
+    n = table(spark, sf_dir, "nation")
+    code = F.lpad(F.col("n_nationkey").cast("string"), 5, "0")
+    base = n.select(code.alias("code"), F.col("n_name").alias("name"))
+    districts = (n.filter(F.col("n_nationkey") % 2 == 0)
+                  .select(F.concat(code, F.lit(RAW_RAION_SUFFIX)).alias("code"),
+                          F.concat(F.col("n_name"), F.lit(" district")).alias("name")))
+    return SizedFrame(base.unionByName(districts))
+
+
+def category_nomenclature(spark: SparkSession, sf_dir: str) -> SizedFrame:
+    """Official categories: brand numbers up to 20, named by the brand."""
+    b = table(spark, sf_dir, "part").select("p_brand").distinct()
+    return SizedFrame(b.filter(brand_number() <= KNOWN_CATEGORY_MAX)
+                       .select(brand_number().cast("string").alias("code"),
+                               F.col("p_brand").alias("name")))

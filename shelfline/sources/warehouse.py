@@ -31,6 +31,8 @@ class Star:
     # Column that orders fact partitions in time ("previous available
     # partition" is defined on it).
     partition_col: str = "zip_date"
+    # Processed partition dates when they can include dates without rows.
+    dates: DataFrame | None = None
     extra: dict[str, DataFrame] = field(default_factory=dict)
 
     def dim(self, name: str) -> DataFrame:
@@ -40,33 +42,68 @@ class Star:
         return self.dims[name].for_join()
 
 
-def dim_path(root: str, name: str) -> str:
-    return f"{root.rstrip('/')}/dim_{name}"
-
-
 def facts_path(root: str) -> str:
     return f"{root.rstrip('/')}/facts"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jpath)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` exists on the (possibly distributed) file system."""
-    return _exists(spark, path)
+    fs, p = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    if not path_exists(spark, path):
+        return None
+    return "".join(r.value for r in spark.read.text(path).collect()).strip()
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Small pointer file: written beside the target, then renamed over it."""
+    fs, p = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    tmp = jvm.org.apache.hadoop.fs.Path(path + ".tmp")
+    out = fs.create(tmp, True)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+    if fs.exists(p):
+        fs.delete(p, False)
+    fs.rename(tmp, p)
+
+
+def current_dim_version(spark: SparkSession, root: str) -> str | None:
+    return _read_text(spark, f"{root.rstrip('/')}/dims/CURRENT")
+
+
+def dim_path(root: str, name: str, version: str) -> str:
+    return f"{root.rstrip('/')}/dims/{version}/dim_{name}"
 
 
 def read_dim(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A stored dimension, or an empty frame of its schema when absent."""
+    """The current version of a dimension, or an empty frame of its schema."""
     schema = schemas.DIMENSIONS[name][0]
-    path = dim_path(root, name)
-    if not _exists(spark, path):
+    version = current_dim_version(spark, root)
+    if not version or not path_exists(spark, dim_path(root, name, version)):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(dim_path(root, name, version))
+
+
+def write_dims(spark: SparkSession, root: str, dims: dict[str, DataFrame], version: str) -> None:
+    """Write every dimension into a new version folder, then switch CURRENT.
+
+    Readers of the previous version are never disturbed; a failed run leaves
+    CURRENT on the previous version.
+    """
+    for name, df in dims.items():
+        key = schemas.DIMENSIONS[name][1]
+        df.orderBy(key).write.mode("overwrite").parquet(dim_path(root, name, version))
+    _write_text(spark, f"{root.rstrip('/')}/dims/CURRENT", version)
 
 
 FACT_FILE_SCHEMA = T.StructType(
@@ -77,16 +114,58 @@ FACT_FILE_SCHEMA = T.StructType(
 def read_facts(spark: SparkSession, root: str) -> DataFrame:
     """All fact partitions; ``zip_date`` stays an ISO string (explicit schema)."""
     path = facts_path(root)
-    if not _exists(spark, path):
+    if not path_exists(spark, path):
         return spark.createDataFrame([], FACT_FILE_SCHEMA)
     return spark.read.schema(FACT_FILE_SCHEMA).parquet(path)
 
 
+PROCESSED = T.StructType([T.StructField("zip_date", T.StringType()),
+                          T.StructField("run_ts", T.StringType())])
+
+
+def partition_dates(spark: SparkSession, root: str) -> DataFrame:
+    """Processed archive dates: fact partitions plus dates processed with no rows."""
+    path = f"{root.rstrip('/')}/processed"
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], PROCESSED).select("zip_date")
+    return spark.read.schema(PROCESSED).parquet(path).select("zip_date").distinct()
+
+
+def write_facts(spark: SparkSession, root: str, fact: DataFrame, processed: list[str],
+                dates_with_rows: set[str], run_ts: str = "") -> None:
+    """Replace exactly the processed dates' partitions (dynamic overwrite).
+
+    Range partitioning on (date, store, product) spreads a large date over
+    many tasks and clusters files for min/max skipping.  A processed date
+    without valid rows loses its stale partition and is logged as processed,
+    so it still counts as the newest date.
+    """
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    (fact.repartitionByRange("zip_date", "store_key", "product_key")
+         .sortWithinPartitions("zip_date", "store_key", "product_key")
+         .write.mode("overwrite").partitionBy("zip_date").parquet(facts_path(root)))
+    for d in sorted(set(processed) - set(dates_with_rows)):
+        part = f"{facts_path(root)}/zip_date={d}"
+        if path_exists(spark, part):
+            fs, p = _fs(spark, part)
+            fs.delete(p, True)
+    run = spark.createDataFrame([(d, run_ts) for d in processed], PROCESSED)
+    run.write.mode("append").parquet(f"{root.rstrip('/')}/processed")
+
+
+def append_quality(root: str, quality: DataFrame, run_ts: str) -> None:
+    (quality.withColumn("run_ts", F.lit(run_ts))
+            .write.mode("append").parquet(f"{root.rstrip('/')}/quality"))
+
+
 def read_star(spark: SparkSession, root: str) -> Star:
     dims = {name: SizedFrame(read_dim(spark, root, name)) for name in schemas.DIMENSIONS}
-    return Star(dims=dims, fact=read_facts(spark, root), partition_col="zip_date")
+    return Star(dims=dims, fact=read_facts(spark, root), partition_col="zip_date",
+                dates=partition_dates(spark, root))
 
 
 def fact_dates(star: Star) -> DataFrame:
     """Distinct partition dates of the fact (one column, ``zip_date``)."""
+    if star.dates is not None:
+        return star.dates.select("zip_date").distinct()
     return star.fact.select(F.col(star.partition_col).alias("zip_date")).distinct()
