@@ -403,3 +403,4 @@ def _fpj(spark, sf):
 
 # Ingest-side queries register themselves into the same tables.
 from shelfline.plans import catalog_ingest  # noqa: E402,F401
+from shelfline.plans import catalog_more  # noqa: E402,F401
