@@ -6,30 +6,14 @@ table) with empty starting dimensions, exactly as a first run would.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
-
 from shelfline import schemas
 from shelfline.plans import ingest as I
 from shelfline.plans.catalog import register
 from shelfline.plans.oracle_ingest import CONFORM_SQL, DIM_SQL, FACT_SQL, QUALITY_SQL, with_ingest
+from shelfline.plans.fixture_runs import fixture_first_run, fixture_noms
 from shelfline.sources import fixtures as X
 
 
-def fixture_noms(spark: SparkSession, sf: str) -> I.Nomenclatures:
-    return I.Nomenclatures(X.settlement_nomenclature(spark, sf), X.category_nomenclature(spark, sf))
-
-
-def fixture_first_run(spark: SparkSession, sf: str):
-    """(records, conformed rows, members, dimension build) of a first run."""
-    # Materialised once (reliable checkpoint): every dimension reads it.
-    recs = X.raw_records(spark, sf).checkpoint(eager=True)
-    rows = I.conform(recs)
-    members = I.members_of(recs)
-    empty = {name: spark.createDataFrame([], schemas.DIMENSIONS[name][0]) for name in schemas.DIMENSIONS}
-    built = I.build_dimensions(rows, members, empty, fixture_noms(spark, sf))
-    return recs, rows, members, built
-
-
 @register("conform_records", CONFORM_SQL)
 def _conform(spark, sf):
     rows = I.conform(X.raw_records(spark, sf))

@@ -14,7 +14,7 @@ from shelfline.operators.lookback import build_lookback, latest_dates
 from shelfline.plans import analyses as A
 from shelfline.plans import ingest as I
 from shelfline.plans.catalog import register
-from shelfline.plans.catalog_ingest import fixture_first_run
+from shelfline.plans.fixture_runs import fixture_first_run
 from shelfline.plans.oracle import with_fixtures
 from shelfline.plans.oracle_ingest import INGEST_CTES, with_ingest
 from shelfline.sources import fixtures as X

@@ -42,6 +42,63 @@ def conform(records: DataFrame) -> DataFrame:
     )
 
 
+def stage(records: DataFrame) -> DataFrame:
+    """Decoded rows of every kind, with the conformed fields of record rows.
+
+    This is the run's staging table: the caller checkpoints it once, and
+    rows, members and archives are filters of it, so decoding and the
+    regular-expression cleaning run once per record.  Intermediate values
+    are separate columns so each regular expression is evaluated once per
+    row (Catalyst does not inline costly expressions into several uses).
+    """
+    df = records.select(
+        "kind", "zip_date", "file_seq", "file_name", "delimiter", "status", "n_fields", "pos",
+        C.clean_field("settlement_code").alias("_sc"),
+        C.clean_field("store_name").alias("store_name"),
+        C.clean_field("product_name").alias("product_name"),
+        C.clean_field("product_code").alias("product_code"),
+        C.clean_field("category_code").alias("category_code"),
+        F.regexp_replace(C.clean_field("retail_price"), ",", ".").alias("_rp"),
+        F.regexp_replace(C.clean_field("promo_price"), ",", ".").alias("_pp"),
+        C.file_stem("file_name").alias("_stem"))
+    df = df.withColumn("_sc", C.strip_ws("_sc"))
+    dash = F.instr("_sc", "-")
+    df = df.withColumn("_pre", F.when(dash > 0, C.strip_ws(F.substring_index("_sc", "-", 1)))
+                                .otherwise(F.col("_sc")))
+    df = df.withColumn("_sig", F.regexp_replace("_pre", r"^0+", ""))
+    pre, sig = F.col("_pre"), F.col("_sig")
+    plain = (F.when(pre == "", pre).when(~pre.rlike(r"^[0-9]+$"), pre)
+              .when(sig == "", F.lit("00000"))
+              .when(F.length(sig) < 5, F.lpad(sig, 5, "0")).otherwise(sig))
+    ekatte = (F.when(F.col("_sc") == "", F.col("_sc"))
+               .when(dash > 0, F.concat(plain, F.lit("-"), F.substring(F.col("_sc"), dash + 1, 1 << 30)))
+               .otherwise(plain))
+
+    def price(c):
+        ok = F.col(c).rlike(C.FLOAT_PATTERN) | F.col(c).rlike(C.NONFINITE_PATTERN)
+        return F.when((F.col(c) != "") & ok, F.col(c)).otherwise(F.lit(""))
+
+    has_sep = F.instr("_stem", "_") > 0
+    return df.select(
+        "kind", "zip_date", "file_seq", "file_name", "delimiter", "status", "n_fields", "pos",
+        ekatte.alias("ekatte"), "store_name", "product_name", "product_code", "category_code",
+        price("_rp").alias("retail_text"), price("_pp").alias("promo_text"),
+        F.when(has_sep, F.regexp_extract("_stem", r"(?s)^(.*)_([^_]*)$", 1))
+         .otherwise(F.col("_stem")).alias("company_name"),
+        F.when(has_sep, F.substring_index("_stem", "_", -1)).otherwise(F.lit("")).alias("uic"),
+    )
+
+
+def staged_rows(staged: DataFrame) -> DataFrame:
+    """Valid records (>= 7 fields) of a staging table."""
+    return staged.filter((F.col("kind") == "record") & (F.col("n_fields") >= schemas.EXPECTED_COLUMNS))
+
+
+def staged_members(staged: DataFrame) -> DataFrame:
+    return staged.filter(F.col("kind") == "member").select(
+        "zip_date", "file_seq", "file_name", "delimiter", "status", "pos", "company_name", "uic")
+
+
 def with_position(records: DataFrame) -> DataFrame:
     """Archive records get ``pos = (zip_date, file_seq, row_seq)``; member rows sort first."""
     return records.withColumn("pos", F.struct(
@@ -219,13 +276,14 @@ def run_ingest(spark: SparkSession, raw_dir: str, root: str, noms: Nomenclatures
         return IngestResult([], "", spark.createDataFrame([], schemas.QUALITY))
 
     records = with_position(A.scan_archives(spark, raw_dir, work))
-    records = records.checkpoint(eager=True)  # decoded once; survives executor loss
-    archives = records.filter(F.col("kind") == "archive").select("zip_date")
+    # Decoded and cleaned once; a reliable checkpoint survives executor loss.
+    staged = stage(records).checkpoint(eager=True)
+    archives = staged.filter(F.col("kind") == "archive").select("zip_date")
     processed = sorted(r["zip_date"] for r in archives.distinct().collect())
     if not processed:
         return IngestResult([], "", spark.createDataFrame([], schemas.QUALITY))
-    rows = conform(records)
-    members = members_of(records)
+    rows = staged_rows(staged)
+    members = staged_members(staged)
     existing = {name: W.read_dim(spark, root, name) for name in schemas.DIMENSIONS}
     built = build_dimensions(rows, members, existing, noms)
     fact = resolve_fact_keys(rows, built.full)

@@ -29,6 +29,7 @@ SESSION_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # No web UI or REST endpoint.
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 

@@ -113,4 +113,7 @@ def scan_archives(spark: SparkSession, raw_dir: str, dates: list[str] | None = N
     df = reader.load(raw_dir).select(archive_date(F.col("path")).alias("zip_date"), "content")
     if dates is not None:
         df = df.filter(F.col("zip_date").isin(list(dates)))
-    return df.mapInPandas(_decode, RECORD_SCHEMA)
+    # One archive is decoded by one task: fan its rows out right away so
+    # cleaning and aggregation run on every core.
+    decoded = df.mapInPandas(_decode, RECORD_SCHEMA)
+    return decoded.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.operators.joins import SizedFrame
+from shelfline.operators.partitioning import spread
 from shelfline.sources.warehouse import Star
 
 PRICE = "decimal(12,4)"
@@ -105,9 +106,9 @@ def dim_file(spark, sf_dir) -> DataFrame:
 
 def fact(spark, sf_dir, part_for_join: DataFrame | None = None) -> DataFrame:
     """Fact rows with a ``pos`` struct that orders rows for last-row-wins."""
-    li = table(spark, sf_dir, "lineitem").select(
+    li = spread(table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_discount", "l_shipdate")
+        "l_extendedprice", "l_discount", "l_shipdate"))
     part = part_for_join
     if part is None:
         part = table(spark, sf_dir, "part").select(
@@ -180,9 +181,9 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     Member and archive rows are included so company/file dimensions and the
     quality report see every file.
     """
-    li = table(spark, sf_dir, "lineitem").select(
+    li = spread(table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_discount", "l_shipdate")
+        "l_extendedprice", "l_discount", "l_shipdate"))
     sup = SizedFrame(table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey"))
     prt = SizedFrame(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand"))
     j = (li.join(sup.for_join(), li.l_suppkey == F.col("s_suppkey"))

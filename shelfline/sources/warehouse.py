@@ -77,6 +77,15 @@ def _write_text(spark: SparkSession, path: str, text: str) -> None:
     fs.rename(tmp, p)
 
 
+def current_text(spark: SparkSession, path: str) -> str | None:
+    """Content of a small pointer file, or None when absent."""
+    return _read_text(spark, path)
+
+
+def write_pointer(spark: SparkSession, path: str, text: str) -> None:
+    _write_text(spark, path, text)
+
+
 def current_dim_version(spark: SparkSession, root: str) -> str | None:
     return _read_text(spark, f"{root.rstrip('/')}/dims/CURRENT")
 
