@@ -72,3 +72,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="shelfline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable by Python workers (once per application).
+
+    Equivalent to ``--py-files``: the package folder is zipped on the driver
+    and distributed with ``addPyFile``.  Only the archive decoder runs
+    library code on executors.
+    """
+    import zipfile
+
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="shelfline-pkg-"), "shelfline.zip")
+    with zipfile.ZipFile(out, "w") as zf:
+        for base, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    spark.sparkContext.addPyFile(out)
+    _SHIPPED.add(app)

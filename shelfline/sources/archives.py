@@ -109,6 +109,9 @@ def scan_archives(spark: SparkSession, raw_dir: str, dates: list[str] | None = N
     ``dates`` restricts the scan to those archive dates (the work list); the
     filter is on the file name, so other archives are not loaded.
     """
+    from shelfline.session import ship_package
+
+    ship_package(spark)
     reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip")
     df = reader.load(raw_dir).select(archive_date(F.col("path")).alias("zip_date"), "content")
     if dates is not None:
