@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfline.functions import conform as C
@@ -44,15 +44,16 @@ def next_key(existing: DataFrame, key_col: str) -> int:
     return (row["m"] or 0) + 1
 
 
-def number_in_order(df: DataFrame, order_col: str, start: int, out_col: str) -> DataFrame:
-    """Number rows ``start, start+1, ...`` in ``order_col`` order (ties unsupported).
+def number_in_order(df: DataFrame, order_cols: str | list[str], start: int, out_col: str) -> DataFrame:
+    """Number rows ``start, start+1, ...`` in ``order_cols`` order (ties unsupported).
 
     Distributed: ``orderBy`` range-partitions and sorts; the sorted frame is
     checkpointed (reliable, to ``spark.checkpoint.dir``) so partition ids and
     row ids are fixed; per-partition counts (one row per partition) give each
     partition its offset.
     """
-    s = (df.orderBy(order_col)
+    order = [order_cols] if isinstance(order_cols, str) else list(order_cols)
+    s = (df.orderBy(*order)
            .withColumn("_pid", F.spark_partition_id())
            .withColumn("_mid", F.monotonically_increasing_id()))
     s = s.checkpoint(eager=True)
@@ -73,11 +74,77 @@ def assign_keys(existing: DataFrame, candidates: DataFrame, key_col: str,
     natural keys absent from ``existing`` are numbered (an anti join), so a
     steady daily run numbers only the day's new keys.
     """
-    start = next_key(existing, key_col)
-    new = candidates.join(existing.select(*natural_key), null_safe_on(candidates, existing, natural_key),
-                          "left_anti")
-    new = number_in_order(new, "first_pos", start, key_col).select(*columns)
-    return existing.select(*columns).unionByName(new), new
+    out = assign_keys_many({"_": KeySpec(existing, candidates, key_col, natural_key, columns)})
+    return out["_"].full.df, out["_"].new
+
+
+class KeySpec:
+    """One dimension to key: existing rows, first-seen candidates, layout."""
+
+    def __init__(self, existing: DataFrame, candidates: DataFrame, key_col: str,
+                 natural_key: list[str], columns: list[str]):
+        self.existing, self.candidates = existing, candidates
+        self.key_col, self.natural_key, self.columns = key_col, natural_key, columns
+
+
+class Keyed:
+    def __init__(self, full: SizedFrame, new: DataFrame):
+        self.full, self.new = full, new
+
+
+def assign_keys_many(specs: dict[str, KeySpec]) -> dict[str, Keyed]:
+    """Key several dimensions with one numbering pass.
+
+    One job reads every existing dimension's max key and row count; the new
+    natural keys of all dimensions are numbered together, ordered by
+    (dimension, first position, natural key), and each dimension's keys
+    continue from its own max.  Row counts of the results are known
+    afterwards without another job, so later joins can size them.
+    """
+    names = list(specs)
+    stats = reduce(DataFrame.unionByName, [
+        sp.existing.select(F.lit(n).alias("_dim"),
+                           F.col(sp.key_col).cast("string").try_cast("bigint").alias("_k"))
+        for n, sp in specs.items()]).groupBy("_dim").agg(
+            F.max("_k").alias("_max"), F.count(F.lit(1)).alias("_rows"))
+    seen = {r["_dim"]: r for r in stats.collect()}
+    start = {n: ((seen[n]["_max"] or 0) + 1) if n in seen else 1 for n in names}
+    old_rows = {n: seen[n]["_rows"] if n in seen else 0 for n in names}
+
+    def tag(sp: KeySpec) -> Column:
+        return F.to_json(F.struct(*[F.col(c) for c in sp.natural_key]))
+
+    new = {}
+    for n, sp in specs.items():
+        c = sp.candidates
+        new[n] = c.join(sp.existing.select(*sp.natural_key),
+                        null_safe_on(c, sp.existing, sp.natural_key), "left_anti") \
+                  .withColumn("_tag", tag(sp))
+    # Attributes travel as JSON so all dimensions share one numbered frame;
+    # that frame is checkpointed, so the new rows are computed once.
+    payload = {n: [c for c in specs[n].columns if c != specs[n].key_col] for n in names}
+    allpos = reduce(DataFrame.unionByName, [
+        new[n].select(F.lit(n).alias("_dim"), F.col("first_pos"), F.col("_tag"),
+                      F.to_json(F.struct(*payload[n])).alias("_attrs")) for n in names])
+    # Materialise the candidates once: the range partitioner samples its input
+    # and the sort reads it again.
+    allpos = allpos.checkpoint(eager=True)
+    ranked = number_in_order(allpos, ["_dim", "first_pos", "_tag"], 0, "_g")
+    per_dim = ranked.groupBy("_dim").agg(F.min("_g").alias("_g0"), F.count(F.lit(1)).alias("_n"))
+    dims_info = {r["_dim"]: r for r in per_dim.collect()}   # one row per dimension
+    out = {}
+    for n, sp in specs.items():
+        g0 = dims_info[n]["_g0"] if n in dims_info else 0
+        n_new = dims_info[n]["_n"] if n in dims_info else 0
+        schema = new[n].select(*payload[n]).schema
+        numbered = (ranked.filter(F.col("_dim") == n)
+                    .select((F.lit(start[n]) + F.col("_g") - F.lit(g0)).alias(sp.key_col),
+                            F.from_json("_attrs", schema).alias("_a"))
+                    .select(sp.key_col, *[F.col(f"_a.{c}").alias(c) for c in payload[n]])
+                    .select(*sp.columns))
+        full = sp.existing.select(*sp.columns).unionByName(numbered)
+        out[n] = Keyed(SizedFrame(full, rows=old_rows[n] + n_new), numbered)
+    return out
 
 
 # ---------------------------------------------------------------------------

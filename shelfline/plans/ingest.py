@@ -123,6 +123,7 @@ class Nomenclatures:
 class DimBuild:
     full: dict[str, DataFrame]
     new: dict[str, DataFrame]
+    sized: dict[str, SizedFrame] | None = None
 
 
 def _dim_cols(name: str) -> list[str]:
@@ -131,30 +132,38 @@ def _dim_cols(name: str) -> list[str]:
 
 def build_dimensions(rows: DataFrame, members: DataFrame, existing: dict[str, DataFrame],
                      noms: Nomenclatures) -> DimBuild:
-    """All seven dimensions after this run (existing rows untouched)."""
-    full, new = {}, {}
+    """All seven dimensions after this run (existing rows untouched).
 
-    def add(name, candidates):
+    Two numbering rounds: six independent dimensions together, then stores
+    (their natural key holds the settlement and company keys).
+    """
+    def spec(name, candidates):
         _, key, nat = schemas.DIMENSIONS[name]
-        full[name], new[name] = D.assign_keys(existing[name], candidates, key, nat, _dim_cols(name))
+        return D.KeySpec(existing[name], candidates, key, nat, _dim_cols(name))
 
-    # company and file: every member, in archive/member order
-    add("company", D.first_seen(members, ["uic"], ["company_name"]))
     files = members.withColumn("zip_date", F.to_date("zip_date"))
-    add("file", D.first_seen(files, ["file_name", "zip_date"], []))
-    # date: archives with at least one valid row
     dates = D.first_seen(rows.withColumnRenamed("zip_date", "iso"), ["iso"], [])
-    add("date", dates.select(*C.date_attributes(F.col("iso")), "first_pos"))
-    # settlement: distinct codes, names resolved once per code
-    sett = D.first_seen(rows, ["ekatte"], [])
-    add("settlement", D.resolve_settlement_names(sett, noms.settlements))
-    cat = D.first_seen(rows, ["category_code"], [])
-    add("category", D.resolve_category_names(cat, noms.categories))
-    add("product", D.first_seen(rows, ["product_code", "product_name"], []))
-    # store: natural key uses the settlement and company keys of the row
-    keyed = _with_keys(rows, full, ["settlement", "company"])
-    add("store", D.first_seen(keyed, ["store_name", "settlement_key", "company_key"], []))
-    return DimBuild(full=full, new=new)
+    round1 = {
+        # company and file: every member, in archive/member order
+        "company": spec("company", D.first_seen(members, ["uic"], ["company_name"])),
+        "file": spec("file", D.first_seen(files, ["file_name", "zip_date"], [])),
+        # date: archives with at least one valid row
+        "date": spec("date", dates.select(*C.date_attributes(F.col("iso")), "first_pos")),
+        # settlement / category: names resolved once per distinct code
+        "settlement": spec("settlement", D.resolve_settlement_names(
+            D.first_seen(rows, ["ekatte"], []), noms.settlements)),
+        "category": spec("category", D.resolve_category_names(
+            D.first_seen(rows, ["category_code"], []), noms.categories)),
+        "product": spec("product", D.first_seen(rows, ["product_code", "product_name"], [])),
+    }
+    keyed = D.assign_keys_many(round1)
+    sized = {n: k.full for n, k in keyed.items()}
+    with_keys = _with_keys(rows, sized, ["settlement", "company"])
+    keyed.update(D.assign_keys_many({"store": spec(
+        "store", D.first_seen(with_keys, ["store_name", "settlement_key", "company_key"], []))}))
+    return DimBuild(full={n: k.full.df for n, k in keyed.items()},
+                    new={n: k.new for n, k in keyed.items()},
+                    sized={n: k.full for n, k in keyed.items()})
 
 
 _JOIN_ON = {
@@ -168,22 +177,23 @@ _JOIN_ON = {
 }
 
 
-def _with_keys(rows: DataFrame, dims: dict[str, DataFrame], names: list[str]) -> DataFrame:
+def _with_keys(rows: DataFrame, dims: dict[str, DataFrame | SizedFrame], names: list[str]) -> DataFrame:
     df = rows
     for name in names:
         cols, prep = _JOIN_ON[name]
         key = schemas.DIMENSIONS[name][1]
         if prep is not None:
             df = prep(df)
-        d = dims[name]
+        sd = dims[name] if isinstance(dims[name], SizedFrame) else SizedFrame(dims[name])
+        d = sd.df
         if name == "file":
             d = d.withColumnRenamed("zip_date", "zip_date_d")
-        d = SizedFrame(d.select(key, *cols)).for_join()
+        d = SizedFrame(d.select(key, *cols), rows=sd._rows).for_join()
         df = df.join(d, cols, "left")
     return df
 
 
-def resolve_fact_keys(rows: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+def resolve_fact_keys(rows: DataFrame, dims: dict[str, DataFrame | SizedFrame]) -> DataFrame:
     """Conformed rows -> fact rows (7 columns + pos + zip_date).
 
     Every natural key of a row is present in the dimensions built from the
@@ -286,7 +296,7 @@ def run_ingest(spark: SparkSession, raw_dir: str, root: str, noms: Nomenclatures
     members = staged_members(staged)
     existing = {name: W.read_dim(spark, root, name) for name in schemas.DIMENSIONS}
     built = build_dimensions(rows, members, existing, noms)
-    fact = resolve_fact_keys(rows, built.full)
+    fact = resolve_fact_keys(rows, built.sized)
     with_rows = {r["zip_date"] for r in rows.select("zip_date").distinct().collect()}
     W.write_facts(spark, root, fact, processed, with_rows, run_ts)
     W.write_dims(spark, root, built.full, run_ts)
