@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from shelfline.functions import conform as C
 from shelfline.operators.joins import SizedFrame
+from shelfline.session import checkpoint
 
 
 def first_seen(rows: DataFrame, natural_key: list[str], attrs: list[str],
@@ -53,10 +54,12 @@ def number_in_order(df: DataFrame, order_cols: str | list[str], start: int, out_
     partition its offset.
     """
     order = [order_cols] if isinstance(order_cols, str) else list(order_cols)
+    # Adaptive execution coalesces the range partitions to the data size,
+    # so a small run writes a small checkpoint.
     s = (df.orderBy(*order)
            .withColumn("_pid", F.spark_partition_id())
            .withColumn("_mid", F.monotonically_increasing_id()))
-    s = s.checkpoint(eager=True)
+    s = checkpoint(s)
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
@@ -128,7 +131,7 @@ def assign_keys_many(specs: dict[str, KeySpec]) -> dict[str, Keyed]:
                       F.to_json(F.struct(*payload[n])).alias("_attrs")) for n in names])
     # Materialise the candidates once: the range partitioner samples its input
     # and the sort reads it again.
-    allpos = allpos.checkpoint(eager=True)
+    allpos = checkpoint(allpos.hint("rebalance"))
     ranked = number_in_order(allpos, ["_dim", "first_pos", "_tag"], 0, "_g")
     per_dim = ranked.groupBy("_dim").agg(F.min("_g").alias("_g0"), F.count(F.lit(1)).alias("_n"))
     dims_info = {r["_dim"]: r for r in per_dim.collect()}   # one row per dimension

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from shelfline.plans import queries as q
 from shelfline.plans.oracle import avg, with_fixtures, zero_filled
+from shelfline.session import apply_conf
 from shelfline.sources.fixtures import fixture_star
 
 # Fixed query parameters (the newest snapshot of the fixture is 2001).
@@ -47,7 +48,10 @@ def comparable(df: DataFrame) -> DataFrame:
 
 def register(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = lambda spark, sf_dir: comparable(fn(spark, sf_dir))
+        def run(spark, sf_dir):
+            apply_conf(spark)
+            return comparable(fn(spark, sf_dir))
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn

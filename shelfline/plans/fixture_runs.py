@@ -7,6 +7,7 @@ from pyspark.sql import SparkSession
 from shelfline import schemas
 from shelfline.plans import ingest as I
 from shelfline.sources import fixtures as X
+from shelfline.session import checkpoint
 
 
 def fixture_noms(spark: SparkSession, sf: str) -> I.Nomenclatures:
@@ -16,7 +17,7 @@ def fixture_noms(spark: SparkSession, sf: str) -> I.Nomenclatures:
 def fixture_first_run(spark: SparkSession, sf: str):
     """(records, conformed rows, members, dimension build) of a first run."""
     # Staged once (reliable checkpoint): every dimension reads it.
-    recs = I.stage(X.raw_records(spark, sf)).checkpoint(eager=True)
+    recs = checkpoint(I.stage(X.raw_records(spark, sf)))
     rows = I.staged_rows(recs)
     members = I.staged_members(recs)
     empty = {name: spark.createDataFrame([], schemas.DIMENSIONS[name][0]) for name in schemas.DIMENSIONS}

@@ -18,6 +18,7 @@ from shelfline import schemas
 from shelfline.functions import conform as C
 from shelfline.operators import dims as D
 from shelfline.operators.joins import SizedFrame
+from shelfline.session import checkpoint
 
 
 def conform(records: DataFrame) -> DataFrame:
@@ -287,7 +288,7 @@ def run_ingest(spark: SparkSession, raw_dir: str, root: str, noms: Nomenclatures
 
     records = with_position(A.scan_archives(spark, raw_dir, work))
     # Decoded and cleaned once; a reliable checkpoint survives executor loss.
-    staged = stage(records).checkpoint(eager=True)
+    staged = checkpoint(stage(records))
     archives = staged.filter(F.col("kind") == "archive").select("zip_date")
     processed = sorted(r["zip_date"] for r in archives.distinct().collect())
     if not processed:

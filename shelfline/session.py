@@ -51,8 +51,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def apply_conf(spark: SparkSession) -> SparkSession:
     """Apply the runtime-settable part of ``SESSION_CONF`` to a live session."""
     for key, value in SESSION_CONF.items():
-        if key == "spark.ui.enabled":
-            continue
+        if key.startswith("spark.ui."):
+            continue  # static settings, fixed when the application starts
         spark.conf.set(key, value)
     return spark
 
@@ -68,6 +68,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
+    if not configured:
+        try:
+            configured = spark.conf.get("spark.checkpoint.dir", None)
+        except Exception:  # noqa: BLE001 - a session without the key
+            configured = None
     if not configured:
         configured = tempfile.mkdtemp(prefix="shelfline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
@@ -99,3 +104,14 @@ def ship_package(spark: SparkSession) -> None:
                     zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
     spark.sparkContext.addPyFile(out)
     _SHIPPED.add(app)
+
+
+def checkpoint(df):
+    """Reliable, eager checkpoint into the session's checkpoint folder.
+
+    Cuts lineage so a lost executor does not force recomputation from the
+    sources; the folder comes from ``spark.checkpoint.dir`` (shared on a
+    cluster) and is created locally only when that setting is absent.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

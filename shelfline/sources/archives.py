@@ -119,4 +119,4 @@ def scan_archives(spark: SparkSession, raw_dir: str, dates: list[str] | None = N
     # One archive is decoded by one task: fan its rows out right away so
     # cleaning and aggregation run on every core.
     decoded = df.mapInPandas(_decode, RECORD_SCHEMA)
-    return decoded.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return decoded.hint("rebalance")
