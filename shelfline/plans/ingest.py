@@ -278,17 +278,26 @@ def run_ingest(spark: SparkSession, raw_dir: str, root: str, noms: Nomenclatures
     from shelfline.sources import archives as A
     from shelfline.sources import warehouse as W
 
-    run_ts = run_ts or _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d_%H%M%S")
     listing = A.list_archives(spark, raw_dir)
     existing_dates = W.partition_dates(spark, root)
     work = [r["zip_date"] for r in reprocess_worklist(listing, existing_dates, force_from)
             .select("zip_date").distinct().collect()]  # one name per archive file
     if not work:
         return IngestResult([], "", spark.createDataFrame([], schemas.QUALITY))
+    return ingest_records(spark, A.scan_archives(spark, raw_dir, work), root, noms, run_ts)
+
 
-    records = with_position(A.scan_archives(spark, raw_dir, work))
+def ingest_records(spark: SparkSession, records: DataFrame, root: str, noms: Nomenclatures,
+                   run_ts: str | None = None) -> IngestResult:
+    """Decoded archive rows (``archives.RECORD_SCHEMA``) -> warehouse at ``root``.
+
+    Shared by the batch job and the streaming micro-batches.
+    """
+    from shelfline.sources import warehouse as W
+
+    run_ts = run_ts or _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d_%H%M%S")
     # Decoded and cleaned once; a reliable checkpoint survives executor loss.
-    staged = checkpoint(stage(records))
+    staged = checkpoint(stage(with_position(records)))
     archives = staged.filter(F.col("kind") == "archive").select("zip_date")
     processed = sorted(r["zip_date"] for r in archives.distinct().collect())
     if not processed:
