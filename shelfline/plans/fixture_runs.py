@@ -14,10 +14,25 @@ def fixture_noms(spark: SparkSession, sf: str) -> I.Nomenclatures:
     return I.Nomenclatures(X.settlement_nomenclature(spark, sf), X.category_nomenclature(spark, sf))
 
 
+def fixture_raw(spark: SparkSession, sf: str):
+    """Raw records derived from lineitem, materialised like decoded archives.
+
+    Decoded archive rows are plain columns; the derived fields here are
+    expressions, and materialising them keeps Catalyst from evaluating them
+    again inside every cleaning rule that reads them.
+    """
+    return checkpoint(X.raw_records(spark, sf))
+
+
+def fixture_staged(spark: SparkSession, sf: str):
+    """The staging table of a first run (reliable checkpoint)."""
+    return checkpoint(I.stage(fixture_raw(spark, sf)))
+
+
 def fixture_first_run(spark: SparkSession, sf: str):
     """(records, conformed rows, members, dimension build) of a first run."""
-    # Staged once (reliable checkpoint): every dimension reads it.
-    recs = checkpoint(I.stage(X.raw_records(spark, sf)))
+    # Staged once: every dimension reads it.
+    recs = fixture_staged(spark, sf)
     rows = I.staged_rows(recs)
     members = I.staged_members(recs)
     empty = {name: spark.createDataFrame([], schemas.DIMENSIONS[name][0]) for name in schemas.DIMENSIONS}

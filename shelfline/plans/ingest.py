@@ -28,29 +28,20 @@ def conform(records: DataFrame) -> DataFrame:
     product_name, product_code, category_code, retail_text, promo_text,
     company_name, uic.
     """
-    r = records.filter((F.col("kind") == "record") & (F.col("n_fields") >= schemas.EXPECTED_COLUMNS))
-    company, uic = C.company_from_file(F.col("file_name"))
-    return r.select(
-        "zip_date", "file_seq", "file_name", "delimiter", "pos",
-        C.normalize_settlement_code(C.clean_field("settlement_code")).alias("ekatte"),
-        C.clean_field("store_name").alias("store_name"),
-        C.clean_field("product_name").alias("product_name"),
-        C.clean_field("product_code").alias("product_code"),
-        C.clean_field("category_code").alias("category_code"),
-        C.parse_price("retail_price").alias("retail_text"),
-        C.parse_price("promo_price").alias("promo_text"),
-        company.alias("company_name"), uic.alias("uic"),
-    )
+    return staged_rows(stage(records)).select(
+        "zip_date", "file_seq", "file_name", "delimiter", "pos", "ekatte", "store_name",
+        "product_name", "product_code", "category_code", "retail_text", "promo_text",
+        "company_name", "uic")
 
 
 def stage(records: DataFrame) -> DataFrame:
     """Decoded rows of every kind, with the conformed fields of record rows.
 
     This is the run's staging table: the caller checkpoints it once, and
-    rows, members and archives are filters of it, so decoding and the
-    regular-expression cleaning run once per record.  Intermediate values
-    are separate columns so each regular expression is evaluated once per
-    row (Catalyst does not inline costly expressions into several uses).
+    rows, members and archives are filters of it, so decoding and cleaning
+    run once per record.  Intermediate values are separate columns so each
+    expression is evaluated once per row (Catalyst does not inline costly
+    expressions into several uses).
     """
     df = records.select(
         "kind", "zip_date", "file_seq", "file_name", "delimiter", "status", "n_fields", "pos",
@@ -59,16 +50,15 @@ def stage(records: DataFrame) -> DataFrame:
         C.clean_field("product_name").alias("product_name"),
         C.clean_field("product_code").alias("product_code"),
         C.clean_field("category_code").alias("category_code"),
-        F.regexp_replace(C.clean_field("retail_price"), ",", ".").alias("_rp"),
-        F.regexp_replace(C.clean_field("promo_price"), ",", ".").alias("_pp"),
-        C.file_stem("file_name").alias("_stem"))
+        F.translate(C.clean_field("retail_price"), ",", ".").alias("_rp"),
+        F.translate(C.clean_field("promo_price"), ",", ".").alias("_pp"))
     df = df.withColumn("_sc", C.strip_ws("_sc"))
     dash = F.instr("_sc", "-")
     df = df.withColumn("_pre", F.when(dash > 0, C.strip_ws(F.substring_index("_sc", "-", 1)))
                                 .otherwise(F.col("_sc")))
-    df = df.withColumn("_sig", F.regexp_replace("_pre", r"^0+", ""))
+    df = df.withColumn("_sig", F.ltrim("_pre", F.lit("0")))
     pre, sig = F.col("_pre"), F.col("_sig")
-    plain = (F.when(pre == "", pre).when(~pre.rlike(r"^[0-9]+$"), pre)
+    plain = (F.when(pre == "", pre).when(~C.is_ascii_digits(pre), pre)
               .when(sig == "", F.lit("00000"))
               .when(F.length(sig) < 5, F.lpad(sig, 5, "0")).otherwise(sig))
     ekatte = (F.when(F.col("_sc") == "", F.col("_sc"))
@@ -76,17 +66,14 @@ def stage(records: DataFrame) -> DataFrame:
                .otherwise(plain))
 
     def price(c):
-        ok = F.col(c).rlike(C.FLOAT_PATTERN) | F.col(c).rlike(C.NONFINITE_PATTERN)
-        return F.when((F.col(c) != "") & ok, F.col(c)).otherwise(F.lit(""))
+        return F.when((F.col(c) != "") & C.is_float_text(c), F.col(c)).otherwise(F.lit(""))
 
-    has_sep = F.instr("_stem", "_") > 0
+    company, uic = C.company_from_file(F.col("file_name"))
     return df.select(
         "kind", "zip_date", "file_seq", "file_name", "delimiter", "status", "n_fields", "pos",
         ekatte.alias("ekatte"), "store_name", "product_name", "product_code", "category_code",
         price("_rp").alias("retail_text"), price("_pp").alias("promo_text"),
-        F.when(has_sep, F.regexp_extract("_stem", r"(?s)^(.*)_([^_]*)$", 1))
-         .otherwise(F.col("_stem")).alias("company_name"),
-        F.when(has_sep, F.substring_index("_stem", "_", -1)).otherwise(F.lit("")).alias("uic"),
+        company.alias("company_name"), uic.alias("uic"),
     )
 
 
