@@ -144,13 +144,15 @@ def write_facts(spark: SparkSession, root: str, fact: DataFrame, processed: list
                 dates_with_rows: set[str], run_ts: str = "") -> None:
     """Replace exactly the processed dates' partitions (dynamic overwrite).
 
-    Range partitioning on (date, store, product) spreads a large date over
-    many tasks and clusters files for min/max skipping.  A processed date
-    without valid rows loses its stale partition and is logged as processed,
-    so it still counts as the newest date.
+    Range partitioning on (date, store, product, row position) spreads a
+    large date over many tasks and clusters files for min/max skipping; the
+    row position is unique, so even a store/product holding a third of the
+    rows is split between writers.  A processed date without valid rows loses
+    its stale partition and is logged as processed, so it still counts as the
+    newest date.
     """
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    (fact.repartitionByRange("zip_date", "store_key", "product_key")
+    (fact.repartitionByRange("zip_date", "store_key", "product_key", "pos")
          .sortWithinPartitions("zip_date", "store_key", "product_key")
          .write.mode("overwrite").partitionBy("zip_date").parquet(facts_path(root)))
     for d in sorted(set(processed) - set(dates_with_rows)):

@@ -122,3 +122,13 @@ def test_corrupt_redownload_keeps_partition(spark, archives, noms, tmp_path):
     res = I.run_ingest(spark, archives, root, noms, force_from="2026-04-03", run_ts="r2")
     assert "2026-04-03" not in res.processed_dates
     assert W.read_facts(spark, root).filter("zip_date = '2026-04-03'").count() == before == 2
+
+
+def test_sync_of_empty_warehouse(spark, tmp_path):
+    root = str(tmp_path / "empty")
+    version = run_sync(spark, root, version="v0")
+    sv = read_serving(spark, root, version)
+    assert sv.lookback.count() == 0
+    assert sv.projection.count() == 0
+    assert q.browse_rows(sv).count() == 0
+    assert q.available_dates(sv).count() == 0

@@ -76,3 +76,22 @@ def test_latest_dates(spark):
 
 def test_dims_unused_by_lookback():
     assert SizedFrame  # lookback reads only the fact
+
+
+def test_hot_key_is_collapsed_before_the_shuffle(spark):
+    """One key holds a third of all rows: the prior days are reduced map-side
+    (partial aggregation) and the result is still exact."""
+    rows = []
+    for day, date in ((1, "2026-04-01"), (2, "2026-04-02"), (3, "2026-04-03")):
+        for i in range(300):
+            hot = i % 3 == 0
+            key = 1 if hot else 100 + i
+            rows.append((date, day, 1, 10, 1, key, f"{day}.{i:03d}", None, i))
+    s = star(spark, rows)
+    lbk = build_lookback(s)
+    plan = lbk._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max_by" in plan
+    out = lbk.filter("product_key = 1").collect()
+    assert len(out) == 100                      # every D row of the hot key is kept
+    assert {r.retail_price_day1 for r in out} == {d("2.297")}   # last hot row of D-1
+    assert {r.retail_price_day2 for r in out} == {d("1.297")}
