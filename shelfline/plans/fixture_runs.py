@@ -21,7 +21,9 @@ def fixture_raw(spark: SparkSession, sf: str):
     expressions, and materialising them keeps Catalyst from evaluating them
     again inside every cleaning rule that reads them.
     """
-    return checkpoint(X.raw_records(spark, sf))
+    # The record rows are materialised first; member and archive rows are
+    # then cheap distinct projections of them.
+    return X.with_files(checkpoint(X.raw_record_rows(spark, sf)))
 
 
 def fixture_staged(spark: SparkSession, sf: str):

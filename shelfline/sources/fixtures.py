@@ -172,6 +172,11 @@ RAW_RAION_SUFFIX = "-04"
 
 
 def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Record, member and archive rows (see ``raw_record_rows`` and ``with_files``)."""
+    return with_files(raw_record_rows(spark, sf_dir))
+
+
+def raw_record_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archive-style rows (see ``sources.archives.RECORD_SCHEMA``) plus ``pos``.
 
     One archive per ship month, one member file per company; the seven raw
@@ -227,6 +232,11 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(promo_txt).alias("promo_price"),
         pos.alias("pos"),
     )
+    return records
+
+
+def with_files(records: DataFrame) -> DataFrame:
+    """Add one member row per (archive, file) and one archive row per date."""
     members = (records.select("zip_date", "file_seq", "file_name", "delimiter").distinct()
                .select(F.lit("member").alias("kind"), "zip_date", "file_seq", "file_name",
                        "delimiter", F.lit("ok").alias("status")))
