@@ -12,14 +12,18 @@ NOT_BUILT = "not built"
 
 
 def pipeline_stats(archive_dates: DataFrame, fact_dates: DataFrame) -> DataFrame:
-    """One row: archive count, first/last archive date, fact partitions, newest fact date."""
-    a = archive_dates.select("zip_date").distinct().agg(
-        F.count(F.lit(1)).alias("archives"), F.min("zip_date").alias("first_archive"),
-        F.max("zip_date").alias("last_archive"))
-    f = fact_dates.select("zip_date").distinct().agg(
-        F.count(F.lit(1)).alias("fact_partitions"),
-        F.coalesce(F.max("zip_date"), F.lit(NOT_BUILT)).alias("newest_fact"))
-    return a.crossJoin(f)  # one row x one row
+    """One row: archive count, first/last archive date, fact partitions, newest fact date.
+
+    One aggregation over the two tagged date lists (no join).
+    """
+    tagged = (archive_dates.select("zip_date").distinct().withColumn("_a", F.lit(True))
+              .unionByName(fact_dates.select("zip_date").distinct().withColumn("_a", F.lit(False))))
+    a = F.when(F.col("_a"), F.col("zip_date"))
+    f = F.when(~F.col("_a"), F.col("zip_date"))
+    return tagged.agg(
+        F.count(a).alias("archives"), F.min(a).alias("first_archive"),
+        F.max(a).alias("last_archive"), F.count(f).alias("fact_partitions"),
+        F.coalesce(F.max(f), F.lit(NOT_BUILT)).alias("newest_fact"))
 
 
 def failure_group(code: str | Column) -> Column:
