@@ -132,13 +132,18 @@ def assign_keys_many(specs: dict[str, KeySpec]) -> dict[str, Keyed]:
     # Materialise the candidates once: the range partitioner samples its input
     # and the sort reads it again.
     allpos = checkpoint(allpos.hint("rebalance"))
+    # Ranks are contiguous per dimension (the sort starts with the dimension
+    # name), so each dimension's first rank is the count of the names before it.
+    counts = {r["_dim"]: r["_n"] for r in
+              allpos.groupBy("_dim").agg(F.count(F.lit(1)).alias("_n")).collect()}
+    first_rank, acc = {}, 0
+    for n in sorted(counts):
+        first_rank[n], acc = acc, acc + counts[n]
     ranked = number_in_order(allpos, ["_dim", "first_pos", "_tag"], 0, "_g")
-    per_dim = ranked.groupBy("_dim").agg(F.min("_g").alias("_g0"), F.count(F.lit(1)).alias("_n"))
-    dims_info = {r["_dim"]: r for r in per_dim.collect()}   # one row per dimension
     out = {}
     for n, sp in specs.items():
-        g0 = dims_info[n]["_g0"] if n in dims_info else 0
-        n_new = dims_info[n]["_n"] if n in dims_info else 0
+        g0 = first_rank.get(n, 0)
+        n_new = counts.get(n, 0)
         schema = new[n].select(*payload[n]).schema
         numbered = (ranked.filter(F.col("_dim") == n)
                     .select((F.lit(start[n]) + F.col("_g") - F.lit(g0)).alias(sp.key_col),
