@@ -29,3 +29,22 @@ def test_stream_ingests_each_archive_once(spark, tmp_path):
     assert facts.agg(F.countDistinct("product_key")).first()[0] == 1
     quality = spark.read.parquet(f"{root}/quality")
     assert sorted(r.zip_date for r in quality.collect()) == ["2026-04-01", "2026-04-02", "2026-04-03"]
+
+
+def test_command_line_ingest_and_sync(spark, tmp_path, capsys):
+    import json as _json
+
+    from shelfline.__main__ import main
+
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    noms = tmp_path / "noms"
+    (noms / "Ekatte").mkdir(parents=True)
+    (noms / "cities-ekatte-nomenclature.json").write_text('[{"ekatte": "68134", "name": "София"}]', "utf-8")
+    (noms / "product-categories.json").write_text('[{"id": 1, "name": "Мляко"}]', "utf-8")
+    write_zip(raw / "2026-04-01.zip", {"A_1.csv": HEADER + "68134,S,Milk,P1,1,1.00,\n"})
+    root = str(tmp_path / "wh")
+    assert main(["ingest", "--raw", str(raw), "--root", root, "--nomenclatures", str(noms)]) == 0
+    assert _json.loads(capsys.readouterr().out.strip().splitlines()[-1])["processed"] == ["2026-04-01"]
+    assert main(["sync", "--root", root]) == 0
+    assert W.read_dim(spark, root, "settlement").first().settlement_name == "София"
