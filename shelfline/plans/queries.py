@@ -131,8 +131,32 @@ def page_window(page: int, size: int = BROWSE_PAGE_SIZE) -> tuple[int, int]:
     return page * size, size
 
 
+FIRST_PAGE_NUMBER = 1
+
+
+def page_index_from_input(text: str) -> int:
+    """0-based page index of a typed, 1-based page number; ValueError when invalid."""
+    try:
+        n = int(str(text).strip())
+    except ValueError:
+        raise ValueError(f"invalid page number: {text!r}") from None
+    if n < FIRST_PAGE_NUMBER:
+        raise ValueError(f"invalid page number: {text!r}")
+    return n - FIRST_PAGE_NUMBER
+
+
+def has_next_page(rows_on_page: int, size: int = BROWSE_PAGE_SIZE) -> bool:
+    """The browse rule: a next page is offered when this page is full."""
+    return rows_on_page == size
+
+
+def page_exists(page: int, rows_on_page: int) -> bool:
+    """An empty page after the first one does not exist."""
+    return not (page > 0 and rows_on_page == 0)
+
+
 def page_rows(sv: Serving, page: int = 0, size: int = BROWSE_PAGE_SIZE, **filters) -> DataFrame:
-    """A page plus one look-ahead row; ``has_next`` is true iff it exists."""
+    """A page plus one look-ahead row (an exact next-page test: size + 1 rows)."""
     offset, limit = page_window(page, size)
     rows = browse_rows(sv, offset=offset, limit=limit + 1, **filters)
     return rows

@@ -49,3 +49,17 @@ def test_offsets():
     assert P.price_columns_for_offset("day1") == ("retail_price_day1", "promo_price_day1")
     assert P.price_columns_for_offset("day2") == ("retail_price_day2", "promo_price_day2")
     assert P.price_columns_for_offset("anything") == ("retail_price", "promo_price")
+
+
+def test_paging_rules():
+    import pytest
+
+    from shelfline.plans import queries as q
+
+    assert q.page_window(0) == (0, 100) and q.page_window(2) == (200, 100)
+    assert q.page_index_from_input("3") == 2 and q.page_index_from_input(" 1 ") == 0
+    for bad in ("0", "-1", "x", ""):
+        with pytest.raises(ValueError):
+            q.page_index_from_input(bad)
+    assert q.has_next_page(100) and not q.has_next_page(99)
+    assert not q.page_exists(2, 0) and q.page_exists(0, 0)
