@@ -31,11 +31,3 @@ class SizedFrame:
     def for_join(self, max_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
         """The frame, marked for broadcast only when measured small enough."""
         return F.broadcast(self.df) if self.rows <= max_rows else self.df
-
-
-def sized(df: DataFrame | SizedFrame) -> SizedFrame:
-    return df if isinstance(df, SizedFrame) else SizedFrame(df)
-
-
-def frame(df: DataFrame | SizedFrame) -> DataFrame:
-    return df.df if isinstance(df, SizedFrame) else df

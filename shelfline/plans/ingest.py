@@ -93,14 +93,6 @@ def with_position(records: DataFrame) -> DataFrame:
         F.col("zip_date"), F.col("file_seq"), F.coalesce(F.col("row_seq"), F.lit(-1)).alias("row_seq")))
 
 
-def members_of(records: DataFrame) -> DataFrame:
-    """One row per CSV member (files without valid rows included)."""
-    m = records.filter(F.col("kind") == "member")
-    company, uic = C.company_from_file(F.col("file_name"))
-    return m.select("zip_date", "file_seq", "file_name", "delimiter", "status", "pos",
-                    company.alias("company_name"), uic.alias("uic"))
-
-
 @dataclass
 class Nomenclatures:
     settlements: SizedFrame   # (code, name), unique codes
