@@ -6,8 +6,9 @@ D-1/D-2 are the previous *available* partitions, not calendar days.  When a
 key occurs several times on a prior day, the last row in file order wins.
 
 Plan: the prior days are reduced to one row per key with ``max_by`` (map-side
-partial aggregation, so a hot key is collapsed before the shuffle), then left
-joined to D.  Only the three partition dates are read; with a
+partial aggregation, so a hot key is collapsed before the shuffle; with the
+packed bigint position the buffers are fixed-width and aggregate by hash),
+then left joined to D.  Only the three partition dates are read; with a
 date-partitioned fact that is partition pruning.
 """
 
@@ -33,9 +34,14 @@ def latest_date(fact: DataFrame, date_col: str = "zip_date") -> DataFrame:
     return fact.agg(F.max(date_col).alias("latest_date"))
 
 
-def _price_pair_on(day, date_col: str):
-    pair = F.struct(F.col("retail_price").alias("r"), F.col("promo_price").alias("p"))
-    return F.max_by(pair, F.when(F.col(date_col) == F.lit(day), F.col("pos")))
+def _last_on(day, date_col: str, column: str):
+    """``column`` of the last row (highest position) on ``day``.
+
+    One ``max_by`` per price keeps the aggregation buffers fixed-width, so a
+    packed bigint position aggregates by hash; the position is unique per
+    row, so both prices come from the same row.
+    """
+    return F.max_by(F.col(column), F.when(F.col(date_col) == F.lit(day), F.col("pos")))
 
 
 def lookback_for_dates(fact: DataFrame, dates: list, date_col: str,
@@ -47,14 +53,15 @@ def lookback_for_dates(fact: DataFrame, dates: list, date_col: str,
     if priors:
         prior = (fact.filter(F.col(date_col).isin(priors))
                      .groupBy(*keys)
-                     .agg(*[_price_pair_on(d, date_col).alias(f"d{i + 1}")
-                            for i, d in enumerate(priors)]))
+                     .agg(*[_last_on(d, date_col, c).alias(f"d{i + 1}_{c}")
+                            for i, d in enumerate(priors)
+                            for c in ("retail_price", "promo_price")]))
         cur = cur.join(prior, keys, "left")
     for i in range(LOOKBACK_DAYS):
         name = f"d{i + 1}"
         if i < len(priors):
-            out_cols += [F.col(f"{name}.r").alias(f"retail_price_day{i + 1}"),
-                         F.col(f"{name}.p").alias(f"promo_price_day{i + 1}")]
+            out_cols += [F.col(f"{name}_retail_price").alias(f"retail_price_day{i + 1}"),
+                         F.col(f"{name}_promo_price").alias(f"promo_price_day{i + 1}")]
         else:
             out_cols += [F.lit(None).cast(schemas.PRICE).alias(f"retail_price_day{i + 1}"),
                          F.lit(None).cast(schemas.PRICE).alias(f"promo_price_day{i + 1}")]

@@ -88,9 +88,17 @@ def staged_members(staged: DataFrame) -> DataFrame:
 
 
 def with_position(records: DataFrame) -> DataFrame:
-    """Archive records get ``pos = (zip_date, file_seq, row_seq)``; member rows sort first."""
-    return records.withColumn("pos", F.struct(
-        F.col("zip_date"), F.col("file_seq"), F.coalesce(F.col("row_seq"), F.lit(-1)).alias("row_seq")))
+    """``pos`` = (archive date, member index, record index) packed into a bigint.
+
+    Member rows get record index 0 and sort before their records.  The
+    decoder enforces the bounds (``schemas.MAX_MEMBERS``,
+    ``schemas.MAX_ROWS_PER_MEMBER``); dates fit until the year 2149.
+    """
+    days = F.datediff(F.to_date("zip_date"), F.lit("1970-01-01")).cast("bigint")
+    file_seq = F.coalesce(F.col("file_seq"), F.lit(0)).cast("bigint")
+    row = (F.coalesce(F.col("row_seq"), F.lit(-1)) + 1).cast("bigint")
+    return records.withColumn("pos", F.shiftleft(days, schemas.POS_DATE_SHIFT)
+                              + F.shiftleft(file_seq, schemas.POS_FILE_SHIFT) + row)
 
 
 @dataclass

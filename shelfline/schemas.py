@@ -1,9 +1,10 @@
 """Table layouts of the warehouse (serving types).
 
 INTEGER keys are ``bigint``; TEXT is ``string``; DATE is ``date``; prices are
-``decimal(12,4)``.  Facts carry a position column ``pos`` (a struct that
-orders rows the way the source files listed them) so first-seen and
-last-row-wins rules can be evaluated on an unordered DataFrame.
+``decimal(12,4)``.  Facts carry a position column ``pos`` that orders rows the
+way the source files listed them (packed into a bigint, see below), so
+first-seen and last-row-wins rules can be evaluated on an unordered
+DataFrame.
 """
 
 from __future__ import annotations
@@ -18,13 +19,18 @@ RAW_COLUMNS = [
 ]
 EXPECTED_COLUMNS = len(RAW_COLUMNS)
 
-# Position of a raw record: archive date, member index in the archive listing,
-# record index in the member (header excluded).
-POSITION = T.StructType([
-    T.StructField("zip_date", T.StringType()),
-    T.StructField("file_seq", T.LongType()),
-    T.StructField("row_seq", T.LongType()),
-])
+# Position of a raw record, packed into one bigint so aggregations over it
+# use fixed-width (hash) buffers:
+#   days since 1970-01-01 of the archive date  << POS_DATE_SHIFT
+# | member index in the archive listing          << POS_FILE_SHIFT
+# | record index in the member + 1 (member rows are 0, so they sort first)
+POS_FILE_BITS = 16
+POS_ROW_BITS = 31
+POS_FILE_SHIFT = POS_ROW_BITS
+POS_DATE_SHIFT = POS_ROW_BITS + POS_FILE_BITS
+MAX_MEMBERS = 1 << POS_FILE_BITS
+MAX_ROWS_PER_MEMBER = (1 << POS_ROW_BITS) - 2
+POSITION = T.LongType()
 
 DIM_DATE = T.StructType([
     T.StructField("date_key", T.LongType()),

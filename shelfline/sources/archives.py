@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfline.schemas import EXPECTED_COLUMNS, RAW_COLUMNS
+from shelfline.schemas import EXPECTED_COLUMNS, MAX_MEMBERS, MAX_ROWS_PER_MEMBER, RAW_COLUMNS
 
 RECORD_SCHEMA = T.StructType(
     [T.StructField("kind", T.StringType()),
@@ -56,6 +56,8 @@ def _archive_rows(zip_date: str, content: bytes):
         return
     yield ("archive", zip_date, None, None, None, "ok", None, None) + (None,) * EXPECTED_COLUMNS
     members = [n for n in names if n.lower().endswith(".csv")]
+    if len(members) > MAX_MEMBERS:
+        raise ValueError(f"archive {zip_date}: {len(members)} members exceed {MAX_MEMBERS}")
     for file_seq, name in enumerate(members):
         try:
             text = zf.read(name).decode("utf-8-sig")
@@ -71,6 +73,9 @@ def _archive_rows(zip_date: str, content: bytes):
         reader = csv.reader(lines, delimiter=delim)
         next(reader, None)  # the header line is always dropped
         for row_seq, fields in enumerate(reader):
+            if row_seq > MAX_ROWS_PER_MEMBER:
+                raise ValueError(f"archive {zip_date}, member {name}: more than "
+                                 f"{MAX_ROWS_PER_MEMBER} records")
             head = list(fields[:EXPECTED_COLUMNS]) + [None] * (EXPECTED_COLUMNS - len(fields))
             yield ("record", zip_date, file_seq, name, delim, "ok", row_seq, len(fields), *head)
 

@@ -95,3 +95,14 @@ def test_hot_key_is_collapsed_before_the_shuffle(spark):
     assert len(out) == 100                      # every D row of the hot key is kept
     assert {r.retail_price_day1 for r in out} == {d("2.297")}   # last hot row of D-1
     assert {r.retail_price_day2 for r in out} == {d("1.297")}
+
+
+def test_packed_position_aggregates_by_hash(spark):
+    rows = [(f"2026-04-0{d}", d, 1, 1, 1, p, "1.00", None, p) for d in (1, 2, 3) for p in range(5)]
+    df = spark.createDataFrame(rows, FACT).select(
+        "zip_date", "date_key", "store_key", "file_key", "category_key", "product_key",
+        F.col("retail_price").cast("decimal(12,4)").alias("retail_price"),
+        F.col("promo_price").cast("decimal(12,4)").alias("promo_price"),
+        F.col("seq").alias("pos"))
+    plan = build_lookback(Star(dims={}, fact=df))._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
