@@ -91,7 +91,11 @@ def main() -> None:
         out[name] = timed(fn, repeat=2)
 
     total = round(sum(out.values()), 3)
-    sf = os.path.basename(SF_DIR.rstrip("/")).replace("sf", "")
+    sf_text = os.path.basename(SF_DIR.rstrip("/")).replace("sf", "")
+    try:
+        sf = float(sf_text)
+    except ValueError:
+        sf = sf_text
     print(json.dumps({"metric": "total_time", "value": total, "unit": "sec", "queries": out,
                       "sf": sf, "cpus": CPUS}))
     spark.stop()

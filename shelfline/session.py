@@ -94,6 +94,10 @@ def ship_package(spark: SparkSession) -> None:
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
+    submitted = spark.sparkContext.getConf().get("spark.submit.pyFiles", "") or ""
+    if "shelfline" in submitted:  # already shipped with --py-files
+        _SHIPPED.add(app)
+        return
     pkg = os.path.dirname(os.path.abspath(__file__))
     out = os.path.join(tempfile.mkdtemp(prefix="shelfline-pkg-"), "shelfline.zip")
     with zipfile.ZipFile(out, "w") as zf:
