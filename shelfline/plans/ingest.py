@@ -296,7 +296,7 @@ def ingest_records(spark: SparkSession, records: DataFrame, root: str, noms: Nom
     fact = resolve_fact_keys(rows, built.sized)
     with_rows = {r["zip_date"] for r in rows.select("zip_date").distinct().collect()}
     W.write_facts(spark, root, fact, processed, with_rows, run_ts)
-    W.write_dims(spark, root, built.full, run_ts)
+    W.write_dims(spark, root, built.sized, run_ts)
     quality = quality_report(rows, members, archives, noms)
     W.append_quality(root, quality, run_ts)
     return IngestResult(processed, max(processed), quality)

@@ -71,12 +71,11 @@ def run_sync(spark: SparkSession, root: str, version: str | None = None) -> str:
 
 
 def write_projection(projection: DataFrame, path: str) -> None:
-    """Browse projection clustered by browse order, so files carry tight
-    min/max statistics on date and product name.  The range key is the whole
-    browse order, so one hot product is split between writers."""
-    order = ["date_key", "product_name", "store_name", "product_key", "store_key", "file_key",
-             "retail_price", "promo_price"]
-    (projection.repartitionByRange(*order)
+    """Browse projection rebalanced by (date, product name): adaptive file
+    sizes, rows spread over writers even when one date is the whole table,
+    a skewed product split further; sorted within files in browse order."""
+    order = ["date_key", "product_name", "store_name", "product_key", "store_key", "file_key"]
+    (projection.hint("rebalance", "date_key", "product_name")
                .sortWithinPartitions(*order)
                .write.mode("overwrite").parquet(path))
 

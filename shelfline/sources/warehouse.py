@@ -102,15 +102,25 @@ def read_dim(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(dim_path(root, name, version))
 
 
-def write_dims(spark: SparkSession, root: str, dims: dict[str, DataFrame], version: str) -> None:
-    """Write every dimension into a new version folder, then switch CURRENT.
+SMALL_DIM_ROWS = 1_000_000
 
-    Readers of the previous version are never disturbed; a failed run leaves
-    CURRENT on the previous version.
+
+def write_dims(spark: SparkSession, root: str, dims: dict[str, DataFrame | SizedFrame],
+               version: str) -> None:
+    """Write every dimension, ordered by key, into a new version folder, then
+    switch CURRENT.
+
+    A dimension with a known row count up to ``SMALL_DIM_ROWS`` is written as
+    one sorted file; a larger one (or one of unknown size) is range-sorted
+    over many files.  Readers of the previous version are never disturbed; a
+    failed run leaves CURRENT on the previous version.
     """
-    for name, df in dims.items():
+    for name, d in dims.items():
         key = schemas.DIMENSIONS[name][1]
-        df.orderBy(key).write.mode("overwrite").parquet(dim_path(root, name, version))
+        sized = d if isinstance(d, SizedFrame) else SizedFrame(d)
+        small = sized._rows is not None and sized._rows <= SMALL_DIM_ROWS
+        out = (sized.df.coalesce(1).sortWithinPartitions(key) if small else sized.df.orderBy(key))
+        out.write.mode("overwrite").parquet(dim_path(root, name, version))
     _write_text(spark, f"{root.rstrip('/')}/dims/CURRENT", version)
 
 
@@ -143,15 +153,16 @@ def write_facts(spark: SparkSession, root: str, fact: DataFrame, processed: list
                 dates_with_rows: set[str], run_ts: str = "") -> None:
     """Replace exactly the processed dates' partitions (dynamic overwrite).
 
-    Range partitioning on (date, store, product, row position) spreads a
-    large date over many tasks and clusters files for min/max skipping; the
-    row position is unique, so even a store/product holding a third of the
-    rows is split between writers.  A processed date without valid rows loses
-    its stale partition and is logged as processed, so it still counts as the
-    newest date.
+    The write is rebalanced by date: adaptive execution sizes the files of
+    each date and splits a skewed date (or a store holding a third of the
+    rows) over several writers, without the extra sampling pass a range
+    partitioning would run over the whole join pipeline.  Rows are sorted
+    within files by (store, product) for min/max skipping.  A processed date
+    without valid rows loses its stale partition and is logged as processed,
+    so it still counts as the newest date.
     """
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    (fact.repartitionByRange("zip_date", "store_key", "product_key", "pos")
+    (fact.hint("rebalance", "zip_date")
          .sortWithinPartitions("zip_date", "store_key", "product_key")
          .write.mode("overwrite").partitionBy("zip_date").parquet(facts_path(root)))
     for d in sorted(set(processed) - set(dates_with_rows)):
