@@ -139,7 +139,9 @@ def assign_keys_many(specs: dict[str, KeySpec]) -> dict[str, Keyed]:
     first_rank, acc = {}, 0
     for n in sorted(counts):
         first_rank[n], acc = acc, acc + counts[n]
-    ranked = number_in_order(allpos, ["_dim", "first_pos", "_tag"], 0, "_g")
+    # One row per new key, read by every dimension frame, by the store round
+    # and by the fact joins: materialised once.
+    ranked = checkpoint(number_in_order(allpos, ["_dim", "first_pos", "_tag"], 0, "_g"))
     out = {}
     for n, sp in specs.items():
         g0 = first_rank.get(n, 0)
