@@ -15,7 +15,7 @@ FAST = ["lookback_join", "star_projection", "browse_rows", "browse_rows_price",
         "report_3_rows_day2", "categories_for_settlement", "top_products_by_avg_price",
         "conform_records", "fact_key_resolution", "quality_report", "upsert_dim_serving",
         "prune_dim_date", "discover_archive_links", "incremental_worklist", "detect_delimiter",
-        "format_price_2dp", "parse_price_bound"]
+        "format_price_2dp", "parse_price_bound", "pipeline_stats", "incremental_dim_file"]
 ALL = os.environ.get("SHELFLINE_FULL_ORACLE") == "1"
 
 
