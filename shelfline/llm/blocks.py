@@ -18,6 +18,7 @@ U64 = np.uint64
 # Multiplier of the rolling polynomial (odd, so it has an inverse mod 2**64).
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INV = pow(_BASE, -1, 1 << 64)
+_LENGTH_MARK = 0xA24BAED4963EE407
 _BYTE_CODES = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) * U64(2) + U64(1)
 
 _POWERS: dict[str, np.ndarray] = {}
@@ -54,7 +55,7 @@ class RollingHash:
     def spans(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Hash of every ``buf[start:end]``; equal bytes give equal hashes."""
         raw = (self._prefix[ends] - self._prefix[starts]) * self._down[starts]
-        return mix(raw + (ends - starts).astype(np.uint64) * U64(0xA24BAED4963EE407))
+        return mix(raw + (ends - starts).astype(np.uint64) * U64(_LENGTH_MARK))
 
     def grams(self, k: int) -> np.ndarray:
         """Hash of every ``buf[i:i+k]``."""
@@ -62,7 +63,7 @@ class RollingHash:
         if n <= 0:
             return np.empty(0, dtype=np.uint64)
         raw = (self._prefix[k:] - self._prefix[:n]) * self._down[:n]
-        return mix(raw + U64(k) * U64(0xA24BAED4963EE407))
+        return mix(raw + U64(k * _LENGTH_MARK % (1 << 64)))
 
 
 def slices(batches: Iterator[pa.RecordBatch], text: str,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import bpe, decontaminate, pii, quality, simhash
+from shelfline.llm import bpe, decontaminate, pii, quality, simhash, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,11 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs).drop("kept")
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.scan(docs, _table(spark, sf_dir, "benchmark"))
@@ -57,6 +62,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_decontamination": op2_decontamination,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_quality_rules": op6_quality_rules,
