@@ -264,6 +264,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", n
     """
     spark = docs.sparkSession
     store.prepare(spark)
+    docs = store.clear(docs, name)
     shared = spark.sparkContext.broadcast(read_ranks(ranks_path))
     schema = StructType(docs.schema.fields + [StructField(name, ArrayType(IntegerType(), False))])
     names = schema.names
@@ -283,6 +284,7 @@ def decode(rows: DataFrame, ranks_path: str, ids: str = "ids", name: str = "byte
     """The rows plus the bytes their token ids stand for (binary; null ids: empty)."""
     spark = rows.sparkSession
     store.prepare(spark)
+    rows = store.clear(rows, name)
     shared = spark.sparkContext.broadcast(read_ranks(ranks_path))
     schema = StructType(rows.schema.fields + [StructField(name, BinaryType())])
     names = schema.names

@@ -168,9 +168,13 @@ def _covered(n_words: int, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", bench_text: str = "text",
          item_id: str = "item_id", prefix: str = "", max_broadcast: int = MAX_BROADCAST) -> DataFrame:
-    """The documents plus n_words, n_hit, items (sorted item_ids as strings), contaminated."""
+    """The documents plus n_words, n_hit, items (sorted item_ids as strings), contaminated.
+
+    Input columns with these names are replaced.
+    """
     spark = docs.sparkSession
     store.prepare(spark)
+    docs = store.clear(docs, *(prefix + n for n, _ in RESULT))
     windows = store.materialise(benchmark_windows(benchmark, bench_text, item_id))
     if windows.count() > max_broadcast:
         return _scan_by_shuffle(docs, windows, text, prefix)

@@ -175,9 +175,10 @@ def predict_block(filters: Filters, buf: np.ndarray, offsets: np.ndarray) -> tup
 
 
 def predict(docs: DataFrame, filters: Filters, text: str = "text", prefix: str = "") -> DataFrame:
-    """The documents plus lang_pred and score."""
+    """The documents plus lang_pred and score (input columns of these names are replaced)."""
     spark = docs.sparkSession
     store.prepare(spark)
+    docs = store.clear(docs, prefix + "lang_pred", prefix + "score")
     shared = spark.sparkContext.broadcast(filters)
     schema = StructType([*docs.schema.fields, StructField(prefix + "lang_pred", StringType()),
                          StructField(prefix + "score", DoubleType())])

@@ -306,10 +306,12 @@ def replace(docs: DataFrame, text: str = "text", key: str = DEFAULT_KEY, report:
     """The documents with surrogates in ``text``.
 
     ``report`` names a column array<struct<type, start, end, surrogate>> of the
-    replaced spans (positions in the original text, surrogate as written).
+    replaced spans (positions in the original text, surrogate as written); an
+    input column of that name is replaced.
     """
     spark = docs.sparkSession
     store.prepare(spark)
+    docs = store.clear(docs, *([report] if report else []))
     found = detect(docs, text)
     hit = F.size("__type") > 0
     mine = store.materialise(found.filter(hit).withColumn("__row", F.monotonically_increasing_id()))

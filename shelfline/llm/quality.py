@@ -244,8 +244,12 @@ MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
 
 def judge(docs: DataFrame, model: LineModel, text: str = "text", min_share: float = MIN_CONTENT_SHARE,
           prefix: str = "") -> DataFrame:
-    """The input columns plus the measures, base_failed, content_share and kept."""
+    """The input columns plus the measures, base_failed, content_share and kept.
+
+    Input columns with these names are replaced.
+    """
     store.prepare(docs.sparkSession)
+    docs = store.clear(docs, *(prefix + c for c in (*MEASURES, "base_failed", "content_share", "kept")))
     more = [*((c, "long") for c in MEASURES), ("base_failed", "boolean"), ("content_share", "double"), ("kept", "boolean")]
     schema = StructType(docs.schema.fields + [StructField(prefix + c, _TYPES[t]()) for c, t in more])
     names = schema.names

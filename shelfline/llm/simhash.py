@@ -323,6 +323,7 @@ def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingl
     Rows with a null doc_id stay only where their component has no other; of
     rows that repeat a doc_id (or have none) the first in the scan stays.
     """
+    docs = store.clear(docs)
     keyed = store.with_row_key(docs, "__row")
     groups = components(keyed, text, doc_id, ("__row",), shingle, max_bits)
     first = F.struct(F.col(doc_id).isNull(), F.col(doc_id), F.col("__row"))

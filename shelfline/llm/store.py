@@ -50,3 +50,13 @@ def with_row_key(df: DataFrame, name: str) -> DataFrame:
     if "Exchange" in plan or "FileScan" not in plan:
         df = materialise(df)
     return df.withColumn(name, F.monotonically_increasing_id())
+
+
+def clear(df: DataFrame, *made: str) -> DataFrame:
+    """Drop the columns whose names an operator is about to use.
+
+    A column named like a result column gives way to the result; names that
+    begin with two underscores are the operators' own.
+    """
+    taken = {m.lower() for m in made}
+    return df.drop(*(c for c in df.columns if c.lower() in taken or c.startswith("__")))

@@ -4,11 +4,12 @@ Rules decide the urls they fit.  For the others, host and path are split at
 punctuation, each run of letters is segmented into words by Viterbi decoding
 of a unigram model, and a multinomial naive Bayes model scores the words.
 
-Learned from the pages themselves, over all rows: word counts of url and html
-(unigrams), and word counts per label (naive Bayes).  A page's label comes
-from its visible text: junk (symbol runs, shouting, tables of bars) is "block".
-``SEED_WORDS`` count as extra block words.  The models that tasks hold are the
-``VOCABULARY`` most frequent words (ties by the word), a fixed bound.
+Learned from the pages themselves, over all rows: word counts of the visible
+html (unigrams), and url word counts per label (naive Bayes).  A page's label
+is weak: "block" where its visible text is junk (symbol runs, shouting, tables
+of bars) or its host has one of ``SEED_WORDS``, else "allow".  The models that
+tasks hold are the ``VOCABULARY`` most frequent words (ties by the word), a
+fixed bound.
 
 Defined cases: a null url, or one without ``://``, has empty host and path, no
 rule and no words (the prior decides); null html has no words and no label;
@@ -41,13 +42,16 @@ RULES = (
 # Words that mark unwanted hosts.
 SEED_WORDS = ("adult", "bet", "bets", "casino", "cheap", "escort", "farm", "gambling", "loan", "pills", "poker",
               "porn", "sex", "slots", "spam", "track", "viagra", "win", "xxx")
-SEED_COUNT = 50
+SEED_COUNT = 50  # added to their word counts, so that they can be told apart in a name
+_SEEDS = frozenset("h:" + w for w in SEED_WORDS)
 VOCABULARY = 100_000
 LONGEST_WORD = 24
 _FLUSH = 200_000
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _LETTERS = re.compile(r"[^\W\d_]+")
+# Words of running text: not parts of dotted names, which hosts are.
+_PLAIN_WORD = re.compile(r"(?<![\w.])[^\W\d_]+(?!\w|\.\w)")
 _TAGS = re.compile(r"<(script|style)\b.*?</\1\s*>|<[^>]*>", re.DOTALL | re.IGNORECASE)
 _SYMBOL_WORD = re.compile(r"[#$%&*]{3}|&amp;&amp;&amp;")
 
@@ -152,19 +156,21 @@ def _counts(make, width: int):
     return run
 
 
-def _word_counts(held: Counter, urls: list, htmls: list) -> None:
-    for url, html in zip(urls, htmls, strict=True):
-        text = f"{url or ''} {visible(html or '')}".lower()
-        held.update((w,) for w in _LETTERS.findall(text) if len(w) <= LONGEST_WORD)
+def _word_counts(held: Counter, htmls: list) -> None:
+    for html in htmls:
+        held.update((w,) for w in _PLAIN_WORD.findall(visible(html or "").lower()) if len(w) <= LONGEST_WORD)
 
 
-def unigrams(pages: DataFrame, url: str = "url", html: str = "html", vocabulary: int = VOCABULARY) -> dict[str, int]:
-    """The most frequent words of all pages with their counts (at most ``vocabulary``)."""
+def unigrams(pages: DataFrame, html: str = "html", vocabulary: int = VOCABULARY) -> dict[str, int]:
+    """The most frequent words of all pages with their counts (at most ``vocabulary``), and the seed words."""
     store.prepare(pages.sparkSession)
-    src = pages.select(F.col(url), F.col(html))
-    counts = src.mapInArrow(_counts(_word_counts, 1), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = (pages.select(F.col(html)).mapInArrow(_counts(_word_counts, 1), "word string, n long")
+              .groupBy("word").agg(F.sum("n").alias("n")))
     top = counts.orderBy(F.desc("n"), "word").limit(vocabulary).collect()
-    return {r.word: r.n for r in top}
+    counts = {r.word: r.n for r in top}
+    for w in SEED_WORDS:
+        counts[w] = counts.get(w, 0) + SEED_COUNT
+    return counts
 
 
 class NaiveBayes:
@@ -174,8 +180,6 @@ class NaiveBayes:
         by = {"block": Counter(), "allow": Counter()}
         for label, word, n in rows:
             by[label][word] += n
-        for w in SEED_WORDS:
-            by["block"]["h:" + w] += SEED_COUNT
         size = len(by["block"].keys() | by["allow"].keys()) + 1
         total = {k: sum(c.values()) + size for k, c in by.items()}
         self.bias = math.log((pages.get("block", 0) + 1) / (pages.get("allow", 0) + 1))
@@ -200,9 +204,10 @@ def train(pages: DataFrame, segment_counts: dict[str, int], url: str = "url", ht
         segment = made[0]
         for host, path, page in zip(hosts, paths, htmls, strict=True):
             if page is not None:
-                label = "block" if looks_bad(visible(page)) else "allow"
+                words = tokens(host, path, segment)
+                label = "block" if not _SEEDS.isdisjoint(words) or looks_bad(visible(page)) else "allow"
                 held[(label, "")] += 1
-                held.update((label, w) for w in tokens(host, path, segment))
+                held.update((label, w) for w in words)
 
     src = pages.select(host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"), F.col(html))
     counts = (src.mapInArrow(_counts(label_counts, 2), "label string, word string, n long")
@@ -213,9 +218,13 @@ def train(pages: DataFrame, segment_counts: dict[str, int], url: str = "url", ht
 
 def judge(pages: DataFrame, segment_counts: dict[str, int], model: NaiveBayes, url: str = "url",
           rules: tuple = RULES, prefix: str = "") -> DataFrame:
-    """The pages plus host, path, rule, verdict, score (log odds of block) and words."""
+    """The pages plus host, path, rule, verdict, score (log odds of block) and words.
+
+    Input columns with these names are replaced.
+    """
     spark = pages.sparkSession
     store.prepare(spark)
+    pages = store.clear(pages, *(prefix + n for n in ("host", "path", "rule", "verdict", "words", "score")))
     shared = spark.sparkContext.broadcast((segment_counts, model))
     host, path = host_of(F.col(url)), path_of(F.col(url))
     name, verdict = rule_for(F.col("__host"), F.col("__path"), rules)
