@@ -52,7 +52,7 @@ _NAME = r"[^\W\d_][^\W\d_]*(?:['’\-][^\W\d_]+)*"
 PATTERN = re.compile("|".join((
     r"(?P<EMAIL>(?<![\w.%+\-])[\w.%+\-]+@[^\W_](?:[\w\-]*[^\W_])?(?:\.[^\W_](?:[\w\-]*[^\W_])?)+)",
     r"(?:(?i:token|secret|password|passwd|api[_\-]?key|access[_\-]?key)[\"']?\s{0,3}[:=]\s{0,3}[\"']?)(?P<SECRET>[A-Za-z0-9+/_\-]{8,}={0,2})",
-    r"(?P<SECRET2>(?<![A-Za-z0-9])(?:(?=[0-9a-f]*\d)[0-9a-f]{32,}|(?=[0-9A-F]*\d)[0-9A-F]{32,}|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{20,}|sk-[A-Za-z0-9\-]{20,})(?![A-Za-z0-9]))",
+    r"(?P<SECRET2>(?<![A-Za-z0-9])(?:(?=[a-f]*\d)(?=\d*[a-f])[0-9a-f]{32,}|(?=[A-F]*\d)(?=\d*[A-F])[0-9A-F]{32,}|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{20,}|sk-[A-Za-z0-9\-]{20,})(?![A-Za-z0-9]))",
     r"(?P<IBAN>(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?)(?![A-Za-z0-9]))",
     rf"(?P<IP>(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d))",
     r"(?P<CARD>(?<!\d)(?<!\d[.\-])(?:\d{13,19}|\d{4}(?:[ \-]\d{4}){2}[ \-]\d{1,7}|\d{4}[ \-]\d{6}[ \-]\d{5})(?![\d]))",

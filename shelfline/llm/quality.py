@@ -35,8 +35,8 @@ TRAIN_DOCS = 2000
 TRAIN_CHARS = 50_000
 SYMBOLS = b"#*$%&|<>"
 
-FEATURES = ("bias", "symbol share", "capital share", "digit share", "exclamation share", "pipe words",
-            "log words", "mean word length", "repeated line", "ends a sentence")
+FEATURES = ("bias", "symbol share", "mostly capitals", "exclamation share", "pipe words", "repeated line",
+            "stuttered words")
 CONTENT, BOILERPLATE = 0, 1
 
 
@@ -52,14 +52,13 @@ class LineModel:
         """Used where nothing can be learned: junk marks count against a line."""
         w = np.zeros((len(FEATURES), 2))
         w[0] = (1.5, 0.0)
-        w[1, BOILERPLATE] = w[4, BOILERPLATE] = w[5, BOILERPLATE] = 12.0
+        w[[1, 3, 4, 6], BOILERPLATE] = 12.0
         w[2, BOILERPLATE] = 4.0
         return LineModel(w, np.array([[0.5, 0.0], [0.0, 0.5]]))
 
 
 _SYMBOL = B.byte_table(SYMBOLS)
 _UPPER = B.byte_table(range(0x41, 0x5B))
-_DIGIT = B.byte_table(range(0x30, 0x3A))
 _LEAD = B.byte_table(range(0x80, 0xC0), invert=True)  # first bytes of code points
 _NOT_LF = B.byte_table(b"\n", invert=True)
 
@@ -115,17 +114,19 @@ def measure(buf: np.ndarray, offsets: np.ndarray) -> tuple[dict[str, np.ndarray]
     line_start, line_end, line_doc, first, words = (x[full] for x in (line_start, line_end, line_doc, first, words))
     again = _seen_before(line_doc, rolling.spans(line_start, line_end))
     base["n_dup_lines"] = np.bincount(line_doc[again], minlength=n)
-    base["n_repeat_words"] = _repeat_words(rolling.spans(starts, ends), doc, n)
+    word_hash = rolling.spans(starts, ends)
+    base["n_repeat_words"] = _repeat_words(word_hash, doc, n)
     cum = np.concatenate([[0], np.cumsum(chars)])
     line_chars = np.maximum(cum[first + words] - cum[first], 1)
     share = lambda table: (lambda c: (c[line_end] - c[line_start]) / line_chars)(_counter(table[buf]))
-    last = buf[ends[first + words - 1] - 1] if len(first) else np.empty(0, np.uint8)
+    # Words equal to the word before; the first word of a line has none.
+    echo = np.concatenate([[0, 0], np.cumsum(word_hash[1:] == word_hash[:-1])]) if len(starts) else np.zeros(1, np.int64)
     single = (ends - starts == 1) & (buf[starts] == 0x7C) if len(starts) else np.empty(0, bool)
     pipes = np.concatenate([[0], np.cumsum(single)])
     features = np.stack([
-        np.ones(len(first)), share(_SYMBOL), share(_UPPER), share(_DIGIT), share(B.byte_table(b"!")),
-        (pipes[first + words] - pipes[first]) / np.maximum(words, 1), np.log1p(words) / 4,
-        line_chars / np.maximum(words, 1) / 10, again.astype(float), np.isin(last, list(b".?!;:")).astype(float),
+        np.ones(len(first)), share(_SYMBOL), (share(_UPPER) > 0.5).astype(float), share(B.byte_table(b"!")),
+        (pipes[first + words] - pipes[first]) / np.maximum(words, 1), again.astype(float),
+        (echo[first + words] - echo[first + 1]) / np.maximum(words, 1),
     ], axis=1) if len(first) else np.empty((0, len(FEATURES)))
     return base, features, line_doc, words
 
@@ -161,13 +162,20 @@ def _lse(x: np.ndarray, axis: int) -> np.ndarray:
 
 
 def train(features: np.ndarray, doc: np.ndarray, label: np.ndarray, rounds: int = 300,
-          rate: float = 0.1, ridge: float = 1e-2) -> LineModel:
+          rate: float = 0.1, ridge: float = 1e-3, stay: float = 0.03) -> LineModel:
     """Maximum likelihood of the chains: forward-backward gradients, Adam steps.
 
-    Both labels weigh alike, however rare one is in the sample.
+    Both labels weigh alike, however rare one is in the sample.  Features are
+    scaled to unit spread while training; the weights returned fit them as
+    they are.  ``stay`` holds the transitions back: the training labels never
+    change within a document, but lines of real documents do.
     """
     if not len(label) or len(np.unique(label)) < 2:
         return LineModel.fallback()
+    centre, spread = features.mean(axis=0), features.std(axis=0)
+    centre[0], spread[0] = 0.0, 1.0  # the bias
+    spread[spread < 1e-6] = 1.0
+    features = (features - centre) / spread
     steps, k = _by_step(doc), features.shape[1]
     truth = np.eye(2)[label]
     weight = np.where(label == 0, 0.5 / (label == 0).mean(), 0.5 / (label == 1).mean())
@@ -192,9 +200,12 @@ def train(features: np.ndarray, doc: np.ndarray, label: np.ndarray, rounds: int
             grad[k:] += ((truth[before][:, :, None] * truth[now][:, None, :] - pair)
                          * weight[now][:, None, None]).sum(axis=0)
         grad = grad / len(label) - ridge * theta
+        grad[k:] -= stay * theta[k:]
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
         theta = theta + rate * (m / (1 - 0.9 ** it)) / (np.sqrt(v / (1 - 0.99 ** it)) + 1e-8)
-    return LineModel(theta[:k].copy(), theta[k:].copy())
+    unary = theta[:k] / spread[:, None]
+    unary[0] -= (centre[:, None] * unary).sum(axis=0)
+    return LineModel(unary, theta[k:].copy())
 
 
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

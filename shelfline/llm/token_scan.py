@@ -85,9 +85,9 @@ def read_files(spark: SparkSession, path: str, block_tokens: int = BLOCK_TOKENS,
     """Blocks (file, block, data) of flat binary token files (up to 2 GB each)."""
     width = np.dtype(id_type).itemsize * block_tokens
     files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), "content", "length")
-    cut = F.explode(F.sequence(F.lit(0), F.greatest((F.col("length") - 1), F.lit(0)) / width)).alias("block")
-    return files.select("file", F.col("content"), cut).select(
-        "file", F.col("block").cast("long"), F.expr(f"substring(content, cast(block as int) * {width} + 1, {width})").alias("data"))
+    cut = F.expr(f"explode(sequence(0L, greatest(length - 1, 0L) div {width}))").alias("block")
+    return files.select("file", "content", cut).select(
+        "file", "block", F.expr(f"substring(content, cast(block * {width} + 1 as int), {width})").alias("data"))
 
 
 def _separators(end_id: int, id_type: str):
