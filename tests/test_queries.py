@@ -6,6 +6,7 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from shelfline.plans import catalog
 from oracle_harness import compare, duck
 
 SF = "/root/testdata/sf0.001"
@@ -27,7 +28,7 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle_or_is_documented():
-    qs, oracle = E.queries(), E.oracle_sql()
+    qs, oracle = catalog.QUERIES, catalog.ORACLE
     assert set(oracle) <= set(qs)
     assert set(qs) - set(oracle) == {"rows_as_json"}
 
@@ -37,7 +38,7 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()) if ALL else FAST)
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES) if ALL else FAST)
 def test_query_matches_oracle(spark, con, name):
     r = compare(spark, con, name, E.queries()[name], E.oracle_sql().get(name), SF)
     assert r["ok"], r
