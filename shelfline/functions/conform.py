@@ -72,30 +72,31 @@ def _zfill(c: Column, width: int = 5) -> Column:
     return F.when(F.length(c) < width, padded).otherwise(c)
 
 
-def _normalize_plain(c: Column) -> Column:
-    t = strip_ws(c)
-    significant = F.ltrim(t, F.lit("0"))
-    return (F.when(t == "", t)
-             .when(~is_ascii_digits(t), t)
-             .when(significant == "", F.lit("00000"))
-             .when(F.length(significant) < 5, F.lpad(significant, 5, "0"))
-             .otherwise(significant))
+def settlement_code_parts(c: str) -> dict[str, Column]:
+    """Intermediate columns of the settlement-code rule over column ``c`` (already cleaned).
+
+    ``_code`` the trimmed code, ``_dash`` the place of its first dash, and
+    ``_pre`` the part before it, trimmed where there is a dash.  Separate
+    columns, so a plan works each out once per row.
+    """
+    code = strip_ws(c)
+    dash = F.instr(code, "-")
+    pre = F.when(dash > 0, strip_ws(F.substring_index(code, "-", 1))).otherwise(code)
+    return {"_code": code, "_dash": dash, "_pre": pre}
 
 
-def normalize_settlement_code(c: str | Column) -> Column:
-    """Canonical settlement code.
+def settlement_code_of_parts() -> Column:
+    """Canonical settlement code from ``settlement_code_parts`` columns.
 
     ``068134`` -> ``68134``, ``2659`` -> ``02659``, ``068134-04`` -> ``68134-04``;
     a non-numeric code is kept as is; all zeros -> ``00000``.  With a dash,
     the part before the first dash is normalised and the rest re-attached.
     """
-    t = strip_ws(c)
-    dash = F.instr(t, "-")
-    prefix = F.substring_index(t, "-", 1)
-    suffix = F.substring(t, dash + 1, 1 << 30)
-    return (F.when(t == "", t)
-             .when(dash > 0, F.concat(_normalize_plain(prefix), F.lit("-"), suffix))
-             .otherwise(_normalize_plain(t)))
+    code, dash, pre = F.col("_code"), F.col("_dash"), F.col("_pre")
+    bare = F.ltrim(pre, F.lit("0"))
+    plain = F.when((pre == "") | ~is_ascii_digits(pre), pre).otherwise(
+        F.when(F.length(bare) >= 5, bare).otherwise(F.lpad(bare, 5, "0")))
+    return F.when(dash > 0, F.concat(plain, F.lit("-"), F.substring(code, dash + 1, 1 << 30))).otherwise(plain)
 
 
 def settlement_probes(code: str | Column) -> tuple[Column, Column, Column]:
@@ -123,14 +124,15 @@ FLOAT_PATTERN = (
 NONFINITE_PATTERN = r"(?i)^\s*[+-]?(?:nan|inf|infinity)\s*$"
 
 
-def parse_price(c: str | Column) -> Column:
-    """Cleaned price text or '' when missing or not a number.
+def price_text(c: str | Column) -> Column:
+    """Trimmed and unquoted price text with a decimal point."""
+    return F.translate(clean_field(c), ",", ".")
 
-    trim, strip quotes, decimal comma -> point; the cleaned text is kept as
-    is (no reformatting).
-    """
-    cleaned = F.translate(clean_field(c), ",", ".")
-    return F.when((cleaned != "") & is_float_text(cleaned), cleaned).otherwise(F.lit(""))
+
+def valid_price_text(c: str | Column) -> Column:
+    """A ``price_text`` that is a number, kept as written; else ''."""
+    x = _col(c)
+    return F.when((x != "") & is_float_text(x), x).otherwise(F.lit(""))
 
 
 def is_float_text(c: str | Column) -> Column:

@@ -82,11 +82,19 @@ def format_price_2dp(price: str | Column) -> Column:
 PRICE_BOUND_PATTERN = r"^\d+([.,]\d{1,2})?$"
 
 
+BOUND_TYPE = "decimal(38,2)"
+BOUND_MAX = "9" * 36
+
+
 def parse_price_bound(text: str | Column) -> Column:
-    """User price bound as a decimal: blank or malformed -> NULL (no bound)."""
+    """User price bound as a decimal: blank or malformed -> NULL (no bound).
+
+    A number with more digits than a decimal holds is above every price; it
+    becomes the largest one.
+    """
     t = F.trim(_col(text).cast("string"))
-    return F.when(t.rlike(PRICE_BOUND_PATTERN),
-                  F.regexp_replace(t, ",", ".").try_cast(PRICE_TYPE))
+    number = F.coalesce(F.regexp_replace(t, ",", ".").try_cast(BOUND_TYPE), F.lit(BOUND_MAX).cast(BOUND_TYPE))
+    return F.when(t.rlike(PRICE_BOUND_PATTERN), number)
 
 
 def parse_price_bound_value(text: str | None) -> Decimal | None:
@@ -98,4 +106,4 @@ def parse_price_bound_value(text: str | None) -> Decimal | None:
     t = str(text).strip()
     if not t or not re.match(PRICE_BOUND_PATTERN, t):
         return None
-    return Decimal(t.replace(",", "."))
+    return min(Decimal(t.replace(",", ".")), Decimal(BOUND_MAX))

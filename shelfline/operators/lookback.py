@@ -29,6 +29,12 @@ def latest_dates(fact: DataFrame, n: int = 3, date_col: str = "zip_date") -> Dat
     return newest.orderBy(F.col(date_col).asc())
 
 
+def processed_dates(star: Star) -> DataFrame:
+    """Partition dates of a star: the processed ones where it knows them (also
+    those without rows), else the dates of the facts."""
+    return star.fact if star.dates is None else star.dates.withColumnRenamed("zip_date", star.partition_col)
+
+
 def latest_date(fact: DataFrame, date_col: str = "zip_date") -> DataFrame:
     """One row: the newest partition date, NULL when there is none."""
     return fact.agg(F.max(date_col).alias("latest_date"))
@@ -74,7 +80,7 @@ def build_lookback(star: Star) -> DataFrame:
     The newest three partition dates are fetched to the driver (at most three
     scalars) so they become literal filters that prune partitions.
     """
-    source = star.fact if star.dates is None else star.dates.withColumnRenamed("zip_date", star.partition_col)
+    source = processed_dates(star)
     dates = [r[0] for r in latest_dates(source, LOOKBACK_DAYS + 1, star.partition_col).collect()]
     if not dates:
         spark = star.fact.sparkSession

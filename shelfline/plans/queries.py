@@ -8,6 +8,7 @@ the Parquet scan; nothing is built as a SQL string.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -19,7 +20,7 @@ from shelfline.functions.prices import (
     positive_promo,
     price_columns_for_offset,
 )
-from shelfline.operators.lookback import build_lookback, latest_dates
+from shelfline.operators.lookback import build_lookback, latest_date, latest_dates, processed_dates
 from shelfline.operators.projection import star_projection, store_snowflake
 from shelfline.sources.warehouse import Star
 
@@ -63,10 +64,19 @@ def key_filters(df: DataFrame, **keys) -> DataFrame:
 def name_contains(df: DataFrame, text: str | None, column: str = "product_name") -> DataFrame:
     """Case-insensitive substring; user ``%``/``_`` are wildcards, ``\\`` escapes."""
     if text:
-        df = df.filter(F.col(column).ilike(f"%{text}%"))
+        df = df.filter(F.col(column).ilike(like_pattern(f"%{text}%")))
     return df
 
 
+def like_pattern(pattern: str) -> str:
+    """A LIKE pattern where a backslash may stand before any character.
+
+    Spark accepts it only before a wildcard or a backslash; before anything
+    else it means that character, so it is dropped.
+    """
+    return re.sub(r"\\(.)", lambda m: m[0] if m[1] in "%_\\" else m[1], pattern, flags=re.DOTALL)
+
+
 def price_range(df: DataFrame, price_min=None, price_max=None, column: str = "price") -> DataFrame:
     """Bounds on the null-keeping price; a NULL price fails any bound."""
     if price_min is not None:
@@ -220,7 +230,7 @@ def grouped_prices(sv: Serving, group1: str, group2: str | None = None, date_key
     """
     for g in (group1, group2):
         if g is not None and g not in GROUP_DIMENSIONS:
-            raise ValueError(f"Invalid grouping dimension: {g}")
+            raise ValueError(f"cannot group by {g!r}; choose one of {', '.join(GROUP_DIMENSIONS)}")
     if group1 is None:
         raise ValueError("group1 is required")
     df = projection_filters(sv.projection, date_key, settlement_key, category_key,
@@ -382,4 +392,10 @@ def fact_product_join(star: Star, n: int = 20) -> DataFrame:
 
 
 def newest_dates(star: Star, n: int = 3) -> DataFrame:
-    return latest_dates(star.fact, n, star.partition_col)
+    """The newest processed dates (also those without rows), ascending."""
+    return latest_dates(processed_dates(star), n, star.partition_col)
+
+
+def newest_date(star: Star) -> DataFrame:
+    """One row: the newest processed date."""
+    return latest_date(processed_dates(star), star.partition_col)

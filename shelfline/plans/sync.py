@@ -1,20 +1,22 @@
-"""Serving build: (facts, dims) -> lookback, pruned dims, browse projection.
-
-A pure function of the warehouse, written into a new version folder
-``<root>/serving/<version>/`` and switched by a ``CURRENT`` pointer, so
-readers never see a half-written state.  With no fact partitions only the
-dimensions are published (empty lookback, unchanged dims).
+"""Publish job: (facts, dims) -> lookback, merged and pruned dims, browse projection.
+
+Written into a new version folder ``<root>/serving/<version>/`` that is
+published by one file creation (see ``sources.warehouse``), so readers never
+see a half-written state.  The lookback is written first and everything after
+it reads the written table.  Dimension rows are merged into the published ones
+by key (``serve.upsert``); text columns are trimmed and blank ones become NULL.
+With no fact partitions only the dimensions are published (empty lookback,
+unchanged dims).
 """
 
 from __future__ import annotations
 
-import datetime as _dt
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfline import schemas
+from shelfline.functions.conform import blank_to_null
 from shelfline.operators import serve as S
 from shelfline.operators.joins import SizedFrame
 from shelfline.operators.lookback import build_lookback, latest_dates
@@ -26,47 +28,55 @@ from shelfline.sources.warehouse import Star
 SERVING_DATES = 3
 
 
-@dataclass
-class ServingBuild:
-    lookback: DataFrame
-    projection: DataFrame
-    dims: dict[str, DataFrame]
-    deleted_dates: DataFrame
-    deleted_categories: DataFrame
+def serving_texts(dim: DataFrame) -> DataFrame:
+    """Text columns as they are served: trimmed, blank as NULL."""
+    return dim.select(*[blank_to_null(f.name).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)
+                        for f in dim.schema.fields])
 
 
-def build_serving(star: Star, n_dates: int = SERVING_DATES) -> ServingBuild:
+def serving_dims(star: Star, lookback: DataFrame, published: dict[str, DataFrame] | None = None,
+                 n_dates: int = SERVING_DATES) -> dict[str, DataFrame]:
+    """Dimensions to publish: merged into the published ones, then pruned."""
     dates_src = star.fact if star.dates is None else star.dates.withColumnRenamed("zip_date", star.partition_col)
     retained = latest_dates(dates_src, n_dates, star.partition_col).select(
         F.col(star.partition_col).cast("string").alias("zip_date"))
-    lookback = build_lookback(star)
-    dims = {name: star.dim(name) for name in schemas.DIMENSIONS}
-    keys = S.retained_date_keys(dims["date"], retained)
-    dims["date"], del_dates = S.prune_dim_date(dims["date"], keys)
-    dims["category"], del_cats = S.prune_dim_category(dims["category"], lookback)
-    pruned = Star(dims={k: SizedFrame(v) for k, v in dims.items()}, fact=star.fact,
-                  partition_col=star.partition_col, dates=star.dates)
-    return ServingBuild(lookback, star_projection(lookback, pruned), dims, del_dates, del_cats)
+    dims = {}
+    for name, (_, key, _nat) in schemas.DIMENSIONS.items():
+        dims[name] = serving_texts(star.dim(name))
+        if published is not None:
+            dims[name] = S.upsert(published[name], dims[name], key)
+    dims["date"], _ = S.prune_dim_date(dims["date"], S.retained_date_keys(dims["date"], retained))
+    dims["category"], _ = S.prune_dim_category(dims["category"], lookback)
+    return dims
 
 
 def serving_path(root: str, version: str, table: str) -> str:
     return f"{root.rstrip('/')}/serving/{version}/{table}"
 
 
+def _folder(root: str) -> str:
+    return f"{root.rstrip('/')}/serving"
+
+
+def _read_dims(spark: SparkSession, root: str, version: str) -> dict[str, DataFrame]:
+    return {name: spark.read.schema(schemas.DIMENSIONS[name][0]).parquet(serving_path(root, version, f"dim_{name}"))
+            for name in schemas.DIMENSIONS}
+
+
 def run_sync(spark: SparkSession, root: str, version: str | None = None) -> str:
     """Publish a serving version for the warehouse at ``root``; returns the version."""
-    version = version or _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d%H%M%S%f")
+    version = version or W.new_version()
+    before = W.current_version(spark, _folder(root))
+    W.begin_version(spark, _folder(root), version)
     star = W.read_star(spark, root)
-    b = build_serving(star)
-    b.lookback.write.mode("overwrite").parquet(serving_path(root, version, "lookback"))
-    lb = spark.read.parquet(serving_path(root, version, "lookback"))
-    for name, df in b.dims.items():
-        df.write.mode("overwrite").parquet(serving_path(root, version, f"dim_{name}"))
-    dims = {name: SizedFrame(spark.read.parquet(serving_path(root, version, f"dim_{name}")))
-            for name in schemas.DIMENSIONS}
-    proj = star_projection(lb, Star(dims=dims, fact=star.fact))
-    write_projection(proj, serving_path(root, version, "projection"))
-    W.write_pointer(spark, f"{root.rstrip('/')}/serving/CURRENT", version)
+    build_lookback(star).write.mode("errorifexists").parquet(serving_path(root, version, "lookback"))
+    lookback = spark.read.parquet(serving_path(root, version, "lookback"))
+    published = _read_dims(spark, root, before) if before else None
+    for name, df in serving_dims(star, lookback, published).items():
+        df.hint("rebalance").write.mode("errorifexists").parquet(serving_path(root, version, f"dim_{name}"))
+    dims = {name: SizedFrame(df) for name, df in _read_dims(spark, root, version).items()}
+    write_projection(star_projection(lookback, Star(dims=dims, fact=star.fact)), serving_path(root, version, "projection"))
+    W.publish_version(spark, _folder(root), version)
     return version
 
 
@@ -77,16 +87,15 @@ def write_projection(projection: DataFrame, path: str) -> None:
     order = ["date_key", "product_name", "store_name", "product_key", "store_key", "file_key"]
     (projection.hint("rebalance", "date_key", "product_name")
                .sortWithinPartitions(*order)
-               .write.mode("overwrite").parquet(path))
+               .write.mode("errorifexists").parquet(path))
 
 
 def read_serving(spark: SparkSession, root: str, version: str | None = None) -> Serving:
     """The published serving surface (lookback, projection, pruned dims, facts)."""
-    version = version or W.current_text(spark, f"{root.rstrip('/')}/serving/CURRENT")
+    version = version or W.current_version(spark, _folder(root))
     if not version:
         raise FileNotFoundError(f"no serving version under {root}")
-    dims = {name: SizedFrame(spark.read.parquet(serving_path(root, version, f"dim_{name}")))
-            for name in schemas.DIMENSIONS}
+    dims = {name: SizedFrame(df) for name, df in _read_dims(spark, root, version).items()}
     star = Star(dims=dims, fact=W.read_facts(spark, root), partition_col="zip_date",
                 dates=W.partition_dates(spark, root))
     return Serving(star=star,

@@ -2,7 +2,7 @@
 
 INTEGER keys are ``bigint``; TEXT is ``string``; DATE is ``date``; prices are
 ``decimal(12,4)``.  Facts carry a position column ``pos`` that orders rows the
-way the source files listed them (packed into a bigint, see below), so
+way the source files listed them (packed into one decimal, see below), so
 first-seen and last-row-wins rules can be evaluated on an unordered
 DataFrame.
 """
@@ -19,18 +19,14 @@ RAW_COLUMNS = [
 ]
 EXPECTED_COLUMNS = len(RAW_COLUMNS)
 
-# Position of a raw record, packed into one bigint so aggregations over it
-# use fixed-width (hash) buffers:
-#   days since 1970-01-01 of the archive date  << POS_DATE_SHIFT
-# | member index in the archive listing          << POS_FILE_SHIFT
-# | record index in the member + 1 (member rows are 0, so they sort first)
-POS_FILE_BITS = 16
-POS_ROW_BITS = 31
-POS_FILE_SHIFT = POS_ROW_BITS
-POS_DATE_SHIFT = POS_ROW_BITS + POS_FILE_BITS
-MAX_MEMBERS = 1 << POS_FILE_BITS
-MAX_ROWS_PER_MEMBER = (1 << POS_ROW_BITS) - 2
-POSITION = T.LongType()
+# Position of a raw record, packed into one fixed-width decimal, so that
+# aggregations over it use hash buffers:
+#   days since 1970-01-01 of the archive date * 10**24
+# + member index in the archive listing      * 10**12
+# + record index in the member + 1 (member rows are 0, so they sort first)
+POS_FILE_UNIT = 10 ** 12
+POS_DATE_UNIT = 10 ** 24
+POSITION = T.DecimalType(38, 0)
 
 DIM_DATE = T.StructType([
     T.StructField("date_key", T.LongType()),
@@ -110,4 +106,5 @@ QUALITY = T.StructType([
     T.StructField("unknown_settlements", T.LongType()),
     T.StructField("unknown_categories", T.LongType()),
     T.StructField("delimiter_anomalies", T.LongType()),
+    T.StructField("untyped_prices", T.LongType()),
 ])

@@ -60,8 +60,9 @@ def apply_conf(spark: SparkSession) -> SparkSession:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting names a shared folder and is used as is.  Only
-    when it is unset (tests, local runs) a fresh local folder is created.
+    On a cluster that setting names a shared folder and is used as is; a
+    cluster session without it is refused, since a machine-local folder would
+    lose data with its machine.  Only a local master gets a fresh local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -74,6 +75,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - a session without the key
             configured = None
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the cluster shares")
         configured = tempfile.mkdtemp(prefix="shelfline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -1,17 +1,23 @@
 """Daily archives -> raw records.
 
-``binaryFile`` lists and loads ``*.zip`` archives (one row, one task per
-archive); a ``mapInPandas`` step opens each archive in the executor and
-tokenises its CSV members with the standard CSV reader, since the delimiter
-is chosen per file from its header line.  This is the only Python that runs
-on executors; everything after it is built-in expressions.
+Two steps, so that neither an archive nor the archives of a day are one task's
+work beyond unzipping:
+
+* ``archive_members`` opens each archive (a ``binaryFile`` row), reads all of
+  it once to verify its checksums, and yields one row per CSV member with its
+  bytes.  An archive that can't be read whole is reported (``status=corrupt``)
+  and contributes nothing, so its existing partition is left alone;
+* ``member_records`` tokenises one member as a stream with the standard CSV
+  reader, since the delimiter is chosen per file from its header line.
+
+This is the only Python of the ingest that runs on executors; everything after
+it is built-in expressions.
 
 Output rows (``RECORD_SCHEMA``) are of three kinds, told apart by ``kind``:
 
-* ``archive`` - one per readable archive (a corrupt archive yields nothing,
-  so it is not processed and its existing partition is left alone);
+* ``archive`` - one per archive, with its status (``ok``, ``corrupt``);
 * ``member``  - one per ``.csv`` member, with its delimiter and status
-  (``ok``, ``empty``, ``undecodable``);
+  (``ok``, ``empty``, ``undecodable``, ``malformed``);
 * ``record``  - one per data line after the header, with the field count and
   the first seven fields (missing ones NULL).
 """
@@ -20,13 +26,17 @@ from __future__ import annotations
 
 import csv
 import io
+import re
+import sys
 import zipfile
+import zlib
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfline.schemas import EXPECTED_COLUMNS, MAX_MEMBERS, MAX_ROWS_PER_MEMBER, RAW_COLUMNS
+from shelfline.schemas import EXPECTED_COLUMNS, RAW_COLUMNS
 
 RECORD_SCHEMA = T.StructType(
     [T.StructField("kind", T.StringType()),
@@ -40,60 +50,117 @@ RECORD_SCHEMA = T.StructType(
     + [T.StructField(c, T.StringType()) for c in RAW_COLUMNS]
 )
 
+MEMBER_SCHEMA = T.StructType([
+    T.StructField("zip_date", T.StringType()),
+    T.StructField("file_seq", T.LongType()),
+    T.StructField("file_name", T.StringType()),
+    T.StructField("status", T.StringType()),
+    T.StructField("content", T.BinaryType()),
+])
+
 _BATCH_ROWS = 20_000
+_NO_FIELDS = (None,) * EXPECTED_COLUMNS
+_LINE = re.compile("[^\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]*(?:\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029])?")
+_ENDS = "\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
+# What an archive that is damaged anywhere makes the reader raise.
+_DAMAGED = (zipfile.BadZipFile, zlib.error, OSError, EOFError, ValueError, RuntimeError, NotImplementedError)
 
 
 def _delimiter(first_line: str) -> str:
     return ";" if first_line.count(";") > first_line.count(",") else ","
 
 
-def _archive_rows(zip_date: str, content: bytes):
-    """Rows of one archive (see module docstring)."""
+def _members(zip_date: str, content: bytes) -> Iterator[tuple]:
+    """The archive row, then its CSV members; or a corrupt archive's row alone."""
     try:
         zf = zipfile.ZipFile(io.BytesIO(content))
-        names = zf.namelist()
-    except (zipfile.BadZipFile, OSError, ValueError):
+        if zf.testzip() is not None:  # reads every member, checks every checksum
+            raise zipfile.BadZipFile("checksum")
+        names = [n for n in zf.namelist() if n.lower().endswith(".csv")]
+    except _DAMAGED:
+        yield zip_date, None, None, "corrupt", None
+        return
+    yield zip_date, None, None, "ok", None
+    for file_seq, name in enumerate(names):
+        yield zip_date, file_seq, name, "ok", zf.read(name)
+
+
+def _unzip(batches):
+    import pandas as pd
+
+    for pdf in batches:
+        for zip_date, content in zip(pdf["zip_date"], pdf["content"]):
+            for row in _members(zip_date, content):
+                out = pd.DataFrame([row], columns=MEMBER_SCHEMA.fieldNames())
+                out["file_seq"] = out["file_seq"].astype("Int64")
+                yield out
+
+
+def _lines(text: str) -> Iterator[str]:
+    """The text's lines without their ends, one at a time."""
+    at = 0
+    while at < len(text):
+        m = _LINE.match(text, at)
+        yield m[0].rstrip(_ENDS)
+        at = m.end()
+
+
+def _member_rows(zip_date: str, file_seq: int | None, name: str | None, status: str, content: bytes | None) -> Iterator[tuple]:
+    """Rows of one member (see module docstring)."""
+    if name is None:
+        yield ("archive", zip_date, None, None, None, status, None, None) + _NO_FIELDS
         return
-    yield ("archive", zip_date, None, None, None, "ok", None, None) + (None,) * EXPECTED_COLUMNS
-    members = [n for n in names if n.lower().endswith(".csv")]
-    if len(members) > MAX_MEMBERS:
-        raise ValueError(f"archive {zip_date}: {len(members)} members exceed {MAX_MEMBERS}")
-    for file_seq, name in enumerate(members):
-        try:
-            text = zf.read(name).decode("utf-8-sig")
-        except (UnicodeDecodeError, zipfile.BadZipFile, OSError, RuntimeError):
-            yield ("member", zip_date, file_seq, name, None, "undecodable", None, None) + (None,) * EXPECTED_COLUMNS
-            continue
-        lines = text.splitlines()
-        if not lines:
-            yield ("member", zip_date, file_seq, name, None, "empty", None, None) + (None,) * EXPECTED_COLUMNS
-            continue
-        delim = _delimiter(lines[0])
-        yield ("member", zip_date, file_seq, name, delim, "ok", None, None) + (None,) * EXPECTED_COLUMNS
-        reader = csv.reader(lines, delimiter=delim)
+    file_seq = int(file_seq)
+
+    def member(delimiter, state):
+        return ("member", zip_date, file_seq, name, delimiter, state, None, None) + _NO_FIELDS
+
+    try:
+        text = content.decode("utf-8-sig")
+    except UnicodeDecodeError:
+        yield member(None, "undecodable")
+        return
+    header = next(_lines(text), None)
+    if header is None:
+        yield member(None, "empty")
+        return
+    delim = _delimiter(header)
+    csv.field_size_limit(sys.maxsize)  # an unbalanced quote may swallow the rest of a file
+    reader = csv.reader(_lines(text), delimiter=delim)
+    try:
         next(reader, None)  # the header line is always dropped
         for row_seq, fields in enumerate(reader):
-            if row_seq > MAX_ROWS_PER_MEMBER:
-                raise ValueError(f"archive {zip_date}, member {name}: more than "
-                                 f"{MAX_ROWS_PER_MEMBER} records")
             head = list(fields[:EXPECTED_COLUMNS]) + [None] * (EXPECTED_COLUMNS - len(fields))
             yield ("record", zip_date, file_seq, name, delim, "ok", row_seq, len(fields), *head)
+    except csv.Error:
+        yield member(delim, "malformed")  # its lines up to here are kept
+        return
+    yield member(delim, "ok")
 
 
-def _decode(batches):
+def _tokenise(batches):
     import pandas as pd
 
     cols = RECORD_SCHEMA.fieldNames()
+
+    def frame(buf):
+        out = pd.DataFrame(buf, columns=cols)
+        for c in ("file_seq", "row_seq", "n_fields"):
+            out[c] = out[c].astype("Int64")
+        return out
+
+    buf = []
     for pdf in batches:
-        buf = []
-        for zip_date, content in zip(pdf["zip_date"], pdf["content"]):
-            for row in _archive_rows(zip_date, content):
-                buf.append(row)
+        pdf = pdf.astype({"file_seq": "Int64"})
+        for row in pdf.itertuples(index=False):
+            seq = None if pd.isna(row.file_seq) else int(row.file_seq)
+            for record in _member_rows(row.zip_date, seq, row.file_name, row.status, row.content):
+                buf.append(record)
                 if len(buf) >= _BATCH_ROWS:
-                    yield pd.DataFrame(buf, columns=cols)
+                    yield frame(buf)
                     buf = []
-        if buf:
-            yield pd.DataFrame(buf, columns=cols)
+    if buf:
+        yield frame(buf)
 
 
 def list_archives(spark: SparkSession, raw_dir: str) -> DataFrame:
@@ -108,20 +175,25 @@ def archive_date(path) -> "F.Column":
     return F.regexp_extract(path, r"([^/]+)\.zip$", 1)
 
 
-def scan_archives(spark: SparkSession, raw_dir: str, dates: list[str] | None = None) -> DataFrame:
+def decode_archives(archives: DataFrame) -> DataFrame:
+    """``(zip_date, content)`` of archives -> ``RECORD_SCHEMA`` rows.
+
+    Members are dealt out again between the two steps, so the members of one
+    archive are tokenised by several tasks.
+    """
+    members = archives.select("zip_date", "content").mapInPandas(_unzip, MEMBER_SCHEMA)
+    return members.repartition(F.col("zip_date"), F.col("file_seq")).mapInPandas(_tokenise, RECORD_SCHEMA)
+
+
+def scan_archives(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Decode archives into ``RECORD_SCHEMA`` rows.
 
-    ``dates`` restricts the scan to those archive dates (the work list); the
-    filter is on the file name, so other archives are not loaded.
+    ``paths`` is a folder, or the files of the work list: only they are
+    listed and read.
     """
     from shelfline.session import ship_package
 
     ship_package(spark)
     reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip")
-    df = reader.load(raw_dir).select(archive_date(F.col("path")).alias("zip_date"), "content")
-    if dates is not None:
-        df = df.filter(F.col("zip_date").isin(list(dates)))
-    # One archive is decoded by one task: fan its rows out right away so
-    # cleaning and aggregation run on every core.
-    decoded = df.mapInPandas(_decode, RECORD_SCHEMA)
-    return decoded.hint("rebalance")
+    df = reader.load([paths] if isinstance(paths, str) else list(paths))
+    return decode_archives(df.select(archive_date(F.col("path")).alias("zip_date"), "content"))

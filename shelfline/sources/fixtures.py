@@ -169,6 +169,9 @@ RAW_NO_UIC_COMPANY = 4       # this company's file name has no "_<uic>" part
 RAW_SEMICOLON_COMPANIES = (1, 3)
 RAW_SHORT_LINE = 7           # line number 7 rows carry only six fields
 RAW_RAION_SUFFIX = "-04"
+RAW_BAD_CATEGORY_LINE = 6    # line number 6 rows carry the category codes that audits look for
+RAW_HUGE_PRICE = "123456789.5"   # a number that decimal(12,4) can't hold
+RAW_GROUPED_PRICE = "1_000"      # digit groups, as a float parser accepts them
 
 
 def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -182,7 +185,9 @@ def raw_record_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     One archive per ship month, one member file per company; the seven raw
     fields carry the variants the cleaner must handle: short, over-padded,
     district and non-numeric settlement codes; quoted and padded store names;
-    decimal commas, quoted, blank and ``n/a`` prices; rows with six fields.
+    decimal commas, quoted, blank, huge, grouped and ``n/a`` prices; empty,
+    sentinel, swapped, textual and out-of-range category codes; rows with six
+    fields.
     Member and archive rows are included so company/file dimensions and the
     quality report see every file.
     """
@@ -202,6 +207,12 @@ def raw_record_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     ptxt = price.cast("string")
     promo_txt = (price * (F.lit(1) - disc)).cast("decimal(12,2)").cast("string")
     zip_date = F.concat(F.date_format("l_shipdate", "yyyy-MM"), F.lit("-01"))
+    kind = F.col("l_orderkey") % 6
+    category = (F.when(F.col("l_linenumber") != RAW_BAD_CATEGORY_LINE, brand_number().cast("string"))
+                .when(kind == 0, F.lit("")).when(kind == 1, F.lit("-1"))
+                .when(kind == 2, F.concat(F.lit("0"), F.lpad((F.col("l_partkey") % 1000).cast("string"), 5, "0")))
+                .when(kind == 3, F.concat(F.lit("63"), F.lpad((F.col("l_partkey") % 100).cast("string"), 4, "0")))
+                .when(kind == 4, F.lit("n.a.")).otherwise(F.lit("150")))
     pos = F.struct(zip_date.alias("zip_date"), c.alias("file_seq"), F.col("l_orderkey"),
                    F.col("l_linenumber").cast("bigint").alias("l_linenumber"), F.col("l_partkey"),
                    F.col("l_suppkey"), F.col("l_quantity"), F.col("l_extendedprice"), F.col("l_discount"))
@@ -223,10 +234,13 @@ def raw_record_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(F.col("s_name")).alias("store_name"),
         F.col("p_name").alias("product_name"),
         F.col("p_partkey").cast("string").alias("product_code"),
-        brand_number().cast("string").alias("category_code"),
+        category.alias("category_code"),
         F.when(m == 0, ptxt).when(m == 1, F.regexp_replace(ptxt, r"\.", ","))
          .when(m == 2, F.concat(F.lit('"'), ptxt, F.lit('"')))
-         .when(F.col("l_quantity") % 2 == 0, F.lit("")).otherwise(F.lit("n/a")).alias("retail_price"),
+         .when(F.col("l_quantity") % 2 == 0, F.lit(""))
+         .when(F.col("l_quantity") % 10 == 1, F.lit(RAW_HUGE_PRICE))
+         .when(F.col("l_quantity") % 10 == 3, F.lit(RAW_GROUPED_PRICE))
+         .otherwise(F.lit("n/a")).alias("retail_price"),
         F.when(disc == 0, F.lit(""))
          .when(m % 2 == 1, F.regexp_replace(promo_txt, r"\.", ","))
          .otherwise(promo_txt).alias("promo_price"),
@@ -241,7 +255,7 @@ def with_files(records: DataFrame) -> DataFrame:
                .select(F.lit("member").alias("kind"), "zip_date", "file_seq", "file_name",
                        "delimiter", F.lit("ok").alias("status")))
     archives = (records.select("zip_date").distinct()
-                .select(F.lit("archive").alias("kind"), "zip_date"))
+                .select(F.lit("archive").alias("kind"), "zip_date", F.lit("ok").alias("status")))
     cols = records.columns
 
     def like_records(df):

@@ -11,8 +11,31 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed value: an anchor's href attribute (double or single quotes).
-HREF_PATTERN = r"""(?i)<a\s[^>]*?href\s*=\s*["']([^"']*)["']"""
+_COMMENT = r"(?s)<!--.*?(?:-->|$)"
+_VALUE = r"""(?:"[^"]*"|'[^']*'|[^\s"'>]+)"""
+# An anchor's href: other attributes before it are skipped whole, so neither
+# data-href nor an href inside another attribute's value counts.
+_ANCHOR = (r"""(?is)<a(?:\s+(?!href\s*=)[^\s=>"'/]+(?:\s*=\s*""" + _VALUE + r""")?)*\s+href\s*=\s*(""" + _VALUE + ")")
+# The named character references that markup itself needs.
+_NAMED = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&"))
+
+
+def unescape_html(text: Column) -> Column:
+    """Decode numeric character references and the five named ones."""
+    parts = F.split(text, "&#")
+
+    def decoded(part: Column) -> Column:
+        code = F.regexp_extract(part, r"^([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});", 1)
+        hexed = F.when(F.lower(code).startswith("x"), F.substring(code, 2, 8)).otherwise(F.conv(code, 10, 16))
+        char = F.decode(F.unhex(F.lpad(hexed, 8, "0")), "UTF-32")
+        return (F.when(code == "", F.concat(F.lit("&#"), part))
+                .otherwise(F.concat(char, F.substring(part, F.length(code) + 2, F.length(part)))))
+
+    rest = F.transform(F.slice(parts, F.lit(2), F.size(parts)), decoded)
+    out = F.when(F.size(parts) > 1, F.concat(parts[0], F.array_join(rest, ""))).otherwise(text)
+    for name, char in _NAMED:
+        out = F.replace(out, F.lit(name), F.lit(char))
+    return out
 
 
 def resolve_url(base: Column, href: Column) -> Column:
@@ -38,24 +61,36 @@ def resolve_url(base: Column, href: Column) -> Column:
              .otherwise(F.concat(origin, folder, href)))
 
 
-def remove_dot_segments(url: Column, passes: int = 4) -> Column:
-    """Drop ``/./`` and fold ``/segment/../`` (a few passes cover real links)."""
-    u = F.regexp_replace(url, r"/\./", "/")
-    for _ in range(passes):
-        u = F.regexp_replace(u, r"(?<=[^/])/(?!\.\./)[^/?#]+/\.\./", "/")
-    return u
+def remove_dot_segments(url: Column) -> Column:
+    """Drop ``.`` segments and fold ``..`` ones, however many; never above the root."""
+    origin = F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
+    path = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)", 1)
+    tail = F.substring(url, F.length(origin) + F.length(path) + 1, F.length(url))
+    segments = F.split(path, "/")
+    folded = F.aggregate(
+        F.slice(segments, F.lit(2), F.size(segments)), F.array().cast("array<string>"),
+        lambda done, s: F.when(s == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))))
+        .when(s == ".", done).otherwise(F.concat(done, F.array(s))))
+    # A path that ends in a dot segment names a folder.
+    folder = F.element_at(segments, -1).isin(".", "..") & (F.size(folded) > 0)
+    clean = F.concat(F.lit("/"), F.array_join(folded, "/"), F.when(folder, F.lit("/")).otherwise(F.lit("")))
+    return F.when((origin != "") & (path != ""), F.concat(origin, clean, tail)).otherwise(url)
 
 
 def discover_links(pages: DataFrame, suffix: str = ".zip", url_col: str = "url",
                    html_col: str = "html") -> DataFrame:
     """Distinct absolute links ending in ``suffix`` (case-insensitive), descending.
 
-    ``&amp;`` in an href is decoded; relative links are resolved against the
-    page URL.
+    Anchors inside comments do not count; values may be quoted or not;
+    character references are decoded; relative links are resolved against
+    the page URL.
     """
-    found = F.explode(F.regexp_extract_all(F.col(html_col), F.lit(HREF_PATTERN), 1))
+    html = F.regexp_replace(F.col(html_col), _COMMENT, "")
+    found = F.explode(F.regexp_extract_all(html, F.lit(_ANCHOR), 1))
     hrefs = pages.select(F.col(url_col).alias("base"), found.alias("href"))
-    hrefs = hrefs.withColumn("href", F.regexp_replace("href", "&amp;", "&"))
+    quoted = F.col("href").startswith('"') | F.col("href").startswith("'")
+    bare = F.when(quoted, F.substring(F.col("href"), F.lit(2), F.length("href") - 2)).otherwise(F.col("href"))
+    hrefs = hrefs.select("base", F.trim(unescape_html(bare)).alias("href"))
     hrefs = hrefs.filter(F.lower(F.col("href")).endswith(suffix.lower()))
     links = hrefs.select(remove_dot_segments(resolve_url(F.col("base"), F.col("href"))).alias("link")).distinct()
     return links.orderBy(F.col("link").desc())

@@ -33,8 +33,13 @@ CATEGORY_FILE = "product-categories.json"
 
 
 def _entries(spark: SparkSession, path: str) -> DataFrame:
-    """(pos, item map) of a JSON array of objects, or of a JSON object code->name."""
-    text = spark.read.text(path, wholetext=True).select(F.trim("value").alias("v"))
+    return entries_of(spark.read.text(path, wholetext=True))
+
+
+def entries_of(files: DataFrame) -> DataFrame:
+    """(pos, item map) of JSON texts (column ``value``): an array of objects, or an
+    object code->name."""
+    text = files.select(F.trim("value").alias("v"))
     as_list = F.from_json("v", "array<map<string,string>>")
     as_map = F.from_json("v", "map<string,string>")
     items = F.when(F.col("v").startswith("{"),
@@ -50,18 +55,7 @@ def settlement_lookup(spark: SparkSession, folder: str) -> SizedFrame:
         path = f"{folder.rstrip('/')}/{rel}"
         if not path_exists(spark, path):
             continue
-        e = _entries(spark, path)
-        code, name = F.col("item")[key], F.col("item")["name"]
-        if kind == "primary":
-            e = e.select(F.coalesce(code, F.lit("")).alias("code"),
-                         F.coalesce(name, F.lit("")).alias("name"), (-F.col("pos")).alias("ord"))
-        elif kind == "districts":
-            e = e.filter(F.coalesce(code, F.lit("")) != "").select(
-                code.alias("code"), F.coalesce(name, F.lit("")).alias("name"), F.col("pos").alias("ord"))
-        else:
-            e = e.filter(code.isNotNull() & name.isNotNull() & (code != "")).select(
-                code.alias("code"), name.alias("name"), F.col("pos").alias("ord"))
-        parts.append(e.withColumn("prio", F.lit(prio)))
+        parts.append(settlement_entries(_entries(spark, path), key, kind, prio))
     if not parts:
         return SizedFrame(spark.createDataFrame([], LOOKUP), rows=0)
     allp = parts[0]
@@ -70,6 +64,27 @@ def settlement_lookup(spark: SparkSession, folder: str) -> SizedFrame:
     return SizedFrame(precedence(allp))
 
 
+def settlement_entries(entries: DataFrame, key: str, kind: str, prio: int) -> DataFrame:
+    """(code, name, ord, prio) of one settlement file by the rules of its kind."""
+    code, name = F.col("item")[key], F.col("item")["name"]
+    place = F.col("pos")
+    if kind == "primary":
+        code, name, place = F.coalesce(code, F.lit("")), F.coalesce(name, F.lit("")), -place
+    elif kind == "districts":
+        entries, name = entries.filter(F.coalesce(code, F.lit("")) != ""), F.coalesce(name, F.lit(""))
+    else:
+        entries = entries.filter(code.isNotNull() & name.isNotNull() & (code != ""))
+    return entries.select(code.alias("code"), name.alias("name"), place.alias("ord"), F.lit(prio).alias("prio"))
+
+
+def category_names(entries: DataFrame) -> DataFrame:
+    """(code, name): the id as text; the last duplicate wins."""
+    code = F.col("item")["id"]
+    return (entries.filter(code.isNotNull())
+            .select(code.alias("code"), F.coalesce(F.col("item")["name"], F.lit("")).alias("name"), "pos")
+            .groupBy("code").agg(F.max_by("name", "pos").alias("name")))
+
+
 def precedence(entries: DataFrame) -> DataFrame:
     """One name per code: lowest ``prio`` wins, then lowest ``ord``."""
     return entries.groupBy("code").agg(F.min_by("name", F.struct("prio", "ord")).alias("name"))
@@ -80,9 +95,4 @@ def category_lookup(spark: SparkSession, folder: str) -> SizedFrame:
     path = f"{folder.rstrip('/')}/{CATEGORY_FILE}"
     if not path_exists(spark, path):
         return SizedFrame(spark.createDataFrame([], LOOKUP), rows=0)
-    e = _entries(spark, path)
-    out = (e.select(F.col("item")["id"].alias("code"),
-                    F.coalesce(F.col("item")["name"], F.lit("")).alias("name"), "pos")
-            .filter(F.col("code").isNotNull())
-            .groupBy("code").agg(F.max_by("name", "pos").alias("name")))
-    return SizedFrame(out)
+    return SizedFrame(category_names(_entries(spark, path)))

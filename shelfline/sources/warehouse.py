@@ -2,16 +2,28 @@
 
 Layout of a warehouse folder::
 
-    <root>/dim_<name>/            one Parquet table per dimension
+    <root>/dims/<version>/dim_<name>/   Parquet tables of one version
+    <root>/dims/_versions/              one empty file per published version
     <root>/facts/zip_date=YYYY-MM-DD/   fact rows, one partition per archive date
-    <root>/quality/               appended quality reports
-
-Serving tables (lookback, projection) are written into a version folder and
-read back from it; see ``plans.sync``.
+    <root>/processed/                   log of processed dates and the version they used
+    <root>/quality/                     appended quality reports
+    <root>/staging/<version>/           cleaned records of a run
+
+A run writes a version no other run ever wrote, publishes it, writes the facts
+that use its keys, and logs the dates last.  Whatever step fails, a rerun
+finds the dates still on its work list and the keys already given.
+
+A version is published by creating ``_versions/<number>.<version>``: one file
+creation, so readers see the old version or the new one.  The highest number
+is current.  A folder with versions but without ``_versions``, a version
+without one of its tables, and a log that names an unpublished version are
+errors, never an empty warehouse.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,71 +69,83 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def _read_text(spark: SparkSession, path: str) -> str | None:
-    if not path_exists(spark, path):
-        return None
-    return "".join(r.value for r in spark.read.text(path).collect()).strip()
+def new_version(label: str = "") -> str:
+    """A version name that no other attempt uses."""
+    now = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S")
+    return "-".join(x for x in (label, now, uuid.uuid4().hex[:8]) if x)
 
 
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Small pointer file: written beside the target, then renamed over it."""
+def _names(spark: SparkSession, path: str) -> list[str]:
     fs, p = _fs(spark, path)
-    jvm = spark.sparkContext._jvm
-    tmp = jvm.org.apache.hadoop.fs.Path(path + ".tmp")
-    out = fs.create(tmp, True)
-    out.write(bytearray(text.encode("utf-8")))
-    out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    fs.rename(tmp, p)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def begin_version(spark: SparkSession, folder: str, version: str) -> None:
+    """Prepare ``folder`` for a new version; refuses one that exists."""
+    folder = folder.rstrip("/")
+    current_version(spark, folder)  # refuses a folder that lost its versions
+    fs, p = _fs(spark, f"{folder}/_versions")
+    fs.mkdirs(p)
+    if path_exists(spark, f"{folder}/{version}"):
+        raise FileExistsError(f"version {version} exists under {folder}")
+
 
+def published_versions(spark: SparkSession, folder: str) -> list[str]:
+    """Published versions, oldest first."""
+    return [n.split(".", 1)[1] for n in _names(spark, f"{folder.rstrip('/')}/_versions") if "." in n[1:]]
 
-def current_text(spark: SparkSession, path: str) -> str | None:
-    """Content of a small pointer file, or None when absent."""
-    return _read_text(spark, path)
 
+def current_version(spark: SparkSession, folder: str) -> str | None:
+    """The newest published version; None before the first one."""
+    folder = folder.rstrip("/")
+    versions = published_versions(spark, folder)
+    if versions:
+        return versions[-1]
+    if not path_exists(spark, f"{folder}/_versions") and any(not n.startswith((".", "_")) for n in _names(spark, folder)):
+        raise RuntimeError(f"{folder} has versions but no record of the published ones")
+    return None
 
-def write_pointer(spark: SparkSession, path: str, text: str) -> None:
-    _write_text(spark, path, text)
 
+def publish_version(spark: SparkSession, folder: str, version: str) -> None:
+    """Make ``version`` the current one (one file creation)."""
+    folder = folder.rstrip("/")
+    number = len(_names(spark, f"{folder}/_versions"))
+    fs, p = _fs(spark, f"{folder}/_versions/{number:08d}.{version}")
+    fs.create(p, False).close()
 
-def current_dim_version(spark: SparkSession, root: str) -> str | None:
-    return _read_text(spark, f"{root.rstrip('/')}/dims/CURRENT")
+
+def dims_path(root: str) -> str:
+    return f"{root.rstrip('/')}/dims"
 
 
 def dim_path(root: str, name: str, version: str) -> str:
-    return f"{root.rstrip('/')}/dims/{version}/dim_{name}"
+    return f"{dims_path(root)}/{version}/dim_{name}"
 
 
-def read_dim(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """The current version of a dimension, or an empty frame of its schema."""
+def read_dim(spark: SparkSession, root: str, name: str, version: str | None = None) -> DataFrame:
+    """A dimension of the current (or given) version; empty before the first one."""
     schema = schemas.DIMENSIONS[name][0]
-    version = current_dim_version(spark, root)
-    if not version or not path_exists(spark, dim_path(root, name, version)):
+    version = version or current_version(spark, dims_path(root))
+    if version is None:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(dim_path(root, name, version))
-
-
-SMALL_DIM_ROWS = 1_000_000
+    path = dim_path(root, name, version)
+    if not path_exists(spark, path):
+        raise FileNotFoundError(f"version {version} has no table dim_{name}")
+    return spark.read.schema(schema).parquet(path)
 
 
-def write_dims(spark: SparkSession, root: str, dims: dict[str, DataFrame | SizedFrame],
-               version: str) -> None:
-    """Write every dimension, ordered by key, into a new version folder, then
-    switch CURRENT.
+def write_dims(spark: SparkSession, root: str, dims: dict[str, DataFrame | SizedFrame], version: str) -> None:
+    """Write every dimension into a new version folder, then publish it.
 
-    A dimension with a known row count up to ``SMALL_DIM_ROWS`` is written as
-    one sorted file; a larger one (or one of unknown size) is range-sorted
-    over many files.  Readers of the previous version are never disturbed; a
-    failed run leaves CURRENT on the previous version.
+    Files are rebalanced by adaptive execution (one file for a small table)
+    and sorted by key inside, so Parquet statistics skip on key lookups.
     """
+    begin_version(spark, dims_path(root), version)
     for name, d in dims.items():
         key = schemas.DIMENSIONS[name][1]
-        sized = d if isinstance(d, SizedFrame) else SizedFrame(d)
-        small = sized._rows is not None and sized._rows <= SMALL_DIM_ROWS
-        out = (sized.df.coalesce(1).sortWithinPartitions(key) if small else sized.df.orderBy(key))
-        out.write.mode("overwrite").parquet(dim_path(root, name, version))
-    _write_text(spark, f"{root.rstrip('/')}/dims/CURRENT", version)
+        df = d.df if isinstance(d, SizedFrame) else d
+        df.hint("rebalance").sortWithinPartitions(key).write.mode("errorifexists").parquet(dim_path(root, name, version))
+    publish_version(spark, dims_path(root), version)
 
 
 FACT_FILE_SCHEMA = T.StructType(
@@ -138,7 +162,8 @@ def read_facts(spark: SparkSession, root: str) -> DataFrame:
 
 
 PROCESSED = T.StructType([T.StructField("zip_date", T.StringType()),
-                          T.StructField("run_ts", T.StringType())])
+                          T.StructField("run_ts", T.StringType()),
+                          T.StructField("version", T.StringType())])
 
 
 def partition_dates(spark: SparkSession, root: str) -> DataFrame:
@@ -149,8 +174,19 @@ def partition_dates(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(PROCESSED).parquet(path).select("zip_date").distinct()
 
 
+def check_versions(spark: SparkSession, root: str) -> None:
+    """Refuse a warehouse whose log names a dimension version that is not published."""
+    path = f"{root.rstrip('/')}/processed"
+    if not path_exists(spark, path):
+        return
+    used = {r["version"] for r in spark.read.schema(PROCESSED).parquet(path).select("version").distinct().collect()}
+    lost = used - set(published_versions(spark, dims_path(root)))
+    if lost:
+        raise RuntimeError(f"facts use dimension versions that are gone: {sorted(lost)}")
+
+
 def write_facts(spark: SparkSession, root: str, fact: DataFrame, processed: list[str],
-                dates_with_rows: set[str], run_ts: str = "") -> None:
+                dates_with_rows: set[str]) -> None:
     """Replace exactly the processed dates' partitions (dynamic overwrite).
 
     The write is rebalanced by date: adaptive execution sizes the files of
@@ -158,8 +194,7 @@ def write_facts(spark: SparkSession, root: str, fact: DataFrame, processed: list
     rows) over several writers, without the extra sampling pass a range
     partitioning would run over the whole join pipeline.  Rows are sorted
     within files by (store, product) for min/max skipping.  A processed date
-    without valid rows loses its stale partition and is logged as processed,
-    so it still counts as the newest date.
+    without valid rows loses its stale partition.
     """
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     (fact.hint("rebalance", "zip_date")
@@ -170,15 +205,35 @@ def write_facts(spark: SparkSession, root: str, fact: DataFrame, processed: list
         if path_exists(spark, part):
             fs, p = _fs(spark, part)
             fs.delete(p, True)
-    run = spark.createDataFrame([(d, run_ts) for d in processed], PROCESSED)
+
+
+def log_processed(spark: SparkSession, root: str, processed: list[str], run_ts: str, version: str) -> None:
+    """Append the processed dates: the last write of a run."""
+    run = spark.createDataFrame([(d, run_ts, version) for d in processed], PROCESSED).coalesce(1)
     run.write.mode("append").parquet(f"{root.rstrip('/')}/processed")
 
 
+def staging_path(root: str, version: str) -> str:
+    return f"{root.rstrip('/')}/staging/{version}"
+
+
+def drop_staging(spark: SparkSession, root: str, version: str) -> None:
+    fs, p = _fs(spark, staging_path(root, version))
+    fs.delete(p, True)
+
+
 def append_quality(root: str, quality: DataFrame, run_ts: str) -> None:
     (quality.withColumn("run_ts", F.lit(run_ts))
             .write.mode("append").parquet(f"{root.rstrip('/')}/quality"))
 
 
+def read_quality(spark: SparkSession, root: str, run_ts: str) -> DataFrame:
+    """The quality report that a run appended."""
+    schema = T.StructType([*schemas.QUALITY.fields, T.StructField("run_ts", T.StringType())])
+    return (spark.read.schema(schema).parquet(f"{root.rstrip('/')}/quality")
+            .filter(F.col("run_ts") == run_ts).drop("run_ts").distinct())
+
+
 def read_star(spark: SparkSession, root: str) -> Star:
     dims = {name: SizedFrame(read_dim(spark, root, name)) for name in schemas.DIMENSIONS}
     return Star(dims=dims, fact=read_facts(spark, root), partition_col="zip_date",

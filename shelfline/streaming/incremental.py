@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shelfline.plans.ingest import Nomenclatures, ingest_records
 from shelfline.session import ship_package
-from shelfline.sources.archives import RECORD_SCHEMA, _decode, archive_date
+from shelfline.sources.archives import archive_date, decode_archives
 
 
 # Fixed layout of the binaryFile source.
@@ -44,8 +44,9 @@ def start_archive_stream(spark: SparkSession, raw_dir: str, root: str, noms: Nom
     archives = reader.load(raw_dir).select(archive_date(F.col("path")).alias("zip_date"), "content")
 
     def batch(df: DataFrame, epoch_id: int) -> None:
-        records = df.mapInPandas(_decode, RECORD_SCHEMA).hint("rebalance")
-        ingest_records(df.sparkSession, records, root, noms, run_ts=f"stream-{epoch_id:08d}")
+        # A replayed batch, or a stream with a new checkpoint folder, is a new
+        # attempt with its own version; it replaces the same date partitions.
+        ingest_records(df.sparkSession, decode_archives(df), root, noms, label=f"stream{epoch_id:08d}")
 
     writer = (archives.writeStream.foreachBatch(batch)
               .option("checkpointLocation", checkpoint_location))

@@ -67,9 +67,9 @@ def test_ingest_sync_browse(spark, archives, noms, tmp_path):
     assert res.processed_dates == ["2026-04-01", "2026-04-03", "2026-04-05"]
 
     quality = {r.zip_date: tuple(r)[1:] for r in res.quality.collect()}
-    # rows kept, missing retail, unknown settlements, unknown categories, ';' files
-    assert quality["2026-04-01"] == (7, 2, 2, 2, 1)
-    assert quality["2026-04-03"] == (2, 0, 0, 0, 0)
+    # rows kept, missing retail, unknown settlements, unknown categories, ';' files, prices that don't fit
+    assert quality["2026-04-01"] == (7, 2, 2, 2, 1, 0)
+    assert quality["2026-04-03"] == (2, 0, 0, 0, 0, 0)
 
     star = W.read_star(spark, root)
     company = {r.uic: r.company_name for r in star.dim("company").collect()}
@@ -90,6 +90,8 @@ def test_ingest_sync_browse(spark, archives, noms, tmp_path):
     assert len(milk) == 1 and milk[0].promo_price is None
 
     version = run_sync(spark, root, version="v1")
+    with pytest.raises(FileExistsError):
+        run_sync(spark, root, version="v1")
     sv = read_serving(spark, root, version)
     lb = sv.lookback.collect()
     assert len(lb) == 1
@@ -132,3 +134,130 @@ def test_sync_of_empty_warehouse(spark, tmp_path):
     assert sv.projection.count() == 0
     assert q.browse_rows(sv).count() == 0
     assert q.available_dates(sv).count() == 0
+
+
+# ---------------------------------------------------------------------------
+# Failures
+# ---------------------------------------------------------------------------
+
+def natural(spark, root):
+    """Facts in natural values, with the keys they use."""
+    star = W.read_star(spark, root)
+    df = (star.fact.join(star.dim("product"), "product_key").join(star.dim("store"), "store_key")
+          .select("zip_date", "product_key", "product_code", "product_name", "store_key", "store_name", "retail_price"))
+    return sorted(map(tuple, df.collect()))
+
+
+def test_only_work_list_archives_are_read(spark, archives, noms, tmp_path):
+    """A processed archive that has become unreadable does not matter."""
+    root = str(tmp_path / "wh")
+    I.run_ingest(spark, archives, root, noms)
+    with open(os.path.join(archives, "2026-04-01.zip"), "ab") as fh:
+        fh.write(os.urandom(200_000))
+    write_zip(os.path.join(archives, "2026-04-07.zip"), {"Chain A_111.csv": HEADER + "68134,Shop Two,Bread,P2,2,1.5,\n"})
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "100000")
+    try:
+        assert I.run_ingest(spark, archives, root, noms).processed_dates == ["2026-04-07"]
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+
+
+@pytest.mark.parametrize("step", ["write_dims", "publish_version", "write_facts", "append_quality", "log_processed"])
+def test_rerun_after_a_failed_write(spark, archives, noms, tmp_path, monkeypatch, step):
+    """A run that dies before any of its writes, and its rerun, equal one clean run."""
+    clean, root = str(tmp_path / "clean"), str(tmp_path / "wh")
+    I.run_ingest(spark, archives, clean, noms)
+
+    def die(*a, **k):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(W, step, die)
+        with pytest.raises(OSError, match="lost"):
+            I.run_ingest(spark, archives, root, noms)
+    assert W.partition_dates(spark, root).count() == 0
+    res = I.run_ingest(spark, archives, root, noms)
+    assert res.processed_dates == ["2026-04-01", "2026-04-03", "2026-04-05"]
+    assert natural(spark, root) == natural(spark, clean)
+    assert I.run_ingest(spark, archives, root, noms).processed_dates == []
+
+
+def test_lost_versions_are_an_error(spark, archives, noms, tmp_path):
+    root = str(tmp_path / "wh")
+    I.run_ingest(spark, archives, root, noms)
+    record = os.path.join(root, "dims", "_versions")
+    os.rename(record, record + ".away")
+    with pytest.raises(RuntimeError, match="no record"):
+        W.read_dim(spark, root, "product")
+    os.mkdir(record)
+    with pytest.raises(RuntimeError, match="gone"):
+        I.run_ingest(spark, archives, root, noms, force_from="2026-04-05")
+    os.rmdir(record)
+    os.rename(record + ".away", record)
+    version = W.current_version(spark, W.dims_path(root))
+    os.rename(os.path.join(root, "dims", version, "dim_product"), os.path.join(root, "dims", version, "away"))
+    with pytest.raises(FileNotFoundError, match="dim_product"):
+        W.read_dim(spark, root, "product")
+
+
+def damage(path, how):
+    with open(path, "rb") as fh:
+        data = bytearray(fh.read())
+    if how == "flip":       # inside the data of the first member
+        data[60] ^= 0xFF
+    elif how == "cut":
+        data = data[: len(data) // 2]
+    with open(path, "wb") as fh:
+        fh.write(data)
+
+
+@pytest.mark.parametrize("how", ["flip", "cut"])
+def test_damaged_archive_contributes_nothing(spark, archives, noms, tmp_path, how):
+    root, path = str(tmp_path / "wh"), os.path.join(archives, "2026-04-03.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as zf:
+        zf.writestr("A_1.csv", HEADER + "68134,Shop,Bread,P2,2,1.3,\n" * 40)
+        zf.writestr("B_2.csv", HEADER + "68134,Shop,Milk,P1,1,2.5,\n" * 40)
+    I.run_ingest(spark, archives, root, noms)
+    before = natural(spark, root)
+    damage(path, how)
+    res = I.run_ingest(spark, archives, root, noms, force_from="2026-04-03")
+    assert res.processed_dates == ["2026-04-05"]
+    assert natural(spark, root) == before
+
+
+def test_unbalanced_quote_does_not_end_the_run(spark, archives, noms, tmp_path):
+    root = str(tmp_path / "wh")
+    write_zip(os.path.join(archives, "2026-04-07.zip"), {
+        "A_1.csv": HEADER + '68134,"Shop,' + "x,1,2,3\n" * 40_000,
+        "B_2.csv": HEADER + "68134,Shop,Milk,P1,1,2.5,\n"})
+    res = I.run_ingest(spark, archives, root, noms)
+    assert "2026-04-07" in res.processed_dates
+    assert W.read_facts(spark, root).filter("zip_date = '2026-04-07'").count() == 1
+
+
+def test_names_are_repaired_and_texts_served_clean(spark, archives, noms, tmp_path):
+    root = str(tmp_path / "wh")
+    I.run_ingest(spark, archives, root, noms)
+    run_sync(spark, root)
+    more = spark.createDataFrame([("98226", "Village")], "code string, name string")
+    later = I.Nomenclatures(SizedFrame(noms.settlements.df.union(more)), noms.categories)
+    write_zip(os.path.join(archives, "2026-04-07.zip"), {"Chain A_111.csv": HEADER + "68134, Shop Two ,,P9,,123456789.5,\n"})
+    res = I.run_ingest(spark, archives, root, later)
+    assert res.quality.first().untyped_prices == 1
+    names = {r.ekatte: r.settlement_name for r in W.read_dim(spark, root, "settlement").collect()}
+    assert names["98226"] == "Village"
+    sv = read_serving(spark, root, run_sync(spark, root))
+    row = q.browse_rows(sv).collect()
+    assert [(r.product_name, r.category_name, r.store_name, r.price) for r in row] == [(None, "(unknown:)", "Shop Two", None)]
+    assert sv.star.dim("category").filter("category_code IS NULL").count() == 1
+    # Rows that an earlier version published stay unless a prune drops them.
+    assert sv.star.dim("file").filter("zip_date = '2026-04-01'").count() == 4
+
+
+def test_newest_date_may_have_no_rows(spark, archives, noms, tmp_path):
+    root = str(tmp_path / "wh")
+    write_zip(os.path.join(archives, "2026-04-09.zip"), {"Chain A_111.csv": HEADER})
+    I.run_ingest(spark, archives, root, noms)
+    star = W.read_star(spark, root)
+    assert q.newest_date(star).first()[0] == "2026-04-09"
+    assert [r[0] for r in q.newest_dates(star, 2).collect()] == ["2026-04-05", "2026-04-09"]

@@ -42,6 +42,8 @@ def test_parse_price_bound(spark):
     assert got == [Decimal("1.5000"), Decimal("5.0000"), Decimal("2.2500"), None, None, None,
                    Decimal("7.0000")]
     assert P.parse_price_bound_value("2,5") == Decimal("2.5")
+    assert P.parse_price_bound_value("100000000") == Decimal("100000000")
+    assert P.parse_price_bound_value("9" * 50) == Decimal("9" * 36)
     assert P.parse_price_bound_value("  ") is None
 
 
