@@ -23,7 +23,6 @@ or repeated doc_id each get a row; empty tables give empty or all-clean results.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,8 +36,9 @@ from shelfline.llm import store
 
 WINDOW = 10
 GRAM = 5
-#: Benchmark windows that a task holds (24 bytes each, so at most 48 MB).
-MAX_BROADCAST = 2_000_000
+#: Benchmark windows that a task holds (under 50 bytes each with their
+#: fingerprints, so at most 50 MB).
+MAX_BROADCAST = 1_000_000
 
 
 def word_hashes(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -107,19 +107,21 @@ def benchmark_windows(benchmark: DataFrame, text: str = "text", item_id: str = "
 class _Index:
     """Sorted fingerprints and windows of the benchmark, by window length."""
 
-    def __init__(self, item: list, size: np.ndarray, window: np.ndarray, prints: list):
-        self.items = np.array(sorted({x for x in item if x is not None}), dtype=object)
-        number = {x: i for i, x in enumerate(self.items)}
+    def __init__(self, windows: pa.Table):
+        """``windows`` as ``benchmark_windows`` has them; an item is its number in ``items``."""
+        item = windows["item"].combine_chunks().dictionary_encode()
+        self.items = item.dictionary.to_pylist()
+        number = item.indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int32)
+        size, hashes = windows["size"].to_numpy(), windows["window"].to_numpy().view(np.uint64)
+        prints = windows["prints"].combine_chunks()
+        sizes = np.repeat(size, prints.value_lengths().to_numpy(zero_copy_only=False))
+        flat = prints.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
         self.prints, self.windows = {}, {}
-        size = np.asarray(size)
-        for n in np.unique(size):
-            at = np.flatnonzero(size == n)
-            own = np.array([number.get(item[i], -1) for i in at], dtype=np.int64)
-            h = np.asarray(window, dtype=np.int64)[at].view(np.uint64)
+        for n in np.unique(size).tolist():
+            h, own = hashes[size == n], number[size == n]
             order = np.lexsort((own, h))
-            self.windows[int(n)] = (h[order], own[order])
-            flat = np.array([p for i in at for p in prints[i]], dtype=np.int64).view(np.uint64)
-            self.prints[int(n)] = np.unique(flat)
+            self.windows[n] = (h[order], own[order])
+            self.prints[n] = np.unique(flat[sizes == n])
 
     def hits(self, words: np.ndarray, doc: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(length, window starts, window hashes) of windows around fingerprint hits."""
@@ -178,14 +180,12 @@ def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", bench_text:
     windows = store.materialise(benchmark_windows(benchmark, bench_text, item_id))
     if windows.count() > max_broadcast:
         return _scan_by_shuffle(docs, windows, text, prefix)
-    table = windows.toArrow()
-    shared = spark.sparkContext.broadcast(
-        (table["item"].to_pylist(), table["size"].to_numpy(), table["window"].to_numpy(), table["prints"].to_pylist()))
+    shared = spark.sparkContext.broadcast(_Index(windows.toArrow()))
     schema = _result_schema(docs, prefix)
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = _Index(*shared.value)
+        index = shared.value
         for rows, buf, offsets in B.slices(batches, text):
             words, doc = word_hashes(buf, offsets)
             n = rows.num_rows
@@ -265,7 +265,3 @@ def _scan_by_shuffle(docs: DataFrame, windows: DataFrame, text: str, prefix: str
 
     return joined.mapInArrow(run, schema)
 
-
-def items_digest(items: list[str]) -> str:
-    """Hex digest of sorted item ids, comma-joined (what ``F.sha2`` gives in the query)."""
-    return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()

@@ -1,11 +1,11 @@
 """Personal data: detected entities get keyed, type-consistent surrogates.
 
-1. ``detect`` finds e-mail addresses, phone, card, account and social security
-   numbers, IP addresses, secrets and titled names, as spans of a text.
+1. ``detect`` finds e-mail addresses, phone numbers, card and account numbers
+   (with a right check digit), social security numbers, IP addresses, secrets
+   and titled names, as spans of a text.
 2. ``assign`` gives every distinct entity (type and normal form) of the corpus
    one surrogate, derived from a key: same type, script, length and letter
-   case pattern, gendered for given names, valid or invalid check digits as
-   before.  Candidates that meet another entity's surrogate, or a real entity
+   case pattern, gendered for given names, right check digits.  Candidates that meet another entity's surrogate, or a real entity
    of the corpus, are drawn again until all are distinct.
 3. ``replace`` writes the surrogates into the texts in each mention's own
    format, so two spellings of one number stay one number.
@@ -101,6 +101,8 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
         elif kind in ("CARD", "PHONE", "SSN"):
             digits = _DIGITS.sub("", surface)
             digits = "".join(str(unicodedata.digit(c)) for c in digits)
+            if kind == "CARD" and not luhn(digits):
+                continue
             if kind == "PHONE":
                 if not 8 <= len(digits) <= 15:
                     continue
@@ -108,7 +110,8 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
                 digits = digits[1:] if len(digits) == 11 and digits[0] == "1" else digits
             out.append((a, b, kind, digits))
         elif kind == "IBAN":
-            out.append((a, b, kind, surface.replace(" ", "")))
+            if _iban_ok(surface.replace(" ", "")):
+                out.append((a, b, kind, surface.replace(" ", "")))
         elif kind == "NAME":
             title, *rest = re.split(r"[ \xa0]", surface)
             words = []
@@ -202,16 +205,13 @@ def surrogate(key: str, kind: str, norm: str, attempt: int) -> str:
         return head + (draw.of("23456789") + made[1:] if rest[0] != "0" else "0" + made[1:])
     if kind == "CARD":
         made = norm[0] + "".join(draw.of("0123456789") for _ in norm[1:-1])
-        last = next(d for d in "0123456789" if luhn(made + d))
-        return made + (last if luhn(norm) else str((int(last) + 1 + draw.below(9)) % 10))
+        return made + next(d for d in "0123456789" if luhn(made + d))
     if kind == "SSN":
         return "".join(draw.of("0123456789") for _ in norm)
     if kind == "IP":
         return ".".join(str(1 + draw.below(254)) for _ in range(4))
     if kind == "IBAN":
         rest = "".join(draw.of("0123456789") if c.isdigit() else draw.of("ABCDEFGHJKLMNPRSTUVWXYZ") for c in norm[4:])
-        if not _iban_ok(norm):
-            return norm[:2] + "".join(draw.of("0123456789") for _ in "00") + rest
         check = 98 - int("".join(str(int(c, 36)) for c in rest + norm[:2] + "00")) % 97
         return f"{norm[:2]}{check:02d}{rest}"
     if kind == "SECRET":

@@ -21,6 +21,7 @@ SCHEMA = "doc_id long, text string"
     ("Mrs. Anna Smith met Smith; Mr Lee", [("GIVEN_F", "anna"), ("SURNAME", "smith"), ("SURNAME", "smith"), ("SURNAME", "lee")]),
     ("госпожа Иванова", [("SURNAME", "иванова")]),
     ("", []), ("plain words, 825 of 1234567 and 1.2.3, v1.2.3.4.5 a@b x=y 12:30", []),
+    ("no card: 4316522678525457 1700000000000 1234-5678-9012-3456", []), ("CC12 3456 7890 1234 5678", []),
     ("Mr fox, dr who", []), ("x" * 200_000, []), ("a." * 50_000, []), ("1" * 50, []),
 ])
 def test_find(text, want):
