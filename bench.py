@@ -23,7 +23,7 @@ from shelfline.operators.projection import star_projection  # noqa: E402
 from shelfline.plans import ingest as I  # noqa: E402
 from shelfline.plans import queries as q  # noqa: E402
 from shelfline.plans.fixture_runs import fixture_first_run  # noqa: E402
-from shelfline.plans.sync import write_projection  # noqa: E402
+from shelfline.plans.sync import run_sync, write_projection  # noqa: E402
 from shelfline.session import local_session  # noqa: E402
 from shelfline.sources.fixtures import fixture_star  # noqa: E402
 
@@ -114,12 +114,11 @@ def main() -> None:
     from shelfline.plans.fixture_runs import fixture_noms
     noms = fixture_noms(spark, SF_DIR)
     out["ingest_archives"] = timed(lambda: I.run_ingest(spark, raw_dir, f"{scratch}/wh", noms))
+    out["sync"] = timed(lambda: run_sync(spark, f"{scratch}/wh"))
     extra = {"archive_lines": n_lines,
              "archive_lines_per_sec": round(n_lines / max(out["ingest_archives"], 1e-9))}
 
     star = fixture_star(spark, SF_DIR)
-    for d in star.dims.values():
-        d.rows  # measure dimension sizes once (broadcast decisions)
     out["lookback_build"] = timed(
         lambda: build_lookback(star).write.mode("overwrite").parquet(f"{scratch}/lookback"))
     lookback = spark.read.parquet(f"{scratch}/lookback")

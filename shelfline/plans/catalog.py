@@ -127,6 +127,18 @@ def _browse_p2(spark, sf):
     return q.browse_rows(serving(spark, sf), date_key=DATE, offset=off, limit=lim)
 
 
+@register("browse_rows_after", with_fixtures(_BROWSE_SELECT.format(
+    where=f"date_key = {DATE}", limit=100, offset=100)))
+def _browse_after(spark, sf):
+    # The second page from the last row of the first one.
+    sv = serving(spark, sf)
+    page = q.browse_rows(sv, date_key=DATE, keep_order_columns=True).collect()  # one page
+    if not page:
+        return q.browse_rows(sv, date_key=DATE, offset=100)
+    seen = q.rows_equal_to_last(page)
+    return q.browse_after(sv, page[-1], seen, date_key=DATE).select(*q.BROWSE_COLUMNS)
+
+
 @register("browse_rows_name", with_fixtures(_BROWSE_SELECT.format(
     where=f"product_name ILIKE '%{NAME}%' ESCAPE '\\'", limit=100, offset=0)))
 def _browse_name(spark, sf):

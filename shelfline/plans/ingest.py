@@ -318,6 +318,6 @@ def ingest_records(spark: SparkSession, records: DataFrame, root: str, noms: Nom
     W.write_facts(spark, root, resolve_fact_keys(rows, written), processed, with_rows)
     W.append_quality(root, quality_report(rows, members, archives, noms, keys), run_ts)
     W.log_processed(spark, root, processed, run_ts, version)
-    quality = W.read_quality(spark, root, run_ts).filter(F.col("zip_date").isin(processed))
+    quality = W.read_quality(spark, root, run_ts)
     W.drop_staging(spark, root, version)
     return IngestResult(processed, max(processed), quality)

@@ -11,7 +11,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from shelfline.functions.prices import (
@@ -134,6 +134,41 @@ def browse_rows(sv: Serving, date_key=None, settlement_key=None, category_key=No
     return page.limit(int(limit)).select(*BROWSE_COLUMNS, *extra)
 
 
+def browse_after(sv: Serving, last: Row, seen: int = 1, limit: int = BROWSE_PAGE_SIZE, **filters) -> DataFrame:
+    """The page after a row: its cost does not grow with the page's place.
+
+    ``last`` is the last row shown (with the order columns, as
+    ``browse_rows(keep_order_columns=True)`` gives them) and ``seen`` how many
+    shown rows equal it in all order columns.  The rows from ``last`` on are a
+    filter on the order, whose first column reaches the scan's statistics, so
+    a task keeps ``seen + limit`` rows and no more.
+    """
+    df = projection_filters(sv.projection, **filters)
+    columns = BROWSE_ORDER + ("retail_price", "promo_price")
+
+    def at(value, kind=None):
+        return F.lit(value) if kind is None else F.lit(value).cast(kind)
+
+    # NULLs last: (is null, value) pairs compare in browse order.
+    here = F.struct(*[x for c in columns for x in (F.col(c).isNull().alias(f"n_{c}"), F.col(c).alias(f"v_{c}"))])
+    there = F.struct(*[x for c in columns for x in (at(last[c] is None).alias(f"n_{c}"),
+                                                    at(last[c], df.schema[c].dataType).alias(f"v_{c}"))])
+    first = F.col(columns[0])
+    start = first.isNull() if last[columns[0]] is None else (first >= at(last[columns[0]])) | first.isNull()
+    page = df.filter(start & (here >= there)).orderBy(*[F.col(c).asc_nulls_last() for c in columns])
+    extra = [c for c in BROWSE_ORDER if c not in BROWSE_COLUMNS]
+    return page.offset(seen).limit(limit).select(*BROWSE_COLUMNS, *extra)
+
+
+def rows_equal_to_last(rows: list[Row]) -> int:
+    """How many of a page's last rows equal the last one in all order columns."""
+    columns = BROWSE_ORDER + ("retail_price", "promo_price")
+    n = 0
+    while n < len(rows) and all(rows[-1 - n][c] == rows[-1][c] for c in columns):
+        n += 1
+    return n
+
+
 def page_window(page: int, size: int = BROWSE_PAGE_SIZE) -> tuple[int, int]:
     """(offset, limit) of a 0-based page index."""
     if page < 0:
