@@ -7,7 +7,7 @@ finds the separators; a prefix scan over the block summaries of a file (tokens,
 separators and last separator so far) stitches documents that cross blocks.
 
 Blocks are rows (file, block, data), so a file may have any length; the scan
-orders one small summary row per block.  ``write_blocks`` makes such files
+orders small summary rows, per stride of blocks and then per file.  ``write_blocks`` makes such files
 from texts, ``read_files`` from flat binary files.
 
 Defined cases: an empty document is two separators in a row (0 tokens); ids
@@ -31,6 +31,7 @@ from shelfline.llm import store
 from shelfline.llm.bpe import TextEncoder, read_ranks
 
 BLOCK_TOKENS = 1 << 18
+STRIDE = 1 << 12  # blocks whose summaries one window task orders
 ID_TYPE = "<u2"
 
 
@@ -116,31 +117,49 @@ def scan(blocks: DataFrame, end_id: int, id_type: str = ID_TYPE) -> DataFrame:
     spark = blocks.sparkSession
     store.prepare(spark)
     kind = blocks.schema["file"].dataType.simpleString()
-    found = blocks.select("file", F.col("block").cast("long"), "data").mapInArrow(
-        _separators(end_id, id_type), f"file {kind}, block long, n_ids long, ends array<int>")
-    # Prefix scan over the blocks of a file: ids, documents and last separator before each block.
-    before = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
-    to_here = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, W.currentRow)
-    base = found.withColumn("base", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
-    base = base.withColumn("final", F.when(F.size("ends") > 0, F.col("base") + F.element_at("ends", -1)))
-    base = base.withColumns({
-        "docs": F.coalesce(F.sum(F.size("ends")).over(before), F.lit(0)),
-        "cut": F.coalesce(F.max("final").over(before), F.lit(-1)),
-        "cut_here": F.coalesce(F.max("final").over(to_here), F.lit(-1)),
-        "last": F.lead("block").over(W.partitionBy("file").orderBy("block")).isNull(),
-    })
-    ended = base.select("file", "docs", "base", "cut", "ends", F.posexplode("ends").alias("at", "end")).select(
+    found = store.materialise(blocks.select("file", F.col("block").cast("long"), "data").mapInArrow(
+        _separators(end_id, id_type), f"file {kind}, block long, n_ids long, ends array<int>"))
+    size = F.size("ends")
+    summary = found.select("file", "block", F.floor(F.col("block") / STRIDE).alias("stride"), "n_ids",
+                           size.cast("long").alias("n_ends"), F.when(size > 0, F.element_at("ends", -1).cast("long")).alias("end"))
+    # Prefix scan in two levels: over the blocks of a stride, then over the strides of a file.
+    own = W.partitionBy("file", "stride").orderBy("block")
+    local = summary.withColumn("at", _before("n_ids", own)).withColumn("end", F.col("at") + F.col("end"))
+    local = local.withColumns({"nth": _before("n_ends", own), "cut": F.max("end").over(_open(own))})
+    total = local.groupBy("file", "stride").agg(F.sum("n_ids").alias("n_ids"), F.sum("n_ends").alias("n_ends"),
+                                                F.max("end").alias("end"), F.max("block").alias("final"))
+    whole = W.partitionBy("file").orderBy("stride")
+    total = total.withColumn("base", _before("n_ids", whole)).withColumn("end", F.col("base") + F.col("end"))
+    total = total.select("file", "stride", "base", _before("n_ends", whole).alias("docs"),
+                         F.coalesce(F.max("end").over(_open(whole)), F.lit(-1)).alias("before"),
+                         F.when(F.lead("stride").over(whole).isNull(), F.col("final")).alias("final"))
+    start = local.join(total, ["file", "stride"]).select(
+        "file", "block", (F.col("base") + F.col("at")).alias("base"), (F.col("docs") + F.col("nth")).alias("docs"),
+        F.coalesce(F.col("base") + F.col("cut"), F.col("before")).alias("cut"),
+        F.coalesce(F.col("block") == F.col("final"), F.lit(False)).alias("last"))
+    joined = found.join(start, ["file", "block"])
+    ended = joined.select("file", "docs", "base", "cut", "ends", F.posexplode("ends").alias("at", "end")).select(
         "file", (F.col("docs") + F.col("at")).alias("ordinal"),
         (F.when(F.col("at") == 0, F.col("cut"))
          .otherwise(F.col("base") + F.try_element_at("ends", F.greatest(F.col("at"), F.lit(1)))) + 1).alias("start"),
         (F.col("base") + F.col("end")).alias("stop"), F.lit(True).alias("terminated"))
-    rest = base.filter("last").select(
-        "file", (F.col("docs") + F.size("ends")).alias("ordinal"), (F.col("cut_here") + 1).alias("start"),
+    here = F.when(size > 0, F.col("base") + F.element_at("ends", -1)).otherwise(F.col("cut"))
+    rest = joined.filter("last").select(
+        "file", (F.col("docs") + size).alias("ordinal"), (here + 1).alias("start"),
         (F.col("base") + F.col("n_ids")).alias("stop"), F.lit(False).alias("terminated")).filter("stop > start")
     return ended.union(rest).select("file", F.col("ordinal").cast("long"), "start",
                                     (F.col("stop") - F.col("start")).alias("n_tokens"), "terminated")
 
 
+def _open(window: W) -> W:
+    return window.rowsBetween(W.unboundedPreceding, -1)
+
+
+def _before(column: str, window: W) -> F.Column:
+    """Sum over the rows before this one."""
+    return F.coalesce(F.sum(column).over(_open(window)), F.lit(0))
+
+
 def manifest(blocks: DataFrame) -> DataFrame:
     """(file, ordinal, key) of the documents that ``write_blocks`` wrote."""
     sized = blocks.select("file", "block", "keys")

@@ -35,8 +35,9 @@ STREAMS = {
 }
 
 
-@pytest.mark.parametrize("size", [1, 3, 16, 1000])
-def test_scan_equals_split(frame, size):
+@pytest.mark.parametrize(("size", "stride"), [(1, 4), (3, 7), (3, T.STRIDE), (16, 2), (1000, T.STRIDE)])
+def test_scan_equals_split(frame, size, stride, monkeypatch):
+    monkeypatch.setattr(T, "STRIDE", stride)
     found = T.scan(frame(blocks_of(STREAMS, size), "file long, block long, data binary"), END)
     assert sorted(map(tuple, found.collect())) == brute(STREAMS)
 
