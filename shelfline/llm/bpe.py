@@ -34,7 +34,7 @@ from shelfline.llm import blocks as B
 from shelfline.llm import store
 
 BIN = 64  # ranks per bin of the index
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 REMEMBER = 400_000  # words a task remembers between blocks
 _NONE = np.iinfo(np.int32).max
 # Unicode white space, as the rank files' splitter reads \s.

@@ -240,7 +240,7 @@ def _scan_by_shuffle(docs: DataFrame, windows: DataFrame, text: str, prefix: str
     lengths = sorted(r[0] for r in windows.select("size").distinct().collect())  # at most WINDOW values
     src = keyed.select(F.col("__row").alias("row"), F.col(text).alias("__text"))
     mine = src.mapInArrow(_print_rows(lengths), "row long, start long, size int, print long, window long")
-    prints = windows.select("size", F.explode("prints").alias("print")).distinct()
+    prints = store.materialise(windows.select("size", F.explode("prints").alias("print")).distinct())
     near = mine.join(prints, ["size", "print"], "left_semi").select("row", "start", "size", "window").distinct()
     hits = near.join(windows.select("size", "window", "item").distinct(), ["size", "window"])
     # Per document: distinct windows and items, summed up before the shuffle.

@@ -279,17 +279,18 @@ def connected(edges: DataFrame) -> DataFrame:
     """Components of undirected edges (a, b): (node, root), root the smallest.
 
     Large-star and small-star steps in turn, until no edge changes.  Each step
-    is a grouped minimum (partial before its shuffle) and a join that Spark
-    can split at a hot node.
+    is a grouped minimum (partial before its shuffle), written, and a join
+    that Spark can split at a hot node.
     """
     cur = store.materialise(edges.filter("a <> b").selectExpr("greatest(a, b) AS a", "least(a, b) AS b").distinct())
     state = None
     while True:
         both = cur.union(cur.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        low = store.materialise(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
         large = (both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .filter("a <> b").distinct())
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = store.materialise(large)
+        low = store.materialise(large.groupBy("a").agg(F.min("b").alias("m")))
         small = large.join(low, "a").selectExpr("stack(2, a, m, b, m) AS (a, b)").filter("a <> b").distinct()
         cur = store.materialise(small)
         now = tuple(cur.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())
@@ -310,7 +311,7 @@ def components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", keep
     per_fp = fps.groupBy("__fp").agg(F.min(doc_id).alias("__low"))
     roots = connected(links(per_fp.select("__fp"), max_bits, bucket_rows)).toDF("__fp", "__root")
     per_fp = per_fp.join(roots, "__fp", "left").withColumn("__root", F.coalesce("__root", "__fp"))
-    best = per_fp.groupBy("__root").agg(F.min("__low").alias("component_id"))
+    best = store.materialise(per_fp.groupBy("__root").agg(F.min("__low").alias("component_id")))
     label = per_fp.select("__fp", "__root").join(best, "__root")
     return fps.join(label, "__fp").select(*names, F.col("__fp").alias("fingerprint"), "component_id",
                                           F.col("__root").alias("root"))

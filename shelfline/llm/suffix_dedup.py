@@ -289,13 +289,16 @@ def remove_repeats(docs: DataFrame, text: str = "text", keep: tuple[str, ...] =
     rows = keyed.select("__row", "__text").mapInArrow(
         _segment_rows(length), "row long, lo int, n int, anchor long, body long")
     rows = store.materialise(rows)
-    met = rows.groupBy("anchor").count().filter("count > 1").select("anchor")
+    # (Counts are written before they are joined back: a join that shares its
+    # stage with the count could not be split at a hot anchor.)
+    met = store.materialise(rows.groupBy("anchor").count().filter("count > 1").select("anchor"))
     shared = store.materialise(rows.join(met, "anchor", "left_semi"))
     # 2. Classes of equal segments; buckets that still have something to sort.
     classes = store.materialise(
         shared.groupBy("anchor", "body", "n").agg(F.count("*").alias("members"), F.min(F.struct("row", "lo")).alias("rep")))
     buckets = classes.groupBy("anchor").agg(F.count("*").alias("classes"), F.max(F.col("members") == 1).alias("some"))
-    buckets = buckets.filter("classes > 1 AND some").select("anchor", (F.col("classes") > bucket_classes).alias("large"))
+    buckets = store.materialise(
+        buckets.filter("classes > 1 AND some").select("anchor", (F.col("classes") > bucket_classes).alias("large")))
     info = F.struct("lo", "n", "anchor", "single", "large")
     todo = classes.join(buckets, "anchor").select(
         F.col("rep.row").alias("__row"), F.col("rep.lo").alias("lo"), "n", "anchor", (F.col("members") == 1).alias("single"), "large")
@@ -321,7 +324,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", keep: tuple[str, ...] =
     flagged = small.mapInArrow(_refine_buckets(length), "row long, lo int, n int")
     large = seg.filter("large").drop("large").mapInArrow(
         _halves(length), "head long, tail long, row long, lo int, single boolean")
-    twice = large.groupBy("head", "tail").count().filter("count > 1").select("head", "tail")
+    twice = store.materialise(large.groupBy("head", "tail").count().filter("count > 1").select("head", "tail"))
     flagged = flagged.union(large.filter("single").join(twice, ["head", "tail"], "left_semi")
                             .select("row", "lo", F.lit(1).alias("n")))
     more = flagged.groupBy(F.col("row").alias("__row")).agg(F.collect_list(F.struct("lo", "n")).alias("__more"))
