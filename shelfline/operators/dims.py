@@ -54,10 +54,14 @@ def number_in_order(df: DataFrame, order_cols: str | list[str], start: int, out_
     partition its offset.
     """
     order = [order_cols] if isinstance(order_cols, str) else list(order_cols)
+    return number_sorted(df.orderBy(*order), start, out_col)
+
+
+def number_sorted(df: DataFrame, start: int, out_col: str) -> DataFrame:
+    """Number the rows of a sorted frame ``start, start+1, ...`` as they stand."""
     # Adaptive execution coalesces the range partitions to the data size,
     # so a small run writes a small checkpoint.
-    s = (df.orderBy(*order)
-           .withColumn("_pid", F.spark_partition_id())
+    s = (df.withColumn("_pid", F.spark_partition_id())
            .withColumn("_mid", F.monotonically_increasing_id()))
     s = checkpoint(s)
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))

@@ -96,12 +96,31 @@ def _prune_date(spark, sf):
     return kept.select("date_key", "date")
 
 
-@register("prune_dim_category", with_fixtures("""
-SELECT category_key, category_code, category_name FROM rf_dim_category
-WHERE category_key IN (SELECT DISTINCT category_key FROM rf_lookback)"""))
+# Categories that no fact uses, with codes outside the official range or no number.
+_OTHER_CATEGORIES = """
+, all_categories AS (
+  SELECT category_key, category_code, category_name FROM rf_dim_category
+  UNION ALL
+  SELECT 1000 + n_nationkey, CASE WHEN n_nationkey % 3 = 0 THEN 'X' || CAST(n_nationkey AS VARCHAR)
+         ELSE CAST(n_nationkey * 9 AS VARCHAR) END, n_name FROM nation)
+"""
+
+
+def _all_categories(spark, sf):
+    n = F.col("n_nationkey").cast("bigint")
+    other = X.table(spark, sf, "nation").select(
+        (n + 1000).alias("category_key"),
+        F.when(n % 3 == 0, F.concat(F.lit("X"), n.cast("string"))).otherwise((n * 9).cast("string")).alias("category_code"),
+        F.col("n_name").alias("category_name"))
+    return X.dim_category(spark, sf).unionByName(other)
+
+
+@register("prune_dim_category", with_fixtures(_OTHER_CATEGORIES + """
+SELECT category_key, category_code, category_name FROM all_categories
+WHERE category_key IN (SELECT category_key FROM rf_lookback)"""))
 def _prune_category(spark, sf):
     star = fixture_star(spark, sf)
-    kept, _ = S.prune_dim_category(star.dim("category"), build_lookback(star))
+    kept, _ = S.prune_dim_category(_all_categories(spark, sf), build_lookback(star))
     return kept
 
 
@@ -290,10 +309,10 @@ def _known(spark, sf):
     return known_categories_only(X.dim_category(spark, sf)).select("category_key", "category_name")
 
 
-@register("official_category_codes", with_fixtures("""
-SELECT category_key, category_code FROM rf_dim_category
+@register("official_category_codes", with_fixtures(_OTHER_CATEGORIES + """
+SELECT category_key, category_code FROM all_categories
 WHERE TRY_CAST(category_code AS INTEGER) BETWEEN 1 AND 101"""))
 def _official(spark, sf):
     from shelfline.plans.queries import official_category_codes
-    return official_category_codes(X.dim_category(spark, sf)).select("category_key", "category_code")
+    return official_category_codes(_all_categories(spark, sf)).select("category_key", "category_code")
 

@@ -5,6 +5,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from shelfline.operators.joins import SizedFrame
+from shelfline.schemas import POSITION
 from shelfline.operators.lookback import build_lookback, latest_dates
 from shelfline.sources.warehouse import Star
 
@@ -103,6 +104,6 @@ def test_packed_position_aggregates_by_hash(spark):
         "zip_date", "date_key", "store_key", "file_key", "category_key", "product_key",
         F.col("retail_price").cast("decimal(12,4)").alias("retail_price"),
         F.col("promo_price").cast("decimal(12,4)").alias("promo_price"),
-        F.col("seq").alias("pos"))
+        F.col("seq").cast(POSITION).alias("pos"))
     plan = build_lookback(Star(dims={}, fact=df))._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan and "SortAggregate" not in plan
