@@ -123,7 +123,25 @@ def _escaped(column: str) -> str:
     return sql
 
 
+_WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
 ORACLE: dict[str, str] = {
+    "op2_decontamination": f"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+        b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+        win AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i + 1 : i + least(len(w), 10)], ' ') AS t
+                FROM b, unnest(range(0, greatest(len(w) - 9, least(len(w), 1)))) AS u(i)),
+        lens AS (SELECT DISTINCT n FROM win),
+        dw AS (SELECT r, i, n, array_to_string(w[i + 1 : i + n], ' ') AS t
+               FROM d, lens, unnest(range(0, len(w) - n + 1)) AS u(i)),
+        hit AS (SELECT dw.r, dw.i, dw.n, win.item_id FROM dw JOIN win ON win.n = dw.n AND win.t = dw.t),
+        words AS (SELECT r, count(DISTINCT i + k) AS n_hit FROM hit, unnest(range(0, n)) AS u(k) GROUP BY r),
+        items AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS s
+                  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM hit WHERE item_id IS NOT NULL) x GROUP BY r)
+        SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN words ON words.r = d.r LEFT JOIN items ON items.r = d.r""",
     "op3_chat_format": f"""
         WITH t AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

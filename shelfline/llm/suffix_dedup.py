@@ -49,26 +49,25 @@ LENGTH = 400
 BUCKET_CLASSES = 2048
 REFINE_BYTES = 4 << 20
 _PLACE = np.uint64((1 << 24) - 1)
-_STEP = 1 << 22
+_STEP = 1 << 20
 
 
 def segments(text: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     """Of one text: first string, strings, anchor hash and byte hash of each segment."""
     q = length // 2
     w = length - q + 1
-    rolling = B.RollingHash(text)
-    grams = rolling.grams(q)
     strings = len(text) - length + 1
     out = []
-    for base in range(0, strings, _STEP):
-        part = grams[base: min(base + _STEP + w - 1, len(grams))]
+    for base in range(0, strings, _STEP):  # a long text is taken in steps, so memory is bounded
+        here = min(_STEP, strings - base)
+        rolling = B.RollingHash(text[base: base + here + length - 1])
+        grams = rolling.grams(q)
         # Smallest by the hash's upper bits, then by place.
-        least = B.window_min((part & ~_PLACE) | np.arange(len(part), dtype=np.uint64), w)[: min(_STEP, strings - base)]
+        least = B.window_min((grams & ~_PLACE) | np.arange(len(grams), dtype=np.uint64), w)[:here]
         anchor = (least & _PLACE).astype(np.int64)
         first = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
         size = np.diff(np.append(first, len(anchor)))
-        first += base
-        out.append((first, size, grams[anchor[first - base] + base], rolling.spans(first, first + size + length - 1)))
+        out.append((first + base, size, grams[anchor[first]], rolling.spans(first, first + size + length - 1)))
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 

@@ -66,6 +66,14 @@ def test_op3_equals_sql(spark):
     assert sorted(map(tuple, queries.op3_chat_format(spark, SF).collect())) == sorted(want)
 
 
+def test_op2_equals_sql(spark):
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    want = con.execute(queries.ORACLE["op2_decontamination"]).fetchall()
+    assert sorted(map(tuple, queries.op2_decontamination(spark, SF).collect())) == sorted(want)
+
+
 def test_op2_equals_brute_force(spark, sources):
     want = {r[0]: r for r in test_decontaminate.brute(*sources)}
     rows = queries.op2_decontamination(spark, SF).collect()
