@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfline.functions import conform as C
@@ -45,18 +45,6 @@ def next_key(existing: DataFrame, key_col: str) -> int:
     return (row["m"] or 0) + 1
 
 
-def number_in_order(df: DataFrame, order_cols: str | list[str], start: int, out_col: str) -> DataFrame:
-    """Number rows ``start, start+1, ...`` in ``order_cols`` order (ties unsupported).
-
-    Distributed: ``orderBy`` range-partitions and sorts; the sorted frame is
-    checkpointed (reliable, to ``spark.checkpoint.dir``) so partition ids and
-    row ids are fixed; per-partition counts (one row per partition) give each
-    partition its offset.
-    """
-    order = [order_cols] if isinstance(order_cols, str) else list(order_cols)
-    return number_sorted(df.orderBy(*order), start, out_col)
-
-
 def number_sorted(df: DataFrame, start: int, out_col: str) -> DataFrame:
     """Number the rows of a sorted frame ``start, start+1, ...`` as they stand."""
     # Adaptive execution coalesces the range partitions to the data size,
@@ -102,62 +90,50 @@ class Keyed:
 def assign_keys_many(specs: dict[str, KeySpec]) -> dict[str, Keyed]:
     """Key several dimensions with one numbering pass.
 
-    One job reads every existing dimension's max key and row count; the new
-    natural keys of all dimensions are numbered together, ordered by
-    (dimension, first position, natural key), and each dimension's keys
-    continue from its own max.  Row counts of the results are known
-    afterwards without another job, so later joins can size them.
+    One job reads every existing dimension's max key and row count.  The new
+    rows of all dimensions stand in one frame (each dimension its columns, the
+    others NULL), sorted by (dimension, first position, natural key) and
+    written; one count per dimension and partition tells the key of every row,
+    continuing from the dimension's own max.
     """
-    names = list(specs)
+    spark = next(iter(specs.values())).existing.sparkSession
     stats = reduce(DataFrame.unionByName, [
         sp.existing.select(F.lit(n).alias("_dim"),
                            F.col(sp.key_col).cast("string").try_cast("bigint").alias("_k"))
         for n, sp in specs.items()]).groupBy("_dim").agg(
             F.max("_k").alias("_max"), F.count(F.lit(1)).alias("_rows"))
     seen = {r["_dim"]: r for r in stats.collect()}
-    start = {n: ((seen[n]["_max"] or 0) + 1) if n in seen else 1 for n in names}
-    old_rows = {n: seen[n]["_rows"] if n in seen else 0 for n in names}
-
-    def tag(sp: KeySpec) -> Column:
-        return F.to_json(F.struct(*[F.col(c) for c in sp.natural_key]))
+    payload = {n: [c for c in sp.columns if c != sp.key_col] for n, sp in specs.items()}
 
-    new = {}
-    for n, sp in specs.items():
+    def new_rows(n: str, sp: KeySpec) -> DataFrame:
         c = sp.candidates
-        new[n] = c.join(sp.existing.select(*sp.natural_key),
-                        null_safe_on(c, sp.existing, sp.natural_key), "left_anti") \
-                  .withColumn("_tag", tag(sp))
-    # Attributes travel as JSON so all dimensions share one numbered frame;
-    # that frame is checkpointed, so the new rows are computed once.
-    payload = {n: [c for c in specs[n].columns if c != specs[n].key_col] for n in names}
-    allpos = reduce(DataFrame.unionByName, [
-        new[n].select(F.lit(n).alias("_dim"), F.col("first_pos"), F.col("_tag"),
-                      F.to_json(F.struct(*payload[n])).alias("_attrs")) for n in names])
-    # Materialise the candidates once: the range partitioner samples its input
-    # and the sort reads it again.
-    allpos = checkpoint(allpos.hint("rebalance"))
-    # Ranks are contiguous per dimension (the sort starts with the dimension
-    # name), so each dimension's first rank is the count of the names before it.
-    counts = {r["_dim"]: r["_n"] for r in
-              allpos.groupBy("_dim").agg(F.count(F.lit(1)).alias("_n")).collect()}
-    first_rank, acc = {}, 0
-    for n in sorted(counts):
-        first_rank[n], acc = acc, acc + counts[n]
-    # One row per new key, read by every dimension frame, by the store round
-    # and by the fact joins: materialised once.
-    ranked = checkpoint(number_in_order(allpos, ["_dim", "first_pos", "_tag"], 0, "_g"))
+        fresh = c.join(sp.existing.select(*sp.natural_key), null_safe_on(c, sp.existing, sp.natural_key), "left_anti")
+        return fresh.select(F.lit(n).alias("_dim"), "first_pos", *payload[n])
+
+    wide = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), [new_rows(n, sp) for n, sp in specs.items()])
+    # Written once: the range partitioner samples its input and the sort reads it again.
+    wide = checkpoint(wide.hint("rebalance"))
+    order = list(dict.fromkeys(c for sp in specs.values() for c in sp.natural_key))
+    placed = checkpoint(wide.orderBy("_dim", "first_pos", *order)
+                        .withColumn("_pid", F.spark_partition_id())
+                        .withColumn("_mid", F.monotonically_increasing_id()))
+    # One row per dimension and partition.
+    counts = placed.groupBy("_dim", "_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0")).collect()
+    ahead = {n: ((seen[n]["_max"] or 0) + 1) if n in seen else 1 for n in specs}
+    rows = {n: seen[n]["_rows"] if n in seen else 0 for n in specs}
+    offsets = []
+    for r in sorted(counts, key=lambda r: (r["_dim"], r["_pid"])):
+        offsets.append((r["_dim"], r["_pid"], ahead[r["_dim"]] - r["_m0"]))
+        ahead[r["_dim"]] += r["_n"]
+        rows[r["_dim"]] += r["_n"]
+    shift = spark.createDataFrame(offsets, "_dim string, _pid int, _shift bigint")
+    keyed = placed.join(F.broadcast(shift), ["_dim", "_pid"]).withColumn("_key", F.col("_mid") + F.col("_shift"))
     out = {}
     for n, sp in specs.items():
-        g0 = first_rank.get(n, 0)
-        n_new = counts.get(n, 0)
-        schema = new[n].select(*payload[n]).schema
-        numbered = (ranked.filter(F.col("_dim") == n)
-                    .select((F.lit(start[n]) + F.col("_g") - F.lit(g0)).alias(sp.key_col),
-                            F.from_json("_attrs", schema).alias("_a"))
-                    .select(sp.key_col, *[F.col(f"_a.{c}").alias(c) for c in payload[n]])
-                    .select(*sp.columns))
+        numbered = (keyed.filter(F.col("_dim") == n)
+                    .select(F.col("_key").alias(sp.key_col), *payload[n]).select(*sp.columns))
         full = sp.existing.select(*sp.columns).unionByName(numbered)
-        out[n] = Keyed(SizedFrame(full, rows=old_rows[n] + n_new), numbered)
+        out[n] = Keyed(SizedFrame(full, rows=rows[n]), numbered)
     return out
 
 
