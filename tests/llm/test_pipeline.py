@@ -59,6 +59,32 @@ def test_stages_return_documents_columns(spark):
         assert stage(spark, docs.limit(0), SF).count() == 0
 
 
+def test_stages_take_odd_rows(spark):
+    """Nulls in any column, empty, repeated and very long texts, through every stage."""
+    prose = " ".join(f"word{i} and more{i % 7} of it." for i in range(40))
+    long = "\n".join(" ".join(f"w{(i * 8 + j) * 7919 % 50_021}" for j in range(8)) + "." for i in range(6000))
+    rows = [(None, None, None, None, None), (1, None, "en", "s", 0), (2, "", "en", "s", 0), (None, prose, None, None, None),
+            (3, prose, "en", "s", None), (3, prose, "en", "s", 1), (4, long, "en", None, 9), (5, long + " Mail a.b@c.org now.", None, "s", 9),
+            (6, "x" * 300_000, "en", "s", 1), (7, prose + " call +1 (212) 555-0123 or 4111111111111111.", "de", "s", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(2)
+    for name, stage in corpus_pipeline.STAGES[1:]:  # each stage on the rows as they are
+        assert stage(spark, docs, SF).count() <= len(rows), name
+    kept = corpus_pipeline.quality_rules(spark, docs, SF)
+    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 3, 3, 4, 5, 7]
+    single = corpus_pipeline.simhash_dedup(spark, kept, SF).collect()
+    assert sorted(len(r.text) for r in single if r.text == prose) == [len(prose)]
+    assert {r.doc_id for r in single if r.text == prose} == {3}
+    assert corpus_pipeline.decontamination(spark, docs, SF).count() == len(rows)
+    safe = corpus_pipeline.pii_surrogates(spark, docs, SF).collect()
+    assert len(safe) == len(rows)
+    assert not any(p in (r.text or "") for r in safe for p in ("a.b@c.org", "555-0123", "4111111111111111"))
+    assert {r.text for r in safe if r.doc_id == 4} == {long}
+    coded = corpus_pipeline.bpe_tokens(spark, docs, SF).collect()
+    assert len(coded) == len(rows)
+    assert all(r.n_tokens == len(r.ids) for r in coded)
+    assert all((r.n_tokens == 0) == (not r.text) for r in coded)
+
+
 def test_op3_equals_sql(spark):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{SF}/conversations.parquet'")
