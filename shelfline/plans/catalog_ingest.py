@@ -14,7 +14,6 @@ from shelfline.plans import ingest as I
 from shelfline.plans.catalog import register
 from shelfline.plans.oracle_ingest import CONFORM_SQL, DIM_SQL, FACT_SQL, QUALITY_SQL, with_ingest
 from shelfline.plans.fixture_runs import fixture_first_run, fixture_noms, fixture_raw, fixture_staged
-from shelfline.sources import fixtures as X
 
 
 @register("conform_records", CONFORM_SQL)
