@@ -64,6 +64,11 @@ PATTERN = re.compile("|".join((
 )))
 _WORTH = re.compile(r"[0-9@=:]|(?<!\w)(?:" + "|".join(map(re.escape, TITLES)) + r")(?!\w)")
 _DIGITS = re.compile(r"\D")
+_RUN = re.compile(r"\d+")
+_QUAD = re.compile(rf"{_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d)")
+#: Digits after the country code, for countries where all numbers have as many.
+PLANS = {"1": 10, "7": 10, "30": 10, "31": 9, "33": 9, "34": 9, "41": 9, "45": 8, "47": 8, "48": 9, "52": 10,
+         "61": 9, "90": 10, "91": 10, "351": 9, "420": 9}
 
 
 def _low(text: str) -> str:
@@ -85,35 +90,80 @@ def _iban_ok(text: str) -> bool:
     return int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
 
 
+def _plain(surface: str) -> str:
+    """The digits of a number, as 0-9."""
+    return "".join(str(unicodedata.digit(c)) for c in _DIGITS.sub("", surface))
+
+
+def _complete(surface: str) -> bool:
+    """Whether a number that begins with + ends where a space follows ``surface``."""
+    runs = [(m.start(), _plain(m[0])) for m in _RUN.finditer(surface)]
+    # A bracketed 0 is dialled within the country only.
+    digits = "".join(d for i, (at, d) in enumerate(runs) if not (i and d == "0" and surface[at - 1] == "("))
+    plan = next((n for c in (1, 2, 3) if (n := PLANS.get(digits[:c], 0) + c) > c), None)
+    if plan:
+        return len(digits) == plan
+    # Other countries: after a last group of 6 digits or more, or one joined on by - or . (a space is another style).
+    return len(digits) >= 10 and (len(runs[-1][1]) >= 6 or surface[runs[-1][0] - 1] in ".-")
+
+
+def _phone_end(text: str, a: int, b: int) -> int | None:
+    """Where the number with 8 to 15 digits ends that begins with the + at ``a``; what follows it by ``b`` is not its own."""
+    n, end, spaced = 0, None, None
+    for m in _RUN.finditer(text, a, b):
+        s, e = m.span()
+        if end is not None and text[end:s] == " ":
+            quad = _QUAD.match(text, s)
+            if quad and (n >= 8 or n + len(_plain(quad[0])) > 15):
+                break
+            if n >= 8:
+                if _complete(text[a:end]) or ((m := PATTERN.match(text, s)) and _accept(text, m)):
+                    break
+                spaced = end
+        if n + e - s > 15:
+            # Too long for one number: it ended at a space, or else at a mark.
+            end = spaced or end
+            break
+        n, end = n + e - s, e
+    return end if end is not None and len(_plain(text[a:end])) >= 8 else None
+
+
+def _accept(text: str, m: re.Match) -> tuple[int, int, str, str] | None:
+    """(start, end, type, normal form) of a match; None where it is no entity (or a name)."""
+    kind = m.lastgroup
+    a, b = m.span(kind)
+    if kind == "PHONE" and text[a] == "+":
+        b = _phone_end(text, a, b)
+        if b is None:
+            return None
+    surface = text[a:b]
+    if kind == "SECRET2":
+        kind = "SECRET"
+    if kind == "EMAIL":
+        return a, b, kind, _low(surface)
+    if kind in ("CARD", "PHONE", "SSN"):
+        digits = _plain(surface)
+        if kind == "CARD" and not luhn(digits):
+            return None
+        if kind == "PHONE":
+            # With or without the country code 1 it is one number.
+            digits = digits[1:] if len(digits) == 11 and digits[0] == "1" else digits
+        return a, b, kind, digits
+    if kind == "IBAN":
+        return (a, b, kind, surface.replace(" ", "")) if _iban_ok(surface.replace(" ", "")) else None
+    return None if kind == "NAME" else (a, b, kind, surface)
+
+
 def find(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, type, normal form) of the entities of a text, in order."""
     if not _WORTH.search(text):
         return []
     out, known = [], {}
-    for m in PATTERN.finditer(text):
-        kind = m.lastgroup
-        a, b = m.span(kind)
-        surface = text[a:b]
-        if kind == "SECRET2":
-            kind = "SECRET"
-        if kind == "EMAIL":
-            out.append((a, b, kind, _low(surface)))
-        elif kind in ("CARD", "PHONE", "SSN"):
-            digits = _DIGITS.sub("", surface)
-            digits = "".join(str(unicodedata.digit(c)) for c in digits)
-            if kind == "CARD" and not luhn(digits):
-                continue
-            if kind == "PHONE":
-                if not 8 <= len(digits) <= 15:
-                    continue
-                # With or without the country code 1 it is one number.
-                digits = digits[1:] if len(digits) == 11 and digits[0] == "1" else digits
-            out.append((a, b, kind, digits))
-        elif kind == "IBAN":
-            if _iban_ok(surface.replace(" ", "")):
-                out.append((a, b, kind, surface.replace(" ", "")))
-        elif kind == "NAME":
-            title, *rest = re.split(r"[ \xa0]", surface)
+    m = PATTERN.search(text)
+    while m:
+        if m.lastgroup == "NAME":
+            a, b = m.span("NAME")
+            title, *rest = re.split(r"[ \xa0]", text[a:b])
             words = []
             at = a + len(title) + 1
             for w in rest:
@@ -126,8 +176,13 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
                 k = "SURNAME" if i == len(words) - 1 else f"GIVEN_{gender.upper()}"
                 out.append((p, p + len(w), k, _low(w)))
                 known.setdefault(w, k)
+            taken = b if words else None
         else:
-            out.append((a, b, kind, surface))
+            one = _accept(text, m)
+            out += [one] if one else []
+            taken = one and one[1]
+        # Behind an entity; inside a match that is none, where another may begin.
+        m = PATTERN.search(text, m.start() + 1 if taken is None else taken)
     if known:  # later or earlier bare mentions of the same names
         taken = [(a, b) for a, b, *_ in out]
         again = re.compile(r"(?<!\w)(?:" + "|".join(sorted(map(re.escape, known), key=len, reverse=True)) + r")(?!\w)")

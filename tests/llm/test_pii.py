@@ -1,5 +1,8 @@
 """Detection, consistent and distinct surrogates, clean texts untouched."""
 
+import re
+
+import pyarrow.parquet as pq
 import pytest
 
 from shelfline.llm import pii
@@ -98,3 +101,36 @@ def test_surrogates_are_found_as_their_own_type(kind):
 
 def test_empty_table(spark):
     assert pii.replace(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@pytest.mark.parametrize(("text", "want"), [
+    ("+1 (826) 555-4081 190.137.223.204", [("PHONE", "8265554081"), ("IP", "190.137.223.204")]),
+    ("+1 (843) 555-7672 170.106.47.218", [("PHONE", "8435557672"), ("IP", "170.106.47.218")]),
+    ("+1 (663) 555-6869 123456", [("PHONE", "6635556869")]),
+    ("+1 (663) 555-6869 2024; +1 663 555 6869 2024; +16635556869 2024", [("PHONE", "6635556869")] * 3),
+    ("+49 30 1234567 2024, +49 30 1234567 123456, +49 (30) 123-4567 2024", [("PHONE", "49301234567")] * 3),
+    ("+44 20 7946 0958 2024, +44 20 7946 0958", [("PHONE", "442079460958")] * 2),
+    ("+48 601 123 456 2024 +33 1 23 45 67 89 2024", [("PHONE", "48601123456"), ("PHONE", "33123456789")]),
+    ("+49 30 190.137.223.204", [("IP", "190.137.223.204")]), ("+49 30.123.45.67", [("PHONE", "49301234567")]),
+    ("+359 88 812 3456 1.2.3.4", [("PHONE", "359888123456"), ("IP", "1.2.3.4")]),
+    ("+49 30 123 456 4111 1111 1111 1111", [("PHONE", "4930123456"), ("CARD", "4111111111111111")]),
+    ("+1 (663) 555-6869 2321bac4d15ec8f90433955bf9d3cf61da5bdd1e",
+     [("PHONE", "6635556869"), ("SECRET", "2321bac4d15ec8f90433955bf9d3cf61da5bdd1e")]),
+    ("+1 (663) 555-6869 12ab@x.org", [("PHONE", "6635556869"), ("EMAIL", "12ab@x.org")]),
+    ("1234 4111 1111 1111 1111", [("CARD", "4111111111111111")]), ("+4111111111111111", [("CARD", "4111111111111111")]),
+])
+def test_numbers_that_follow_a_number(text, want):
+    assert [(k, n) for _, _, k, n in pii.find(text)] == want
+
+
+def test_planted_values_are_found():
+    """Phones and IP addresses of the documents, searched for by patterns of their own."""
+    own = {"PHONE": re.compile(r"\+1 \(\d{3}\) 555-\d{4}"), "IP": re.compile(r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d.]*\d)")}
+    texts = pq.read_table("/root/testdata/sf0.1/documents.parquet", columns=["text"]).column(0).to_pylist()
+    planted = 0
+    for t in filter(None, texts):
+        want = {(*m.span(), k) for k, p in own.items() for m in p.finditer(t)}
+        if want:
+            planted += len(want)
+            assert want <= {x[:3] for x in pii.find(t)}, t
+    assert planted > 300
