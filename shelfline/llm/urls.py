@@ -42,7 +42,8 @@ RULES = (
 # Words that mark unwanted hosts.
 SEED_WORDS = ("adult", "bet", "bets", "casino", "cheap", "escort", "farm", "gambling", "loan", "pills", "poker",
               "porn", "sex", "slots", "spam", "track", "viagra", "win", "xxx")
-SEED_COUNT = 50  # added to their word counts, so that they can be told apart in a name
+SEED_SHARE = 5e-5  # of all words, added to their word counts, so that they can be told apart in a name
+_SEED_SET = frozenset(SEED_WORDS)
 _SEEDS = frozenset("h:" + w for w in SEED_WORDS)
 VOCABULARY = 100_000
 LONGEST_WORD = 24
@@ -89,13 +90,22 @@ def looks_bad(text: str) -> bool:
 
 
 class Segmenter:
-    """Splits a run of letters into its likeliest words."""
+    """Splits a run of letters into its likeliest words.
 
-    def __init__(self, counts: dict[str, int]):
-        total = sum(counts.values()) + 1
+    Only shares of the total count, so a larger corpus splits alike.  A seed
+    word in ``counts`` is likelier than the best split of it into other words.
+    """
+
+    def __init__(self, counts: dict[str, float]):
+        total = sum(counts.values()) or 1
         self._score = {w: math.log(n / total) for w, n in counts.items() if len(w) <= LONGEST_WORD}
-        self._unknown = math.log(1 / total) - 2.0
+        # Less likely than the rarest word.
+        self._unknown = math.log(min(counts.values(), default=1) / total) - 2.0
         self._seen: dict[str, list[str]] = {}
+        for seed in sorted(_SEED_SET & self._score.keys(), key=lambda w: (len(w), w)):
+            own = self._score.pop(seed)
+            parts = sum(self._score.get(w, self._unknown * len(w)) for w in self._split(seed))
+            self._score[seed] = max(own, parts + 1e-9)  # (more than sums of logarithms are off)
 
     def __call__(self, run: str) -> list[str]:
         words = self._seen.get(run)
@@ -161,15 +171,16 @@ def _word_counts(held: Counter, htmls: list) -> None:
         held.update((w,) for w in _PLAIN_WORD.findall(visible(html or "").lower()) if len(w) <= LONGEST_WORD)
 
 
-def unigrams(pages: DataFrame, html: str = "html", vocabulary: int = VOCABULARY) -> dict[str, int]:
+def unigrams(pages: DataFrame, html: str = "html", vocabulary: int = VOCABULARY) -> dict[str, float]:
     """The most frequent words of all pages with their counts (at most ``vocabulary``), and the seed words."""
     store.prepare(pages.sparkSession)
     counts = (pages.select(F.col(html)).mapInArrow(_counts(_word_counts, 1), "word string, n long")
               .groupBy("word").agg(F.sum("n").alias("n")))
     top = counts.orderBy(F.desc("n"), "word").limit(vocabulary).collect()
     counts = {r.word: r.n for r in top}
+    more = SEED_SHARE * (sum(counts.values()) or 1)
     for w in SEED_WORDS:
-        counts[w] = counts.get(w, 0) + SEED_COUNT
+        counts[w] = counts.get(w, 0) + more
     return counts
 
 
@@ -191,7 +202,7 @@ class NaiveBayes:
         return self.bias + sum(self.weight.get(w, 0.0) for w in words)
 
 
-def train(pages: DataFrame, segment_counts: dict[str, int], url: str = "url", html: str = "html",
+def train(pages: DataFrame, segment_counts: dict[str, float], url: str = "url", html: str = "html",
           vocabulary: int = VOCABULARY) -> NaiveBayes:
     """Count url words per label over all pages; keep the most frequent words."""
     spark = pages.sparkSession
@@ -216,7 +227,7 @@ def train(pages: DataFrame, segment_counts: dict[str, int], url: str = "url", ht
     return NaiveBayes([(r.label, r.word, r.n) for r in top if r.word], {r.label: r.n for r in top if not r.word})
 
 
-def judge(pages: DataFrame, segment_counts: dict[str, int], model: NaiveBayes, url: str = "url",
+def judge(pages: DataFrame, segment_counts: dict[str, float], model: NaiveBayes, url: str = "url",
           rules: tuple = RULES, prefix: str = "") -> DataFrame:
     """The pages plus host, path, rule, verdict, score (log odds of block) and words.
 

@@ -67,3 +67,23 @@ def test_weak_label():
     assert U.looks_bad("THE!! ER!! ORES,!!")
     assert not U.looks_bad("a plain sentence, with 5 % of nothing & more words to read here!")
     assert not U.looks_bad("")
+
+
+def test_seed_words_do_not_fade(frame):
+    """A thousand times the running text: the same words and verdicts, also where a seed's parts are common words."""
+    text = "we bet w in lo an po rn b et and the news of good words here "
+    urls = [f"http://news{i % 3}.org/en/" for i in range(30)]
+    urls += [f"http://{w}{i}.org/x" for w in ("winner", "loanhub", "win", "porn", "bet", "casinowin") for i in range(3)]
+    results = []
+    for times in (1, 1000):
+        pages = frame([(i, u, f"<p>{text * times}</p>") for i, u in enumerate(urls)], "page_id long, url string, html string")
+        counts = U.unigrams(pages)
+        rows = U.judge(pages, counts, U.train(pages, counts)).collect()
+        results.append({r.page_id: (r.verdict, r.words) for r in rows})
+    assert results[0] == results[1]
+    assert {results[0][i][0] for i in range(30)} == {"allow"}
+    for i in range(30, len(urls)):
+        assert results[0][i][0] == "block" or urls[i].startswith("http://winner"), urls[i]
+    segment = U.Segmenter(counts)
+    assert all(segment(w) == [w] for w in U.SEED_WORDS)
+    assert segment("casinowin") == ["casino", "win"]
