@@ -53,7 +53,7 @@ PATTERN = re.compile("|".join((
     r"(?P<EMAIL>(?<![\w.%+\-])[\w.%+\-]+@[^\W_](?:[\w\-]*[^\W_])?(?:\.[^\W_](?:[\w\-]*[^\W_])?)+)",
     r"(?:(?i:token|secret|password|passwd|api[_\-]?key|access[_\-]?key)[\"']?\s{0,3}[:=]\s{0,3}[\"']?)(?P<SECRET>[A-Za-z0-9+/_\-]{8,}={0,2})",
     r"(?P<SECRET2>(?<![A-Za-z0-9])(?:(?=[a-f]*\d)(?=\d*[a-f])[0-9a-f]{32,}|(?=[A-F]*\d)(?=\d*[A-F])[0-9A-F]{32,}|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{20,}|sk-[A-Za-z0-9\-]{20,})(?![A-Za-z0-9]))",
-    r"(?P<IBAN>(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?)(?![A-Za-z0-9]))",
+    r"(?P<IBAN>(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?![A-Za-z0-9]))",
     rf"(?P<IP>(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d))",
     r"(?P<CARD>(?<!\d)(?<!\d[.\-])(?:\d{13,19}|\d{4}(?:[ \-]\d{4}){2}[ \-]\d{1,7}|\d{4}[ \-]\d{6}[ \-]\d{5})(?![\d]))",
     r"(?P<PHONE>(?<![\d+])\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .\-]?\d{2,4}){1,4}(?!\d)"
@@ -69,6 +69,13 @@ _QUAD = re.compile(rf"{_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d)")
 #: Digits after the country code, for countries where all numbers have as many.
 PLANS = {"1": 10, "7": 10, "30": 10, "31": 9, "33": 9, "34": 9, "41": 9, "45": 8, "47": 8, "48": 9, "52": 10,
          "61": 9, "90": 10, "91": 10, "351": 9, "420": 9}
+#: Characters of a country's account numbers.
+IBAN_LENGTHS = {c: n for n, countries in {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU",
+    31: "MT SC", 32: "LC",
+}.items() for c in countries.split()}
 
 
 def _low(text: str) -> str:
@@ -90,6 +97,16 @@ def _iban_ok(text: str) -> bool:
     return int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
 
 
+def _iban_end(surface: str) -> int | None:
+    """Length of the account number that ``surface`` begins with: whole groups, as many as make the check digits hold."""
+    cuts = [len(surface), *(i for i in range(len(surface) - 1, 0, -1) if surface[i] == " ")]
+    cuts = [i for i in cuts if i - surface.count(" ", 0, i) >= 15]
+    # The country's own length first, then the longest.
+    own = IBAN_LENGTHS.get(surface[:2])
+    cuts.sort(key=lambda i: i - surface.count(" ", 0, i) != own)
+    return next((i for i in cuts if _iban_ok(surface[:i].replace(" ", ""))), None)
+
+
 def _plain(surface: str) -> str:
     """The digits of a number, as 0-9."""
     return "".join(str(unicodedata.digit(c)) for c in _DIGITS.sub("", surface))
@@ -150,7 +167,8 @@ def _accept(text: str, m: re.Match) -> tuple[int, int, str, str] | None:
             digits = digits[1:] if len(digits) == 11 and digits[0] == "1" else digits
         return a, b, kind, digits
     if kind == "IBAN":
-        return (a, b, kind, surface.replace(" ", "")) if _iban_ok(surface.replace(" ", "")) else None
+        n = _iban_end(surface)
+        return n and (a, a + n, kind, surface[:n].replace(" ", ""))
     return None if kind == "NAME" else (a, b, kind, surface)
 
 

@@ -134,3 +134,19 @@ def test_planted_values_are_found():
             planted += len(want)
             assert want <= {x[:3] for x in pii.find(t)}, t
     assert planted > 300
+
+
+@pytest.mark.parametrize(("text", "want"), [
+    ("ES9121000418450200051332 EUR 50", ["ES9121000418450200051332"]),
+    ("ES91 2100 0418 4502 0005 1332 THEN", ["ES9121000418450200051332"]),
+    ("BE68 5390 0754 7034 OK", ["BE68539007547034"]), ("AT611904300234573201 BIC X", ["AT611904300234573201"]),
+    ("ES91 2100 0418 4502 0005 1332 THEN MORE WORDS", ["ES9121000418450200051332"]),
+    ("NO93 8601 1117 947 NOK", ["NO9386011117947"]),
+    ("REF AB12 GB82 WEST 1234 5698 7654 32 EUR", ["GB82WEST12345698765432"]),
+    ("DE89 3704 0044 0532 0130 00 AND FR1420041010050500013M02606 BIC", ["DE89370400440532013000", "FR1420041010050500013M02606"]),
+    ("ES91 2100 0418 4502 0005 1333 THEN", []),
+])
+def test_account_numbers_before_words(text, want):
+    found = pii.find(text)
+    assert [(k, n) for _, _, k, n in found] == [("IBAN", w) for w in want]
+    assert [text[a:b].replace(" ", "") for a, b, _, _ in found] == want
