@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import bpe, chat, decontaminate, langid, pii, quality, simhash, store, suffix_dedup, token_scan, urls
+from shelfline.llm import (
+    bpe,
+    chat,
+    decontaminate,
+    langid,
+    negatives,
+    packing,
+    phrases,
+    pii,
+    quality,
+    simhash,
+    store,
+    suffix_dedup,
+    token_scan,
+    urls,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -102,6 +117,26 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("key").alias("doc_id"), "n_tokens")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    rows = _table(spark, sf_dir, "embeddings").select(
+        "vec_id", "embedding", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label).alias("label"))
+    found = negatives.mine(rows, F.col("vec_id") % 100 == 0)
+    return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(vocabulary("word_bpe_49k.json"), encoding="utf-8") as f:
+        spec = f.read()
+    pieces = packing.pack(_table(spark, sf_dir, "documents").select("doc_id", "text"), spec)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("text", F.coalesce("lang", F.lit("und")).alias("lang"))
+    return phrases.collocations(docs)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_decontamination": op2_decontamination,
@@ -113,6 +148,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_language_id": op9_language_id,
     "op10_token_counts": op10_token_counts,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_packing": op12_packing,
+    "op13_phrases": op13_phrases,
 }
 
 def _escaped(column: str) -> str:
@@ -155,4 +193,40 @@ ORACLE: dict[str, str] = {
                CAST(sum(CASE WHEN role = 'assistant' THEN 14 ELSE 13 END + length({_escaped('role')})
                         + length({_escaped('text')})) AS BIGINT) AS formatted_chars
         FROM t GROUP BY conv_id""",
+    "op11_hard_negatives": """
+        WITH e AS (
+            SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+            FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT a.r AS anchor, a.vec_id AS anchor_id, a.label AS own, e.r, e.vec_id, e.label,
+                     CAST(list_inner_product(a.v, e.v) AS BIGINT) AS score
+              FROM e a JOIN e ON a.r <> e.r WHERE a.vec_id % 100 = 0),
+        p AS (SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id NULLS LAST) AS k FROM s WHERE label = own),
+        n AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+                     row_number() OVER (PARTITION BY p.anchor, p.k ORDER BY s.score DESC, s.vec_id NULLS LAST) AS rank
+              FROM p JOIN s ON s.anchor = p.anchor AND s.label <> s.own AND 80 * p.score <= 100 * s.score AND s.score <= p.score
+              WHERE p.k <= 5)
+        SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5""",
+    "op13_phrases": r"""
+        WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+        w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+        f AS (SELECT lang, n, array_to_string(w[i + 1 : i + n], ' ') AS phrase, count(*) AS a
+              FROM w, unnest([1, 2, 3, 4]) AS s(n), unnest(range(0, len(w) - n + 1)) AS u(i) GROUP BY ALL),
+        total AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE n = 1 GROUP BY lang),
+        c AS (SELECT lang, n, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE n > 1 AND a >= 30),
+        cut AS (SELECT c.lang, c.phrase, c.a, h.a AS l, t.a AS r, k, CAST(2000000 AS HUGEINT) * c.a // (h.a + t.a) AS score
+                FROM c, unnest(range(1, c.n)) AS u(k)
+                JOIN f h ON h.lang = c.lang AND h.n = k AND h.phrase = array_to_string(c.w[1 : k], ' ')
+                JOIN f t ON t.lang = c.lang AND t.n = c.n - k AND t.phrase = array_to_string(c.w[k + 1 : c.n], ' ')),
+        best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        gone AS (SELECT DISTINCT i.lang, i.phrase FROM c i JOIN (
+                     SELECT lang, a, array_to_string(w[b + 1 : b + m], ' ') AS phrase
+                     FROM c, unnest([2, 3]) AS s(m), unnest(range(0, c.n - m + 1)) AS u(b) WHERE m < c.n) o
+                 ON o.lang = i.lang AND o.phrase = i.phrase AND 100 * CAST(o.a AS HUGEINT) >= 80 * CAST(i.a AS HUGEINT)),
+        ranked AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, encode(b.phrase)) AS rank
+                   FROM best b ANTI JOIN gone g ON g.lang = b.lang AND g.phrase = b.phrase)
+        SELECT ranked.lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+        FROM ranked JOIN total ON total.lang = ranked.lang WHERE rank <= 2000""",
 }
