@@ -14,8 +14,9 @@ A task holds one block of texts, or one group (at most a few thousand rests of
 less than a sequence).
 
 Texts are encoded word by word (between ASCII white space), with the distinct
-words of a task remembered up to ``CACHE_BYTES``: right for tokenizers that
-drop white space and never join words, which ``word_bpe_49k.json`` does.
+words a worker has met remembered up to ``CACHE_BYTES``: right for tokenizers that
+fold capitals, drop white space and never join words or a letter with a mark,
+which ``word_bpe_49k.json`` does.
 
 Defined cases: null and empty texts have the end id alone; rows that repeat a
 text or a key, or have a null key, are documents of their own; kept columns
@@ -25,6 +26,8 @@ named like a result column give way to it; an empty table gives no rows.
 from __future__ import annotations
 
 import os
+import sys
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,9 +42,10 @@ from shelfline.llm import store
 SIZE = 2048
 GROUP_DOCS = 2048
 END_ID = 1
-CACHE_BYTES = 64 << 20
+CACHE_BYTES = 128 << 20
 _STEP_WORDS = 100_000
 _SEED = 2048
+_MARKS = b"!\"#$%&()*+,-./:;<=>?@[]^_`{|}~"
 
 RESULT = (("start", LongType()), ("length", LongType()), ("ids", BinaryType()), ("doc_tokens", LongType()),
           ("sequence_id", LongType()), ("offset", LongType()))
@@ -50,28 +54,68 @@ RESULT = (("start", LongType()), ("length", LongType()), ("ids", BinaryType()),
 class WordEncoder:
     """Ids of whole texts (little-endian uint32 bytes), each distinct word encoded once."""
 
+    # Workers of both byte orders would need a swap here.
+    assert sys.byteorder == "little" and array("I").itemsize == 4
+
     def __init__(self, spec: str, special_as_text: bool = True):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_str(spec)
         self._tokenizer.encode_special_tokens = special_as_text
+        self._fold = special_as_text  # else a folded text might spell a special token
         self._known: dict[bytes, bytes] = {}
         self._held = 0
 
     def encode(self, text: bytes) -> bytes:
-        words = text.split()  # ASCII white space, as the input is bytes
+        # ASCII capitals are folded here, as the tokenizer folds all capitals.
+        words = (text.lower() if self._fold else text).split()  # ASCII white space, as the input is bytes
         return b"".join([self._part(words[i: i + _STEP_WORDS]) for i in range(0, len(words), _STEP_WORDS)])
 
     def _part(self, words: list[bytes]) -> bytes:
-        if self._held > CACHE_BYTES:
-            self._known, self._held = {}, 0
-        fresh = list(set(words).difference(self._known))
-        coded = self._tokenizer.encode_batch([w.decode() for w in fresh], add_special_tokens=False)
-        for word, c in zip(fresh, coded, strict=True):
-            self._known[word] = ids = np.array(c.ids, dtype="<u4").tobytes()
-            self._held += len(word) + len(ids) + 150
-        return b"".join(map(self._known.__getitem__, words))
+        ids = list(map(self._known.get, words))
+        if None in ids:
+            if self._held > CACHE_BYTES:
+                self._known, self._held = {}, 0
+                ids = [None] * len(words)
+            self._learn({w for w, i in zip(words, ids, strict=True) if i is None})
+            ids = map(self._known.__getitem__, words)
+        return b"".join(ids)
+
+    def _learn(self, words: set[bytes]) -> None:
+        parts = {w: self._cut(w) if w[-1] in _MARKS else (w,) for w in words}
+        fresh = list({x for p in parts.values() for x in p}.difference(self._known))
+        coded = self._tokenizer.encode_batch_fast([x.decode() for x in fresh], add_special_tokens=False)
+        for x, c in zip(fresh, coded, strict=True):
+            self._keep(x, array("I", c.ids).tobytes())
+        for w, p in parts.items():
+            if len(p) > 1:
+                self._keep(w, self._known[p[0]] + self._known[p[1]])
+
+    def _keep(self, word: bytes, ids: bytes) -> None:
+        self._known[word] = ids
+        self._held += len(word) + len(ids) + 150
+
+    def _cut(self, word: bytes) -> tuple[bytes, ...]:
+        """A word and the marks behind it, which are tokens of their own after a letter or digit."""
+        core = word.rstrip(_MARKS)
+        if not self._fold or len(core) == len(word) or not core:
+            return (word,)
+        last = core.decode()[-1]
+        # (A capital may fold into a letter and a combining mark, which joins the marks.)
+        return (core, word[len(core):]) if last.isalnum() and last.lower()[-1].isalnum() else (word,)
+
+
+_ENCODERS: dict[tuple, WordEncoder] = {}
+
+
+def worker_encoder(spec: str, special_as_text: bool) -> WordEncoder:
+    """This worker's encoder: what a task has learnt serves the worker's next task."""
+    key = (hash(spec), special_as_text)
+    if key not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[key] = WordEncoder(spec, special_as_text)
+    return _ENCODERS[key]
 
 
 class Bins:
@@ -161,7 +205,7 @@ def _pieces(shared, end_id: int, size: int, keep: int, names: list[str]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Whole sequences of every document, then its rest."""
-        encoder = WordEncoder(*shared.value)
+        encoder = worker_encoder(*shared.value)
         for rows, buf, offsets in B.slices(batches, "__text"):
             row, start, ids, total = [], [], [], []
             for i in range(rows.num_rows):

@@ -32,7 +32,7 @@ def texts():
     some = lambda n: " ".join(rnd.choice(words) for _ in range(n))
     out = [some(rnd.randint(0, 120)) for _ in range(150)]
     out += ["", None, "áb é\ńx", "I'LL don't ΣΑΣ Ünïcode x\x1cy", "<|endoftext|> <|startoftext|>", "  \t\r\n ",
-            "東京タワー 123 ①²", some(5000), "z" * 30_000, "İstanbul ǅ ﬁ"]
+            "東京タワー 123 ①²", some(5000), "z" * 30_000, "İstanbul ǅ ﬁ", "word,$$$ É... İ, é, e\u0301, I\u0307. x\u0307, 5!! »,, don't. a-b- ’s, ①. ½; 's' A'S,"]
     return out + out[:3] * 4
 
 
