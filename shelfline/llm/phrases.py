@@ -7,18 +7,20 @@ letters, pieces end at ``[.,;:!?\x0A-\x0D]``, words are ``[^\x20\x09]+``.
    occurrence lies in one shard, so a phrase found ``support`` times has
    support / shards or more in some shard.  Each shard is mined completely at
    that lower support (as 64-bit hashes, summed up per task before they are
-   shuffled by shard and phrase).  A shard is many tasks, so mining one is a
-   job of any size, and the local support stays the same however much data
-   there is.
+   shuffled by shard and phrase), for 1 word, then 2, 3 and 4: a phrase is
+   counted only if both its parts of one word less are locally frequent in some
+   shard, as they are wherever the phrase is.  A shard is many tasks, so mining
+   one is a job of any size, and the local support stays the same however much
+   data there is.
 2. Union.  Locally frequent phrases of all shards go into one bitmap of fixed
    size (2^``BITMAP_BITS`` bits).  It has all candidates; other phrases pass
-   only where they share a bit.
-3. Global counts.  A second scan counts every phrase that passes, by its text,
-   and all single words.  Sums of ``support`` or more are exact: no phrase with
+   only where they share a bit, which costs work and changes no result.
+3. Global counts.  A last scan counts every phrase that passes, by its text,
+   and the number of words.  Sums of ``support`` or more are exact: no phrase with
    so many occurrences is missed by step 1, and all its occurrences pass.
 4. Scores: see ``score``.
 
-Within a block of texts (a few MB) equal phrases are told by a 64-bit hash,
+Within a block of texts (about 1 MB) equal phrases are told by a 64-bit hash,
 between blocks by their text.
 
 Defined cases: null and empty texts have no words; a null language is a
@@ -42,12 +44,14 @@ from shelfline.llm import store
 
 LONGEST = 4
 SUPPORT = 30
-SHARDS = 6
+SHARDS = 3
 TOP = 2000
 CONTAINED = 80
 SCALE = 2_000_000
 BITMAP_BITS = 26
-_BLOCK = 8 << 20
+_BLOCK = 1 << 20
+_HELD = 1 << 20
+_ARROW = 1 << 16
 _SALTS = 64
 
 _BREAK = B.byte_table(b".,;:!?" + bytes(range(0x0A, 0x0E)))
@@ -117,20 +121,47 @@ def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return ranked[lead], order[lead], np.diff(np.append(lead, len(keys)))
 
 
-def _mine(longest: int, shards: int):
+def _merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of (key, count) arrays by key."""
+    keys, counts = (np.concatenate(x) for x in zip(*held, strict=True))
+    order = np.argsort(keys)
+    ranked = keys[order]
+    lead = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])) if len(keys) else np.empty(0, np.int64)
+    return ranked[lead], np.add.reduceat(counts[order], lead) if len(lead) else counts
+
+
+def _mine(n: int, shards: int, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(shard, phrase hash, occurrences) of every block of this task."""
+        """(shard, phrase hash, occurrences) of this task's phrases of ``n`` words whose parts pass."""
         from pyspark import TaskContext
 
         shard = TaskContext.get().partitionId() % shards
-        for rows, buf, offsets in B.slices(batches, "text", _BLOCK):
-            language, _, _ = _languages(rows)
-            block = _Block(buf, offsets)
-            for n in range(2, longest + 1):
-                key, count = np.unique(block.keys(block.phrases(n), n, language), return_counts=True)
+
+        def rows(keys, counts):
+            for i in range(0, len(keys), _ARROW):
+                key, count = keys[i: i + _ARROW], counts[i: i + _ARROW]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(key), shard, np.int32)), pa.array(key.view(np.int64)), pa.array(count.astype(np.int64))],
                     names=["shard", "key", "count"])
+
+        held, size = [], 0
+        for batch, buf, offsets in B.slices(batches, "text", _BLOCK):
+            language, _, _ = _languages(batch)
+            block = _Block(buf, offsets)
+            at = block.phrases(n)
+            if shared is not None:
+                at = at[_passes(shared.value, block.keys(at, n - 1, language))]
+                at = at[_passes(shared.value, block.keys(at + 1, n - 1, language))]
+            held.append(np.unique(block.keys(at, n, language), return_counts=True))
+            size += len(held[-1][0])
+            if size >= _HELD:
+                held = [_merged(held)]
+                size = len(held[0][0])
+                if size >= _HELD // 2:
+                    yield from rows(*held[0])
+                    held, size = [], 0
+        if held:
+            yield from rows(*_merged(held))
     return run
 
 
@@ -166,26 +197,30 @@ def _count(longest: int, shared):
             for n in range(1, longest + 1):
                 at = block.phrases(n)
                 keys = block.keys(at, n, language)
-                if n > 1:
-                    ok = _passes(shared.value, keys)
-                    at, keys = at[ok], keys[ok]
+                ok = _passes(shared.value, keys)
+                at, keys = at[ok], keys[ok]
                 _, first, count = _distinct(keys)
-                yield made(number[block.doc[at[first]]], n, block.texts(at[first], n), count)
+                for i in range(0, len(first), _ARROW):
+                    some = at[first[i: i + _ARROW]]
+                    yield made(number[block.doc[some]], n, block.texts(some, n), count[i: i + _ARROW])
     return run
 
 
 def frequent(docs: DataFrame, text: str = "text", lang: str = "lang", longest: int = LONGEST, support: int = SUPPORT,
              shards: int = SHARDS, bitmap_bits: int = BITMAP_BITS) -> DataFrame:
-    """(lang, words, phrase, a): phrases and single words with ``support`` occurrences or more, exactly counted.
+    """(lang, words, phrase, a): phrases of one and more words with ``support`` occurrences or more, exactly counted.
 
     A row of zero words per language has the number of its word occurrences.
     """
     spark = docs.sparkSession
     store.prepare(spark)
     src = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
-    local = src.mapInArrow(_mine(longest, shards), "shard int, key long, count long").groupBy("shard", "key").agg(
-        F.sum("count").alias("count")).filter(F.col("count") >= -(-support // shards))
-    shared = spark.sparkContext.broadcast(_bitmap(local.select("key"), bitmap_bits))
+    found, shared = np.zeros(1 << (bitmap_bits - 6), dtype=np.uint64), None
+    for n in range(1, longest + 1):
+        local = src.mapInArrow(_mine(n, shards, shared), "shard int, key long, count long").groupBy("shard", "key").agg(
+            F.sum("count").alias("count")).filter(F.col("count") >= -(-support // shards))
+        found |= _bitmap(local.select("key"), bitmap_bits)
+        shared = spark.sparkContext.broadcast(found)
     parts = src.mapInArrow(_count(longest, shared), "lang string, words int, phrase string, count long")
     total = parts.groupBy("lang", "words", "phrase").agg(F.sum("count").alias("a"))
     return store.materialise(total.filter((F.col("words") == 0) | (F.col("a") >= support)))
