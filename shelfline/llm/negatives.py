@@ -281,7 +281,7 @@ def forest(keyed: DataFrame, tree_rows: int = TREE_ROWS, chunk_trees: int = CHUN
     side = F.array_join(F.transform(F.slice("vector", 1, 12), lambda v: F.when(v > 0, "1").otherwise("0")), "")
     dealt = anchors.select("row", "label", "vector", side.alias("side")).repartitionByRange(parts, "label", "side", "row")
     trees = dealt.sortWithinPartitions("label", "side", "row").select("row", "label", "vector").mapInArrow(_plant(tree_rows), _TREE)
-    return store.materialise(trees.withColumn("chunk", F.spark_partition_id()))
+    return store.materialise(trees.withColumn("chunk", F.pmod(F.xxhash64(F.col("rows")[0]), F.lit(parts))))
 
 
 def mine(rows: DataFrame, anchor: Column, vec_id: str = "vec_id", label: str = "label", vector: str = "embedding",
