@@ -86,6 +86,43 @@ def _scan(spark, sf):
     return rows.filter("kind = 'archive'").groupBy("zip_date", "status").agg(F.count("*").alias("archives"))
 
 
+def archive_files(spark, archives):
+    """Archives as files of the shared folder (a byte behind each, which readers pass over); their paths."""
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/archives-{uuid.uuid4().hex}"
+    (archives.select("zip_date", F.col("content").cast("string").alias("value"))
+     .write.option("maxRecordsPerFile", 1).partitionBy("zip_date").text(base))
+    return base
+
+
+def folder_date(path):
+    return F.regexp_extract(path, r"zip_date=([^/]+)/", 1)
+
+
+# Sizes that make every archive of the driver tables a large one, in many pieces, groups and blocks.
+RANGES = {"whole_bytes": 0, "piece_bytes": 1 << 16, "tail_bytes": 1 << 12, "group_bytes": 1 << 18, "block_bytes": 1 << 16}
+
+
+def _by_range(spark, archives):
+    return A.scan_archives(spark, archive_files(spark, archives), date_of=folder_date, name_filter="*.txt", **RANGES)
+
+
+@register("parse_records_by_range", with_ingest(f"""
+SELECT zip_date, file_name, delimiter, n_fields, {_FIELDS} FROM raw"""))
+def _parse_by_range(spark, sf):
+    rows = _by_range(spark, fixture_archives(spark, sf))
+    return rows.filter("kind = 'record'").select("zip_date", "file_name", "delimiter", "n_fields", *RAW_COLUMNS)
+
+
+@register("archive_scan_by_range", with_ingest(f"""
+SELECT zip_date, COUNT(DISTINCT l_orderkey // {ARCHIVE_ORDERS}) AS archives, 'ok' AS status FROM raw GROUP BY zip_date
+UNION ALL SELECT zip_date, COUNT(DISTINCT l_orderkey // {ARCHIVE_ORDERS}), 'corrupt' FROM raw GROUP BY zip_date"""))
+def _scan_by_range(spark, sf):
+    good = fixture_archives(spark, sf)
+    cut = good.withColumn("content", F.expr("substring(content, 1, length(content) - least(1000, length(content) div 2))"))
+    rows = _by_range(spark, good.union(cut))
+    return rows.filter("kind = 'archive'").groupBy("zip_date", "status").agg(F.count("*").alias("archives"))
+
+
 # ---------------------------------------------------------------------------
 # Nomenclatures
 # ---------------------------------------------------------------------------

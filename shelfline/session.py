@@ -122,3 +122,17 @@ def checkpoint(df):
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def write_once(df):
+    """Write a table into the checkpoint folder and read it back.
+
+    Like ``checkpoint``, but columnar: what reads it later reads its columns
+    only.  Written when called, with the settings of that moment.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/written-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

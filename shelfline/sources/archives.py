@@ -185,15 +185,25 @@ def decode_archives(archives: DataFrame) -> DataFrame:
     return members.repartition(F.col("zip_date"), F.col("file_seq")).mapInPandas(_tokenise, RECORD_SCHEMA)
 
 
-def scan_archives(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+# Packed bytes up to which one task may hold an archive.
+WHOLE_BYTES = 64 << 20
+
+
+def scan_archives(spark: SparkSession, paths: str | list[str], whole_bytes: int = WHOLE_BYTES, date_of=archive_date,
+                  name_filter: str = "*.zip", **ranges) -> DataFrame:
     """Decode archives into ``RECORD_SCHEMA`` rows.
 
     ``paths`` is a folder, or the files of the work list: only they are
-    listed and read.
+    listed and read.  Archives of more than ``whole_bytes`` are read by byte
+    ranges (``archive_ranges``, which ``ranges`` is handed to), with the same rows.
     """
     from shelfline.session import ship_package
+    from shelfline.sources import archive_ranges
 
     ship_package(spark)
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip")
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", name_filter)
     df = reader.load([paths] if isinstance(paths, str) else list(paths))
-    return decode_archives(df.select(archive_date(F.col("path")).alias("zip_date"), "content"))
+    # (Sizes come from the listing; contents of large files are never asked for.)
+    large = sorted(r["path"] for r in df.filter(F.col("length") > whole_bytes).select("path").collect())
+    small = decode_archives(df.filter(F.col("length") <= whole_bytes).select(date_of(F.col("path")).alias("zip_date"), "content"))
+    return small.unionByName(archive_ranges.scan(spark, large, date_of, **ranges)) if large else small

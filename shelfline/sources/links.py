@@ -8,34 +8,45 @@ present yet, or whose date is on/after a force date.
 
 from __future__ import annotations
 
+import html
+import re
+from html.entities import html5
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+from shelfline.session import ship_package
 
 _COMMENT = r"(?s)<!--.*?(?:-->|$)"
 _VALUE = r"""(?:"[^"]*"|'[^']*'|[^\s"'>]+)"""
 # An anchor's href: other attributes before it are skipped whole, so neither
 # data-href nor an href inside another attribute's value counts.
 _ANCHOR = (r"""(?is)<a(?:\s+(?!href\s*=)[^\s=>"'/]+(?:\s*=\s*""" + _VALUE + r""")?)*\s+href\s*=\s*(""" + _VALUE + ")")
-# The named character references that markup itself needs.
-_NAMED = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&"))
+# A character reference in an attribute: numbers with or without a semicolon,
+# names as far as they go.
+_REFERENCE = re.compile(r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[a-zA-Z][a-zA-Z0-9]*[;=]?)")
+
 
+def _dereference(found: re.Match) -> str:
+    """What a reference stands for: by number, by exact name, else itself.
+
+    (Before "=" a name is a parameter of a query, not a reference.)
+    """
+    ref = found[0]
+    return html.unescape(ref) if ref.startswith("&#") or ref[1:] in html5 else ref
 
-def unescape_html(text: Column) -> Column:
-    """Decode numeric character references and the five named ones."""
-    parts = F.split(text, "&#")
 
-    def decoded(part: Column) -> Column:
-        code = F.regexp_extract(part, r"^([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});", 1)
-        hexed = F.when(F.lower(code).startswith("x"), F.substring(code, 2, 8)).otherwise(F.conv(code, 10, 16))
-        char = F.decode(F.unhex(F.lpad(hexed, 8, "0")), "UTF-32")
-        return (F.when(code == "", F.concat(F.lit("&#"), part))
-                .otherwise(F.concat(char, F.substring(part, F.length(code) + 2, F.length(part)))))
+@F.pandas_udf(StringType())
+def unescape_html(text: pd.Series) -> pd.Series:
+    """Decode the character references of attribute values; bad ones never raise.
 
-    rest = F.transform(F.slice(parts, F.lit(2), F.size(parts)), decoded)
-    out = F.when(F.size(parts) > 1, F.concat(parts[0], F.array_join(rest, ""))).otherwise(text)
-    for name, char in _NAMED:
-        out = F.replace(out, F.lit(name), F.lit(char))
-    return out
+    All names of the standard and any number (zero, surrogates and what is
+    beyond the last character give U+FFFD): the standard library's tables, which
+    as an expression would be thousands of literals.
+    """
+    return text.map(lambda x: _REFERENCE.sub(_dereference, x), na_action="ignore")
 
 
 def resolve_url(base: Column, href: Column) -> Column:
@@ -85,13 +96,17 @@ def discover_links(pages: DataFrame, suffix: str = ".zip", url_col: str = "url",
     character references are decoded; relative links are resolved against
     the page URL.
     """
-    html = F.regexp_replace(F.col(html_col), _COMMENT, "")
-    found = F.explode(F.regexp_extract_all(html, F.lit(_ANCHOR), 1))
+    ship_package(pages.sparkSession)
+    shown = F.regexp_replace(F.col(html_col), _COMMENT, "")
+    found = F.explode(F.regexp_extract_all(shown, F.lit(_ANCHOR), 1))
     hrefs = pages.select(F.col(url_col).alias("base"), found.alias("href"))
     quoted = F.col("href").startswith('"') | F.col("href").startswith("'")
     bare = F.when(quoted, F.substring(F.col("href"), F.lit(2), F.length("href") - 2)).otherwise(F.col("href"))
-    hrefs = hrefs.select("base", F.trim(unescape_html(bare)).alias("href"))
+    hrefs = hrefs.select("base", unescape_html(bare).alias("href"))
+    # The ending is that of the value as written; a URL then has neither line
+    # breaks and tabs nor blanks before it.
     hrefs = hrefs.filter(F.lower(F.col("href")).endswith(suffix.lower()))
+    hrefs = hrefs.withColumn("href", F.regexp_replace(F.regexp_replace("href", r"[\t\r\n]", ""), r"^[\x00-\x20]+", ""))
     links = hrefs.select(remove_dot_segments(resolve_url(F.col("base"), F.col("href"))).alias("link")).distinct()
     return links.orderBy(F.col("link").desc())
 
@@ -105,7 +120,7 @@ def incremental_worklist(links: DataFrame, existing_names: DataFrame, force_from
                          suffix: str = ".zip") -> DataFrame:
     """Links to fetch: file not present yet, or its date (the stem) >= force date."""
     named = links.withColumn("file_name", link_file_name(F.col("link")))
-    named = named.withColumn("file_date", F.replace(F.col("file_name"), F.lit(suffix), F.lit("")))
+    named = named.withColumn("file_date", F.regexp_replace("file_name", f"(?i){re.escape(suffix)}$", ""))
     have = existing_names.select(F.col("file_name").alias("_have")).distinct()
     j = named.join(have, named.file_name == have._have, "left")
     keep = F.col("_have").isNull()

@@ -56,3 +56,45 @@ def test_incremental_worklist(spark):
     assert got == ["2026-04-03.zip"]
     got = [r.file_name for r in L.incremental_worklist(ls, have, force_from="2026-04-02").collect()]
     assert got == ["2026-04-03.zip", "2026-04-02.zip"]
+
+
+def test_references_never_raise(spark):
+    """Numbers of any size, surrogates, control codes, names with and without semicolon: as the standard library reads them."""
+    import html
+
+    from pyspark.sql import functions as F
+
+    refs = [f"&#{n};" for n in (0, 1, 9, 11, 13, 31, 65, 127, 128, 129, 150, 159, 160, 0xD7FF, 0xD800, 0xDFFF, 0xFDD0, 0xFFFD, 0xFFFE,
+                                0x1F600, 0x1FFFF, 0x10FFFD, 0x10FFFF, 1114112, 9999999, 10**30)]
+    refs += ["&#xD800;", "&#X41;", "&#x0000041", "&#65", "&#00065;", "&#xFFFFFFFFFFFFFFFFFFFF;", "&amp;", "&AMP;", "&amp", "&eacute;",
+             "&NotEqualTilde;", "&CounterClockwiseContourIntegral;", "&copy", "&nosuch;", "&;", "&", "&&#65;&", "&#;", "&#x;", "&lt;&gt;&quot;&apos;"]
+    cases = [(r, f"{r}{a}x.zip") for r in refs for a in ("", "&", ";")]
+    df = spark.createDataFrame(cases, "ref string, text string").repartition(3)
+    got = {r.text: r.out for r in df.select("text", L.unescape_html(F.col("text")).alias("out")).collect()}
+    for ref, text in cases:
+        want = html.unescape(text)
+        if text.startswith(("&copyx", "&ampx")):
+            want = text
+        assert got[text] == want, text
+
+
+def test_a_name_before_an_equals_sign_is_a_parameter(spark):
+    assert links(spark, '<a href="d.zip?a=1&copy=2&lt;=.zip">x</a>') == ["https://example.org/d.zip?a=1&copy=2<=.zip"]
+
+
+def test_bad_references_do_not_hide_other_links(spark):
+    html = ('<a href="a&#1114112;.zip">1</a><a href="b&#xD800;.zip">2</a><a href="c&#9999999;.zip">3</a><a href="d&eacute;.zip">4</a>'
+            '<a href="e&#99999999999999999999;.zip">5</a><a href="f.zip">6</a>')
+    assert links(spark, html) == [
+        f"https://example.org/{x}.zip" for x in ("f", "e\ufffd", "dé", "c\ufffd", "b\ufffd", "a\ufffd")]
+
+
+def test_blanks_around_a_link(spark):
+    html = '<a href="  x.zip">1</a><a href="y.zip ">2</a><a href="z\n\t.zip">3</a>'
+    assert links(spark, html) == ["https://example.org/z.zip", "https://example.org/x.zip"]  # "y.zip " has another ending
+
+
+def test_worklist_takes_the_ending_only(spark):
+    ls = spark.createDataFrame([("https://e.org/a.zip.zip",), ("https://e.org/2026-04-09.ZIP",)], "link string")
+    have = spark.createDataFrame([], "file_name string")
+    assert [r.file_date for r in L.incremental_worklist(ls, have).collect()] == ["a.zip", "2026-04-09"]
