@@ -289,8 +289,9 @@ def ingest_records(spark: SparkSession, records: DataFrame, root: str, noms: Nom
 
     Shared by the batch job and the streaming micro-batches.  Order of the
     writes: staging, dimensions (published), facts, quality, log of processed
-    dates.  A failure anywhere leaves the dates on the work list; a rerun
-    finds the keys that were published and gives the same facts.
+    dates, which commits all of them at once.  A failure anywhere leaves every
+    date as it was and on the work list; a rerun finds the keys that were
+    published and gives the same facts.
     """
     from shelfline.sources import warehouse as W
 
@@ -315,9 +316,9 @@ def ingest_records(spark: SparkSession, records: DataFrame, root: str, noms: Nom
     W.write_dims(spark, root, dims, version)
     written = {name: SizedFrame(W.read_dim(spark, root, name, version)) for name in schemas.DIMENSIONS}
     with_rows = {r["zip_date"] for r in keys.filter("_dim = 'date'").select("zip_date").collect()}
-    W.write_facts(spark, root, resolve_fact_keys(rows, written), processed, with_rows)
+    W.write_facts(spark, root, resolve_fact_keys(rows, written), version)
     W.append_quality(root, quality_report(rows, members, archives, noms, keys), run_ts)
-    W.log_processed(spark, root, processed, run_ts, version)
+    W.log_processed(spark, root, processed, run_ts, version, with_rows)
     quality = W.read_quality(spark, root, run_ts)
     W.drop_staging(spark, root, version)
     return IngestResult(processed, max(processed), quality)

@@ -4,14 +4,17 @@ Layout of a warehouse folder::
 
     <root>/dims/<version>/dim_<name>/   Parquet tables of one version
     <root>/dims/_versions/              one empty file per published version
-    <root>/facts/zip_date=YYYY-MM-DD/   fact rows, one partition per archive date
-    <root>/processed/                   log of processed dates and the version they used
+    <root>/facts/run=<version>/zip_date=YYYY-MM-DD/   fact rows of one run
+    <root>/processed/                   log: which run's facts are a date's facts
     <root>/quality/                     appended quality reports
     <root>/staging/<version>/           cleaned records of a run
 
 A run writes a version no other run ever wrote, publishes it, writes the facts
-that use its keys, and logs the dates last.  Whatever step fails, a rerun
-finds the dates still on its work list and the keys already given.
+that use its keys into a folder of its own, and logs the dates last.  The log's
+one new file is the commit of all its dates: before it readers see every date's
+old facts, after it every date's new ones.  Whatever step fails, a rerun finds
+the dates still on its work list and the keys already given.  What failed or
+superseded runs left is removed by ``vacuum``.
 
 A version is published by creating ``_versions/<number>.<version>``: one file
 creation, so readers see the old version or the new one.  The highest number
@@ -23,6 +26,7 @@ errors, never an empty warehouse.
 from __future__ import annotations
 
 import datetime as _dt
+import re
 import uuid
 from dataclasses import dataclass
 
@@ -153,64 +157,111 @@ FACT_FILE_SCHEMA = T.StructType(
 )
 
 
-def read_facts(spark: SparkSession, root: str) -> DataFrame:
-    """All fact partitions; ``zip_date`` stays an ISO string (explicit schema)."""
-    path = facts_path(root)
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], FACT_FILE_SCHEMA)
-    return spark.read.schema(FACT_FILE_SCHEMA).parquet(path)
-
-
 PROCESSED = T.StructType([T.StructField("zip_date", T.StringType()),
                           T.StructField("run_ts", T.StringType()),
-                          T.StructField("version", T.StringType())])
+                          T.StructField("version", T.StringType()),
+                          T.StructField("has_rows", T.BooleanType())])
 
 
-def partition_dates(spark: SparkSession, root: str) -> DataFrame:
-    """Processed archive dates: fact partitions plus dates processed with no rows."""
+def _log(spark: SparkSession, root: str) -> DataFrame:
     path = f"{root.rstrip('/')}/processed"
     if not path_exists(spark, path):
-        return spark.createDataFrame([], PROCESSED).select("zip_date")
-    return spark.read.schema(PROCESSED).parquet(path).select("zip_date").distinct()
+        return spark.createDataFrame([], PROCESSED)
+    return spark.read.schema(PROCESSED).parquet(path)
+
+
+def current_runs(spark: SparkSession, root: str) -> dict[str, tuple[str, bool]]:
+    """Date -> (run whose facts count, whether it has rows): per date the run published last.
+
+    One entry per calendar day and run, so the log is read into the driver.
+    """
+    order = {v: i for i, v in enumerate(published_versions(spark, dims_path(root)))}
+    last: dict[str, tuple[int, str, bool]] = {}
+    for r in _log(spark, root).collect():
+        if r["version"] not in order:
+            raise RuntimeError(f"facts use dimension versions that are gone: {[r['version']]}")
+        last[r["zip_date"]] = max(last.get(r["zip_date"], (-1, "", False)), (order[r["version"]], r["version"], r["has_rows"]))
+    return {d: (version, rows) for d, (_, version, rows) in last.items()}
+
+
+def run_path(root: str, version: str) -> str:
+    return f"{facts_path(root)}/run={version}"
+
+
+def read_facts(spark: SparkSession, root: str) -> DataFrame:
+    """All dates' facts; ``zip_date`` stays an ISO string (explicit schema).
+
+    Only the folders that the log names are listed; one that is gone is an error.
+    """
+    paths = [f"{run_path(root, version)}/zip_date={d}" for d, (version, rows) in sorted(current_runs(spark, root).items()) if rows]
+    if not paths:
+        return spark.createDataFrame([], FACT_FILE_SCHEMA)
+    facts = spark.read.schema(FACT_FILE_SCHEMA).option("basePath", facts_path(root)).parquet(*paths)
+    return facts.select(*FACT_FILE_SCHEMA.fieldNames())
+
+
+def partition_dates(spark: SparkSession, root: str) -> DataFrame:
+    """Processed archive dates, also those without rows."""
+    return _log(spark, root).select("zip_date").distinct()
 
 
 def check_versions(spark: SparkSession, root: str) -> None:
     """Refuse a warehouse whose log names a dimension version that is not published."""
-    path = f"{root.rstrip('/')}/processed"
-    if not path_exists(spark, path):
-        return
-    used = {r["version"] for r in spark.read.schema(PROCESSED).parquet(path).select("version").distinct().collect()}
+    used = {r["version"] for r in _log(spark, root).select("version").distinct().collect()}
     lost = used - set(published_versions(spark, dims_path(root)))
     if lost:
         raise RuntimeError(f"facts use dimension versions that are gone: {sorted(lost)}")
 
 
-def write_facts(spark: SparkSession, root: str, fact: DataFrame, processed: list[str],
-                dates_with_rows: set[str]) -> None:
-    """Replace exactly the processed dates' partitions (dynamic overwrite).
+def write_facts(spark: SparkSession, root: str, fact: DataFrame, version: str) -> None:
+    """Write a run's facts into its own folder; nobody reads them before the log names the run.
 
     The write is rebalanced by date: adaptive execution sizes the files of
     each date and splits a skewed date (or a store holding a third of the
     rows) over several writers, without the extra sampling pass a range
     partitioning would run over the whole join pipeline.  Rows are sorted
-    within files by (store, product) for min/max skipping.  A processed date
-    without valid rows loses its stale partition.
+    within files by (store, product) for min/max skipping.
     """
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     (fact.hint("rebalance", "zip_date")
          .sortWithinPartitions("zip_date", "store_key", "product_key")
-         .write.mode("overwrite").partitionBy("zip_date").parquet(facts_path(root)))
-    for d in sorted(set(processed) - set(dates_with_rows)):
-        part = f"{facts_path(root)}/zip_date={d}"
-        if path_exists(spark, part):
-            fs, p = _fs(spark, part)
-            fs.delete(p, True)
-
-
-def log_processed(spark: SparkSession, root: str, processed: list[str], run_ts: str, version: str) -> None:
-    """Append the processed dates: the last write of a run."""
-    run = spark.createDataFrame([(d, run_ts, version) for d in processed], PROCESSED).coalesce(1)
-    run.write.mode("append").parquet(f"{root.rstrip('/')}/processed")
+         .write.mode("errorifexists").partitionBy("zip_date").parquet(run_path(root, version)))
+
+
+def log_processed(spark: SparkSession, root: str, processed: list[str], run_ts: str, version: str,
+                  dates_with_rows: set[str]) -> None:
+    """Append the processed dates in one file: the commit of a run, and its last write."""
+    rows = [(d, run_ts, version, d in dates_with_rows) for d in processed]
+    spark.createDataFrame(rows, PROCESSED).coalesce(1).write.mode("append").parquet(f"{root.rstrip('/')}/processed")
+
+
+def _written_at(version: str) -> str:
+    """The UTC time (YYYYMMDDTHHMMSS) in a version's name; "" if it has none."""
+    found = re.search(r"(\d{8}T\d{6})-[0-9a-f]{8}$", version)
+    return found[1] if found else ""
+
+
+def vacuum(spark: SparkSession, root: str, before: str, keep_versions: int = 2) -> list[str]:
+    """Remove what no reader can reach any more; returns the folders removed.
+
+    Fact runs that the log names for no date, dimension and serving versions
+    that are unpublished, or published and neither among the newest
+    ``keep_versions`` nor named by the log, and staging folders.  Only names
+    with a time earlier than ``before`` (UTC, ``YYYYMMDDTHHMMSS``) go, so a
+    running job keeps its own.
+    """
+    root = root.rstrip("/")
+    named = {r["version"] for r in _log(spark, root).select("version").distinct().collect()}
+    used = {version for version, _ in current_runs(spark, root).values()}
+    doomed = [f"{root}/facts/{n}" for n in _names(spark, f"{root}/facts") if n.startswith("run=") and n[4:] not in used]
+    doomed += [f"{root}/staging/{n}" for n in _names(spark, f"{root}/staging")]
+    for folder, needed in ((dims_path(root), named), (f"{root}/serving", set())):
+        newest = set(published_versions(spark, folder)[-keep_versions:])
+        doomed += [f"{folder}/{n}" for n in _names(spark, folder) if not n.startswith(("_", ".")) and n not in newest | needed]
+    old = [path for path in doomed if "" < _written_at(path.rsplit("/", 1)[1]) < before]
+    for path in old:
+        fs, p = _fs(spark, path)
+        fs.delete(p, True)
+    return old
 
 
 def staging_path(root: str, version: str) -> str:

@@ -186,6 +186,43 @@ def test_rerun_after_a_failed_write(spark, archives, noms, tmp_path, monkeypatch
     assert natural(spark, root) == _CLEAN[0]
 
 
+@pytest.mark.parametrize("step", ["half_of_the_facts", "log_processed"])
+def test_forced_rerun_that_dies_leaves_every_date_whole(spark, archives, noms, tmp_path, monkeypatch, step):
+    """Old facts for every date until the log's one write, new facts for every date after it."""
+    root = str(tmp_path / "wh")
+    I.run_ingest(spark, archives, root, noms)
+    before = natural(spark, root)
+    for day in ("01", "05"):
+        write_zip(os.path.join(archives, f"2026-04-{day}.zip"), {"Chain A_111.csv": HEADER + f"68134,Shop New,Bread,P{day},2,1.5,\n"})
+
+    def die(*a, **k):
+        raise OSError("lost")
+
+    def half(spark, root, fact, version):
+        whole(spark, root, fact.filter("zip_date = '2026-04-01'"), version)
+        raise OSError("lost")
+
+    whole = W.write_facts
+    with monkeypatch.context() as m:
+        m.setattr(W, "write_facts" if step == "half_of_the_facts" else step, half if step == "half_of_the_facts" else die)
+        with pytest.raises(OSError, match="lost"):
+            I.run_ingest(spark, archives, root, noms, force_from="2026-04-01")
+    assert natural(spark, root) == before
+    I.run_ingest(spark, archives, root, noms, force_from="2026-04-01")
+    facts = W.read_facts(spark, root)
+    assert {d: facts.filter(f"zip_date = '2026-04-{d}'").count() for d in ("01", "05")} == {"01": 1, "05": 1}
+    left = natural(spark, root)
+    # Nothing that counts is removed, and nothing of a run that may still be on its way.
+    assert W.vacuum(spark, root, "20000101T000000") == []
+    gone = W.vacuum(spark, root, "99991231T000000", keep_versions=1)
+    assert any("/facts/run=" in x for x in gone)
+    assert natural(spark, root) == left
+    assert W.vacuum(spark, root, "99991231T000000", keep_versions=1) == []
+    I.run_ingest(spark, archives, root, noms)  # the log still finds its versions
+    run_sync(spark, root)
+    assert read_serving(spark, root).lookback.count() > 0
+
+
 def test_lost_versions_are_an_error(spark, archives, noms, tmp_path):
     root = str(tmp_path / "wh")
     I.run_ingest(spark, archives, root, noms)
