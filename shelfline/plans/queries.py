@@ -21,6 +21,7 @@ from shelfline.functions.prices import (
     price_columns_for_offset,
 )
 from shelfline.operators.lookback import build_lookback, latest_date, latest_dates, processed_dates
+from shelfline.operators import serving_index as ix
 from shelfline.operators.projection import star_projection, store_snowflake
 from shelfline.sources.warehouse import Star
 
@@ -37,11 +38,15 @@ OPTION_DIMENSIONS = ("settlement", "category", "company", "store", "date")
 
 @dataclass
 class Serving:
-    """The serving surface: lookback fact, browse projection, dimensions."""
+    """The serving surface: lookback fact, browse projection, dimensions, and indexes where they are published."""
 
     star: Star
     lookback: DataFrame
     projection: DataFrame
+    summary: DataFrame | None = None
+    pages: DataFrame | None = None
+    page_counts: DataFrame | None = None
+    trigrams: DataFrame | None = None
 
 
 def serving_from_star(star: Star) -> Serving:
@@ -68,6 +73,29 @@ def name_contains(df: DataFrame, text: str | None, column: str = "product_name")
     return df
 
 
+def name_search(sv: Serving, df: DataFrame, text: str | None) -> DataFrame:
+    """``name_contains`` by the trigram index: the same rows, read by name.
+
+    Few names become an IN filter, which the scan's statistics skip by (the
+    projection is sorted by name); more become a semi-join.  The pattern is
+    checked again on every row.  Patterns without three letters in a row, and
+    serving versions without the index, are scanned.
+    """
+    if not text or sv.trigrams is None:
+        return name_contains(df, text)
+    low = df.sparkSession.range(1).select(F.lower(F.lit(like_pattern(f"%{text}%"))).alias("p")).first()["p"]
+    wanted = ix.pattern_trigrams(low)
+    if not wanted:
+        return name_contains(df, text)
+    names = ix.names_with(sv.trigrams, wanted)
+    few = [r["name"] for r in names.limit(ix.LISTED_NAMES + 1).collect()]
+    if len(few) <= ix.LISTED_NAMES:
+        found = df.filter(F.col("product_name").isin(few)) if few else df.filter(F.lit(False))
+    else:
+        found = df.join(names.withColumnRenamed("name", "product_name"), "product_name", "left_semi")
+    return name_contains(found, text)
+
+
 def like_pattern(pattern: str) -> str:
     """A LIKE pattern where a backslash may stand before any character.
 
@@ -134,6 +162,32 @@ def browse_rows(sv: Serving, date_key=None, settlement_key=None, category_key=No
     return page.limit(int(limit)).select(*BROWSE_COLUMNS, *extra)
 
 
+def browse_search(sv: Serving, product_name: str, offset: int = 0, limit: int = BROWSE_PAGE_SIZE, **filters) -> DataFrame:
+    """A page of ``browse_rows`` with a name filter, through the trigram index."""
+    df = name_search(sv, projection_filters(sv.projection, **filters), product_name)
+    return df.orderBy(*ix.page_order()).offset(int(offset)).limit(int(limit)).select(*BROWSE_COLUMNS)
+
+
+def browse_page(sv: Serving, page: int, size: int = BROWSE_PAGE_SIZE, **filters) -> DataFrame:
+    """Page ``page`` (0-based) of the browse rows, however deep: only its ranges are read and sorted.
+
+    Without filters the ranges' counts are the published ones; with filters
+    the matching rows of each range are counted (a scan of the filter columns,
+    one row per range).  A task then keeps at most a range and a page.
+    """
+    offset, limit = page_window(page, size)
+    if sv.pages is None:
+        return browse_rows(sv, offset=offset, limit=limit, **filters)
+    rows = projection_filters(sv.pages, **filters)
+    given = any(v is not None for v in filters.values())
+    counts = rows.groupBy("range_id").agg(F.count(F.lit(1)).alias("rows")) if given else sv.page_counts
+    ranges, before = ix.ranges_of_page(counts, offset, limit)
+    if not ranges:
+        return rows.limit(0).select(*BROWSE_COLUMNS)
+    return (rows.filter(F.col("range_id").isin(ranges)).orderBy(*ix.page_order())
+            .offset(offset - before).limit(limit).select(*BROWSE_COLUMNS))
+
+
 def browse_after(sv: Serving, last: Row, seen: int = 1, limit: int = BROWSE_PAGE_SIZE, **filters) -> DataFrame:
     """The page after a row: its cost does not grow with the page's place.
 
@@ -235,18 +289,26 @@ def late_materialised_page(sv: Serving, offset: int = 0, limit: int = 10) -> Dat
                         effective_price().alias("effective_price")))
 
 
-def rows_as_json(df: DataFrame, order: list[str], columns: list[str] | None = None) -> DataFrame:
+JSON_ROWS = 100_000
+
+
+def rows_as_json(df: DataFrame, order: list[str], columns: list[str] | None = None, most: int = JSON_ROWS) -> DataFrame:
     """One row, one JSON array of the (bounded) page rows; empty -> ``[]``.
 
     NULL fields are kept, array order follows ``order`` (ASC, NULLs last).
-    Meant for a page or a grouped result, never for an unbounded frame.
+    Meant for a page or a grouped result: more than ``most`` rows are refused
+    when the query runs, before they meet in one row.
     """
     columns = columns or df.columns
+    # One row beyond the bound is enough to know; the rest is never gathered.
+    df = df.limit(most + 1)
     js = F.to_json(F.struct(*[F.col(c) for c in columns]), {"ignoreNullFields": "false"})
     key = F.struct(*[F.struct(F.col(c).isNull().alias("n"), F.col(c).alias("v")).alias(f"k{i}")
                      for i, c in enumerate(order)])
     agg = df.select(key.alias("k"), js.alias("j")).agg(
         F.sort_array(F.collect_list(F.struct("k", "j"))).alias("rows"))
+    too_many = F.raise_error(F.lit(f"more than {most} rows for one JSON text"))
+    agg = agg.select(F.when(F.size("rows") > most, too_many.cast(agg.schema["rows"].dataType)).otherwise(F.col("rows")).alias("rows"))
     return agg.select(F.concat(F.lit("["), F.array_join(F.transform("rows", lambda r: r["j"]), ","),
                                F.lit("]")).alias("json"))
 
@@ -261,18 +323,22 @@ def grouped_prices(sv: Serving, group1: str, group2: str | None = None, date_key
     """AVG/MIN/MAX of the null-keeping price and of positive promos per group.
 
     Partial aggregation runs before the shuffle, so one hot group costs one
-    partial row per task.
+    partial row per task.  Without a name or price filter the published
+    summary is grouped instead.
     """
     for g in (group1, group2):
         if g is not None and g not in GROUP_DIMENSIONS:
             raise ValueError(f"cannot group by {g!r}; choose one of {', '.join(GROUP_DIMENSIONS)}")
     if group1 is None:
         raise ValueError("group1 is required")
-    df = projection_filters(sv.projection, date_key, settlement_key, category_key,
-                            company_key, store_key, product_name, price_min, price_max)
     groups = [F.col(group1).alias("group1")]
     if group2 is not None:
         groups.append(F.col(group2).alias("group2"))
+    if sv.summary is not None and not product_name and price_min is None and price_max is None:
+        few = projection_filters(sv.summary, date_key, settlement_key, category_key, company_key, store_key)
+        return ix.grouped_from_summary(few, groups).orderBy(F.col("group1").asc_nulls_last())
+    df = projection_filters(sv.projection, date_key, settlement_key, category_key,
+                            company_key, store_key, product_name, price_min, price_max)
     promo = positive_promo()
     out = df.groupBy(*groups).agg(
         _avg(F.col("price")).alias("price_avg"),
@@ -291,13 +357,13 @@ def grouped_prices(sv: Serving, group1: str, group2: str | None = None, date_key
 
 def options(sv: Serving, dimension: str, date_key=None, settlement_key=None,
             category_key=None, company_key=None, store_key=None) -> DataFrame:
-    """Valid choices of one selector under the other four key filters."""
+    """Valid choices of one selector under the other four key filters (from the summary where it is published)."""
     if dimension not in OPTION_DIMENSIONS:
         raise ValueError(f"Unknown option dimension: {dimension}")
     filters = dict(date_key=date_key, settlement_key=settlement_key, category_key=category_key,
                    company_key=company_key, store_key=store_key)
     filters.pop(f"{dimension}_key")
-    df = key_filters(sv.projection, **filters)
+    df = key_filters(sv.projection if sv.summary is None else sv.summary, **filters)
     if dimension == "date":
         keys = df.select("date_key").distinct()
         dd = sv.star.dim_for_join("date").select("date_key", "date")

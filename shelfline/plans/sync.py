@@ -11,6 +11,8 @@ unchanged dims).
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +20,7 @@ from pyspark.sql import types as T
 from shelfline import schemas
 from shelfline.functions.conform import blank_to_null
 from shelfline.operators import serve as S
+from shelfline.operators import serving_index as ix
 from shelfline.operators.joins import SizedFrame
 from shelfline.operators.lookback import build_lookback, latest_dates
 from shelfline.operators.projection import star_projection
@@ -76,10 +79,29 @@ def run_sync(spark: SparkSession, root: str, version: str | None = None) -> str:
         df.hint("rebalance").write.mode("errorifexists").parquet(serving_path(root, version, f"dim_{name}"))
     dims = {name: SizedFrame(df) for name, df in _read_dims(spark, root, version).items()}
     write_projection(star_projection(lookback, Star(dims=dims, fact=star.fact)), serving_path(root, version, "projection"))
+    write_indexes(spark.read.parquet(serving_path(root, version, "projection")),
+                  lambda table: serving_path(root, version, table))
     W.publish_version(spark, _folder(root), version)
     return version
 
 
+_INDEXES = ("summary", "pages", "page_counts", "trigrams")
+
+
+def write_indexes(projection: DataFrame, path_of, range_rows: int = ix.RANGE_ROWS) -> None:
+    """Selector summary, page ranges and trigrams of a written projection."""
+    ix.build_summary(projection).hint("rebalance", "date_key").sortWithinPartitions(*ix.SELECTORS).write.mode(
+        "errorifexists").parquet(path_of("summary"))
+    ix.write_pages(projection, path_of("pages"), path_of("page_counts"), range_rows)
+    ix.write_trigrams(projection, path_of("trigrams"))
+
+
+def with_indexes(sv: Serving, path_of) -> Serving:
+    """The serving surface with the indexes that are written beside it."""
+    spark = sv.projection.sparkSession
+    return replace(sv, **{t: spark.read.parquet(path_of(t)) for t in _INDEXES if W.path_exists(spark, path_of(t))})
+
+
 def write_projection(projection: DataFrame, path: str) -> None:
     """Browse projection rebalanced by (date, product name): adaptive file
     sizes, rows spread over writers even when one date is the whole table,
@@ -98,6 +120,7 @@ def read_serving(spark: SparkSession, root: str, version: str | None = None) ->
     dims = {name: SizedFrame(df) for name, df in _read_dims(spark, root, version).items()}
     star = Star(dims=dims, fact=W.read_facts(spark, root), partition_col="zip_date",
                 dates=W.partition_dates(spark, root))
-    return Serving(star=star,
-                   lookback=spark.read.parquet(serving_path(root, version, "lookback")),
-                   projection=spark.read.parquet(serving_path(root, version, "projection")))
+    sv = Serving(star=star,
+                 lookback=spark.read.parquet(serving_path(root, version, "lookback")),
+                 projection=spark.read.parquet(serving_path(root, version, "projection")))
+    return with_indexes(sv, lambda table: serving_path(root, version, table))
