@@ -58,9 +58,9 @@ def _trigram(spark, sf):
     return q.browse_search(indexed(spark, sf), c.NAME)
 
 
-@register("browse_rows_trigram_wildcards", _page("product_name ILIKE '%ei_ht%bolt%' ESCAPE '\\' AND category_key IS NOT NULL", 0))
+@register("browse_rows_trigram_wildcards", _page("product_name ILIKE '%l_rge%bolt%' ESCAPE '\\' AND category_key IS NOT NULL", 0))
 def _trigram_wild(spark, sf):
-    return q.browse_search(indexed(spark, sf), "ei_ht%bolt")
+    return q.browse_search(indexed(spark, sf), "l_rge%bolt")
 
 
 @register("browse_rows_trigram_short", _page(f"product_name ILIKE '%E%' ESCAPE '\\' AND settlement_key = {c.SETTLEMENT}", 0))
