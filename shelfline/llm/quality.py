@@ -224,7 +224,8 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
     """Train on at most ``train_docs`` labelled documents (smallest id hashes).
 
     Only line features reach the driver, of documents up to ``TRAIN_CHARS``
-    characters; a document labelled twice counts as its worse label.
+    characters; a document labelled twice counts as its worse label, and an id
+    on several rows as the one with the smallest text hash.
     """
     store.prepare(docs.sparkSession)
     marks = (labels.filter(F.col(quality).isNotNull() & F.col(doc_id).isNotNull()).groupBy(doc_id)
@@ -234,9 +235,11 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
             .join(marks.withColumnRenamed(doc_id, "__doc"), "__doc")
             .select("__doc", "__quality").distinct().orderBy(F.xxhash64("__doc"), "__doc").limit(train_docs))
     # At most ``train_docs`` ids: a bounded set, so the texts are not shuffled.
+    one = F.min(F.struct(F.xxhash64("__text").alias("hash"), "__text")).alias("__one")
     rows = (docs.select(F.col(doc_id).alias("__doc"), F.col(text).alias("__text"))
             .filter(F.length("__text").between(1, TRAIN_CHARS)).join(F.broadcast(take), "__doc")
-            .select(F.col("__doc").cast("string").alias("key"), F.col("__quality").cast("int").alias("quality"), "__text")
+            .groupBy("__doc", "__quality").agg(one)
+            .select(F.col("__doc").cast("string").alias("key"), F.col("__quality").cast("int").alias("quality"), "__one.__text")
             .mapInArrow(_lines, "key string, quality int, features array<float>").collect())
     feats, doc, label = [], [], []
     for i, r in enumerate(sorted(rows, key=lambda r: (r.key, r.quality, r.features))):

@@ -165,6 +165,21 @@ _WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQR
           r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
 
 ORACLE: dict[str, str] = {
+    "op1_suffix_dedup": f"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        s AS MATERIALIZED (SELECT r, i, hash(substr(h, 2 * i + 1, {2 * suffix_dedup.LENGTH})) AS g
+              FROM d, unnest(range(0, length(h) // 2 - {suffix_dedup.LENGTH} + 1)) AS u(i)),
+        hit AS (SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS last FROM s
+                WHERE g IN (SELECT g FROM s GROUP BY g HAVING count(*) > 1)),
+        run AS (SELECT r, i, sum(CASE WHEN i <= last + {suffix_dedup.LENGTH} THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY i) AS k
+                FROM hit),
+        span AS (SELECT r, min(i) AS a, max(i) + {suffix_dedup.LENGTH} AS b FROM run GROUP BY r, k),
+        cut AS (SELECT span.r, a, b, h, lag(b, 1, 0) OVER (PARTITION BY span.r ORDER BY a) AS last FROM span JOIN d ON d.r = span.r),
+        kept AS (SELECT r, sum(b - a) AS n, count(*) AS k, max(b) AS b,
+                        string_agg(substr(h, 2 * last + 1, 2 * (a - last)), '' ORDER BY a) AS t FROM cut GROUP BY r)
+        SELECT doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(kept.n, 0) AS BIGINT) AS n_removed, coalesce(k, 0) AS n_spans,
+               sha256(unhex(coalesce(t, '') || substr(h, 2 * coalesce(b, 0) + 1))) AS kept_sha256
+        FROM d LEFT JOIN kept ON kept.r = d.r""",
     "op2_decontamination": f"""
         WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
         b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),

@@ -258,6 +258,8 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, bucket_rows: int = BUCK
     """
     if max_bits > MAX_BITS:
         raise ValueError(f"the segments are cut for at most {MAX_BITS} bits")
+    if max_bits % 2:  # two values an odd number of bits apart have no midpoint within half of it
+        raise ValueError("large buckets are linked through midpoints, which needs an even number of bits")
     spark = distinct.sparkSession
     store.prepare(spark)
     entries = distinct.toDF("fp").mapInArrow(_tables, "bucket long, fp long, probe byte")

@@ -81,3 +81,14 @@ def test_held_out_labels(spark):
     rows = Q.judge(docs, model).join(labels.filter("doc_id % 2 = 1"), "doc_id").filter("NOT base_failed").select("quality", "kept").collect()
     right = sum(r.kept == (r.quality == 1) for r in rows) / len(rows)
     assert right >= 0.97
+
+
+def test_training_rows_are_bounded_where_ids_repeat(spark, monkeypatch):
+    """An id on many rows is one document of the sample."""
+    seen = []
+    monkeypatch.setattr(Q, "train", lambda x, doc, label: seen.append(int(doc.max()) + 1))
+    docs = spark.createDataFrame([(i % 2, f"some text of row {i} here.\nand more") for i in range(62)], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(0, 1), (1, 0)], "doc_id long, quality int")
+    Q.fit(docs, labels, train_docs=1)
+    Q.fit(docs, labels)
+    assert seen == [1, 2]

@@ -109,3 +109,15 @@ def test_empty(spark):
     assert S.keep_one(empty).count() == 0
     with pytest.raises(ValueError, match="at most"):
         S.links(spark.createDataFrame([], "fp long"), max_bits=5)
+    for odd in (1, 3):
+        with pytest.raises(ValueError, match="even"):
+            S.links(spark.createDataFrame([], "fp long"), max_bits=odd)
+
+
+@pytest.mark.parametrize("bucket_rows", [S.BUCKET_ROWS, 1])
+def test_two_bits_lose_no_link_in_large_buckets(spark, bucket_rows):
+    pairs = [(0, 3), (1 << 40, (1 << 40) | 5), (7 << 50, (7 << 50) | 1), (1 << 60, (1 << 60) | 7)]
+    df = spark.createDataFrame([(x,) for p in pairs for x in p], "fp long")
+    roots = {r.node: r.root for r in S.connected(S.links(df, max_bits=2, bucket_rows=bucket_rows)).collect()}
+    same = [roots.get(a, a) == roots.get(b, b) for a, b in pairs]
+    assert same == [True, True, True, False]
