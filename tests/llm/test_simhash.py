@@ -116,7 +116,8 @@ def test_empty(spark):
 
 @pytest.mark.parametrize("bucket_rows", [S.BUCKET_ROWS, 1])
 def test_two_bits_lose_no_link_in_large_buckets(spark, bucket_rows):
-    pairs = [(0, 3), (1 << 40, (1 << 40) | 5), (7 << 50, (7 << 50) | 1), (1 << 60, (1 << 60) | 7)]
+    far = [0x123456789ABCDEF0, 0x7EDCBA9876543210, 0x0F1E2D3C4B5A6978, 0x5555AAAA3333CCCC]
+    pairs = [(x, x ^ mask) for x, mask in zip(far, (3, 5 << 40, 1 << 62, 7), strict=True)]
     df = spark.createDataFrame([(x,) for p in pairs for x in p], "fp long")
     roots = {r.node: r.root for r in S.connected(S.links(df, max_bits=2, bucket_rows=bucket_rows)).collect()}
     same = [roots.get(a, a) == roots.get(b, b) for a, b in pairs]
