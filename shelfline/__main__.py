@@ -44,11 +44,12 @@ def main(argv: list[str] | None = None) -> int:
             s.add_argument("--max-files-per-trigger", type=int, default=None)
     s = sub.add_parser("sync")
     s.add_argument("--root", required=True)
+    s.add_argument("--lookback-text", default=None)
     args = p.parse_args(argv)
 
     spark = _session()
     if args.cmd == "sync":
-        print(json.dumps({"serving_version": run_sync(spark, args.root)}))
+        print(json.dumps({"serving_version": run_sync(spark, args.root, lookback_text=args.lookback_text)}))
         return 0
     noms = Nomenclatures(settlement_lookup(spark, args.nomenclatures),
                          category_lookup(spark, args.nomenclatures))

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfline.functions.prices import positive_promo
 
@@ -75,11 +76,16 @@ def ranked_projection(projection: DataFrame, rows: int, range_rows: int = RANGE_
     return ordered.withColumn("range_id", F.spark_partition_id())
 
 
+def pages_schema(projection: DataFrame) -> T.StructType:
+    """Stated when the ranges are read: a partitioned table without rows has no file to infer it from."""
+    return T.StructType([*projection.schema.fields, T.StructField("range_id", T.IntegerType())])
+
+
 def write_pages(projection: DataFrame, path: str, counts_path: str, range_rows: int = RANGE_ROWS) -> None:
     """Write the ranges, each a partition of the table, and their row counts."""
     spark = projection.sparkSession
     ranked_projection(projection, projection.count(), range_rows).write.mode("errorifexists").partitionBy("range_id").parquet(path)
-    counts = spark.read.parquet(path).groupBy(F.col("range_id").cast("int").alias("range_id")).agg(F.count(F.lit(1)).alias("rows"))
+    counts = spark.read.schema(pages_schema(projection)).parquet(path).groupBy("range_id").agg(F.count(F.lit(1)).alias("rows"))
     counts.coalesce(1).write.mode("errorifexists").parquet(counts_path)
 
 

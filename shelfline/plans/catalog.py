@@ -454,3 +454,4 @@ from shelfline.plans import catalog_ingest  # noqa: E402,F401
 from shelfline.plans import catalog_more  # noqa: E402,F401
 from shelfline.plans import catalog_store  # noqa: E402,F401
 from shelfline.plans import catalog_index  # noqa: E402,F401
+from shelfline.plans import catalog_transfer  # noqa: E402,F401

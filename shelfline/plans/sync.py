@@ -26,6 +26,8 @@ from shelfline.operators.lookback import build_lookback, latest_dates
 from shelfline.operators.projection import star_projection
 from shelfline.plans.queries import Serving
 from shelfline.sources import warehouse as W
+from shelfline.sources.lookback_text import load as load_text_lookback
+from shelfline.sources.lookback_text import refuse
 from shelfline.sources.warehouse import Star
 
 SERVING_DATES = 3
@@ -66,13 +68,23 @@ def _read_dims(spark: SparkSession, root: str, version: str) -> dict[str, DataFr
             for name in schemas.DIMENSIONS}
 
 
-def run_sync(spark: SparkSession, root: str, version: str | None = None) -> str:
-    """Publish a serving version for the warehouse at ``root``; returns the version."""
+def run_sync(spark: SparkSession, root: str, version: str | None = None, lookback_text: str | None = None) -> str:
+    """Publish a serving version for the warehouse at ``root``; returns the version.
+
+    The lookback is built from the facts, or loaded from the stored text
+    partitions at ``lookback_text``; a cell there that cannot be typed raises
+    before anything is published.
+    """
     version = version or W.new_version()
     before = W.current_version(spark, _folder(root))
     W.begin_version(spark, _folder(root), version)
     star = W.read_star(spark, root)
-    build_lookback(star).write.mode("errorifexists").parquet(serving_path(root, version, "lookback"))
+    if lookback_text is None:
+        rows = build_lookback(star)
+    else:
+        rows, rejects = load_text_lookback(spark, lookback_text, f"{W.staging_path(root, version)}/lookback")
+        refuse(rejects)
+    rows.write.mode("errorifexists").parquet(serving_path(root, version, "lookback"))
     lookback = spark.read.parquet(serving_path(root, version, "lookback"))
     published = _read_dims(spark, root, before) if before else None
     for name, df in serving_dims(star, lookback, published).items():
@@ -82,6 +94,8 @@ def run_sync(spark: SparkSession, root: str, version: str | None = None) -> str:
     write_indexes(spark.read.parquet(serving_path(root, version, "projection")),
                   lambda table: serving_path(root, version, table))
     W.publish_version(spark, _folder(root), version)
+    if lookback_text is not None:
+        W.drop_staging(spark, root, version)
     return version
 
 
@@ -99,7 +113,9 @@ def write_indexes(projection: DataFrame, path_of, range_rows: int = ix.RANGE_ROW
 def with_indexes(sv: Serving, path_of) -> Serving:
     """The serving surface with the indexes that are written beside it."""
     spark = sv.projection.sparkSession
-    return replace(sv, **{t: spark.read.parquet(path_of(t)) for t in _INDEXES if W.path_exists(spark, path_of(t))})
+    schema = {"pages": ix.pages_schema(sv.projection)}
+    return replace(sv, **{t: (spark.read.schema(schema[t]) if t in schema else spark.read).parquet(path_of(t))
+                          for t in _INDEXES if W.path_exists(spark, path_of(t))})
 
 
 def write_projection(projection: DataFrame, path: str) -> None:
