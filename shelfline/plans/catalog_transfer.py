@@ -85,7 +85,7 @@ UNION ALL
 SELECT store_key, store_name, settlement_key, company_key FROM cust_st
 WHERE store_key NOT IN (SELECT store_key FROM rf_dim_store)"""))
 def _external(spark, sf):
-    path = _folder(spark, "target").removeprefix("file:")
+    path = _folder(spark, "target")
     before, after = _customer_stores(spark, sf), X.dim_store(spark, sf)
     external.upsert_into(before, path, "day1")
     external.upsert_into(after, path, "day2")

@@ -57,9 +57,10 @@ class FolderTarget(Target):
     """``<path>/parts/<run>/<name>.parquet`` and ``<path>/commits/<number>.json``."""
 
     def __init__(self, path: str):
-        if "://" in path:
+        path = path.removeprefix("file:")
+        self.path = "/" + path.strip("/") if path.startswith("/") else path.rstrip("/")
+        if ":/" in self.path:
             raise ValueError("a folder target is a path that driver and executors share")
-        self.path = path.removeprefix("file:").rstrip("/")
 
     def write_part(self, run, schema, batches):
         os.makedirs(f"{self.path}/parts/{run}", exist_ok=True)
