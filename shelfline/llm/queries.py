@@ -61,9 +61,7 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    words = urls.unigrams(pages)
-    model = urls.train(pages, words)
-    return urls.judge(pages.select("page_id", "url"), words, model).select(
+    return urls.judge(pages.select("page_id", "url"), urls.learn(pages)).select(
         "page_id", "host", "path", "rule", "verdict", "score")
 
 
