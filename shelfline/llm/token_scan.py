@@ -13,7 +13,9 @@ from texts, ``read_files`` from flat binary files.
 Defined cases: an empty document is two separators in a row (0 tokens); ids
 after the last separator of a file are a document that is not terminated; a
 null text is empty; a block may hold no separator or many, or be empty; a
-block whose bytes are not whole ids raises; empty tables give empty results.
+block whose bytes are not whole ids raises; ids of documents may be of any type,
+null or repeated (each row is a document); other columns of the documents do
+not matter, whatever their names; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -29,10 +31,12 @@ from pyspark.sql import functions as F
 from shelfline.llm import blocks as B
 from shelfline.llm import store
 from shelfline.llm.bpe import TextEncoder, read_ranks
+from shelfline.sources.archive_ranges import arrow_rows, file_pieces
 
 BLOCK_TOKENS = 1 << 18
 STRIDE = 1 << 12  # blocks whose summaries one window task orders
 ID_TYPE = "<u2"
+PIECE_ROWS = 16  # pieces of a MB in an Arrow batch
 
 
 def write_blocks(docs: DataFrame, ranks_path: str, pattern: str, end_id: int, text: str = "text", key: str = "doc_id",
@@ -46,22 +50,22 @@ def write_blocks(docs: DataFrame, ranks_path: str, pattern: str, end_id: int, te
     spark = docs.sparkSession
     store.prepare(spark)
     shared = spark.sparkContext.broadcast(read_ranks(ranks_path))
-    src = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("__text"),
+    src = docs.select(F.col(key).alias("key"), F.col(text).alias("__text"),
                       F.spark_partition_id().cast("long").alias("file"))
     if end_id > np.iinfo(np.dtype(id_type)).max:
         raise ValueError("the end-of-document id does not fit the id type")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = TextEncoder(shared.value, pattern)
-        file, block, held, keys = 0, 0, np.empty(0, np.dtype(id_type)), []
+        file, block, held, keys, kind = 0, 0, np.empty(0, np.dtype(id_type)), [], None
 
         def row(data: np.ndarray, own: list) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
                 [pa.array([file], pa.int64()), pa.array([block], pa.int64()), pa.array([data.tobytes()], pa.binary()),
-                 pa.array([own], pa.list_(pa.int64()))], names=["file", "block", "data", "keys"])
+                 pa.array([own], pa.list_(kind))], names=["file", "block", "data", "keys"])
 
         for rows, _, _ in B.slices(batches, "__text"):
-            file = rows.column(2)[0].as_py()
+            file, kind = rows.column(2)[0].as_py(), rows.column(0).type
             ids, offsets = encoder(rows.column(1).to_pylist())
             flat = np.full(len(ids) + rows.num_rows, end_id, dtype=np.dtype(id_type))
             owner = np.repeat(np.arange(rows.num_rows), np.diff(offsets))
@@ -79,16 +83,26 @@ def write_blocks(docs: DataFrame, ranks_path: str, pattern: str, end_id: int, te
         if len(held):
             yield row(held, [k for _, k in keys])
 
-    return src.mapInArrow(run, "file long, block long, data binary, keys array<long>")
+    return src.mapInArrow(run, f"file long, block long, data binary, keys array<{src.schema['key'].dataType.simpleString()}>")
 
 
 def read_files(spark: SparkSession, path: str, block_tokens: int = BLOCK_TOKENS, id_type: str = ID_TYPE) -> DataFrame:
-    """Blocks (file, block, data) of flat binary token files (up to 2 GB each)."""
+    """Blocks (file, block, data) of flat binary token files of any length (files of no bytes have none).
+
+    The files are read by byte ranges, in pieces cut anywhere; a block is put
+    together from the few pieces it overlaps.
+    """
     width = np.dtype(id_type).itemsize * block_tokens
-    files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), "content", "length")
-    cut = F.expr(f"explode(sequence(0L, greatest(length - 1, 0L) div {width}))").alias("block")
-    return files.select("file", "content", cut).select(
-        "file", "block", F.expr(f"substring(content, cast(block * {width} + 1 as int), {width})").alias("data"))
+    with arrow_rows(spark, PIECE_ROWS):
+        pieces = file_pieces(spark, [path])
+    cut = pieces.select("path", "at", "data", F.expr(
+        f"explode(sequence(at div {width}, (at + length(data) - 1) div {width}))").alias("block"))
+    first = F.expr(f"greatest(block * {width} - at, 0L)")
+    own = cut.withColumn("from", first).select(
+        F.col("path").alias("file"), "block", (F.col("at") + F.col("from")).alias("at"),
+        F.expr(f"substring(data, cast(from + 1 as int), cast((block + 1) * {width} - at - from as int))").alias("data"))
+    whole = own.groupBy("file", "block").agg(F.sort_array(F.collect_list(F.struct("at", "data"))).alias("parts"))
+    return whole.select("file", "block", F.aggregate("parts", F.lit(b""), lambda out, x: F.concat(out, x["data"])).alias("data"))
 
 
 def _separators(end_id: int, id_type: str):
@@ -161,9 +175,16 @@ def _before(column: str, window: W) -> F.Column:
 
 
 def manifest(blocks: DataFrame) -> DataFrame:
-    """(file, ordinal, key) of the documents that ``write_blocks`` wrote."""
-    sized = blocks.select("file", "block", "keys")
-    before = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
-    base = sized.withColumn("docs", F.coalesce(F.sum(F.size("keys")).over(before), F.lit(0)))
-    return base.select("file", "docs", F.posexplode("keys").alias("at", "key")).select(
+    """(file, ordinal, key) of the documents that ``write_blocks`` wrote.
+
+    A block's first ordinal is a prefix sum in two levels, as in ``scan``; the
+    keys themselves pass no window.
+    """
+    sized = blocks.select("file", "block", F.floor(F.col("block") / STRIDE).alias("stride"), F.size("keys").alias("n"))
+    local = sized.withColumn("nth", _before("n", W.partitionBy("file", "stride").orderBy("block")))
+    total = sized.groupBy("file", "stride").agg(F.sum("n").alias("n"))
+    total = total.select("file", "stride", _before("n", W.partitionBy("file").orderBy("stride")).alias("docs"))
+    start = local.join(total, ["file", "stride"]).select("file", "block", (F.col("docs") + F.col("nth")).alias("docs"))
+    return blocks.select("file", "block", "keys").join(start, ["file", "block"]).select(
+        "file", "docs", F.posexplode("keys").alias("at", "key")).select(
         "file", (F.col("docs") + F.col("at")).cast("long").alias("ordinal"), "key")

@@ -62,6 +62,30 @@ def test_documents_round_trip(frame, vocabulary, size):
     assert all(r.terminated for r in rows)
 
 
+def test_documents_with_text_ids_and_clashing_columns(frame, vocabulary, monkeypatch):
+    monkeypatch.setattr(T, "STRIDE", 2)
+    rows = [(f"d{i}", "one two three " * i, i, "x") for i in range(9)] + [("d3", "", 0, "x"), (None, None, 0, None)]
+    docs = frame(rows, "name string, text string, file int, key string")
+    blocks = T.write_blocks(docs, *vocabulary, 50256, key="name", block_tokens=7).cache()
+    found = T.scan(blocks, 50256).join(T.manifest(blocks), ["file", "ordinal"]).collect()
+    encoder = bpe.TextEncoder(bpe.read_ranks(vocabulary[0]), vocabulary[1])
+    assert sorted((r.key or "", r.n_tokens) for r in found) == sorted((n or "", len(encoder([t])[0])) for n, t, *_ in rows)
+
+
+def test_files_of_many_splits(spark, tmp_path):
+    """Blocks put together from pieces of several splits, at odd places."""
+    ids = np.random.default_rng(5).integers(0, 40, 20_000)
+    (tmp_path / "a.bin").write_bytes(ids.astype("<u2").tobytes())
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3001")
+    try:
+        found = {r.block: bytes(r.data) for r in T.read_files(spark, str(tmp_path), block_tokens=900).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert sorted(found) == list(range(23))
+    assert b"".join(found[i] for i in sorted(found)) == ids.astype("<u2").tobytes()
+
+
 def test_odd_blocks(spark, vocabulary):
     with pytest.raises(Exception, match="whole ids"):
         T.scan(spark.createDataFrame([(1, 0, bytearray(b"abc"))], "file long, block long, data binary"), END).collect()
