@@ -306,9 +306,10 @@ def components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", keep
     """One row per document: doc_id, ``keep``, fingerprint (long), component_id, root.
 
     ``root`` names the component also where component_id is null (it is the
-    component's smallest fingerprint).
+    component's smallest fingerprint).  A column of ``keep`` that is named like
+    a result gives way to the result.
     """
-    names = (doc_id, *(k for k in keep if k != doc_id))
+    names = (doc_id, *(k for k in keep if k.lower() not in (doc_id.lower(), "fingerprint", "component_id", "root")))
     fps = store.materialise(fingerprints(docs, text, names, shingle, "__fp"))
     per_fp = fps.groupBy("__fp").agg(F.min(doc_id).alias("__low"))
     roots = connected(links(per_fp.select("__fp"), max_bits, bucket_rows)).toDF("__fp", "__root")

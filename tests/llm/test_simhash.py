@@ -122,3 +122,12 @@ def test_two_bits_lose_no_link_in_large_buckets(spark, bucket_rows):
     roots = {r.node: r.root for r in S.connected(S.links(df, max_bits=2, bucket_rows=bucket_rows)).collect()}
     same = [roots.get(a, a) == roots.get(b, b) for a, b in pairs]
     assert same == [True, True, True, False]
+
+
+def test_kept_columns_named_like_results(frame):
+    rows = [(1, "a b c d e f", 7, "x", 1.5, "y"), (2, "a b c d e f", 8, "x", 2.5, None), (3, None, 9, None, None, None)]
+    docs = frame(rows, "doc_id long, text string, component_id int, Fingerprint string, root double, Text2 string")
+    out = S.components(docs, keep=("component_id", "Fingerprint", "root", "Text2", "text"))
+    assert out.columns == ["doc_id", "Text2", "text", "fingerprint", "component_id", "root"]
+    assert sorted((r.doc_id, r.component_id, r.Text2) for r in out.collect()) == [(1, 1, "y"), (2, 1, None), (3, 3, None)]
+    assert sorted(r.component_id for r in S.keep_one(docs).collect()) == [7, 9]
