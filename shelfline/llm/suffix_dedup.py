@@ -276,10 +276,12 @@ def remove_repeats(docs: DataFrame, text: str = "text", keep: tuple[str, ...] =
                    want_text: bool = False, bucket_classes: int = BUCKET_CLASSES) -> DataFrame:
     """``keep`` columns plus n_bytes, n_removed, n_spans, kept_sha256, kept.
 
-    ``kept`` (the remaining bytes) is filled where ``want_text`` is set.
+    ``kept`` (the remaining bytes) is filled where ``want_text`` is set.  A
+    column of ``keep`` that is named like a result gives way to the result.
     """
     if length % 8:
         raise ValueError("length must be a multiple of 8")
+    keep = tuple(k for k in keep if k.lower() not in {c for c, _ in RESULT})
     spark = docs.sparkSession
     store.prepare(spark)
     parts = store.fan_out(spark)

@@ -82,3 +82,12 @@ def test_segments_of_long_texts_agree_across_steps(monkeypatch):
     parts = D.segments(text, 64)
     strings = lambda s: {int(lo) + i: int(h) for lo, n, h in zip(*s[:3], strict=True) for i in range(n)}
     assert strings(whole) == strings(parts)
+
+
+def test_kept_columns_named_like_results(frame):
+    rows = [(1, "abcdefgh" * 3, 5, "a", "b"), (2, "zz" + "abcdefgh" * 3, 6, None, "c"), (3, None, 7, "a", None)]
+    docs = frame(rows, "doc_id long, text string, n_bytes int, KEPT string, more string")
+    out = D.remove_repeats(docs, keep=("doc_id", "n_bytes", "KEPT", "more", "text"), length=8, want_text=True)
+    assert out.columns == ["doc_id", "more", "text", *(c for c, _ in D.RESULT)]
+    assert sorted((r.doc_id, r.more, r.n_bytes, bytes(r.kept)) for r in out.collect()) == [
+        (1, "b", 24, b""), (2, "c", 26, b"zz"), (3, None, 0, b"")]
