@@ -1,12 +1,13 @@
 """Language identification with bit-sliced Bloom filters of n-grams.
 
-Training counts the byte n-grams (``GRAM`` bytes of the lower-cased text, runs
-of non-letters as one space) of every language over all training rows.  A
-language keeps the n-grams that are at least ``MIN_SHARE`` of its own, so it
-has at most 1 / MIN_SHARE of them whatever the corpus.  All languages share
-one filter: place ``i`` of the filter holds a bitmask with a bit per language,
-so one lookup of ``HASHES`` places, and-ed, tells all languages that hold an
-n-gram.
+A language is learnt from a sample of its labelled texts: different texts in the
+order of their hashes, until they have ``TRAIN_CHARS`` characters; texts longer
+than that do not train.  Every byte n-gram (``GRAM`` bytes of the lower-cased
+text, runs of non-letters as one space) of the sample is kept, so the filter is
+bounded by the sample and nothing is dropped by its frequency.  All languages
+share one filter: place ``i`` of the filter holds a bitmask with a bit per
+language, so one lookup of ``HASHES`` places, and-ed, tells all languages that
+hold an n-gram.
 
 A text's score for a language is the count of its n-grams in the filter
 (a popcount of the language's bit slice), corrected for the filter's false
@@ -14,19 +15,22 @@ positives: with rate f, n lookups and c hits, (c - f n) / (1 - f).
 
 Defined cases: a text that is null or has no letters is ``und`` with score 0;
 a text whose n-grams are all unknown gets the most frequent language, score 0;
-ties go to the more frequent language, then the smaller name; rows without
-language do not train; without training rows every text is ``und``.
+ties go to the more frequent language (characters of all its training rows,
+repeats included), then the smaller name; rows without language or text do not
+train; without training rows every text is ``und``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
@@ -35,7 +39,7 @@ from shelfline.llm import store
 
 GRAM = 5
 HASHES = 4
-MIN_SHARE = 1e-5
+TRAIN_CHARS = 1_000_000  # characters of the training sample, per language
 BITS_PER_GRAM = 12
 MAX_LANGUAGES = 64
 UND = "und"
@@ -69,35 +73,29 @@ def grams(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return packed[ok], owner[:m][ok]
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per task: (lang, n-gram, count), summed up to a bound before it is written."""
-    held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+def _seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per task: distinct (lang, n-gram), merged up to a bound before they are written."""
+    held: dict[str, list[np.ndarray]] = {}
     size = 0
 
-    def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-        keys, inv = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-        return keys, np.bincount(inv, weights=np.concatenate([p[1] for p in parts])).astype(np.int64)
-
     def flush() -> Iterator[pa.RecordBatch]:
         for lang, parts in held.items():
-            keys, counts = merged(parts)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(keys), pa.array(counts)],
-                                             names=["lang", "gram", "n"])
+            own = np.unique(np.concatenate(parts))
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(own), pa.string()), pa.array(own)], names=["lang", "gram"])
         held.clear()
 
     for rows, buf, offsets in B.slices(batches, "__text"):
         langs = np.array(rows.column(0).to_pylist(), dtype=object)
         packed, owner = grams(buf, offsets)
         for lang in sorted(set(langs)):
-            own = packed[(langs == lang)[owner]]
+            own = np.unique(packed[(langs == lang)[owner]])
             if len(own):
-                keys, counts = np.unique(own, return_counts=True)
-                held.setdefault(lang, []).append((keys, counts))
-                size += len(keys)
+                held.setdefault(lang, []).append(own)
+                size += len(own)
         if size > _HELD:
             for lang in held:
-                held[lang] = [merged(held[lang])]
-            size = sum(len(p[0][0]) for p in held.values())
+                held[lang] = [np.unique(np.concatenate(held[lang]))]
+            size = sum(len(p[0]) for p in held.values())
             if size > _HELD // 2:
                 yield from flush()
                 size = 0
@@ -128,26 +126,39 @@ def places(packed: np.ndarray, size: int) -> Iterator[np.ndarray]:
         yield ((h + step * np.uint64(i)) & np.uint64(size - 1)).astype(np.int64)
 
 
-def train(rows: DataFrame, text: str = "text", lang: str = "lang", min_share: float = MIN_SHARE) -> Filters:
-    """Filters from all rows with a language.
+def _up_to(ends: dict[str, int]) -> Column:
+    """Whether a row's hash is at most its language's bound."""
+    parts = [(F.col("lang") == name) & (F.col("hash") <= F.lit(end)) for name, end in sorted(ends.items())]
+    return reduce(or_, parts, F.lit(False))
+
+
+def train(rows: DataFrame, text: str = "text", lang: str = "lang", train_chars: int = TRAIN_CHARS) -> Filters:
+    """Filters from a sample of the rows with a language (see above).
 
-    Counts are summed by Spark; the driver gets the n-grams kept, at most
-    1 / min_share per language.
+    The sample is a range of text hashes per language, so the driver gets one
+    bound per language, and the n-grams of at most ``train_chars`` characters
+    (and the text that passes them) per language.
     """
     spark = rows.sparkSession
     store.prepare(spark)
-    src = rows.filter(F.col(lang).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("__text"))
-    counts = store.materialise(src.mapInArrow(_count, "lang string, gram long, n long")
-                               .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("total")).orderBy(F.desc("total"), "lang").limit(MAX_LANGUAGES + 1)
-    totals = [(r.lang, r.total) for r in totals.collect()]
+    src = rows.filter(F.col(lang).isNotNull() & (F.col(text) != "")).select(
+        F.col(lang).cast("string").alias("lang"), F.col(text).alias("__text"),
+        F.xxhash64(text).alias("hash"), F.length(text).cast("long").alias("size"))
+    texts = store.materialise(src.groupBy("lang", "hash").agg(F.max("size").alias("size"), F.count("*").alias("n")))
+    fits = F.when(F.col("size") <= train_chars, F.col("size"))
+    totals = (texts.groupBy("lang").agg(F.sum(F.col("size") * F.col("n")).alias("total"), F.sum(fits).alias("fits"))
+              .orderBy(F.desc("total"), "lang").limit(MAX_LANGUAGES + 1).collect())
     if len(totals) > MAX_LANGUAGES:
         raise ValueError(f"a filter place has {MAX_LANGUAGES} bits, one per language")
-    languages = [name for name, _ in totals]
-    kept = []
-    for name, total in totals:
-        own = counts.filter((F.col("lang") == name) & (F.col("n") >= max(total * min_share, 1))).select("gram").toArrow()
-        kept.append(own["gram"].to_numpy())
+    languages = [r.lang for r in totals]
+    # Hashes below this bound hold about twice the sample; it ends where the characters before reach theirs.
+    below = {r.lang: int(min(2 * train_chars / r.fits, 1) * (2 ** 64 - 1)) - 2 ** 63 for r in totals if r.fits}
+    before = F.sum("size").over(Window.partitionBy("lang").orderBy("hash").rowsBetween(Window.unboundedPreceding, -1))
+    ends = (texts.filter(_up_to(below)).filter(F.col("size") <= train_chars).withColumn("before", F.coalesce(before, F.lit(0)))
+            .filter(F.col("before") < train_chars).groupBy("lang").agg(F.max("hash").alias("end")).collect())
+    sample = src.filter(_up_to({r.lang: r.end for r in ends})).filter(F.col("size") <= train_chars)
+    found = store.materialise(sample.select("lang", "__text").mapInArrow(_seen, "lang string, gram long").distinct())
+    kept = [found.filter(F.col("lang") == name).select("gram").toArrow()["gram"].to_numpy() for name in languages]
     most = max((len(k) for k in kept), default=1)
     size = 1 << max(10, int(np.ceil(np.log2(max(most, 1) * BITS_PER_GRAM))))
     masks = np.zeros(size, dtype=np.uint64)

@@ -67,3 +67,37 @@ def test_defined_cases(spark):
     none = L.train(docs.filter("lang IS NULL"))
     assert {r.lang_pred for r in L.predict(ask, none).collect()} == {"und"}
     assert L.predict(ask.limit(0), filters).count() == 0
+
+
+def test_sample_is_bounded_and_repeats_do_not_fill_it(spark):
+    """Texts in hash order until the bound; a group of copies counts once; longer texts do not train."""
+    texts = [f"{w} is the word of row {w}" for w in ("anna", "berta", "carla", "dora", "emil", "frida", "gustav", "hilde")]
+    rows = [(t, "xx") for t in texts] + [(texts[0], "xx")] * 50 + [("long " * 100, "xx"), ("solo", "yy")]
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(4)
+    every = L.train(docs)
+    assert every.languages == ["xx", "yy"]
+    known = [bool(every.lookup(L.grams(*block([t]))[0]).all()) for t in texts]
+    assert all(known)
+
+    def learnt(chars):
+        few = L.train(docs, train_chars=chars)
+        assert few.languages == ["xx", "yy"]
+        return {t for t in {t for t, _ in rows} if (few.lookup(L.grams(*block([t]))[0]) & np.uint64(1)).all()}
+
+    order = [r.text for r in docs.filter("lang = 'xx' AND length(text) <= 60").select("text").distinct()
+             .orderBy(F.xxhash64("text")).collect()]
+    one = learnt(60)
+    assert 1 <= len(one & set(texts)) <= 3
+    assert one & set(texts) == set(order[:len(one & set(texts))])
+    assert "long " * 100 not in one
+    assert set(texts) <= learnt(480)
+
+
+def test_short_texts(spark):
+    """The first ten words of held-out documents: most are still told apart."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    test = L.held_out(F.col("doc_id"))
+    short = docs.filter(test & F.col("lang").isNotNull()).withColumn(
+        "text", F.array_join(F.slice(F.split(F.trim("text"), r"\s+"), 1, 10), " ")).filter(F.col("text").rlike(r"\p{L}"))
+    rows = L.predict(short, L.train(docs.filter(~test))).collect()
+    assert sum(r.lang == r.lang_pred for r in rows) / len(rows) >= 0.95
