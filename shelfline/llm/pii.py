@@ -1,12 +1,15 @@
 """Personal data: detected entities get keyed, type-consistent surrogates.
 
 1. ``detect`` finds e-mail addresses, phone numbers, card and account numbers
-   (with a right check digit), social security numbers, IP addresses, secrets
-   and titled names, as spans of a text.
+   (with a right check digit), social security numbers, IP addresses (4 and 6),
+   secrets, and names behind a title or where somebody gives their own name, as
+   spans of a text.
 2. ``assign`` gives every distinct entity (type and normal form) of the corpus
    one surrogate, derived from a key: same type, script, length and letter
-   case pattern, gendered for given names, right check digits.  Candidates that meet another entity's surrogate, or a real entity
-   of the corpus, are drawn again until all are distinct.
+   case pattern, gendered for given names, right check digits.  Candidates that
+   meet another entity's surrogate, or a real entity of the corpus, are drawn
+   again; after ``SAME_LENGTH_DRAWS`` draws each further one is a character
+   longer, so all become distinct however crowded a format is.
 3. ``replace`` writes the surrogates into the texts in each mention's own
    format, so two spellings of one number stay one number.
 
@@ -23,22 +26,26 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
+import secrets
 import unicodedata
 from collections.abc import Iterator
+from itertools import count, takewhile
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from shelfline.llm import blocks as B
 from shelfline.llm import store
 
-DEFAULT_KEY = "shelfline-surrogates"
-#: Draws after which a surrogate may equal a real value, and after which we stop.
-LENIENT_DRAWS, MAX_DRAWS = 16, 64
+#: Session setting with the key; Spark redacts settings with "secret" in their names.
+KEY_SETTING = "spark.shelfline.surrogates.secret"
+#: Draws of an entity's own length; each one beyond is a character longer.
+SAME_LENGTH_DRAWS = 16
 
 # Titles and the gender they tell.
 TITLES = {
@@ -47,6 +54,10 @@ TITLES = {
     "Mme": "f", "Mlle": "f", "Doña": "f", "Dr": "n", "Prof": "n",
     "господин": "m", "госпожа": "f", "г-н": "m", "г-жа": "f", "κύριος": "m", "κυρία": "f",
 }
+# How people begin to give their own name.
+INTRODUCTIONS = ("my name is", "je m'appelle", "mein name ist", "ich heiße", "me llamo", "mi nombre es", "mi chiamo",
+                 "меня зовут", "казвам се", "με λένε")
+_INTRODUCED = r"(?i:" + "|".join(w.replace(" ", r"[ \xa0]") for w in INTRODUCTIONS) + ")"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _NAME = r"[^\W\d_][^\W\d_]*(?:['’\-][^\W\d_]+)*"
 PATTERN = re.compile("|".join((
@@ -55,15 +66,18 @@ PATTERN = re.compile("|".join((
     r"(?P<SECRET2>(?<![A-Za-z0-9])(?:(?=[a-f]*\d)(?=\d*[a-f])[0-9a-f]{32,}|(?=[A-F]*\d)(?=\d*[A-F])[0-9A-F]{32,}|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{20,}|sk-[A-Za-z0-9\-]{20,})(?![A-Za-z0-9]))",
     r"(?P<IBAN>(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?![A-Za-z0-9]))",
     rf"(?P<IP>(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d))",
+    r"(?P<IP6>(?<![\w:.])[0-9A-Fa-f]{3,4}(?::[0-9A-Fa-f]{0,4}){2,7}(?![\w:]|\.\d))",
     r"(?P<CARD>(?<!\d)(?<!\d[.\-])(?:\d{13,19}|\d{4}(?:[ \-]\d{4}){2}[ \-]\d{1,7}|\d{4}[ \-]\d{6}[ \-]\d{5})(?![\d]))",
     r"(?P<PHONE>(?<![\d+])\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .\-]?\d{2,4}){1,4}(?!\d)"
     r"|(?<!\d)\(\d{3}\) ?\d{3}[ .\-]\d{4}(?!\d)|(?<![\d.\-])\d{3}[.\-]\d{3}[.\-]\d{4}(?![.\-]?\d))",
     r"(?P<SSN>(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\-]?\d))",
     r"(?P<NAME>(?<!\w)(?:" + "|".join(sorted(map(re.escape, TITLES), key=len, reverse=True))
     + rf")\.?[ \xa0]{_NAME}(?:[ \xa0]{_NAME}){{0,2}})",
+    rf"(?<!\w){_INTRODUCED}[ \xa0](?P<SELF>{_NAME}(?:[ \xa0]{_NAME}){{0,2}})",
 )))
-_WORTH = re.compile(r"[0-9@=:]|(?<!\w)(?:" + "|".join(map(re.escape, TITLES)) + r")(?!\w)")
+_WORTH = re.compile(r"[0-9@=:]|(?<!\w)(?:" + "|".join(map(re.escape, TITLES)) + rf"|{_INTRODUCED})(?!\w)")
 _DIGITS = re.compile(r"\D")
+_DIGIT = re.compile(r"\d")
 _RUN = re.compile(r"\d+")
 _QUAD = re.compile(rf"{_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d)")
 #: Digits after the country code, for countries where all numbers have as many.
@@ -107,6 +121,13 @@ def _iban_end(surface: str) -> int | None:
     return next((i for i in cuts if _iban_ok(surface[:i].replace(" ", ""))), None)
 
 
+def _address(surface: str) -> ipaddress.IPv6Address | None:
+    try:
+        return ipaddress.IPv6Address(surface)
+    except ValueError:
+        return None
+
+
 def _plain(surface: str) -> str:
     """The digits of a number, as 0-9."""
     return "".join(str(unicodedata.digit(c)) for c in _DIGITS.sub("", surface))
@@ -169,6 +190,10 @@ def _accept(text: str, m: re.Match) -> tuple[int, int, str, str] | None:
     if kind == "IBAN":
         n = _iban_end(surface)
         return n and (a, a + n, kind, surface[:n].replace(" ", ""))
+    if kind == "IP6":
+        # One address however it is shortened; without a digit it may be words.
+        one = _address(surface) if _DIGIT.search(surface) else None
+        return one and (a, b, "IP", str(one))
     return None if kind == "NAME" else (a, b, kind, surface)
 
 
@@ -179,22 +204,21 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
     out, known = [], {}
     m = PATTERN.search(text)
     while m:
-        if m.lastgroup == "NAME":
-            a, b = m.span("NAME")
-            title, *rest = re.split(r"[ \xa0]", text[a:b])
-            words = []
-            at = a + len(title) + 1
-            for w in rest:
-                if not w[0].isupper():
-                    break
-                words.append((at, w))
-                at += len(w) + 1
-            gender = TITLES[title.rstrip(".")]
-            for i, (p, w) in enumerate(words):
-                k = "SURNAME" if i == len(words) - 1 else f"GIVEN_{gender.upper()}"
-                out.append((p, p + len(w), k, _low(w)))
-                known.setdefault(w, k)
+        if m.lastgroup in ("NAME", "SELF"):
+            at, b = m.span(m.lastgroup)
+            words, gender, own = re.split(r"[ \xa0]", text[at:b]), "n", m.lastgroup == "SELF"
+            if not own:
+                gender = TITLES[words[0].rstrip(".")]
+                at += len(words.pop(0)) + 1
+            # A name ends before a small letter; a title in an introduction begins a match of its own.
+            words = list(takewhile(lambda w: w[0].isupper() and not (own and w in TITLES), words))
             taken = b if words else None
+            for i, w in enumerate(words):
+                last = i == len(words) - 1 and not (own and len(words) == 1)
+                k = "SURNAME" if last else f"GIVEN_{gender.upper()}"
+                out.append((at, at + len(w), k, _low(w)))
+                known.setdefault(w, k)
+                at += len(w) + 1
         else:
             one = _accept(text, m)
             out += [one] if one else []
@@ -264,37 +288,44 @@ def _letters(draw: Draw, shape: str) -> str:
 
 
 def surrogate(key: str, kind: str, norm: str, attempt: int) -> str:
-    """The normal form of the surrogate that a draw gives an entity."""
+    """The normal form of the surrogate that a draw gives an entity; late draws are longer."""
     draw = Draw(key, kind, norm, attempt)
+    more = max(attempt + 1 - SAME_LENGTH_DRAWS, 0)
+    digits = lambda n: "".join(draw.of("0123456789") for _ in range(n))
     if kind == "EMAIL":
         user, _, host = norm.rpartition("@")
         name, _, top = host.rpartition(".")
         # One host keeps one surrogate host; the top-level name stays.
-        return f"{_letters(draw, user)}@{_letters(Draw(key, 'HOST', host, attempt), name)}.{top}"
+        return f"{_letters(draw, user + 'a' * more)}@{_letters(Draw(key, 'HOST', host, attempt), name)}.{top}"
     if kind == "PHONE":
         head = norm[:-10] if len(norm) > 10 else ""
         rest = norm[len(head):]
-        made = "".join(draw.of("0123456789") for _ in rest)
+        made = digits(len(rest) + more)
         return head + (draw.of("23456789") + made[1:] if rest[0] != "0" else "0" + made[1:])
     if kind == "CARD":
-        made = norm[0] + "".join(draw.of("0123456789") for _ in norm[1:-1])
+        made = norm[0] + digits(len(norm) - 2 + more)
         return made + next(d for d in "0123456789" if luhn(made + d))
     if kind == "SSN":
-        return "".join(draw.of("0123456789") for _ in norm)
+        return digits(len(norm) + more)
     if kind == "IP":
-        return ".".join(str(1 + draw.below(254)) for _ in range(4))
+        if ":" not in norm and not more:
+            return ".".join(str(1 + draw.below(254)) for _ in range(4))
+        # Version 6; zeros stay zeros.  It has room where the other version has none left.
+        groups = _address(norm).exploded.split(":")[1:] if ":" in norm and not more else ["1"] * 7
+        made = [0x2000 + draw.below(0x1000), *(int(g, 16) and 1 + draw.below(0xFFFF) for g in groups)]
+        return str(ipaddress.IPv6Address(":".join(f"{g:x}" for g in made)))
     if kind == "IBAN":
-        rest = "".join(draw.of("0123456789") if c.isdigit() else draw.of("ABCDEFGHJKLMNPRSTUVWXYZ") for c in norm[4:])
+        rest = "".join(draw.of("0123456789") if c.isdigit() else draw.of("ABCDEFGHJKLMNPRSTUVWXYZ") for c in norm[4:]) + digits(more)
         check = 98 - int("".join(str(int(c, 36)) for c in rest + norm[:2] + "00")) % 97
         return f"{norm[:2]}{check:02d}{rest}"
     if kind == "SECRET":
         sets = ("0123456789abcdef", "0123456789ABCDEF")
         hexes = next((s for s in sets if set(norm) <= set(s)), None)
         if hexes:
-            return "".join(draw.of(hexes) for _ in norm)
+            return "".join(draw.of(hexes) for _ in range(len(norm) + more))
         low, up = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
         pick = lambda c: draw.of("0123456789" if c.isdigit() else up if c.isupper() else low) if c.isalnum() else c
-        return "".join(map(pick, norm))
+        return "".join(map(pick, norm)) + digits(more)
     # Names: syllables of the script; longer with each draw; a gendered ending.
     script = _script(norm)
     vowels, consonants = SCRIPTS[script]
@@ -305,18 +336,32 @@ def surrogate(key: str, kind: str, norm: str, attempt: int) -> str:
     return (stem[:-1] + ending) if ending in vowels else stem + ending
 
 
+def _cased(surface: str, made: str) -> str:
+    put = [m.upper() if c.isupper() and len(m.upper()) == 1 else m for c, m in zip(surface, made, strict=False)]
+    return "".join(put) + made[len(surface):]
+
+
 def render(surface: str, kind: str, made: str) -> str:
-    """A surrogate in the format of one mention."""
+    """A surrogate in the format of one mention; what is longer than the mention stands before or behind it."""
     if kind in ("CARD", "PHONE", "SSN"):
-        out, left = [], list(made)
-        for c in reversed(surface):
-            out.append(left.pop() if c.isdigit() and left else c)
-        return "".join(reversed(out))
+        out, places = list(surface), [i for i, c in enumerate(surface) if c.isdigit()]
+        for i, c in zip(reversed(places), reversed(made), strict=False):
+            out[i] = c
+        if len(made) > len(places):
+            out[places[0]] = made[:len(made) - len(places) + 1]
+        return "".join(out)
     if kind == "IBAN":
         left = iter(made)
-        return "".join(c if c == " " else next(left) for c in surface)
+        return "".join([c if c == " " else next(left) for c in surface] + list(left))
     if kind == "EMAIL":
-        return "".join(m.upper() if c.isupper() and len(m.upper()) == 1 else m for c, m in zip(surface, made, strict=True))
+        (user, _, host), (own, _, other) = surface.rpartition("@"), made.rpartition("@")
+        return f"{_cased(user, own)}@{_cased(host, other)}"
+    if kind == "IP" and ":" in surface:
+        whole = ipaddress.IPv6Address(made).exploded.split(":")
+        if "::" not in surface:
+            full = all(len(g) == 4 for g in surface.split(":"))
+            made = ":".join(whole if full else [f"{int(g, 16):x}" for g in whole])
+        return made.upper() if surface.isupper() else made
     if kind in ("IP", "SECRET"):
         return made
     return made.upper() if surface.isupper() and len(surface) > 1 else made[0].upper() + made[1:]
@@ -342,10 +387,21 @@ def detect(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def assign(entities: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
-    """(type, norm, surrogate) for distinct entities (type, norm); surrogates are distinct."""
+def session_key(spark: SparkSession) -> str:
+    """The key in ``KEY_SETTING``; where there is none, one is drawn for this session.
+
+    Who needs the same surrogates in another session sets it.
+    """
+    if not spark.conf.get(KEY_SETTING, ""):
+        spark.conf.set(KEY_SETTING, secrets.token_hex(32))
+    return spark.conf.get(KEY_SETTING)
+
+
+def assign(entities: DataFrame, key: str | None = None) -> DataFrame:
+    """(type, norm, surrogate) for distinct entities (type, norm); surrogates are distinct and no entities."""
     spark = entities.sparkSession
     store.prepare(spark)
+    key = key or session_key(spark)
     every = store.materialise(entities.select("type", "norm").distinct())
     pending, done = every.withColumn("attempt", F.lit(0)), None
 
@@ -355,14 +411,10 @@ def assign(entities: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.string())],
                                              names=["type", "norm", "attempt", "surrogate"])
 
-    for attempt in range(MAX_DRAWS):
+    for _ in count():
         drawn = store.materialise(pending.mapInArrow(draw, "type string, norm string, attempt int, surrogate string"))
         least = drawn.groupBy("type", "surrogate").agg(F.min("norm").alias("norm"))
-        fine = least
-        if attempt < LENIENT_DRAWS:
-            fine = fine.join(every.select("type", F.col("norm").alias("surrogate")), ["type", "surrogate"], "left_anti")
-        else:
-            fine = fine.filter("surrogate <> norm")
+        fine = least.join(every.select("type", F.col("norm").alias("surrogate")), ["type", "surrogate"], "left_anti")
         if done is not None:
             fine = fine.join(done.select("type", "surrogate"), ["type", "surrogate"], "left_anti")
         fine = fine.select("type", "norm", "surrogate")
@@ -372,11 +424,10 @@ def assign(entities: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
         pending = store.materialise(pending)
         if not pending.head(1):
             return done
-    raise RuntimeError("no distinct surrogates left for some entities")
 
 
-def replace(docs: DataFrame, text: str = "text", key: str = DEFAULT_KEY, report: str | None = "entities") -> DataFrame:
-    """The documents with surrogates in ``text``.
+def replace(docs: DataFrame, text: str = "text", key: str | None = None, report: str | None = "entities") -> DataFrame:
+    """The documents with surrogates in ``text``, drawn by ``key`` (by default ``session_key``).
 
     ``report`` names a column array<struct<type, start, end, surrogate>> of the
     replaced spans (positions in the original text, surrogate as written); an

@@ -150,3 +150,72 @@ def test_account_numbers_before_words(text, want):
     found = pii.find(text)
     assert [(k, n) for _, _, k, n in found] == [("IBAN", w) for w in want]
     assert [text[a:b].replace(" ", "") for a, b, _, _ in found] == want
+
+
+@pytest.mark.parametrize(("text", "want"), [
+    ("My name is John Smith and I met Smith. JOHN", [("GIVEN_N", "john"), ("SURNAME", "smith"), ("SURNAME", "smith")]),
+    ("my name is Anna, not Hanna", [("GIVEN_N", "anna")]), ("my name is legion", []), ("My name is Dr. Lee", [("SURNAME", "lee")]),
+    ("Меня зовут Анна Иванова", [("GIVEN_N", "анна"), ("SURNAME", "иванова")]), ("dummy name is Foo", []),
+    ("from 2001:db8::8a2e:370:7334, or 2001:0DB8:0000:0000:0000:8A2E:0370:7334.", [("IP", "2001:db8::8a2e:370:7334")] * 2),
+    ("fe80::1%eth0 [2001:db8:0:1:1:1:1:1]:80", [("IP", "fe80::1"), ("IP", "2001:db8:0:1:1:1:1:1")]),
+    ("std::vector face::bad 12:30:45 100:20:30 a::1 1234:5678 aaa::bbb::1 2001:db8:1", []),
+])
+def test_own_names_and_long_addresses(text, want):
+    assert [(k, n) for _, _, k, n in pii.find(text)] == want
+
+
+def test_address_formats():
+    """Spellings of one address stay spellings of one surrogate."""
+    made = pii.surrogate("k", "IP", "2001:db8::8a2e:370:7334", 0)
+    assert pii.find(made) == [(0, len(made), "IP", made)]
+    full = pii.render("2001:0DB8:0000:0000:0000:8A2E:0370:7334", "IP", made)
+    assert len(full) == 39
+    assert full == full.upper()
+    for surface in ("2001:db8::8a2e:370:7334", "2001:db8:0:0:0:8a2e:370:7334"):
+        put = pii.render(surface, "IP", made)
+        assert [n for *_, n in pii.find(put)] == [n for *_, n in pii.find(full)] == [made]
+        assert [bool(g) for g in put.split(":")] == [bool(g) for g in surface.split(":")]
+
+
+@pytest.mark.parametrize(("kind", "norm", "surface"), [
+    ("EMAIL", "a@b.org", "A@B.org"), ("PHONE", "6635556869", "+1 (663) 555-6869"), ("PHONE", "6635556869", "(663) 555-6869"),
+    ("CARD", "4111111111111111", "4111 1111 1111 1111"), ("SSN", "123456789", "123-45-6789"), ("IP", "10.20.30.40", "10.20.30.40"),
+    ("IP", "fe80::1", "FE80::1"), ("IBAN", "GB82WEST12345698765432", "GB82 WEST 1234 5698 7654 32"), ("SECRET", "ab12cd34", "ab12cd34"),
+    ("SECRET", "Zz-12345678", "Zz-12345678"), ("SURNAME", "lee", "Lee"),
+])
+def test_late_draws_are_longer(kind, norm, surface):
+    """Beyond the draws of its own length a format gets room: nothing is cut, all digits are written."""
+    few, many = (pii.surrogate("k", kind, norm, a) for a in (pii.SAME_LENGTH_DRAWS - 1, pii.SAME_LENGTH_DRAWS + 4))
+    assert kind == "SURNAME" or kind == "IP" or len(few) == len(norm)
+    assert len(many) > len(norm)
+    put = pii.render(surface, kind, many)
+    if kind in ("CARD", "PHONE", "SSN"):
+        assert re.sub(r"\D", "", put).endswith(many)
+        assert kind != "CARD" or pii.luhn(many)
+    else:
+        assert put.replace(" ", "").lower() == many.lower()
+    assert kind != "IBAN" or pii._iban_ok(many)
+
+
+def test_crowded_format(spark, monkeypatch):
+    """Every value of a format is a real entity: all still get distinct surrogates that are no entities."""
+    monkeypatch.setattr(pii, "SAME_LENGTH_DRAWS", 2)
+    entities = spark.createDataFrame([("SSN", f"{i:02d}") for i in range(100)], "type string, norm string")
+    rows = pii.assign(entities, "k").collect()
+    assert len(rows) == 100 == len({r.surrogate for r in rows})
+    assert not {r.surrogate for r in rows} & {r.norm for r in rows}
+
+
+def test_key_of_the_session(frame, spark):
+    """Without a key one is drawn and kept in the session; a set one gives the same surrogates again."""
+    spark.conf.unset(pii.KEY_SETTING)
+    try:
+        text = lambda **k: pii.replace(frame(ROWS, SCHEMA), **k).filter("doc_id = 1").first().text
+        first = text()
+        drawn = spark.conf.get(pii.KEY_SETTING)
+        assert len(drawn) == 64
+        assert text() == first == text(key=drawn)
+        spark.conf.set(pii.KEY_SETTING, "another")
+        assert text() == text(key="another") != first
+    finally:
+        spark.conf.unset(pii.KEY_SETTING)
