@@ -34,7 +34,7 @@ def text_cells(spark, sf):
         F.concat(F.lit(" "), text("l_suppkey"), F.lit(" ")).alias("store_key"),
         F.when(F.col("l_orderkey") % 7 != 0, text("l_orderkey")).alias("file_key"),
         F.when(qty == 50, F.concat(F.lit("x"), text("l_linenumber"))).otherwise(text("l_linenumber")).alias("category_key"),
-        F.when(qty == 49, F.concat(text("l_partkey"), F.lit("0" * 20))).otherwise(text("l_partkey")).alias("product_key"),
+        F.when(qty == 49, F.concat(F.lit("9" * 20), text("l_partkey"))).otherwise(text("l_partkey")).alias("product_key"),
         F.when(qty == 48, F.lit("abc")).otherwise(price).alias("retail_price"),
         F.when(qty == 47, F.lit("1e12")).when(qty == 46, F.lit("nan"))
          .when(F.col("l_discount") != 0, price).alias("promo_price"),
