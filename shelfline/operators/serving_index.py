@@ -23,6 +23,9 @@ SELECTORS = ("date_key", "settlement_key", "settlement_name", "category_key", "c
              "store_key", "store_name")
 PAGE_ORDER = ("product_name", "store_name", "product_key", "store_key", "file_key", "retail_price", "promo_price")
 RANGE_ROWS = 100_000
+# A range is a task, a folder and a few hundred sampled rows at the driver: on tables with more rows the ranges
+# get longer instead of more.
+MAX_RANGES = 1000
 # Names up to which a name search is a filter on the scan, and beyond which it is a join.
 LISTED_NAMES = 1000
 
@@ -70,8 +73,9 @@ def page_order() -> list:
 
 
 def ranked_projection(projection: DataFrame, rows: int, range_rows: int = RANGE_ROWS) -> DataFrame:
-    """The projection with ``range_id``: ranges of about ``range_rows`` rows, numbered in browse order."""
-    ranges = max(1, -(-rows // range_rows))
+    """The projection with ``range_id``: ranges of about ``range_rows`` rows (``MAX_RANGES`` at most, of more rows
+    where that is too few), numbered in browse order."""
+    ranges = min(max(1, -(-rows // range_rows)), MAX_RANGES)
     ordered = projection.repartitionByRange(ranges, *page_order()).sortWithinPartitions(*page_order())
     return ordered.withColumn("range_id", F.spark_partition_id())
 

@@ -103,3 +103,14 @@ def test_json_refuses_more_than_its_bound(sv):
     assert q.rows_as_json(page, list(q.BROWSE_ORDER), most=30).first().json.count("file_name") == 30
     with pytest.raises(Exception, match="more than 29 rows"):
         q.rows_as_json(page, list(q.BROWSE_ORDER), most=29).collect()
+
+
+def test_ranges_get_longer_instead_of_more(sv, spark, scratch, monkeypatch):
+    monkeypatch.setattr(ix, "MAX_RANGES", 6)
+    ix.write_pages(sv.projection, f"{scratch}/pages", f"{scratch}/counts", range_rows=5)
+    counts = spark.read.parquet(f"{scratch}/counts").collect()
+    assert len(counts) <= 6 and sum(r["rows"] for r in counts) == sv.projection.count()
+    bounded = replace(sv, pages=spark.read.schema(ix.pages_schema(sv.projection)).parquet(f"{scratch}/pages"),
+                      page_counts=spark.read.parquet(f"{scratch}/counts"))
+    for page in (0, 11, 27, 28):
+        assert q.browse_page(bounded, page, 27).collect() == q.browse_rows(plain(sv), offset=page * 27, limit=27).collect()
