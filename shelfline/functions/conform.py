@@ -150,8 +150,12 @@ def is_float_text(c: str | Column) -> Column:
 
 def price_value(text: str | Column) -> Column:
     """Typed price: blank -> NULL, else ``decimal(12,4)`` (NULL when it does not fit)."""
-    t = blank_to_null(text)
-    return F.regexp_replace(t, "_", "").try_cast(PRICE)
+    return trimmed_price_value(blank_to_null(text))
+
+
+def trimmed_price_value(cell: str | Column) -> Column:
+    """``price_value`` of a text that is trimmed, and NULL where blank."""
+    return F.translate(_col(cell), "_", "").try_cast(PRICE)
 
 
 def typing_losses(text: str | Column) -> Column:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfline import schemas
-from shelfline.functions.conform import blank_to_null, is_float_text, price_value
+from shelfline.functions.conform import is_ascii_digits, is_float_text, strip_ws, trimmed_price_value
 from shelfline.sources.warehouse import path_exists
 
 LOOKBACK = T.StructType([T.StructField(c, T.LongType() if c in schemas.FACT_KEYS else schemas.PRICE)
@@ -43,16 +43,17 @@ def write_text(lookback: DataFrame, path: str) -> None:
 
 
 def _typed(column: str) -> Column:
-    cell = blank_to_null(column)
-    return cell.try_cast(T.LongType()) if column in schemas.FACT_KEYS else price_value(cell)
+    """The value of a trimmed cell."""
+    cell = F.col(f"__cell_{column}")
+    return cell.try_cast(T.LongType()) if column in schemas.FACT_KEYS else trimmed_price_value(cell)
 
 
 def _fault(column: str) -> Column:
-    """Why a cell is rejected; NULL where it is fine."""
-    cell, lost = blank_to_null(column), _typed(column).isNull()
+    """Why a cell is rejected, from its trimmed text and its value; NULL where it is fine."""
+    cell, lost = F.col(f"__cell_{column}"), F.col(f"__value_{column}").isNull()
     if column in schemas.FACT_KEYS:
         return (F.when(cell.isNull(), "missing")
-                .when(~cell.rlike(r"^[+-]?[0-9]+$"), "not a whole number")
+                .when(~(is_ascii_digits(cell) | cell.rlike(r"^[+-]?[0-9]+$")), "not a whole number")
                 .when(lost, "out of range"))
     return (F.when(cell.isNull() | ~lost, F.lit(None).cast("string"))
             .when(~is_float_text(cell), "not a number")
@@ -87,11 +88,17 @@ def load(spark: SparkSession, path: str, staged: str) -> tuple[DataFrame, DataFr
     cells = _cells(spark, path)
     if cells is None:
         return spark.createDataFrame([], LOOKBACK), spark.createDataFrame([], REJECT)
-    faults = [F.when(_fault(c).isNotNull(), F.struct(F.lit(c).alias("column"), F.col(c).alias("value"), _fault(c).alias("reason")))
-              for c in schemas.LOOKBACK_COLUMNS]
-    typed = cells.select(*[_typed(c).alias(c) for c in schemas.LOOKBACK_COLUMNS], "__file", "__split", "__at",
-                         F.array_compact(F.array(*faults)).alias("__faults"))
-    typed = typed.withColumn("__bad", F.size("__faults") > 0)
+    # Trimmed text, value and fault are columns, each worked out once per cell.
+    columns = schemas.LOOKBACK_COLUMNS
+    cells = cells.withColumns({f"__text_{c}": strip_ws(c) for c in columns})
+    cells = cells.withColumns({f"__cell_{c}": F.when(F.col(f"__text_{c}") != "", F.col(f"__text_{c}")) for c in columns})
+    cells = cells.withColumns({f"__value_{c}": _typed(c) for c in columns})
+    cells = cells.withColumns({f"__fault_{c}": _fault(c) for c in columns})
+    faults = [F.when(F.col(f"__fault_{c}").isNotNull(), F.struct(
+        F.lit(c).alias("column"), F.col(c).alias("value"), F.col(f"__fault_{c}").alias("reason"))) for c in columns]
+    some = F.coalesce(*[F.col(f"__fault_{c}") for c in columns]).isNotNull()
+    typed = cells.select(*[F.col(f"__value_{c}").alias(c) for c in columns], "__file", "__split", "__at",
+                         F.when(some, F.array_compact(F.array(*faults))).alias("__faults"), some.alias("__bad"))
     typed.write.mode("errorifexists").parquet(staged)
     table = spark.read.schema(typed.schema).parquet(staged)
     return table.filter(~F.col("__bad")).select(*schemas.LOOKBACK_COLUMNS), _rejects(table)

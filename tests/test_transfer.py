@@ -175,3 +175,10 @@ def test_two_runs_never_share_a_commit_number(scratch):
 def test_run_must_be_named(spark, scratch, run):
     with pytest.raises(Exception, match="name the run"):
         E.upsert_into(spark.createDataFrame([(1, "a", 1)], ROW), scratch, run)
+
+
+def test_a_cell_is_trimmed_typed_and_judged_once():
+    # A fault reads the trimmed text and the value as columns; it works neither out again.
+    for column in schemas.LOOKBACK_COLUMNS:
+        fault = str(TL._fault(column)).lower()
+        assert f"__cell_{column}" in fault and "cast" not in fault.replace("cast(null", "") and r"^\s" not in fault
