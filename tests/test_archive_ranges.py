@@ -170,3 +170,12 @@ def test_a_large_member_is_many_tasks_of_bounded_blocks(spark, tmp_path):
     assert len(blocks) > 20
     assert max(len(b.content) for b in blocks) < 8192 + R._STEP
     assert rows_of(A.scan_archives(spark, path, whole_bytes=0, block_bytes=8192)) == rows_of(A.scan_archives(spark, path))
+
+
+def test_scan_queries_pack_the_archives_once(spark, monkeypatch):
+    from shelfline.plans import catalog_store as S
+
+    packed, write = [], S.write_once
+    monkeypatch.setattr(S, "write_once", lambda df: packed.append(df) or write(df))
+    plan = S._scan(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert len(packed) == 1 and "collect_list" not in plan
