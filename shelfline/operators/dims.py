@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from shelfline.functions import conform as C
 from shelfline.operators.joins import SizedFrame
-from shelfline.session import checkpoint
+from shelfline.session import write_once
 
 
 def first_seen(rows: DataFrame, natural_key: list[str], attrs: list[str],
@@ -51,7 +51,7 @@ def number_sorted(df: DataFrame, start: int, out_col: str) -> DataFrame:
     # so a small run writes a small checkpoint.
     s = (df.withColumn("_pid", F.spark_partition_id())
            .withColumn("_mid", F.monotonically_increasing_id()))
-    s = checkpoint(s)
+    s = write_once(s)
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
@@ -112,9 +112,9 @@ def assign_keys_many(specs: dict[str, KeySpec]) -> dict[str, Keyed]:
 
     wide = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), [new_rows(n, sp) for n, sp in specs.items()])
     # Written once: the range partitioner samples its input and the sort reads it again.
-    wide = checkpoint(wide.hint("rebalance"))
+    wide = write_once(wide.hint("rebalance"))
     order = list(dict.fromkeys(c for sp in specs.values() for c in sp.natural_key))
-    placed = checkpoint(wide.orderBy("_dim", "first_pos", *order)
+    placed = write_once(wide.orderBy("_dim", "first_pos", *order)
                         .withColumn("_pid", F.spark_partition_id())
                         .withColumn("_mid", F.monotonically_increasing_id()))
     # One row per dimension and partition.

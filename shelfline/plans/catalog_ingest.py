@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfline import schemas
-from shelfline.session import checkpoint
+from shelfline.session import write_once
 from shelfline.plans import ingest as I
 from shelfline.plans.catalog import register
 from shelfline.plans.oracle_ingest import CONFORM_SQL, DIM_SQL, FACT_SQL, QUALITY_SQL, with_ingest
@@ -62,7 +62,7 @@ def _two_runs(spark, sf):
     early = staged.filter(F.col("zip_date") < HISTORY_UNTIL)
     late = staged.filter(F.col("zip_date") >= HISTORY_UNTIL)
     first = I.build_dimensions(I.staged_rows(early), I.staged_members(early), empty, noms)
-    existing = {n: checkpoint(df) for n, df in first.full.items()}
+    existing = {n: write_once(df) for n, df in first.full.items()}
     return I.build_dimensions(I.staged_rows(late), I.staged_members(late), existing, noms)
 
 

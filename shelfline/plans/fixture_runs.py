@@ -7,7 +7,7 @@ from pyspark.sql import SparkSession
 from shelfline import schemas
 from shelfline.plans import ingest as I
 from shelfline.sources import fixtures as X
-from shelfline.session import checkpoint
+from shelfline.session import write_once
 
 
 def fixture_noms(spark: SparkSession, sf: str) -> I.Nomenclatures:
@@ -23,12 +23,12 @@ def fixture_raw(spark: SparkSession, sf: str):
     """
     # The record rows are materialised first; member and archive rows are
     # then cheap distinct projections of them.
-    return X.with_files(checkpoint(X.raw_record_rows(spark, sf)))
+    return X.with_files(write_once(X.raw_record_rows(spark, sf)))
 
 
 def fixture_staged(spark: SparkSession, sf: str):
-    """The staging table of a first run (reliable checkpoint)."""
-    return checkpoint(I.stage(fixture_raw(spark, sf)))
+    """The staging table of a first run (written once, columnar)."""
+    return write_once(I.stage(fixture_raw(spark, sf)))
 
 
 def fixture_first_run(spark: SparkSession, sf: str):

@@ -19,7 +19,7 @@ from shelfline import schemas
 from shelfline.functions import conform as C
 from shelfline.operators import dims as D
 from shelfline.operators.joins import SizedFrame
-from shelfline.session import checkpoint
+from shelfline.session import write_once
 
 
 def conform(records: DataFrame) -> DataFrame:
@@ -38,7 +38,7 @@ def conform(records: DataFrame) -> DataFrame:
 def stage(records: DataFrame) -> DataFrame:
     """Decoded rows of every kind, with the conformed fields of record rows.
 
-    This is the run's staging table: the caller checkpoints it once, and
+    This is the run's staging table: the caller writes it once, and
     rows, members and archives are filters of it, so decoding and cleaning
     run once per record.  Intermediate values are separate columns so each
     expression is evaluated once per row (Catalyst does not inline costly
@@ -136,7 +136,7 @@ def build_dimensions(rows: DataFrame, members: DataFrame, existing: dict[str, Da
     ``first_seen_keys(rows)`` where the caller has it already.
     """
     if keys is None:
-        keys = checkpoint(first_seen_keys(rows))
+        keys = write_once(first_seen_keys(rows))
 
     def spec(name, candidates):
         _, key, nat = schemas.DIMENSIONS[name]
@@ -307,7 +307,7 @@ def ingest_records(spark: SparkSession, records: DataFrame, root: str, noms: Nom
         W.drop_staging(spark, root, version)
         return IngestResult([], "", spark.createDataFrame([], schemas.QUALITY))
     rows, members = staged_rows(staged), staged_members(staged)
-    keys = checkpoint(first_seen_keys(rows))
+    keys = write_once(first_seen_keys(rows))
     existing = {name: W.read_dim(spark, root, name) for name in schemas.DIMENSIONS}
     built = build_dimensions(rows, members, existing, noms, keys)
     dims = dict(built.full)

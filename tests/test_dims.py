@@ -64,3 +64,17 @@ def test_keys_follow_first_seen_order(spark):
     full, _ = D.assign_keys(existing, cands, "category_key", ["category_code"],
                             ["category_key", "category_code", "category_name"])
     assert sorted((r.category_key, r.category_code) for r in full.collect()) == [(1, "b"), (2, "c"), (3, "a")]
+
+
+def test_what_a_first_run_writes_is_columnar(spark):
+    import os
+
+    from shelfline.plans.fixture_runs import fixture_first_run
+    from shelfline.session import ensure_checkpoint_dir
+
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    _, _, _, built = fixture_first_run(spark, "/root/testdata/sf0.001")
+    assert built.full["store"].count() > 0
+    made = set(os.listdir(folder)) - before
+    assert made and all(n.startswith("written-") for n in made)
