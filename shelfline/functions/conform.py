@@ -3,8 +3,8 @@
 All rules run inside whole-stage codegen (no Python per row).  Notes on
 edge cases:
 
-* whitespace trimming uses Unicode ``\\s`` (Java ``(?U)``); the C0 separator
-  characters 0x1C-0x1F are not trimmed.
+* whitespace trimming takes the characters of Unicode ``\\s`` (Java ``(?U)``); the
+  C0 separator characters 0x1C-0x1F are not trimmed.
 * a settlement code counts as numeric when it is made of ASCII digits.
 * ``nan``/``inf``/``infinity`` prices are accepted as text (like a float
   parser would) and become NULL when typed as ``decimal(12,4)``; so does any
@@ -19,31 +19,25 @@ from pyspark.sql import functions as F
 from shelfline.schemas import PRICE
 
 UNKNOWN_PREFIX = "(unknown:"
+DIGITS = "0123456789"
 
 
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _ends_match(c: Column, pattern: str) -> Column:
-    """True when the first or the last character matches ``pattern`` (cheap probe)."""
-    return F.substring(c, 1, 1).rlike(pattern) | F.substring(c, -1, 1).rlike(pattern)
+# White space as Java's (?U)\s has it.
+WHITE = "\t\n\x0b\f\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200b))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
 def strip_ws(c: str | Column) -> Column:
-    """Remove leading and trailing (Unicode) whitespace.
-
-    The full regular expression only runs when an end character is
-    whitespace; most values take the one-character probe.
-    """
-    x = _col(c)
-    return F.when(_ends_match(x, r"(?U)^\s$"), F.regexp_replace(x, r"(?U)^\s+|\s+$", "")).otherwise(x)
+    """Remove leading and trailing (Unicode) whitespace, without a regular expression per value."""
+    return F.btrim(_col(c), F.lit(WHITE))
 
 
 def strip_quotes(c: str | Column) -> Column:
     """Remove double quotes at both ends."""
-    x = _col(c)
-    return F.when(x.startswith('"') | x.endswith('"'), F.btrim(x, F.lit('"'))).otherwise(x)
+    return F.btrim(_col(c), F.lit('"'))
 
 
 def clean_field(c: str | Column) -> Column:
@@ -54,13 +48,12 @@ def clean_field(c: str | Column) -> Column:
 def is_ascii_digits(c: str | Column) -> Column:
     """Non-empty and made of 0-9 only (no regular expression)."""
     x = _col(c)
-    return (F.length(x) > 0) & (F.length(F.translate(x, "0123456789", "")) == 0)
+    return (x != "") & (F.btrim(x, F.lit(DIGITS)) == "")
 
 
 def blank_to_null(c: str | Column) -> Column:
     """Trim; a blank value becomes NULL."""
-    t = strip_ws(_col(c).cast("string"))
-    return F.when(t != "", t)
+    return F.nullif(strip_ws(_col(c).cast("string")), F.lit(""))
 
 
 def _zfill(c: Column, width: int = 5) -> Column:
@@ -126,7 +119,7 @@ NONFINITE_PATTERN = r"(?i)^\s*[+-]?(?:nan|inf|infinity)\s*$"
 
 def price_text(c: str | Column) -> Column:
     """Trimmed and unquoted price text with a decimal point."""
-    return F.translate(clean_field(c), ",", ".")
+    return F.replace(clean_field(c), F.lit(","), F.lit("."))
 
 
 def valid_price_text(c: str | Column) -> Column:
@@ -142,9 +135,8 @@ def is_float_text(c: str | Column) -> Column:
     regular expression; everything else is checked with the full pattern.
     """
     x = _col(c)
-    plain = ((F.length(F.translate(x, "0123456789.", "")) == 0)
-             & (F.length(x) - F.length(F.translate(x, ".", "")) <= 1)
-             & (F.length(x) > 0) & (x != "."))
+    # What digits at both ends leave of a plain decimal is its point, if any.
+    plain = F.btrim(x, F.lit(DIGITS)).isin("", ".") & ~x.isin("", ".")
     return plain | x.rlike(FLOAT_PATTERN) | x.rlike(NONFINITE_PATTERN)
 
 
@@ -155,13 +147,12 @@ def price_value(text: str | Column) -> Column:
 
 def trimmed_price_value(cell: str | Column) -> Column:
     """``price_value`` of a text that is trimmed, and NULL where blank."""
-    return F.translate(_col(cell), "_", "").try_cast(PRICE)
+    return F.replace(_col(cell), F.lit("_"), F.lit("")).try_cast(PRICE)
 
 
 def typing_losses(text: str | Column) -> Column:
     """1 when a non-blank price text cannot be typed as ``decimal(12,4)``."""
-    t = blank_to_null(text)
-    return F.when(t.isNotNull() & price_value(text).isNull(), 1).otherwise(0)
+    return F.when(price_value(text).isNull() & blank_to_null(text).isNotNull(), 1).otherwise(0)
 
 
 def delimiter_of(first_line: str | Column) -> Column:

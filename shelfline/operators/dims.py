@@ -18,6 +18,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfline.functions import conform as C
 from shelfline.operators.joins import SizedFrame
@@ -35,6 +36,48 @@ def first_seen(rows: DataFrame, natural_key: list[str], attrs: list[str],
     return rows.groupBy(*natural_key).agg(*aggs)
 
 
+def _first(rows: DataFrame, keys: dict[str, list[str]], pos: str) -> DataFrame:
+    """The least ``pos`` of every natural key: _dim, the key columns (NULL outside their dimension), ``pos``.
+
+    Grouping sets: the rows are scanned and shuffled once, and each set's
+    minimum is partially aggregated before the shuffle.
+    """
+    cols = list(dict.fromkeys(c for key in keys.values() for c in key))
+    sets = [[F.col(c) for c in key] for key in keys.values()]
+    seen = rows.groupingSets(sets, *[F.col(c) for c in cols]).agg(
+        F.min(pos).alias(pos), F.grouping_id(*[F.col(c) for c in cols]).alias("_g"))
+    names = F.lit(None).cast("string")
+    for name, key in keys.items():
+        bits = sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in key)
+        names = F.when(F.col("_g") == bits, F.lit(name)).otherwise(names)
+    return seen.select(names.alias("_dim"), *cols, pos)
+
+
+def first_places(rows: DataFrame, keys: dict[str, list[str]], pos: str = "pos") -> DataFrame:
+    """First place of every natural key of several dimensions, written once.
+
+    Columns: _dim, the key columns, first_pos, which sorts a dimension's keys
+    by their first position.  Spark finds the minimum of a struct by sorting
+    all rows.  So of a struct position that begins with a whole number, that
+    number's minimum is found by hashing; only keys of one dimension that share
+    it are told apart by the whole position, over the rows that have it.
+    """
+    kind = rows.schema[pos].dataType
+    if not (isinstance(kind, T.StructType) and isinstance(kind.fields[0].dataType, T.IntegralType)):
+        return write_once(_first(rows, keys, pos).withColumnRenamed(pos, "first_pos"))
+    lead = F.coalesce(F.col(pos)[kind.fields[0].name].cast("bigint"), F.lit(-1 << 63))  # (NULL sorts first)
+    led = rows.withColumn("_lead", lead)
+    seen = write_once(_first(led, keys, "_lead"))
+    shared = write_once(seen.groupBy("_dim", "_lead").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_lead").distinct())
+    if shared.isEmpty():
+        return seen.withColumn("first_pos", F.struct("_lead", F.lit(None).cast(kind).alias(pos))).drop("_lead")
+    whole = _first(led.join(SizedFrame(shared).for_join(), "_lead", "left_semi"), keys, pos)
+    cols = [c for c in seen.columns if c != "_lead"]
+    found = seen.join(whole.withColumnsRenamed({c: f"_{c}" for c in cols}),
+                      reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in cols]), "left")
+    return write_once(found.select(*cols, F.struct("_lead", pos).alias("first_pos")))
+
+
 def null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]):
     return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
 

@@ -19,7 +19,6 @@ from shelfline import schemas
 from shelfline.functions import conform as C
 from shelfline.operators import dims as D
 from shelfline.operators.joins import SizedFrame
-from shelfline.session import write_once
 
 
 def conform(records: DataFrame) -> DataFrame:
@@ -111,20 +110,8 @@ _ROW_KEYS = {"date": ["zip_date"], "settlement": ["ekatte"], "category": ["categ
 
 
 def first_seen_keys(rows: DataFrame) -> DataFrame:
-    """First position of every natural key of the rows, all dimensions in one pass.
-
-    Grouping sets: the rows are scanned and shuffled once, and each set's
-    minimum is partially aggregated before the shuffle.  Columns: _dim, the
-    key columns (NULL outside their dimension), first_pos.
-    """
-    cols = [c for keys in _ROW_KEYS.values() for c in keys]
-    seen = rows.groupingSets([[F.col(c) for c in keys] for keys in _ROW_KEYS.values()], *[F.col(c) for c in cols]).agg(
-        F.min("pos").alias("first_pos"), F.grouping_id(*[F.col(c) for c in cols]).alias("_g"))
-    names = F.lit(None).cast("string")
-    for name, keys in _ROW_KEYS.items():
-        bits = sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in keys)
-        names = F.when(F.col("_g") == bits, F.lit(name)).otherwise(names)
-    return seen.select(names.alias("_dim"), *cols, "first_pos")
+    """First place of every natural key of the rows, all dimensions in one pass (``dims.first_places``)."""
+    return D.first_places(rows, _ROW_KEYS)
 
 
 def build_dimensions(rows: DataFrame, members: DataFrame, existing: dict[str, DataFrame],
@@ -136,7 +123,7 @@ def build_dimensions(rows: DataFrame, members: DataFrame, existing: dict[str, Da
     ``first_seen_keys(rows)`` where the caller has it already.
     """
     if keys is None:
-        keys = write_once(first_seen_keys(rows))
+        keys = first_seen_keys(rows)
 
     def spec(name, candidates):
         _, key, nat = schemas.DIMENSIONS[name]
@@ -161,7 +148,7 @@ def build_dimensions(rows: DataFrame, members: DataFrame, existing: dict[str, Da
     sized = {n: k.full for n, k in keyed.items()}
     with_keys = _with_keys(rows, sized, ["settlement", "company"])
     keyed.update(D.assign_keys_many({"store": spec(
-        "store", D.first_seen(with_keys, ["store_name", "settlement_key", "company_key"], []))}))
+        "store", D.first_places(with_keys, {"store": ["store_name", "settlement_key", "company_key"]}))}))
     return DimBuild(full={n: k.full.df for n, k in keyed.items()},
                     new={n: k.new for n, k in keyed.items()},
                     sized={n: k.full for n, k in keyed.items()})
@@ -298,16 +285,17 @@ def ingest_records(spark: SparkSession, records: DataFrame, root: str, noms: Nom
     version = W.new_version(label)
     run_ts = run_ts or _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d_%H%M%S")
     W.check_versions(spark, root)
-    # Decoded and cleaned once; columnar, so each pass reads its columns and kind.
-    stage(with_position(records)).write.partitionBy("kind").parquet(W.staging_path(root, version))
-    staged = spark.read.parquet(W.staging_path(root, version))
+    # Decoded and cleaned once; columnar, so each pass reads its columns.  Folders by kind would have every task sort its rows.
+    cleaned = stage(with_position(records))
+    cleaned.write.parquet(W.staging_path(root, version))
+    staged = spark.read.schema(cleaned.schema).parquet(W.staging_path(root, version))
     archives = staged.filter((F.col("kind") == "archive") & (F.col("status") == "ok")).select("zip_date")
     processed = sorted(r["zip_date"] for r in archives.distinct().collect())  # one name per archive
     if not processed:
         W.drop_staging(spark, root, version)
         return IngestResult([], "", spark.createDataFrame([], schemas.QUALITY))
     rows, members = staged_rows(staged), staged_members(staged)
-    keys = write_once(first_seen_keys(rows))
+    keys = first_seen_keys(rows)
     existing = {name: W.read_dim(spark, root, name) for name in schemas.DIMENSIONS}
     built = build_dimensions(rows, members, existing, noms, keys)
     dims = dict(built.full)

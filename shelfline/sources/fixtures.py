@@ -198,22 +198,25 @@ def raw_record_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     prt = SizedFrame(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand"))
     j = (li.join(sup.for_join(), li.l_suppkey == F.col("s_suppkey"))
            .join(prt.for_join(), li.l_partkey == F.col("p_partkey")))
-    c = F.col("l_suppkey") % RAW_COMPANIES
-    m = F.col("l_linenumber") % 4
-    n = F.col("s_nationkey").cast("string")
-    n5 = F.lpad(n, 5, "0")
     price = F.col("l_extendedprice").cast("decimal(12,2)")
-    disc = F.col("l_discount").cast("decimal(4,2)")
-    ptxt = price.cast("string")
-    promo_txt = (price * (F.lit(1) - disc)).cast("decimal(12,2)").cast("string")
-    zip_date = F.concat(F.date_format("l_shipdate", "yyyy-MM"), F.lit("-01"))
+    # Columns of their own, so a plan works each out once per row.
+    j = j.select(
+        "*", F.concat(F.date_format("l_shipdate", "yyyy-MM"), F.lit("-01")).alias("_zip"), price.alias("_price"),
+        F.col("l_discount").cast("decimal(4,2)").alias("_disc"), (F.col("l_suppkey") % RAW_COMPANIES).alias("_c"),
+        F.col("s_nationkey").cast("string").alias("_n"))
+    j = j.select("*", F.col("_price").cast("string").alias("_ptxt"), F.lpad("_n", 5, "0").alias("_n5"),
+                 (F.col("_price") * (F.lit(1) - F.col("_disc"))).cast("decimal(12,2)").cast("string").alias("_promo"))
+    c, n, n5, ptxt, promo_txt, disc, zip_date = (F.col(x) for x in ("_c", "_n", "_n5", "_ptxt", "_promo", "_disc", "_zip"))
+    m = F.col("l_linenumber") % 4
+    dotless = lambda x: F.replace(x, F.lit("."), F.lit(","))
     kind = F.col("l_orderkey") % 6
     category = (F.when(F.col("l_linenumber") != RAW_BAD_CATEGORY_LINE, brand_number().cast("string"))
                 .when(kind == 0, F.lit("")).when(kind == 1, F.lit("-1"))
                 .when(kind == 2, F.concat(F.lit("0"), F.lpad((F.col("l_partkey") % 1000).cast("string"), 5, "0")))
                 .when(kind == 3, F.concat(F.lit("63"), F.lpad((F.col("l_partkey") % 100).cast("string"), 4, "0")))
                 .when(kind == 4, F.lit("n.a.")).otherwise(F.lit("150")))
-    pos = F.struct(zip_date.alias("zip_date"), c.alias("file_seq"), F.col("l_orderkey"),
+    pos = F.struct(_lead(F.to_date("l_shipdate"), c, F.col("l_orderkey"), F.col("l_linenumber")).alias("lead"),
+                   zip_date.alias("zip_date"), c.alias("file_seq"), F.col("l_orderkey"),
                    F.col("l_linenumber").cast("bigint").alias("l_linenumber"), F.col("l_partkey"),
                    F.col("l_suppkey"), F.col("l_quantity"), F.col("l_extendedprice"), F.col("l_discount"))
     records = j.select(
@@ -235,20 +238,38 @@ def raw_record_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_name").alias("product_name"),
         F.col("p_partkey").cast("string").alias("product_code"),
         category.alias("category_code"),
-        F.when(m == 0, ptxt).when(m == 1, F.regexp_replace(ptxt, r"\.", ","))
+        F.when(m == 0, ptxt).when(m == 1, dotless(ptxt))
          .when(m == 2, F.concat(F.lit('"'), ptxt, F.lit('"')))
          .when(F.col("l_quantity") % 2 == 0, F.lit(""))
          .when(F.col("l_quantity") % 10 == 1, F.lit(RAW_HUGE_PRICE))
          .when(F.col("l_quantity") % 10 == 3, F.lit(RAW_GROUPED_PRICE))
          .otherwise(F.lit("n/a")).alias("retail_price"),
         F.when(disc == 0, F.lit(""))
-         .when(m % 2 == 1, F.regexp_replace(promo_txt, r"\.", ","))
+         .when(m % 2 == 1, dotless(promo_txt))
          .otherwise(promo_txt).alias("promo_price"),
         pos.alias("pos"),
     )
     return records
 
 
+def _lead(date, file_seq, order, line):
+    """A number that never falls where the position rises: it leads the position.
+
+    Month (17 bits), file (4), order (38) and line (3); what does not fit is
+    cut off at the ends, and the position's other fields tell such rows apart.
+    """
+    def part(x, bits):
+        return F.greatest(F.lit(0), F.least(F.lit((1 << bits) - 1), F.coalesce(x.cast("bigint"), F.lit(0))))
+
+    year = F.year(date)
+    # (Years of other than four digits are written with a sign, which sorts first.)
+    month = F.when(year.between(1, 9999), year * 12 + F.month(date))
+    out = part(month, 17)
+    for x, bits in ((file_seq + RAW_COMPANIES, 4), (order, 38), (line, 3)):
+        out = F.shiftleft(out, bits).bitwiseOR(part(x, bits))
+    return out
+
+
 def with_files(records: DataFrame) -> DataFrame:
     """Add one member row per (archive, file) and one archive row per date."""
     members = (records.select("zip_date", "file_seq", "file_name", "delimiter").distinct()
@@ -263,10 +284,11 @@ def with_files(records: DataFrame) -> DataFrame:
         for f in records.schema.fields:
             if f.name not in df.columns:
                 if f.name == "pos":
+                    seq = F.col("file_seq") if "file_seq" in df.columns else F.lit(-1).cast("bigint")
                     p = F.struct(
-                        F.col("zip_date").alias("zip_date"),
-                        (F.col("file_seq") if "file_seq" in df.columns else F.lit(-1).cast("bigint")).alias("file_seq"),
-                        *[F.lit(-1).cast(t.dataType).alias(t.name) for t in f.dataType.fields[2:]])
+                        _lead(F.to_date("zip_date"), seq, F.lit(-1), F.lit(-1)).alias("lead"),
+                        F.col("zip_date").alias("zip_date"), seq.alias("file_seq"),
+                        *[F.lit(-1).cast(t.dataType).alias(t.name) for t in f.dataType.fields[3:]])
                     out = out.withColumn("pos", p)
                 else:
                     out = out.withColumn(f.name, F.lit(None).cast(f.dataType))

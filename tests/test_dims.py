@@ -78,3 +78,21 @@ def test_what_a_first_run_writes_is_columnar(spark):
     assert built.full["store"].count() > 0
     made = set(os.listdir(folder)) - before
     assert made and all(n.startswith("written-") for n in made)
+
+
+def test_first_places_tell_keys_of_one_leading_number_apart(spark):
+    # Two keys share the leading number: the rest of the position orders them; a null key is a key.
+    rows = spark.createDataFrame(
+        [(7, 2, "a", "x"), (7, 1, "b", "x"), (3, 9, "c", "y"), (None, 5, None, "y"), (7, 0, "c", "y"), (9, 0, "b", "z")],
+        "lead bigint, rest int, code string, name string").withColumn("pos", F.struct("lead", "rest"))
+    found = D.first_places(rows, {"code": ["code"], "name": ["name"]})
+    for dim, order in (("code", [None, "c", "b", "a"]), ("name", ["y", "x", "z"])):
+        assert [r[dim] for r in found.filter(F.col("_dim") == dim).orderBy("first_pos").collect()] == order
+
+
+def test_first_places_of_a_struct_are_found_by_hashing(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(D, "write_once", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or df)
+    rows = spark.range(20).select(F.struct("id", F.lit("x").alias("rest")).alias("pos"), (F.col("id") % 5).alias("code"))
+    assert [r.code for r in D.first_places(rows, {"code": ["code"]}).orderBy("first_pos").collect()] == [0, 1, 2, 3, 4]
+    assert plans and not any("SortAggregate" in p for p in plans)
