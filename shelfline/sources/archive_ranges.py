@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfline.operators.joins import SizedFrame
 from shelfline.session import write_once
 
 PIECE_BYTES = 1 << 20
@@ -114,7 +115,7 @@ def file_pieces(spark: SparkSession, paths: list[str], piece_bytes: int = PIECE_
     at = F.col("base") + F.col("rel")
     # A last line without an end has got one too many.
     data = F.expr("substring(data, 1, CAST(least(length(data), size - at) AS INT))")
-    return (pieces.join(base, ["path", "split"]).withColumn("at", at)
+    return (pieces.join(SizedFrame(base).for_join(), ["path", "split"]).withColumn("at", at)
             .select("path", "size", "at", data.alias("data")).filter(F.length("data") > 0))
 
 
@@ -193,7 +194,7 @@ def directories(pieces: DataFrame, tail_bytes: int = TAIL_BYTES) -> DataFrame:
     end = F.col("at") + F.length("data")
     first = write_once(pieces.filter(end > F.col("size") - tail_bytes).groupBy("path").applyInArrow(_read_directory, _ENTRY))
     cut = first.filter("status = 'cut'").select("path", "need")
-    again = (pieces.join(cut, "path").filter(end > F.col("need")).drop("need")
+    again = (pieces.join(SizedFrame(cut).for_join(), "path").filter(end > F.col("need")).drop("need")
              .groupBy("path").applyInArrow(_read_directory, _ENTRY))
     return write_once(first.filter("status <> 'cut'").union(again))
 
@@ -403,7 +404,7 @@ def member_blocks(pieces: DataFrame, found: DataFrame, group_bytes: int = GROUP_
     dealt = both.repartition(parts, "path", "group").sortWithinPartitions(
         "path", "group", F.col("entry").isNull(), "at", F.col("entry.file_seq").asc_nulls_last())
     with arrow_rows(spark, 32):
-        return write_once(dealt.mapInArrow(_inflate(block_bytes), BLOCK))
+        return write_once(dealt.mapInArrow(_inflate(block_bytes), BLOCK), "zstd")
 
 
 def scan(spark: SparkSession, paths: list[str], date_of, piece_bytes: int = PIECE_BYTES, tail_bytes: int = TAIL_BYTES,
@@ -419,8 +420,9 @@ def scan(spark: SparkSession, paths: list[str], date_of, piece_bytes: int = PIEC
     with arrow_rows(spark, 32):
         found = directories(pieces, tail_bytes)
     blocks = member_blocks(pieces, found, group_bytes, block_bytes)
-    bad = (blocks.filter("kind = 'verdict' AND NOT ok").select("path")
-           .union(found.filter("status = 'corrupt'").select("path")).distinct())
+    # Written, so that its size is known: blocks move for no join with a few paths.
+    bad = SizedFrame(write_once(blocks.filter("kind = 'verdict' AND NOT ok").select("path")
+                                .union(found.filter("status = 'corrupt'").select("path")).distinct())).for_join()
     archives = found.filter("status IN ('ok', 'corrupt')").select("path").join(
         bad.withColumn("bad", F.lit(True)), "path", "left")
     whole = blocks.filter("kind = 'block'").join(bad, "path", "left_anti")

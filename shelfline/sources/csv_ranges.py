@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfline.operators.joins import SizedFrame
 from shelfline.schemas import EXPECTED_COLUMNS, RAW_COLUMNS
 from shelfline.session import write_once
 
@@ -176,8 +177,8 @@ def split_records(blocks: DataFrame) -> DataFrame:
     with arrow_rows(spark, 32):
         told = write_once(blocks.select(*key, "block", "delimiter", "content").mapInArrow(_summaries, _SUMMARY))
         placed = write_once(told.groupBy(*key).applyInArrow(_scan_member, _PLACED))
-        known = blocks.join(placed.filter("valid"), [*key, "block"])
-        parsed = write_once(known.select(*key, "file_name", "delimiter", "block", "content", "before", "first").mapInArrow(_records, _PART))
+        known = blocks.join(SizedFrame(placed.filter("valid")).for_join(), [*key, "block"])
+        parsed = write_once(known.select(*key, "file_name", "delimiter", "block", "content", "before", "first").mapInArrow(_records, _PART), "zstd")
     crossing = parsed.filter(F.col("lines").isNotNull()).groupBy(*key, "number").applyInArrow(_assemble, _PART)
     records = parsed.filter(F.col("lines").isNull()).union(crossing).filter("number > 0")  # the header is dropped
     members = blocks.filter("block = 0").join(placed.filter("block = 0"), [*key, "block"])
