@@ -16,7 +16,9 @@ less than a sequence).
 Texts are encoded word by word (between ASCII white space), with the distinct
 words a worker has met remembered up to ``CACHE_BYTES``: right for tokenizers that
 fold capitals, drop white space and never join words or a letter with a mark,
-which ``word_bpe_49k.json`` does.
+which ``word_bpe_49k.json`` does.  A block's words are looked up once each, and
+new words of letters are encoded many at a time, told apart by the tokens that
+end a word.
 
 Defined cases: null and empty texts have the end id alone; rows that repeat a
 text or a key, or have a null key, are documents of their own; kept columns
@@ -32,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
@@ -43,16 +46,18 @@ SIZE = 2048
 GROUP_DOCS = 2048
 END_ID = 1
 CACHE_BYTES = 128 << 20
-_STEP_WORDS = 100_000
+_BLOCK_BYTES = 4 << 20
+_STEP_WORDS = 1 << 19
+_LINE_WORDS = 256
 _SEED = 2048
-_MARKS = b"!\"#$%&()*+,-./:;<=>?@[]^_`{|}~"
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[]^_`{|}~"
 
 RESULT = (("start", LongType()), ("length", LongType()), ("ids", BinaryType()), ("doc_tokens", LongType()),
           ("sequence_id", LongType()), ("offset", LongType()))
 
 
 class WordEncoder:
-    """Ids of whole texts (little-endian uint32 bytes), each distinct word encoded once."""
+    """Ids of whole texts (little-endian uint32), each distinct word encoded once."""
 
     # Workers of both byte orders would need a swap here.
     assert sys.byteorder == "little" and array("I").itemsize == 4
@@ -64,46 +69,99 @@ class WordEncoder:
         self._tokenizer = Tokenizer.from_str(spec)
         self._tokenizer.encode_special_tokens = special_as_text
         self._fold = special_as_text  # else a folded text might spell a special token
-        self._known: dict[bytes, bytes] = {}
+        self._ends = _word_ends(self._tokenizer)
+        self._known: dict[str, bytes] = {}
         self._held = 0
 
     def encode(self, text: bytes) -> bytes:
-        # ASCII capitals are folded here, as the tokenizer folds all capitals.
-        words = (text.lower() if self._fold else text).split()  # ASCII white space, as the input is bytes
-        return b"".join([self._part(words[i: i + _STEP_WORDS]) for i in range(0, len(words), _STEP_WORDS)])
+        return self.encode_all(pa.array([text.decode()]))[0].tobytes()
 
-    def _part(self, words: list[bytes]) -> bytes:
-        ids = list(map(self._known.get, words))
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of some texts (strings, null is empty) one after another, and where each text's ids begin and end."""
+        texts = texts.fill_null("")
+        # ASCII capitals are folded here, as the tokenizer folds all capitals.
+        split = pc.ascii_split_whitespace(pc.ascii_lower(texts) if self._fold else texts)
+        words = split.flatten()  # some are empty, beside white space at an end
+        ids, sizes = [np.empty(0, "<u4")], [np.zeros(1, np.int64)]
+        for at in range(0, len(words), _STEP_WORDS):
+            part = self._part(words.slice(at, _STEP_WORDS).dictionary_encode())
+            places = np.frombuffer(part.buffers()[1], np.int64)[part.offset: part.offset + len(part) + 1]
+            ids.append(np.frombuffer(part.buffers()[2] or b"", np.uint8)[places[0]: places[-1]].view("<u4"))
+            sizes.append(np.diff(places) // 4)
+        ends = np.cumsum(np.concatenate(sizes))
+        return np.concatenate(ids), ends[np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy())])]
+
+    def _part(self, words: pa.DictionaryArray) -> pa.LargeBinaryArray:
+        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = list(map(self._known.get, distinct))
         if None in ids:
             if self._held > CACHE_BYTES:
                 self._known, self._held = {}, 0
-                ids = [None] * len(words)
-            self._learn({w for w, i in zip(words, ids, strict=True) if i is None})
-            ids = map(self._known.__getitem__, words)
-        return b"".join(ids)
-
-    def _learn(self, words: set[bytes]) -> None:
-        parts = {w: self._cut(w) if w[-1] in _MARKS else (w,) for w in words}
-        fresh = list({x for p in parts.values() for x in p}.difference(self._known))
-        coded = self._tokenizer.encode_batch_fast([x.decode() for x in fresh], add_special_tokens=False)
-        for x, c in zip(fresh, coded, strict=True):
-            self._keep(x, array("I", c.ids).tobytes())
-        for w, p in parts.items():
-            if len(p) > 1:
-                self._keep(w, self._known[p[0]] + self._known[p[1]])
-
-    def _keep(self, word: bytes, ids: bytes) -> None:
+                ids = [None] * len(distinct)
+            missing = [k for k, i in enumerate(ids) if i is None]
+            for k, i in zip(missing, self._learn([distinct[k] for k in missing]), strict=True):
+                ids[k] = i
+        return pa.array(ids, pa.large_binary()).take(words.indices)
+
+    def _learn(self, words: list[str]) -> Iterator[bytes]:
+        marked = {w: p for w in words if w[-1:] in _MARKS and len(p := self._cut(w)) > 1}
+        fresh = {w for w in words if w not in marked}
+        fresh.update(x for p in marked.values() for x in p if x not in self._known)
+        plain = [x for x in fresh if x.isalpha()] if self._ends is not None else []
+        fresh.difference_update(self._learn_together(plain))
+        self._learn_singly(list(fresh))
+        for w, (core, marks) in marked.items():
+            self._keep(w, self._known[core] + self._known[marks])
+        return map(self._known.__getitem__, words)
+
+    def _learn_singly(self, words: list[str]) -> None:
+        for w, c in zip(words, self._tokenizer.encode_batch_fast(words, add_special_tokens=False), strict=True):
+            self._keep(w, array("I", c.ids).tobytes())
+
+    def _learn_together(self, words: list[str]) -> list[str]:
+        """Words of letters, many to a line: each ends with the only token of it that ends a word.
+
+        Returns the words learnt: a line with another number of such tokens
+        (a letter that folds into a letter and a mark) is left out.
+        """
+        learnt = []
+        lines = [words[i: i + _LINE_WORDS] for i in range(0, len(words), _LINE_WORDS)]
+        coded = self._tokenizer.encode_batch_fast([" ".join(x) for x in lines], add_special_tokens=False)
+        for line, c in zip(lines, coded, strict=True):
+            raw = array("I", c.ids)
+            ends = np.flatnonzero(self._ends[np.frombuffer(raw, "<u4")]) + 1
+            if len(ends) == len(line) and ends[-1] == len(raw):
+                at, ids = 0, raw.tobytes()
+                for w, end in zip(line, (4 * ends).tolist(), strict=True):
+                    self._keep(w, ids[at: end])
+                    at = end
+                learnt += line
+        return learnt
+
+    def _keep(self, word: str, ids: bytes) -> None:
         self._known[word] = ids
-        self._held += len(word) + len(ids) + 150
+        self._held += len(word) + len(ids) + 170
 
-    def _cut(self, word: bytes) -> tuple[bytes, ...]:
+    def _cut(self, word: str) -> tuple[str, ...]:
         """A word and the marks behind it, which are tokens of their own after a letter or digit."""
         core = word.rstrip(_MARKS)
         if not self._fold or len(core) == len(word) or not core:
             return (word,)
-        last = core.decode()[-1]
         # (A capital may fold into a letter and a combining mark, which joins the marks.)
-        return (core, word[len(core):]) if last.isalnum() and last.lower()[-1].isalnum() else (word,)
+        return (core, word[len(core):]) if core[-1].isalnum() and core[-1].lower()[-1].isalnum() else (word,)
+
+
+def _word_ends(tokenizer) -> np.ndarray | None:
+    """Flags of the ids that end a word; None where a tokenizer does not mark the end of every word."""
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    suffix = getattr(tokenizer.model, "end_of_word_suffix", None)
+    vocabulary = tokenizer.get_vocab(with_added_tokens=False)
+    if not suffix or any(c + suffix not in vocabulary for c in ByteLevel.alphabet()):
+        return None
+    flags = np.zeros(tokenizer.get_vocab_size(with_added_tokens=True), dtype=bool)
+    flags[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+    return flags
 
 
 _ENCODERS: dict[tuple, WordEncoder] = {}
@@ -201,24 +259,22 @@ def _powers_of_two(pieces: list[tuple[int, int, int]], total: int) -> Iterator[l
 
 
 def _pieces(shared, end_id: int, size: int, keep: int, names: list[str]):
-    end = np.array([end_id], dtype="<u4").tobytes()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Whole sequences of every document, then its rest."""
         encoder = worker_encoder(*shared.value)
-        for rows, buf, offsets in B.slices(batches, "__text"):
-            row, start, ids, total = [], [], [], []
-            for i in range(rows.num_rows):
-                coded = encoder.encode(buf[offsets[i]: offsets[i + 1]].tobytes()) + end
-                for at in range(0, len(coded), 4 * size):
-                    row.append(i)
-                    start.append(at // 4)
-                    ids.append(coded[at: at + 4 * size])
-                    total.append(len(coded) // 4)
-            mine = [rows.column(c).take(pa.array(row, pa.int64())) for c in range(keep)]
-            length = pa.array([len(x) // 4 for x in ids], pa.int32())
+        for rows, _, _ in B.slices(batches, "__text", _BLOCK_BYTES):
+            ids, places = encoder.encode_all(rows.column(keep).cast(pa.string()))
+            total = np.diff(places) + 1  # with the end id
+            flat = np.insert(ids, places[1:], end_id)
+            pieces = -(-total // size)
+            row = np.repeat(np.arange(len(total)), pieces)
+            start = B.ranges(pieces) * size
+            length = np.minimum(size, total[row] - start)
+            cuts = np.concatenate([[0], np.cumsum(4 * length)])
+            coded = pa.Array.from_buffers(pa.large_binary(), len(row), [None, pa.py_buffer(cuts), pa.py_buffer(flat)])
+            mine = [rows.column(c).take(pa.array(row)) for c in range(keep)]
             yield pa.RecordBatch.from_arrays(
-                [*mine, pa.array(start, pa.int64()), length, pa.array(ids, pa.binary()), pa.array(total, pa.int64())], names=names)
+                [*mine, pa.array(start), pa.array(length.astype(np.int32)), coded.cast(pa.binary()), pa.array(total[row])], names=names)
     return run
 
 

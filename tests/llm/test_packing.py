@@ -115,6 +115,56 @@ def test_small_cache_gives_the_same(spec, tokenizer, monkeypatch):
         assert ids == tokenizer.encode(t or "", add_special_tokens=False).ids
 
 
+def test_new_words_go_to_the_tokenizer_together(spec, tokenizer):
+    """One call text per word was most of the query's time; letters that fold into a letter and a mark are taken singly."""
+    rnd = random.Random(9)
+    words = list({"".join(rnd.choice("abcdeéßñдж東") for _ in range(rnd.randint(1, 9))) for _ in range(3000)})
+    coder = P.WordEncoder(spec)
+    plain, sent = coder._tokenizer, []
+
+    class Counting:
+        def encode_batch_fast(self, texts, **kw):
+            sent.extend(texts)
+            return plain.encode_batch_fast(texts, **kw)
+
+    coder._tokenizer = Counting()
+    for text in (" ".join(words), "İstanbul aİ xyz \u0958\u0915 \u1112\u1161 \u1161 K Å end", " ".join(words[::-1])):
+        ids = memoryview(coder.encode(text.encode())).cast("I").tolist()
+        assert ids == tokenizer.encode(text, add_special_tokens=False).ids
+    assert len(sent) < len(words) / 50
+
+
+def test_ids_of_many_texts(spec, tokenizer, monkeypatch):
+    import pyarrow as pa
+
+    own = [*texts(), " a  b\n", "\xa0", "\x85 \u3000x"]
+    want = [tokenizer.encode(t or "", add_special_tokens=False).ids for t in own]
+    for step in (P._STEP_WORDS, 5):
+        monkeypatch.setattr(P, "_STEP_WORDS", step)
+        coder = P.WordEncoder(spec)
+        for block in (pa.array(own), pa.array(["z", *own])[1:], pa.array(own, pa.large_string())):
+            ids, places = coder.encode_all(block)
+            assert [ids[a:b].tolist() for a, b in zip(places[:-1], places[1:], strict=True)] == want
+    ids, places = coder.encode_all(pa.array([None, ""], pa.string()))
+    assert (len(ids), places.tolist()) == (0, [0, 0, 0])
+
+
+def test_tokenizer_without_marked_word_ends(spec):
+    import json
+
+    from tokenizers import Tokenizer
+
+    other = json.loads(spec)
+    model = other["model"]
+    model["end_of_word_suffix"] = None
+    model["merges"] = [m for m in model["merges"] if not m[1].endswith("</w>")]
+    tokenizer = Tokenizer.from_str(json.dumps(other))
+    coder = P.WordEncoder(json.dumps(other))
+    text = "some words of letters, and İ 12 marks !!"
+    assert coder._ends is None
+    assert memoryview(coder.encode(text.encode())).cast("I").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_query_on_documents(spark, tokenizer):
     from shelfline.llm import queries
 
