@@ -51,9 +51,15 @@ class SizedFrame:
             self._measure()
         return self._bytes
 
-    def for_join(self, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-        """The frame, marked for broadcast only when measured small enough."""
+    def _planned_small(self) -> bool:
+        """True where the planner broadcasts the frame by itself."""
         limit = self.df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-        if planned_bytes(self.df) <= limit:
-            return self.df  # the planner broadcasts it by itself
-        return F.broadcast(self.df) if self.bytes <= max_bytes else self.df
+        return planned_bytes(self.df) <= limit
+
+    def is_small(self, max_bytes: int | None = None) -> bool:
+        """True where ``for_join`` gives a frame that is broadcast."""
+        return self._planned_small() or self.bytes <= (BROADCAST_MAX_BYTES if max_bytes is None else max_bytes)
+
+    def for_join(self, max_bytes: int | None = None) -> DataFrame:
+        """The frame, marked for broadcast only when measured small enough."""
+        return F.broadcast(self.df) if not self._planned_small() and self.is_small(max_bytes) else self.df

@@ -14,6 +14,7 @@ import zipfile
 
 from pyspark.sql import functions as F
 
+from shelfline.operators.joins import SizedFrame
 from shelfline.plans import ingest as I
 from shelfline.plans import sync
 from shelfline.plans.catalog import register
@@ -198,12 +199,13 @@ _NEWEST = "zip_date = (SELECT MAX(zip_date) FROM conf)"
 
 
 def _with_names(df, star):
-    """Replace keys by natural values."""
-    store = star.dim("store").join(star.dim("settlement"), "settlement_key").join(star.dim("company"), "company_key")
-    return (df.join(store.select("store_key", "store_name", "ekatte", "uic"), "store_key")
-            .join(star.dim("product").select("product_key", "product_code"), "product_key")
-            .join(star.dim("category").select("category_key", "category_code"), "category_key")
-            .join(star.dim("file").select("file_key", "file_name"), "file_key"))
+    """Replace keys by natural values (products first: rows are only keys yet where their join moves them)."""
+    store = (star.dim("store").join(star.dim_for_join("settlement"), "settlement_key")
+             .join(star.dim_for_join("company"), "company_key").select("store_key", "store_name", "ekatte", "uic"))
+    return (df.join(star.dim_for_join("product").select("product_key", "product_code"), "product_key")
+            .join(SizedFrame(store).for_join(), "store_key")
+            .join(star.dim_for_join("category").select("category_key", "category_code"), "category_key")
+            .join(star.dim_for_join("file").select("file_key", "file_name"), "file_key"))
 
 
 @register("write_fact_partition", "WITH " + INGEST_CTES.strip() + "," + _NATURAL + " SELECT * FROM natural_rows")

@@ -15,20 +15,18 @@ def fixture_noms(spark: SparkSession, sf: str) -> I.Nomenclatures:
 
 
 def fixture_raw(spark: SparkSession, sf: str):
-    """Raw records derived from lineitem, materialised like decoded archives.
+    """Raw records derived from lineitem.
 
-    Decoded archive rows are plain columns; the derived fields here are
-    expressions, and materialising them keeps Catalyst from evaluating them
-    again inside every cleaning rule that reads them.
+    Only their files are written, from the few columns that tell them; the
+    records go into what reads them (the staging table, once) without a copy.
     """
-    # The record rows are materialised first; member and archive rows are
-    # then cheap distinct projections of them.
-    return X.with_files(write_once(X.raw_record_rows(spark, sf)))
+    rows = X.raw_record_rows(spark, sf)
+    return X.with_files(rows, write_once(X.record_files(rows)))
 
 
 def fixture_staged(spark: SparkSession, sf: str):
     """The staging table of a first run (written once, columnar)."""
-    return write_once(I.stage(fixture_raw(spark, sf)))
+    return write_once(I.stage(fixture_raw(spark, sf)), "zstd")
 
 
 def fixture_first_run(spark: SparkSession, sf: str):

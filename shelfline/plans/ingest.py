@@ -19,6 +19,7 @@ from shelfline import schemas
 from shelfline.functions import conform as C
 from shelfline.operators import dims as D
 from shelfline.operators.joins import SizedFrame
+from shelfline.session import freed_shuffles
 
 
 def conform(records: DataFrame) -> DataFrame:
@@ -188,13 +189,11 @@ def resolve_fact_keys(rows: DataFrame, dims: dict[str, DataFrame | SizedFrame])
     same rows, so the left joins never leave a key NULL; small dimensions are
     broadcast after a row count, product and store shuffle when large.
     """
-    keyed = _with_keys(rows, dims, ["date", "settlement", "company", "category", "product",
-                                    "store", "file"])
-    return keyed.select(
-        "date_key", "store_key", "file_key", "category_key", "product_key",
-        C.price_value("retail_text").alias("retail_price"),
-        C.price_value("promo_text").alias("promo_price"),
-        "pos", "zip_date")
+    # What is broadcast comes first, so that rows are shuffled with short keys and typed prices instead of texts.
+    typed = rows.withColumns({"retail_price": C.price_value("retail_text"), "promo_price": C.price_value("promo_text")})
+    keyed = _with_keys(typed, dims, ["date", "settlement", "company", "category", "file", "product", "store"])
+    return keyed.select("date_key", "store_key", "file_key", "category_key", "product_key", "retail_price", "promo_price",
+                        "pos", "zip_date")
 
 
 def quality_report(rows: DataFrame, members: DataFrame, archives: DataFrame,
@@ -287,7 +286,8 @@ def ingest_records(spark: SparkSession, records: DataFrame, root: str, noms: Nom
     W.check_versions(spark, root)
     # Decoded and cleaned once; columnar, so each pass reads its columns.  Folders by kind would have every task sort its rows.
     cleaned = stage(with_position(records))
-    cleaned.write.parquet(W.staging_path(root, version))
+    with freed_shuffles(spark):
+        cleaned.write.option("compression", "zstd").parquet(W.staging_path(root, version))
     staged = spark.read.schema(cleaned.schema).parquet(W.staging_path(root, version))
     archives = staged.filter((F.col("kind") == "archive") & (F.col("status") == "ok")).select("zip_date")
     processed = sorted(r["zip_date"] for r in archives.distinct().collect())  # one name per archive
@@ -303,10 +303,12 @@ def ingest_records(spark: SparkSession, records: DataFrame, root: str, noms: Nom
     dims["settlement"], _ = D.patch_unknown_settlements(dims["settlement"], noms.settlements)
     W.write_dims(spark, root, dims, version)
     written = {name: SizedFrame(W.read_dim(spark, root, name, version)) for name in schemas.DIMENSIONS}
-    with_rows = {r["zip_date"] for r in keys.filter("_dim = 'date'").select("zip_date").collect()}
-    W.write_facts(spark, root, resolve_fact_keys(rows, written), version)
+    per_date = {r["zip_date"]: r["count"] for r in rows.groupBy("zip_date").count().collect()}
+    facts = resolve_fact_keys(rows, written)
+    for dates in W.date_rounds(per_date):
+        W.write_facts(spark, root, facts if dates is None else facts.filter(W.on_dates(dates)), version)
     W.append_quality(root, quality_report(rows, members, archives, noms, keys), run_ts)
-    W.log_processed(spark, root, processed, run_ts, version, with_rows)
+    W.log_processed(spark, root, processed, run_ts, version, set(per_date))
     quality = W.read_quality(spark, root, run_ts)
     W.drop_staging(spark, root, version)
     return IngestResult(processed, max(processed), quality)

@@ -191,13 +191,15 @@ def raw_record_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     Member and archive rows are included so company/file dimensions and the
     quality report see every file.
     """
-    li = spread(table(spark, sf_dir, "lineitem").select(
+    li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_discount", "l_shipdate"))
+        "l_extendedprice", "l_discount", "l_shipdate")
     sup = SizedFrame(table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey"))
     prt = SizedFrame(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand"))
-    j = (li.join(sup.for_join(), li.l_suppkey == F.col("s_suppkey"))
-           .join(prt.for_join(), li.l_partkey == F.col("p_partkey")))
+    if prt.is_small():
+        li = spread(li)  # (A join that shuffles the lines spreads them by itself, before they get the supplier's texts.)
+    j = (li.join(prt.for_join(), li.l_partkey == F.col("p_partkey"))
+           .join(sup.for_join(), li.l_suppkey == F.col("s_suppkey")))
     price = F.col("l_extendedprice").cast("decimal(12,2)")
     # Columns of their own, so a plan works each out once per row.
     j = j.select(
@@ -270,12 +272,21 @@ def _lead(date, file_seq, order, line):
     return out
 
 
-def with_files(records: DataFrame) -> DataFrame:
-    """Add one member row per (archive, file) and one archive row per date."""
-    members = (records.select("zip_date", "file_seq", "file_name", "delimiter").distinct()
-               .select(F.lit("member").alias("kind"), "zip_date", "file_seq", "file_name",
-                       "delimiter", F.lit("ok").alias("status")))
-    archives = (records.select("zip_date").distinct()
+def record_files(records: DataFrame) -> DataFrame:
+    """The (archive, file) pairs that have records."""
+    return records.select("zip_date", "file_seq", "file_name", "delimiter").distinct()
+
+
+def with_files(records: DataFrame, files: DataFrame | None = None) -> DataFrame:
+    """Add one member row per (archive, file) and one archive row per date.
+
+    ``files`` is ``record_files(records)`` where the caller has written it already.
+    """
+    if files is None:
+        files = record_files(records)
+    members = files.select(F.lit("member").alias("kind"), "zip_date", "file_seq", "file_name",
+                           "delimiter", F.lit("ok").alias("status"))
+    archives = (files.select("zip_date").distinct()
                 .select(F.lit("archive").alias("kind"), "zip_date", F.lit("ok").alias("status")))
     cols = records.columns
 

@@ -30,12 +30,13 @@ import re
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfline import schemas
 from shelfline.operators.joins import SizedFrame
+from shelfline.session import freed_shuffles
 
 
 @dataclass
@@ -148,7 +149,8 @@ def write_dims(spark: SparkSession, root: str, dims: dict[str, DataFrame | Sized
     for name, d in dims.items():
         key = schemas.DIMENSIONS[name][1]
         df = d.df if isinstance(d, SizedFrame) else d
-        df.hint("rebalance").sortWithinPartitions(key).write.mode("errorifexists").parquet(dim_path(root, name, version))
+        with freed_shuffles(spark):
+            df.hint("rebalance").sortWithinPartitions(key).write.mode("errorifexists").parquet(dim_path(root, name, version))
     publish_version(spark, dims_path(root), version)
 
 
@@ -213,8 +215,36 @@ def check_versions(spark: SparkSession, root: str) -> None:
         raise RuntimeError(f"facts use dimension versions that are gone: {sorted(lost)}")
 
 
+# A run of more rows than FACT_ROUND_ROWS writes its facts some dates at a time, in FACT_ROUNDS jobs at most: what the
+# joins and the rebalancing shuffle is on disk for the dates of one job only.
+FACT_ROUNDS = 4
+FACT_ROUND_ROWS = 1 << 20
+
+
+def date_rounds(rows: dict[str | None, int], most_rounds: int | None = None,
+                round_rows: int | None = None) -> list[list[str | None] | None]:
+    """The dates (with their row counts), in order, as neighbours of about equally many rows; None alone: all in one job."""
+    most_rounds, round_rows = most_rounds or FACT_ROUNDS, round_rows or FACT_ROUND_ROWS
+    total, before, out = sum(rows.values()), 0, {}
+    rounds = min(most_rounds, -(-total // round_rows))
+    if rounds < 2:
+        return [None]
+    for d in sorted(rows, key=lambda d: (d is not None, d)):
+        out.setdefault((2 * before + rows[d]) * rounds // (2 * total + 1), []).append(d)  # by where its middle row lies
+        before += rows[d]
+    return list(out.values())
+
+
+def on_dates(dates: list[str | None]) -> Column:
+    """Rows of the dates; a missing date is one of them where it is named."""
+    named = F.col("zip_date").isin([d for d in dates if d is not None])
+    return named | F.col("zip_date").isNull() if None in dates else named
+
+
 def write_facts(spark: SparkSession, root: str, fact: DataFrame, version: str) -> None:
-    """Write a run's facts into its own folder; nobody reads them before the log names the run.
+    """Write facts of a run into its own folder; nobody reads them before the log names the run.
+
+    A run may write its dates in several calls, each date in one.
 
     The write is rebalanced by date: adaptive execution sizes the files of
     each date and splits a skewed date (or a store holding a third of the
@@ -222,9 +252,10 @@ def write_facts(spark: SparkSession, root: str, fact: DataFrame, version: str) -
     partitioning would run over the whole join pipeline.  Rows are sorted
     within files by (store, product) for min/max skipping.
     """
-    (fact.hint("rebalance", "zip_date")
-         .sortWithinPartitions("zip_date", "store_key", "product_key")
-         .write.mode("errorifexists").partitionBy("zip_date").parquet(run_path(root, version)))
+    with freed_shuffles(spark):
+        (fact.hint("rebalance", "zip_date")
+             .sortWithinPartitions("zip_date", "store_key", "product_key")
+             .write.mode("append").partitionBy("zip_date").parquet(run_path(root, version)))
 
 
 def log_processed(spark: SparkSession, root: str, processed: list[str], run_ts: str, version: str,

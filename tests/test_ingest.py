@@ -302,3 +302,29 @@ def test_newest_date_may_have_no_rows(spark, archives, noms, tmp_path):
     star = W.read_star(spark, root)
     assert q.newest_date(star).first()[0] == "2026-04-09"
     assert [r[0] for r in q.newest_dates(star, 2).collect()] == ["2026-04-05", "2026-04-09"]
+
+
+def test_facts_are_written_some_dates_at_a_time(spark, archives, noms, tmp_path, monkeypatch):
+    """What the joins shuffle lies on disk for some dates only; the facts are the same."""
+    I.run_ingest(spark, archives, str(tmp_path / "one"), noms)
+    whole, dates = W.write_facts, []
+
+    def write(spark, root, fact, version):
+        dates.append({r["zip_date"] for r in fact.select("zip_date").distinct().collect()})
+        whole(spark, root, fact, version)
+
+    monkeypatch.setattr(W, "write_facts", write)
+    monkeypatch.setattr(W, "FACT_ROUND_ROWS", 1)
+    I.run_ingest(spark, archives, str(tmp_path / "some"), noms)
+    assert len(dates) > 1 and sorted(d for some in dates for d in some) == ["2026-04-01", "2026-04-03", "2026-04-05"]
+    assert natural(spark, str(tmp_path / "some")) == natural(spark, str(tmp_path / "one"))
+
+
+def test_dates_are_dealt_into_rounds_of_like_size(spark):
+    assert W.date_rounds({"b": 5, "a": 5}, most_rounds=4, round_rows=10) == [None]
+    assert W.date_rounds({}) == [None]
+    assert W.date_rounds({"d": 1, "a": 1, None: 1, "b": 1, "c": 1}, most_rounds=2, round_rows=1) == [[None, "a", "b"], ["c", "d"]]
+    assert W.date_rounds({"a": 1, "b": 90, "c": 1, "d": 1}, most_rounds=3, round_rows=1) == [["a"], ["b"], ["c", "d"]]
+    rows = spark.createDataFrame([("a",), ("b",), (None,)], "zip_date string")
+    assert [sorted(str(r[0]) for r in rows.filter(W.on_dates(d)).collect()) for d in ([None], [None, "a"], ["a", "b"])] == [
+        ["None"], ["None", "a"], ["a", "b"]]
