@@ -328,3 +328,12 @@ def test_dates_are_dealt_into_rounds_of_like_size(spark):
     rows = spark.createDataFrame([("a",), ("b",), (None,)], "zip_date string")
     assert [sorted(str(r[0]) for r in rows.filter(W.on_dates(d)).collect()) for d in ([None], [None, "a"], ["a", "b"])] == [
         ["None"], ["None", "a"], ["a", "b"]]
+
+
+def test_rows_are_shuffled_with_short_keys_and_typed_prices(spark, archives, noms, tmp_path, monkeypatch):
+    """Joins with what is broadcast come before those that may move the rows."""
+    joined, with_keys = [], I._with_keys
+    monkeypatch.setattr(I, "_with_keys", lambda rows, dims, names: joined.append((rows.columns, names)) or with_keys(rows, dims, names))
+    I.run_ingest(spark, archives, str(tmp_path / "wh"), noms)
+    columns, names = next(x for x in joined if "product" in x[1])
+    assert names[-2:] == ["product", "store"] and {"retail_price", "promo_price"} <= set(columns)
