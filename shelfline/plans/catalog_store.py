@@ -7,7 +7,6 @@ daily run uses, and compared in natural values.
 
 from __future__ import annotations
 
-import csv
 import io
 import uuid
 import zipfile
@@ -36,34 +35,53 @@ ARCHIVE_ORDERS = 1 << 15
 # ---------------------------------------------------------------------------
 
 def _zip(batches):
-    """(zip_date, lines) -> one ZIP of CSV members per row."""
-    import pandas as pd
-
-    for pdf in batches:
-        out = []
-        for lines in pdf["lines"]:
-            members = {}
-            for x in lines:
-                text, _ = members.setdefault(x["file_name"], (io.StringIO(), x["delimiter"]))
-                writer = csv.writer(text, delimiter=x["delimiter"], lineterminator="\n")
-                if not text.tell():
-                    writer.writerow(RAW_COLUMNS)
-                writer.writerow([x[c] or "" for c in RAW_COLUMNS[: x["n_fields"]]])
-            data = io.BytesIO()
-            with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as zf:
-                for name, (text, _) in members.items():
-                    zf.writestr(name, text.getvalue().encode("utf-8"))
-            out.append(data.getvalue())
-        yield pd.DataFrame({"zip_date": pdf["zip_date"], "content": out})
+    """Sorted (zip_date, part, file_name, delimiter, line) -> a ZIP of CSV members for every date and part."""
+    import pyarrow as pa
+
+    def packed(zip_date, members):
+        data = io.BytesIO()
+        with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as zf:
+            for name, lines in members.items():
+                zf.writestr(name, "".join(lines).encode("utf-8"))
+        return pa.RecordBatch.from_pydict({"zip_date": pa.array([zip_date], pa.string()), "content": pa.array([data.getvalue()], pa.binary())})
+
+    archive, members = None, {}
+    for batch in batches:
+        dates, parts, names, delimiters, lines = (c.to_pylist() for c in batch.columns)
+        at = 0
+        while at < len(lines):
+            key, end = (dates[at], parts[at], names[at]), at + 1
+            while end < len(lines) and names[end] == key[2] and parts[end] == key[1] and dates[end] == key[0]:
+                end += 1
+            if members and archive != key[:2]:
+                yield packed(archive[0], members)
+                members = {}
+            archive = key[:2]
+            # (The header's names need no quotes.)
+            members.setdefault(key[2], [delimiters[at].join(RAW_COLUMNS), "\n"]).extend(lines[at:end])
+            at = end
+    if members:
+        yield packed(archive[0], members)
+
+
+def _csv_line():
+    """A record as a CSV writer has it: fields in quotes where they hold a delimiter, a quote or a line end."""
+    def field(c):
+        x = F.coalesce(F.col(c), F.lit(""))
+        quoted = F.concat(F.lit('"'), F.replace(x, F.lit('"'), F.lit('""')), F.lit('"'))
+        return F.when(F.contains(x, F.col("delimiter")) | x.contains('"') | x.contains("\n") | x.contains("\r"), quoted).otherwise(x)
+
+    more = [F.when(F.col("n_fields") > i, F.concat(F.col("delimiter"), field(c))).otherwise("") for i, c in enumerate(RAW_COLUMNS) if i]
+    return F.concat(field(RAW_COLUMNS[0]), *more, F.lit("\n"))
 
 
 def fixture_archives(spark, sf):
     """(zip_date, content): ZIP archives of the raw records, of bounded size."""
     ship_package(spark)
-    rows = X.raw_record_rows(spark, sf)
-    lines = rows.groupBy("zip_date", F.floor(F.col("row_seq") / ARCHIVE_ORDERS).alias("part")).agg(
-        F.collect_list(F.struct("file_name", "delimiter", "n_fields", *RAW_COLUMNS)).alias("lines"))
-    return lines.select("zip_date", "lines").mapInPandas(_zip, "zip_date string, content binary")
+    lines = X.raw_record_rows(spark, sf).select(
+        "zip_date", F.floor(F.col("row_seq") / ARCHIVE_ORDERS).alias("part"), "file_name", "delimiter", _csv_line().alias("line"))
+    dealt = lines.repartition("zip_date", "part").sortWithinPartitions("zip_date", "part", "file_name")
+    return dealt.mapInArrow(_zip, "zip_date string, content binary")
 
 
 _FIELDS = ", ".join("CASE WHEN n_fields = 7 THEN promo_price END AS promo_price" if c == "promo_price" else c for c in RAW_COLUMNS)
@@ -91,7 +109,8 @@ def archive_files(spark, archives):
     """Archives as files of the shared folder (a byte behind each, which readers pass over); their paths."""
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/archives-{uuid.uuid4().hex}"
     (archives.select("zip_date", F.col("content").cast("string").alias("value"))
-     .write.option("maxRecordsPerFile", 1).partitionBy("zip_date").text(base))
+     # (Tasks move their own files; nobody reads the folder before all are there.)
+     .write.option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", 2).partitionBy("zip_date").text(base))
     return base
 
 

@@ -41,6 +41,8 @@ TAIL_BYTES = 1 << 20
 GROUP_BYTES = 4 << 20
 BLOCK_BYTES = 4 << 20
 _STEP = 1 << 18
+_OPEN_BYTES = 1 << 16
+_GATHERED_ROWS = 1000
 _LOCAL = struct.Struct("<4s5H3L2H")
 
 _PIECES = "path string, size long, split long, rel long, data binary"
@@ -53,30 +55,54 @@ DAMAGED = (zipfile.BadZipFile, zlib.error, OSError, EOFError, ValueError, Runtim
 
 
 @contextlib.contextmanager
-def arrow_rows(spark: SparkSession, rows: int):
-    """Fewer rows per Arrow batch while rows of about a MB pass through Python."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+def _setting(spark: SparkSession, key: str, value: int):
     before = spark.conf.get(key)
-    spark.conf.set(key, str(rows))
+    spark.conf.set(key, str(value))
     try:
         yield
     finally:
         spark.conf.set(key, before)
 
 
+def arrow_rows(spark: SparkSession, rows: int):
+    """Fewer rows per Arrow batch while rows of about a MB pass through Python."""
+    return _setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+
+
+def many_files(spark: SparkSession):
+    """Many small files a task: opening one counts as little as it costs (by default as 4 MB of data)."""
+    return _setting(spark, "spark.sql.files.openCostInBytes", _OPEN_BYTES)
+
+
+def _gathered(rows: Iterator[tuple], fields: dict[str, pa.DataType]) -> Iterator[pa.RecordBatch]:
+    """Rows as batches of a few MB: a batch of its own for every small row costs more than the row."""
+    def batch():
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held, strict=True), fields.values(), strict=True)], names=list(fields))
+
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += sum(len(x) for x in row if isinstance(x, bytes))
+        if size >= BLOCK_BYTES or len(held) >= _GATHERED_ROWS:
+            yield batch()
+            held, size = [], 0
+    if held:
+        yield batch()
+
+
 # ---------------------------------------------------------------------------
 # 1. Pieces
 # ---------------------------------------------------------------------------
 
 def _join_lines(piece_bytes: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    fields = {"path": pa.string(), "size": pa.int64(), "split": pa.int64(), "rel": pa.int64(), "data": pa.binary()}
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         """Lines of a split -> pieces with their place behind the split's first line."""
         where, rel, held, size = None, 0, [], 0
 
         def flush():
-            return pa.RecordBatch.from_arrays(
-                [pa.array([where[0]]), pa.array([where[1]]), pa.array([where[2]]), pa.array([rel]),
-                 pa.array([b"".join(held)], pa.binary())], names=["path", "size", "split", "rel", "data"])
+            return (*where, rel, b"".join(held))
 
         for batch in batches:
             columns = [c.to_pylist() for c in batch.columns]
@@ -93,29 +119,35 @@ def _join_lines(piece_bytes: int):
                         rel, held, size = rel + size, [], 0
         if held:
             yield flush()
-    return run
+    return lambda batches: _gathered(pieces(batches), fields)
 
 
-def file_pieces(spark: SparkSession, paths: list[str], piece_bytes: int = PIECE_BYTES) -> DataFrame:
+def file_pieces(spark: SparkSession, paths: list[str], piece_bytes: int = PIECE_BYTES, name_filter: str = "*",
+                over_bytes: int = 0) -> DataFrame:
     """(path, size, at, data): every byte of the files, in pieces of about ``piece_bytes``.
 
+    ``paths`` are files or folders, of which files of ``name_filter`` with more than ``over_bytes`` are read.
+
     The line reader only serves as a splittable byte reader: lines end at each
     byte 10, and their bytes come as they are.  What a split reads begins where
     the one before it ended, so places are prefix sums over the splits.
     """
     meta = F.col("_metadata")
-    lines = spark.read.option("lineSep", "\n").text(paths).select(
+    lines = spark.read.option("lineSep", "\n").option("pathGlobFilter", name_filter).text(paths).filter(
+        meta["file_size"] > over_bytes).select(
         meta["file_path"].alias("path"), meta["file_size"].alias("size"), meta["file_block_start"].alias("split"),
         F.col("value").cast("binary").alias("line"))
-    pieces = write_once(lines.mapInArrow(_join_lines(piece_bytes), _PIECES))
+    with many_files(spark):
+        pieces = write_once(lines.mapInArrow(_join_lines(piece_bytes), _PIECES))
     # Per split one row: the scan is over as many rows as the files have splits.
     total = pieces.groupBy("path", "split").agg(F.sum(F.length("data")).alias("bytes"))
     before = F.expr("sum(bytes) OVER (PARTITION BY path ORDER BY split ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
-    base = write_once(total.select("path", "split", F.coalesce(before, F.lit(0)).alias("base")))
-    at = F.col("base") + F.col("rel")
+    # What a file's first split reads begins at 0, so files of one split move for no join.
+    base = write_once(total.select("path", "split", F.coalesce(before, F.lit(0)).alias("base")).filter("split > 0"))
+    at = F.coalesce("base", F.lit(0)) + F.col("rel")
     # A last line without an end has got one too many.
     data = F.expr("substring(data, 1, CAST(least(length(data), size - at) AS INT))")
-    return (pieces.join(SizedFrame(base).for_join(), ["path", "split"]).withColumn("at", at)
+    return (pieces.join(SizedFrame(base).for_join(), ["path", "split"], "left").withColumn("at", at)
             .select("path", "size", "at", data.alias("data")).filter(F.length("data") > 0))
 
 
@@ -311,20 +343,17 @@ class _Member:
 
 
 def _inflate(block_bytes: int):
-    fields = ("path", "kind", "file_seq", "file_name", "block", "delimiter", "ok", "content")
-    types = (pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.bool_(), pa.binary())
-
-    def made(*row) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, types, strict=True)], names=list(fields))
+    fields = {"path": pa.string(), "kind": pa.string(), "file_seq": pa.int64(), "file_name": pa.string(), "block": pa.int64(),
+              "delimiter": pa.string(), "ok": pa.bool_(), "content": pa.binary()}
 
     def blocks(members, found):
         for number, data in found:
             for m in members:
-                yield made(m["path"], "block", m["file_seq"], m["name"], number, found_delimiter[0], None, data)
+                yield m["path"], "block", m["file_seq"], m["name"], number, found_delimiter[0], None, data
 
     found_delimiter = [None]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         """Rows come sorted by group, entries first, then pieces by place."""
         group, waiting, now, stream = None, [], [], None
 
@@ -338,7 +367,7 @@ def _inflate(block_bytes: int):
                 found_delimiter[0] = stream.delimiter
                 yield from blocks([m for m in now if m["file_seq"] is not None], [(number, block)])
             for m in now:
-                yield made(m["path"], "verdict", m["file_seq"], m["name"], None, None, stream.ok, None)
+                yield m["path"], "verdict", m["file_seq"], m["name"], None, None, stream.ok, None
 
         def start():
             # Entries of the same place are one stream.
@@ -380,7 +409,7 @@ def _inflate(block_bytes: int):
                 now, stream, waiting = start()
             yield from end()
             stream = None
-    return run
+    return lambda batches: _gathered(run(batches), fields)
 
 
 def member_blocks(pieces: DataFrame, found: DataFrame, group_bytes: int = GROUP_BYTES, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -408,15 +437,15 @@ def member_blocks(pieces: DataFrame, found: DataFrame, group_bytes: int = GROUP_
 
 
 def scan(spark: SparkSession, paths: list[str], date_of, piece_bytes: int = PIECE_BYTES, tail_bytes: int = TAIL_BYTES,
-         group_bytes: int = GROUP_BYTES, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+         group_bytes: int = GROUP_BYTES, block_bytes: int = BLOCK_BYTES, name_filter: str = "*", over_bytes: int = 0) -> DataFrame:
     """``RECORD_SCHEMA`` rows of the archives at ``paths``, all read by ranges.
 
-    ``date_of(path column)`` is an archive's business date.
+    ``date_of(path column)`` is an archive's business date; of a folder, files of ``name_filter`` and more than ``over_bytes``.
     """
     from shelfline.sources import csv_ranges
 
     with arrow_rows(spark, 20_000):
-        pieces = file_pieces(spark, paths, piece_bytes)
+        pieces = file_pieces(spark, paths, piece_bytes, name_filter, over_bytes)
     with arrow_rows(spark, 32):
         found = directories(pieces, tail_bytes)
     blocks = member_blocks(pieces, found, group_bytes, block_bytes)

@@ -201,9 +201,13 @@ def scan_archives(spark: SparkSession, paths: str | list[str], whole_bytes: int
     from shelfline.sources import archive_ranges
 
     ship_package(spark)
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", name_filter)
-    df = reader.load([paths] if isinstance(paths, str) else list(paths))
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    df = spark.read.format("binaryFile").option("pathGlobFilter", name_filter).load(paths)
     # (Sizes come from the listing; contents of large files are never asked for.)
-    large = sorted(r["path"] for r in df.filter(F.col("length") > whole_bytes).select("path").collect())
+    with archive_ranges.many_files(spark):
+        sizes = df.agg(F.count_if(F.col("length") > whole_bytes).alias("large"), F.count(F.lit(1)).alias("all")).first()
     small = decode_archives(df.filter(F.col("length") <= whole_bytes).select(date_of(F.col("path")).alias("zip_date"), "content"))
-    return small.unionByName(archive_ranges.scan(spark, large, date_of, **ranges)) if large else small
+    if not sizes["large"]:
+        return small
+    found = archive_ranges.scan(spark, paths, date_of, name_filter=name_filter, over_bytes=whole_bytes, **ranges)
+    return small.unionByName(found) if sizes["all"] > sizes["large"] else found

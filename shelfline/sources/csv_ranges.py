@@ -26,7 +26,7 @@ import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfline.operators.joins import SizedFrame
@@ -99,9 +99,8 @@ def place(blocks: list[tuple[int, int, int, int]]) -> list[tuple[int, int]]:
 
 
 def _text_lines(text: str) -> list[str]:
-    from shelfline.sources.archives import _lines
-
-    return list(_lines(text))
+    """The lines of ``archives._lines``, at once."""
+    return text.splitlines()
 
 
 def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,8 +111,9 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in batch.to_pylist():
             text = decode(r["content"], r["block"])
             lines = _text_lines(text or "")
+            # (Nothing is before a member's first block, so it is never begun inside quotes.)
             rows.append((r["zip_date"], r["source"], r["file_seq"], r["block"], text is not None, len(lines),
-                         *summary(lines, r["delimiter"], _OUT), *summary(lines, r["delimiter"], _IN)))
+                         *summary(lines, r["delimiter"], _OUT), *(summary(lines, r["delimiter"], _IN) if r["block"] else (_OUT, 0))))
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 
@@ -143,18 +143,35 @@ _BATCH = 20_000
 
 def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Whole records, and parts of those that cross blocks."""
-    rows = []
+    head = {"zip_date": pa.string(), "source": pa.string(), "file_seq": pa.int64(), "file_name": pa.string(), "delimiter": pa.string(),
+            "block": pa.int64()}
+    blocks, numbers, parts, found = [], [], [], []
+
+    def out() -> pa.RecordBatch:
+        # What a block's records share is not told record by record.
+        columns = {c: pa.concat_arrays([pa.repeat(pa.scalar(r[c], t), n) for r, n in blocks]) for c, t in head.items()}
+        columns |= {"number": pa.array(numbers, pa.int64()), "lines": pa.array(parts, pa.list_(pa.string())),
+                    "n_fields": pa.array([None if x is None else len(x) for x in found], pa.int32()),
+                    "fields": pa.array([None if x is None else x[:EXPECTED_COLUMNS] for x in found], pa.list_(pa.string()))}
+        order = ["zip_date", "source", "file_seq", "file_name", "delimiter", "number", "block", "lines", "n_fields", "fields"]
+        return pa.RecordBatch.from_arrays([columns[c] for c in order], names=order)
+
     for batch in batches:
         for r in batch.to_pylist():
             lines = _text_lines(decode(r["content"], r["block"]))
+            blocks.append((r, 0))
+            at = len(numbers)
             for number, fields, part in tokenise(lines, r["delimiter"], r["before"], r["first"]):
-                rows.append((r["zip_date"], r["source"], r["file_seq"], r["file_name"], r["delimiter"], number, r["block"], part,
-                             None if fields is None else len(fields), None if fields is None else fields[:EXPECTED_COLUMNS]))
-                if len(rows) >= _BATCH:
-                    yield _rows(rows)
-                    rows = []
-    if rows:
-        yield _rows(rows)
+                numbers.append(number)
+                parts.append(part)
+                found.append(fields)
+                if len(numbers) >= _BATCH:
+                    blocks[-1] = (r, len(numbers) - at)
+                    yield out()
+                    blocks, numbers, parts, found, at = [(r, 0)], [], [], [], 0
+            blocks[-1] = ({c: r[c] for c in head}, len(numbers) - at)
+    if numbers:
+        yield out()
 
 
 def _assemble(parts: pa.Table) -> pa.Table:
@@ -176,7 +193,11 @@ def split_records(blocks: DataFrame) -> DataFrame:
     key = ["zip_date", "source", "file_seq"]
     with arrow_rows(spark, 32):
         told = write_once(blocks.select(*key, "block", "delimiter", "content").mapInArrow(_summaries, _SUMMARY))
-        placed = write_once(told.groupBy(*key).applyInArrow(_scan_member, _PLACED))
+        # A member of one block is not scanned: that would be a call for every small file.
+        told = told.withColumn("_blocks", F.count(F.lit(1)).over(Window.partitionBy(*key)))
+        scanned = told.filter("_blocks > 1").drop("_blocks").groupBy(*key).applyInArrow(_scan_member, _PLACED)
+        alone = told.filter("_blocks = 1").select(*key, "block", F.lit(_OUT).alias("before"), F.lit(0).cast("long").alias("first"), "valid", "lines")
+        placed = write_once(scanned.union(alone))
         known = blocks.join(SizedFrame(placed.filter("valid")).for_join(), [*key, "block"])
         parsed = write_once(known.select(*key, "file_name", "delimiter", "block", "content", "before", "first").mapInArrow(_records, _PART), "zstd")
     crossing = parsed.filter(F.col("lines").isNotNull()).groupBy(*key, "number").applyInArrow(_assemble, _PART)

@@ -6,6 +6,7 @@ import random
 import struct
 import zipfile
 
+import pyarrow as pa
 import pytest
 
 from shelfline.sources import archive_ranges as R
@@ -179,3 +180,51 @@ def test_scan_queries_pack_the_archives_once(spark, monkeypatch):
     monkeypatch.setattr(S, "write_once", lambda df: packed.append(df) or write(df))
     plan = S._scan(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert len(packed) == 1 and "collect_list" not in plan
+
+
+def test_many_small_files_share_tasks_and_batches(spark, tmp_path, monkeypatch):
+    """What grows with the number of files is not one task, batch or call for every few of them."""
+    for i in range(60):
+        (tmp_path / f"{i}.zip").write_bytes(archive(random.Random(i), zipfile.ZIP_DEFLATED, members=2, lines=3))
+    tasks, write = [], R.write_once
+    monkeypatch.setattr(R, "write_once", lambda df, *a: tasks.append(df.rdd.getNumPartitions()) or write(df, *a))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(8 << 20))
+    try:
+        R.file_pieces(spark, [str(tmp_path)], name_filter="*.zip")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert tasks[0] <= 8
+    batches = list(R._gathered(((i, b"x") for i in range(2500)), {"n": pa.int64(), "data": pa.binary()}))
+    assert [b.num_rows for b in batches] == [1000, 1000, 500]
+    assert rows_of(A.scan_archives(spark, str(tmp_path), whole_bytes=0)) == rows_of(A.scan_archives(spark, str(tmp_path)))
+
+
+def test_lines_of_the_made_archives_are_those_of_a_csv_writer(spark):
+    from shelfline.plans import catalog_store as S
+    from shelfline.schemas import RAW_COLUMNS
+
+    rnd = random.Random(7)
+    rows = [(rnd.choice(",;"), rnd.choice([6, 7]), *[rnd.choice(["", None, "x", ' "q" ', "a,b", "c;d", "l\nm", "r\rs", '"', "é"]) for _ in RAW_COLUMNS])
+            for _ in range(60)]
+    df = spark.createDataFrame(rows, "delimiter string, n_fields int, " + ", ".join(f"{c} string" for c in RAW_COLUMNS)).coalesce(1)
+    for row, line in zip(rows, df.select(S._csv_line().alias("line")).collect(), strict=True):
+        text = io.StringIO()
+        csv.writer(text, delimiter=row[0], lineterminator="\n").writerow([x or "" for x in row[2: 2 + row[1]]])
+        assert line["line"] == text.getvalue()
+
+
+def test_lines_at_once_are_those_of_the_stream():
+    rnd = random.Random(3)
+    for _ in range(300):
+        text = "".join(rnd.choice(["x", "\n", "\r", "\r\n", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x1f", "\x85", "\u2028", "\u2029", '"']) for _ in range(12))
+        assert C._text_lines(text) == list(A._lines(text))
+
+
+def test_batches_of_records_hold_the_rows_of_their_blocks(monkeypatch):
+    rows = [{"zip_date": "d", "source": "s", "file_seq": i, "file_name": f"{i}.csv", "delimiter": ",", "block": 0, "before": 0, "first": 0,
+             "content": ("a,b\n" * n).encode()} for i, n in enumerate([3, 0, 5, 1])]
+    monkeypatch.setattr(C, "_BATCH", 2)
+    found = [r for b in C._records(iter([pa.RecordBatch.from_pylist(rows[:3]), pa.RecordBatch.from_pylist(rows[3:])])) for r in b.to_pylist()]
+    assert [(r["file_seq"], r["file_name"], r["number"]) for r in found] == [(i, f"{i}.csv", k) for i, n in enumerate([3, 0, 5, 1]) for k in range(n)]
+    assert all(r["fields"] == ["a", "b"] and r["n_fields"] == 2 and r["lines"] is None for r in found)
